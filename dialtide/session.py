@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: Runtime settings every job expects. Time zone: dates and hours are UTC.
 #: Inference off: a partition value such as ``customer_id=001`` stays text.
@@ -50,3 +50,14 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
         base = tempfile.mkdtemp(prefix="dialtide-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once to the shared folder and read it back.
+
+    Cuts the lineage of a frame that is used many times (each fit of a training
+    stage scans it), and survives the loss of any executor.
+    """
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
