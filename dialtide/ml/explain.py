@@ -42,6 +42,16 @@ def explain_linear_model(prepared: DataFrame, key: str, model, names: list[str])
     )
 
 
+def _spread_rows(rows: DataFrame) -> DataFrame:
+    """Give every core a share of the rows before each is multiplied.
+
+    The input's partitions are sized for reading it; scoring hundreds of copies
+    of each row needs more of them. A fixed number, so that they are not merged
+    again for being small in bytes.
+    """
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def _orderings(background: DataFrame, key: str, d: int, n: int, seed: int) -> DataFrame:
     """``n`` rows: a background row and a random feature order (``place`` of each feature)."""
     chosen = background.select(key, "features").orderBy(stable_order(F.col(key), seed)).limit(n)
@@ -81,7 +91,7 @@ def explain_shapley(
     plan = _orderings(background, key, d, orderings, seed)
     count = plan.agg(F.count(F.lit(1)).alias("n")).scalar()
     moved = (
-        prepared.select(key, vector_to_array("features").alias("x"))
+        _spread_rows(prepared.select(key, vector_to_array("features").alias("x")))
         .withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(orderings))))
         .join(F.broadcast(plan), "k")  # `orderings` rows by construction
         .withColumn("step", F.explode(F.sequence(F.lit(0), F.lit(d))))
@@ -136,12 +146,13 @@ def explain_local_linear(
         ).otherwise(0.0),
     )
     shifted = (
-        prepared.select(key, vector_to_array("features").alias("x"))
+        _spread_rows(prepared.select(key, vector_to_array("features").alias("x")))
+        .withColumn("spread", spread)
         .withColumn("sample", F.explode(F.sequence(F.lit(0), F.lit(samples - 1))))
         .withColumn("z", noise)
         .withColumn(
             "features",
-            array_to_vector(F.transform("x", lambda v, j: v + F.element_at("z", j + 1) * F.element_at(spread, j + 1))),
+            array_to_vector(F.transform("x", lambda v, j: v + F.element_at("z", j + 1) * F.element_at("spread", j + 1))),
         )
     )
     scored = classifier.transform(shifted).select(key, "z", positive_probability().alias("p"))
