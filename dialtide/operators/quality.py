@@ -146,8 +146,8 @@ def alert_text(results: DataFrame, message: str, n: int = 5, by: list[str] | Non
     body = F.array_join(F.transform(lines, lambda x: x["line"]), "\n")
     tail = F.when(F.max("more") > 0, F.format_string("\n... and %d more failed checks", F.max("more"))).otherwise("")
     text = F.concat(F.lit(f"*⚠️ Data Quality Alert*\n{message}\n"), body, tail)
-    grouped = shown.groupBy(*(by or [])).agg(text.alias("alert"))
-    return grouped.filter(F.col("alert").isNotNull())
+    grouped = shown.groupBy(*(by or [])).agg(text.alias("alert"), F.count(F.lit(1)).alias("shown"))
+    return grouped.filter("shown > 0").drop("shown")
 
 
 def quality_gate(results: DataFrame) -> DataFrame:

@@ -16,6 +16,14 @@ from ..schemas import RAW_CDR
 
 CORRUPT = "_corrupt_record"
 
+#: Without pruning every field is parsed, so a wrong field count is always seen.
+CSV_OPTIONS = {
+    "header": "true",
+    "mode": "PERMISSIVE",
+    "columnNameOfCorruptRecord": CORRUPT,
+    "columnPruning": "false",
+}
+
 
 def raw_path(base: str, date: str) -> str:
     """Where a day's raw files arrive."""
@@ -61,7 +69,7 @@ def read_cdr_text(spark: SparkSession, path: str) -> DataFrame:
     """All rows, every field as text, with the source line of broken ones."""
     return (
         spark.read.schema(text_schema())
-        .options(header="true", mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT, enforceSchema="true")
+        .options(**CSV_OPTIONS)
         .csv(path)
     )
 

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from ..operators.clean import add_date_parts, clean_cdr
 from ..operators.daily import usage_metrics
 from ..operators.snapshot import latest_snapshot
-from ..sources.cdr_csv import CORRUPT, text_schema, typed_records
+from ..sources.cdr_csv import CSV_OPTIONS, text_schema, typed_records
 
 
 def stream_ingest(
@@ -38,7 +38,7 @@ def stream_ingest(
         return reader.schema(schema).format(file_format).load(folder)
     raw = (
         reader.schema(text_schema())
-        .options(header="true", mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT)
+        .options(**CSV_OPTIONS)
         .csv(folder)
     )
     return typed_records(raw)
