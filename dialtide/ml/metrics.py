@@ -44,10 +44,10 @@ def roc_auc(scored: DataFrame, label: str = "churn", score: str = "churn_probabi
     """
     freq = (
         scored.filter(F.col(score).isNotNull())
-        .groupBy(F.lit(0).alias("_all"), F.col(score).alias("_score"))
+        .groupBy(F.col(score).alias("_score"))
         .agg(F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg"))
     )
-    ranked = running_sums(value_buckets(freq, ["_all"], "_score"), ["_all"], "_bucket", ["_score"], ["pos", "neg"])
+    ranked = running_sums(value_buckets(freq, [], "_score"), [], "_bucket", ["_score"], ["pos", "neg"])
     outranked = F.sum(F.col("pos") * (F.col("neg_before") + F.col("neg") / 2))
     pairs = F.max("pos_total").cast("double") * F.max("neg_total")
     return ranked.agg(F.try_divide(outranked, pairs).alias("roc_auc"))

@@ -71,10 +71,9 @@ def class_weights(df: DataFrame, label: str = "churn") -> DataFrame:
     )
 
 
-def with_class_weight(df: DataFrame, weight: str = "balanced_weight", label: str = "churn") -> DataFrame:
-    """Add ``class_weight``. The broadcast side has one row per class."""
-    weights = class_weights(df, label).select(label, F.col(weight).alias("class_weight"))
-    return df.join(F.broadcast(weights), label)
+def with_class_weight(df: DataFrame, negatives: float, positives: float, label: str = "churn") -> DataFrame:
+    """Add ``class_weight``: one number for churned rows, one for the others."""
+    return df.withColumn("class_weight", F.when(F.col(label) == 1, float(positives)).otherwise(float(negatives)))
 
 
 def preparation_stages(numeric: list[str], categorical: list[str], rows: int) -> list[Estimator | Transformer]:

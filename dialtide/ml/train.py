@@ -86,13 +86,36 @@ def classifier(kind: str, rows: int, seed: int = SEED, **params):
     raise ValueError(f"unknown model kind {kind!r}")
 
 
-def _usable(train: DataFrame) -> tuple[list[str], list[str], int]:
-    """Feature columns with at least one value, and the row count, from one scan."""
+@dataclass
+class Profile:
+    """What fitting must know about its rows beforehand, from one scan."""
+
+    numeric: list[str]
+    categorical: list[str]
+    rows: int
+    positives: int
+
+    def weights(self, kind: str) -> tuple[float, float]:
+        """Weights of the negative and positive class; 1 where a class is missing."""
+        negatives = self.rows - self.positives
+        if not negatives or not self.positives:
+            return 1.0, 1.0
+        if WEIGHTING[kind] == "positive_weight":
+            return 1.0, negatives / self.positives
+        return self.rows / (2 * negatives), self.rows / (2 * self.positives)
+
+
+def profile(train: DataFrame) -> Profile:
+    """Feature columns with at least one value, row count and churned rows."""
     numeric, categorical = numeric_and_categorical(train)
-    filled = train.agg(
-        F.count(F.lit(1)).alias("_rows"), *[F.count(c).alias(c) for c in [*numeric, *categorical]]
+    found = train.agg(
+        F.count(F.lit(1)).alias("_rows"),
+        F.count_if(F.col("churn") == 1).alias("_positives"),
+        *[F.count(c).alias(c) for c in [*numeric, *categorical]],
     ).first()
-    return [c for c in numeric if filled[c]], [c for c in categorical if filled[c]], filled["_rows"]
+    return Profile(
+        [c for c in numeric if found[c]], [c for c in categorical if found[c]], found["_rows"], found["_positives"]
+    )
 
 
 def _without_summary(model):
@@ -112,11 +135,14 @@ def fit(train: DataFrame, kind: str, seed: int = SEED, **params) -> TrainedModel
 
     ``train`` is scanned once per stage: pass a stored table, not a long plan.
     """
-    numeric, categorical, rows = _usable(train)
-    stages = [*preparation_stages(numeric, categorical, rows), classifier(kind, rows, seed, **params)]
-    fitted = Pipeline(stages=stages).fit(with_class_weight(train, WEIGHTING[kind]))
+    known = profile(train)
+    stages = [
+        *preparation_stages(known.numeric, known.categorical, known.rows),
+        classifier(kind, known.rows, seed, **params),
+    ]
+    fitted = Pipeline(stages=stages).fit(with_class_weight(train, *known.weights(kind)))
     _without_summary(fitted.stages[-1])
-    return TrainedModel(kind, fitted, numeric, categorical, params)
+    return TrainedModel(kind, fitted, known.numeric, known.categorical, params)
 
 
 def train_logistic(train: DataFrame, **params) -> TrainedModel:

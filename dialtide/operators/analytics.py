@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from itertools import combinations
+from itertools import combinations_with_replacement
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -191,17 +191,35 @@ def pearson(a: str, b: str) -> Column:
 
 
 def correlation_matrix(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Pearson correlation of every ordered pair of numeric columns, in long form."""
+    """Pearson correlation of every ordered pair of numeric columns, in long form.
+
+    Each row is expanded to its column pairs and combined per pair in place, so
+    the plan stays small for many columns and only pairs are shuffled. A pair
+    uses the rows where both are present; without variance it is null.
+    """
     columns = columns or _numeric(df)
-    pairs = list(combinations(columns, 2))
-    cells = [F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), pearson(a, b).alias("r")) for a, b in pairs]
-    cells += [F.struct(F.lit(c).alias("a"), F.lit(c).alias("b"), pearson(c, c).alias("r")) for c in columns]
-    half = df.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
-    both = F.when(F.col("a") == F.col("b"), F.array(F.struct("a", "b"))).otherwise(
-        F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
+    x, y = F.col("x"), F.col("y")
+    pairs = [
+        F.struct(
+            F.lit(i).alias("i"),
+            F.lit(j).alias("j"),
+            F.col(columns[i]).cast("double").alias("x"),
+            F.col(columns[j]).cast("double").alias("y"),
+        )
+        for i, j in combinations_with_replacement(range(len(columns)), 2)
+    ]
+    half = (
+        df.select(F.inline(F.array(*pairs)))
+        .filter(x.isNotNull() & y.isNotNull())
+        .groupBy("i", "j")
+        .agg((F.covar_pop(x, y) / F.nullif(F.stddev_pop(x) * F.stddev_pop(y), F.lit(0.0))).alias("correlation"))
     )
-    return half.select(F.explode(both).alias("p"), "r").select(
-        F.col("p.a").alias("feature_a"), F.col("p.b").alias("feature_b"), F.col("r").alias("correlation")
+    both = F.array_distinct(F.array(F.struct("i", "j"), F.struct(F.col("j").alias("i"), F.col("i").alias("j"))))
+    names = F.array(*map(F.lit, columns))
+    return half.select(F.explode(both).alias("p"), "correlation").select(
+        F.element_at(names, F.col("p.i") + 1).alias("feature_a"),
+        F.element_at(names, F.col("p.j") + 1).alias("feature_b"),
+        "correlation",
     )
 
 

@@ -20,7 +20,7 @@ CUTS = 64
 def running_sums(df: DataFrame, group: list[str], bucket: str, order: list[str], sums: list[str]) -> DataFrame:
     """Add ``<c>_before`` (sum over earlier rows of the group) and ``<c>_total``.
 
-    ``bucket`` must rise with ``order``; rows must be unique on group and order,
+    An empty ``group`` takes the whole frame as one. ``bucket`` must rise with ``order``; rows must be unique on group and order,
     which callers reach by aggregating first.
     """
     per_bucket = df.groupBy(*group, bucket).agg(*[F.sum(c).alias(c) for c in sums])
@@ -52,10 +52,12 @@ def _cut_points(df: DataFrame, group: list[str], value: str, cuts: int) -> DataF
 def value_buckets(freq: DataFrame, group: list[str], value: str, cuts: int = CUTS) -> DataFrame:
     """Add ``_bucket``: about equally many distinct values each, rising with ``value``.
 
-    The cut points come from a fixed-size sketch, one row per group. They need
-    not be exact: any cut points give exact sums, only the balance changes.
+    The cut points come from a fixed-size sketch, one row per group; groups are
+    labels and metric names, not ids. The cuts need not be exact: any cut points
+    give exact sums, only the balance changes.
     """
-    tagged = freq.join(_cut_points(freq, group, value, cuts), group)
+    points = _cut_points(freq, group, value, cuts)
+    tagged = freq.join(F.broadcast(points), group) if group else freq.withColumn("_cuts", points.scalar())
     below = F.size(F.filter("_cuts", lambda cut: cut < F.col(value)))
     return tagged.withColumn("_bucket", below).drop("_cuts")
 
