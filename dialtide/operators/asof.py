@@ -9,7 +9,7 @@ put a customer with a third of all rows into one task. Instead:
    customer and time slice, and a running ``last`` finds the pick inside the
    slice — one shuffle, and a busy customer spreads over its slices;
 3. the newest row of each slice is carried forward over the slices of a
-   customer: at most one row per slice there, combined map-side;
+   customer: one row per slice there, whatever the slice held;
 4. picks older than the view's lifetime become null, and the result joins back
    to the entity frame (adaptive execution splits repeated requests).
 """
@@ -74,22 +74,20 @@ def pit_join(
         created = _micros(F.col(source.created)) if source.created in rows.columns else F.lit(None).cast("bigint")
         timeline = timeline.unionByName(timeline_part(rows, created, i), allowMissingColumns=True)
 
-    in_slice = (
-        Window.partitionBy(key, "_slice")
-        .orderBy("_at", "_request", "_created")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    found = timeline.select(
-        key, "_at", "_slice", "_request", *[F.last(p, ignorenulls=True).over(in_slice).alias(p) for p in picks]
-    ).filter(F.col("_request") == 1)
-
-    # max_by skips rows whose order is null, so requests and other views do not count
-    newest = timeline.groupBy(key, "_slice").agg(
-        *[
-            F.max_by(p, F.when(F.col(p).isNotNull(), F.struct("_at", "_created"))).alias(p)
-            for p in picks
-        ]
+    order = Window.partitionBy(key, "_slice").orderBy("_at", "_request", "_created")
+    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    running = timeline.select(
+        key,
+        "_at",
+        "_slice",
+        "_request",
+        F.lead(F.lit(False), 1, True).over(order).alias("_last"),
+        *[F.last(p, ignorenulls=True).over(upto).alias(p) for p in picks],
     )
+    found = running.filter(F.col("_request") == 1)
+    # the running pick of a slice's last row is the newest of the slice; both
+    # branches need the same columns, so they read one shuffle
+    newest = running.filter("_last")
     before = Window.partitionBy(key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     carried = newest.select(
         key, "_slice", *[F.last(p, ignorenulls=True).over(before).alias(f"{p}_carried") for p in picks]

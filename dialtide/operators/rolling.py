@@ -23,6 +23,12 @@ def _three_months():
     return _by_month().rangeBetween(-2, 0)
 
 
+def _following_month(index: str):
+    """First day of the month after a month index (year * 12 + month, months from 1)."""
+    month = F.col(index)
+    return F.make_date(F.floor(month / 12).cast("int"), (month % 12 + 1).cast("int"), F.lit(1))
+
+
 def monthly_bill_amount(charges: DataFrame) -> DataFrame:
     """Sum of charges per customer and calendar month."""
     return charges.groupBy("customer_id", month_index(F.col("charge_time")).alias("month_index")).agg(
@@ -32,62 +38,74 @@ def monthly_bill_amount(charges: DataFrame) -> DataFrame:
 
 def bill_fluctuation(bills: DataFrame) -> DataFrame:
     """This month's bill minus the previous billed month's; null in the first."""
-    previous = F.lag("monthly_bill_amount").over(_by_month())
+    earlier = _by_month().rowsBetween(Window.unboundedPreceding, -1)
+    previous = F.last("monthly_bill_amount", ignorenulls=True).over(earlier)
     return bills.withColumn("bill_fluctuation", F.col("monthly_bill_amount") - previous)
 
 
 def total_charges_3m(bills: DataFrame) -> DataFrame:
-    """Bills of this and the two preceding calendar months."""
-    return bills.withColumn("total_charges_3m", F.sum("monthly_bill_amount").over(_three_months()))
+    """Bills of this and the two preceding calendar months, for billed months."""
+    total = F.sum("monthly_bill_amount").over(_three_months())
+    return bills.withColumn("total_charges_3m", F.when(F.col("monthly_bill_amount").isNotNull(), total))
+
+
+def _delay():
+    return F.greatest(F.datediff("paid_date", "due_date"), F.lit(0))
 
 
 def payment_delays(payments: DataFrame) -> DataFrame:
     """Mean days late and number of late payments, by the month they were paid in."""
-    delay = F.greatest(F.datediff("paid_date", "due_date"), F.lit(0))
     return payments.groupBy("customer_id", month_index(F.col("paid_date")).alias("month_index")).agg(
-        F.avg(delay).alias("payment_delay_days"),
-        F.count_if(delay > 0).alias("overdue_payments"),
+        F.avg(_delay()).alias("payment_delay_days"),
+        F.count_if(_delay() > 0).alias("overdue_payments"),
     )
 
 
 def overdue_payments_3m(delays: DataFrame) -> DataFrame:
-    """Late payments of this and the two preceding calendar months."""
-    return delays.withColumn("overdue_payments_3m", F.sum("overdue_payments").over(_three_months()))
+    """Late payments of this and the two preceding calendar months, for months with payments."""
+    total = F.sum("overdue_payments").over(_three_months())
+    return delays.withColumn("overdue_payments_3m", F.when(F.col("overdue_payments").isNotNull(), total))
 
 
 def billing_features(charges: DataFrame, payments: DataFrame) -> DataFrame:
     """The monthly billing view, dated when the month closes.
 
-    A month enters with its first instant after the end, so a point-in-time
-    join never sees a charge or payment that had not happened yet.
+    Charges and payments are combined by one aggregate instead of a full join,
+    and all windows share the customer's partition: two shuffles in all. A
+    month enters with its first instant after the end, so a point-in-time join
+    never sees a charge or payment that had not happened yet.
     """
-    bills = total_charges_3m(bill_fluctuation(monthly_bill_amount(charges)))
-    paid = overdue_payments_3m(payment_delays(payments))
-    closes = F.make_date(
-        F.floor(F.col("month_index") / 12).cast("int"), (F.col("month_index") % 12 + 1).cast("int"), F.lit(1)
-    ).cast("timestamp_ntz")
-    # month_index = year * 12 + month, so index / 12 and index % 12 + 1 name the following month
-    return bills.join(paid.drop("overdue_payments"), MONTH_KEY, "full").withColumns(
-        {"event_timestamp": closes, "created_timestamp": closes}
+    billed = charges.select("customer_id", month_index(F.col("charge_time")).alias("month_index"), "amount")
+    paid = payments.select(
+        "customer_id", month_index(F.col("paid_date")).alias("month_index"), _delay().alias("delay")
+    )
+    months = billed.unionByName(paid, allowMissingColumns=True).groupBy(*MONTH_KEY).agg(
+        F.sum("amount").alias("monthly_bill_amount"),
+        F.avg("delay").alias("payment_delay_days"),
+        F.when(F.count("delay") > 0, F.count_if(F.col("delay") > 0)).alias("overdue_payments"),
     )
+    closes = _following_month("month_index").cast("timestamp_ntz")
+    rows = overdue_payments_3m(total_charges_3m(bill_fluctuation(months)))
+    return rows.drop("overdue_payments").withColumns({"event_timestamp": closes, "created_timestamp": closes})
 
 
-def _trailing_days(days: int):
-    day_number = F.unix_date("event_date")
-    return Window.partitionBy("customer_id").orderBy(day_number).rangeBetween(-(days - 1), 0)
+def _by_date():
+    # as a number: range frames over dates do not take day counts
+    return Window.partitionBy("customer_id").orderBy(F.unix_date("event_date"))
 
 
 def promo_response_rate(daily: DataFrame, days: int = 30) -> DataFrame:
     """Share of records with a promotion in the trailing ``days`` days (0 to 1)."""
-    frame = _trailing_days(days)
+    frame = _by_date().rangeBetween(-(days - 1), 0)
     return daily.withColumn(
-        "promo_response_rate", F.sum("promo_rows").over(frame) / F.sum("total_rows").over(frame)
+        "promo_response_rate",
+        F.sum("promo_rows").over(frame) / F.nullif(F.sum("total_rows").over(frame), F.lit(0)),
     )
 
 
 def days_since_last_promo(daily: DataFrame) -> DataFrame:
     """Days back to the newest day with a promotion, the day itself included."""
-    upto = Window.partitionBy("customer_id").orderBy("event_date").rowsBetween(Window.unboundedPreceding, 0)
+    upto = _by_date().rangeBetween(Window.unboundedPreceding, Window.currentRow)
     last = F.max(F.when(F.col("promo_rows") > 0, F.col("event_date"))).over(upto)
     return daily.withColumn("days_since_last_promo", F.datediff("event_date", last))
 
@@ -100,19 +118,30 @@ def promo_discount_amount(discounts: DataFrame) -> DataFrame:
 
 
 def promotion_features(daily: DataFrame, discounts: DataFrame) -> DataFrame:
-    """The daily promotion view, with the discount of the last closed month."""
-    closed = promo_discount_amount(discounts).withColumn("month_index", F.col("month_index") + 1)
-    rows = days_since_last_promo(promo_response_rate(daily)).withColumn(
-        "month_index", month_index(F.col("event_date"))
+    """The daily promotion view, with the discount of the last closed month.
+
+    Each month's discount joins the customer's days as one more row, dated the
+    day after the month closed, and the windows carry it over the month: daily
+    rows are shuffled once, by customer.
+    """
+    closed = promo_discount_amount(discounts).select(
+        "customer_id",
+        _following_month("month_index").alias("event_date"),
+        F.struct((F.col("month_index") + 1).alias("valid"), "promo_discount_amount").alias("discount"),
     )
-    return rows.join(closed, MONTH_KEY, "left").select(
+    rows = daily.withColumn("is_day", F.lit(True)).unionByName(closed, allowMissingColumns=True)
+    upto = _by_date().rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    latest = F.last("discount", ignorenulls=True).over(upto)
+    filled = days_since_last_promo(promo_response_rate(rows)).withColumn("latest", latest).filter("is_day")
+    this_month = F.col("latest.valid") == month_index(F.col("event_date"))
+    return filled.select(
         "customer_id",
         "event_date",
         "event_timestamp",
         "promo_response_rate",
         "active_promotions_count",
         "days_since_last_promo",
-        "promo_discount_amount",
+        F.when(this_month, F.col("latest.promo_discount_amount")).alias("promo_discount_amount"),
         "created_timestamp",
     )
 

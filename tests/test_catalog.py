@@ -1,6 +1,7 @@
 """Every registered query against its SQL, or for rows where SQL cannot say it."""
 
 import pytest
+from helpers import plan_text
 from oracle import compare, connect
 
 import __spark_entry__ as entry
@@ -15,7 +16,11 @@ def con(sf_dir):
 
 @pytest.mark.parametrize("name", [n for n in QUERIES if n in ORACLES])
 def test_matches_sql(spark, sf_dir, con, name):
-    assert compare(QUERIES[name](spark, sf_dir), con, ORACLES[name]) == []
+    df = QUERIES[name](spark, sf_dir)
+    plan = plan_text(df)
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    assert "Python" not in plan and "Pandas" not in plan
+    assert compare(df, con, ORACLES[name]) == []
 
 
 @pytest.mark.parametrize("name", [n for n in QUERIES if n not in ORACLES])

@@ -1,6 +1,5 @@
 """What the physical plans must and must not contain."""
 
-import pytest
 from helpers import exchanges, plan_text
 
 import __spark_entry__ as entry
@@ -8,9 +7,6 @@ from dialtide import fixtures as fx
 from dialtide.operators import analytics, clean, daily, quality, rolling, snapshot
 
 QUERIES = entry.queries()
-PYTHON_ALLOWED = {"explain_local_linear"}
-#: Queries that fit models or run streams before returning.
-EAGER = {n for n in QUERIES if n not in entry.oracle_sql() or n.startswith(("stream", "push"))}
 
 
 def test_daily_statistics_shuffle_once(spark, sf_dir):
@@ -52,9 +48,14 @@ def test_month_windows_reuse_the_customer_partitioning(spark, sf_dir):
     assert exchanges(both) == 2  # by month for the sums, by customer for both windows
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - EAGER - {"list_new_files", "read_metrics_history"}))
-def test_no_cross_joins_and_no_python(spark, sf_dir, name):
-    plan = plan_text(QUERIES[name](spark, sf_dir))
-    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
-    if name not in PYTHON_ALLOWED:
-        assert "Python" not in plan and "Pandas" not in plan
+def test_billing_view_shuffles_twice(spark, sf_dir):
+    orders, paid = fx.charges(spark, sf_dir), fx.payments(spark, sf_dir)
+    own = exchanges(orders) + exchanges(paid)
+    assert exchanges(rolling.billing_features(orders, paid)) - own == 2
+
+
+def test_asof_join_reads_one_shuffle_for_both_branches(spark, sf_dir):
+    df = QUERIES["pit_join"](spark, sf_dir)
+    df.collect()
+    final = plan_text(df).split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in final
