@@ -301,6 +301,11 @@ def _once(spark, sf_dir, what: str, make):
     return _stored[key]
 
 
+def forget() -> None:
+    """Drop the kept training results, so that the next query trains again."""
+    _stored.clear()
+
+
 def model_table(spark, sf_dir):
     """Training rows: the churn table with the categorical profile columns."""
 

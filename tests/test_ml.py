@@ -194,3 +194,14 @@ def test_training_frame_multiplies_repeated_labels(spark):
     labels = spark.createDataFrame([("a", 1), ("b", 0)], "customer_id string, churn int")
     got = training_frame(labels, {"cdr_statistics": stats}, datetime(2024, 1, 2), ["cdr_statistics:daily_total_calls"])
     assert {(r["customer_id"], r["daily_total_calls"], r["churn"]) for r in got.collect()} == {("a", 5, 1), ("b", None, 0)}
+
+
+def test_train_and_store(spark, data, tmp_path):
+    from dialtide.plans.training import train_and_store
+    from dialtide.sources.tables import read_importance
+
+    settings = {"forest": {"trees": 3, "max_depth": 3}}
+    path, best = train_and_store(data, str(tmp_path), datetime(2024, 1, 1), settings, trials=[])
+    assert best.kind == "forest" and 0 <= best.metrics["f1"] <= 1
+    assert read_importance(spark, f"{path}/feature_importance").count() == len(best.names)
+    assert models.read_metrics_history(spark, str(tmp_path)).first()["f1"] == pytest.approx(best.metrics["f1"])

@@ -161,3 +161,11 @@ def test_benchmark_rows(spark, tmp_path):
 def test_scratch_is_below_the_shared_folder(spark):
     path = scratch_dir(spark, "x")
     assert path.startswith(spark.conf.get("spark.checkpoint.dir")) and path != scratch_dir(spark, "x")
+
+
+def test_benchmark_job(spark, tmp_path):
+    from dialtide.plans.benchmark import run_benchmark
+
+    got = run_benchmark(spark, [500], 2, str(tmp_path / "results")).collect()
+    assert [(r["row_count"], r["repetition"], r["record_count"]) for r in got] == [(500, 1, 500), (500, 2, 500)]
+    assert all(r["records_per_second"] > 0 and r["spark_executors"] >= 1 for r in got)
