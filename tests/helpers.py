@@ -1,7 +1,5 @@
 from datetime import datetime
 
-from pyspark.sql import functions as F
-
 from dialtide.schemas import RAW_CDR
 
 DEFAULTS = {
@@ -38,4 +36,4 @@ def exchanges(df):
     return plan_text(df).count("Exchange hashpartitioning") + plan_text(df).count("Exchange rangepartitioning")
 
 
-__all__ = ["F", "calls", "exchanges", "plan_text", "rows_of"]
+__all__ = ["calls", "exchanges", "plan_text", "rows_of"]
