@@ -9,9 +9,12 @@ from pyspark.sql import functions as F
 
 from ..session import configure
 from . import sql
+from .bpe_tree import bpe_round_trip
 from .exact_dedup import exact_dedup
 from .line_dedup import line_dedup
+from .packing import pack
 from .quality_rules import quality_rules
+from .token_files import token_files
 from .url_filter import url_filter
 
 
@@ -29,16 +32,46 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(_table(spark, sf_dir, "documents"))
 
 
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32")
+    )
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter(_table(spark, sf_dir, "pages"))
 
 
+def op10_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_round_trip(_table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_exact_dedup, op2_line_dedup, op4_quality_rules, op7_url_filter)
+    f.__name__: f
+    for f in (
+        op1_exact_dedup,
+        op2_line_dedup,
+        op3_packing,
+        op4_quality_rules,
+        op5_token_files,
+        op7_url_filter,
+        op10_bpe_tree,
+    )
 }
 
 LLM_ORACLES: dict[str, str] = {
