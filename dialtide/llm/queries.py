@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..session import configure
 from . import sql
 from .bpe_tree import bpe_round_trip
+from .compression_classifier import compression_classifier
 from .exact_dedup import exact_dedup
 from .line_dedup import line_dedup
 from .packing import pack
@@ -52,6 +53,10 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter(_table(spark, sf_dir, "pages"))
 
 
+def op9_compression_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compression_classifier(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op10_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_round_trip(_table(spark, sf_dir, "documents")).select(
         "doc_id",
@@ -70,6 +75,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op4_quality_rules,
         op5_token_files,
         op7_url_filter,
+        op9_compression_classifier,
         op10_bpe_tree,
     )
 }
