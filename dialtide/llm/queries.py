@@ -13,6 +13,7 @@ from .bpe_tree import bpe_round_trip
 from .compression_classifier import compression_classifier
 from .exact_dedup import exact_dedup
 from .line_dedup import line_dedup
+from .minhash import near_duplicates
 from .packing import pack
 from .quality_rules import quality_rules
 from .token_files import token_files
@@ -53,6 +54,10 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter(_table(spark, sf_dir, "pages"))
 
 
+def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op9_compression_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compression_classifier(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -75,6 +80,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op4_quality_rules,
         op5_token_files,
         op7_url_filter,
+        op8_minhash,
         op9_compression_classifier,
         op10_bpe_tree,
     )
