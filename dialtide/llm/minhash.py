@@ -89,7 +89,7 @@ def signatures(docs: DataFrame) -> DataFrame:
 def shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """node and distinct shingles of the ``wanted`` (node, row_key, fp) texts."""
     texts = document_columns(docs).select(row_key(F.col("doc_id"), F.col("text")).alias("row_key"), F.lower("text").alias("text"))
-    found = texts.join(wanted, "row_key").select("node", "fp", "text").mapInArrow(
+    found = texts.join(wanted.hint("merge"), "row_key").select("node", "fp", "text").mapInArrow(
         _sets, "node long, fp binary, found binary, shingles array<long>"
     )
     return materialize(found.filter("fp = found").dropDuplicates(["node"]).select("node", "shingles"), "shingle-sets")

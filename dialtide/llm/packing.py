@@ -292,4 +292,4 @@ def pack(
                 types = [pa.binary() if n == "ids" else pa.int64() for n in names]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
 
-    return encoded.join(spans, "row").select("doc_id", "n_tokens", "ids", "spans").mapInArrow(cut, PIECE)
+    return encoded.join(spans.hint("merge"), "row").select("doc_id", "n_tokens", "ids", "spans").mapInArrow(cut, PIECE)

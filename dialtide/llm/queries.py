@@ -16,6 +16,7 @@ from .line_dedup import line_dedup
 from .minhash import near_duplicates
 from .packing import pack
 from .quality_rules import quality_rules
+from .suffix_dedup import suffix_dedup
 from .token_files import token_files
 from .url_filter import url_filter
 
@@ -50,6 +51,12 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter(_table(spark, sf_dir, "pages"))
 
@@ -79,6 +86,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op3_packing,
         op4_quality_rules,
         op5_token_files,
+        op6_suffix_dedup,
         op7_url_filter,
         op8_minhash,
         op9_compression_classifier,
