@@ -1,18 +1,70 @@
-"""The corpus pipeline: documents in, packed training sequences out."""
+"""The corpus pipeline: documents in, packed training sequences out.
+
+Each stage works on all that the one before it kept and, but for the last,
+returns the columns of ``documents``. Columns beyond those pass through.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from dialtide.llm.line_dedup import line_dedup
+from dialtide.llm.minhash import near_filter
+from dialtide.llm.packing import pack
+from dialtide.llm.quality_rules import quality_filter
+from dialtide.llm.suffix_dedup import suffix_dedup
 from dialtide.session import configure, materialize
 
-STAGES = []
+
+def _with_text(docs: DataFrame, text: str, columns: list[str]) -> DataFrame:
+    """The original columns with a new text; n_chars follows it."""
+    changed = docs.withColumn("text", F.col(text))
+    if "n_chars" in columns:
+        changed = changed.withColumn("n_chars", F.char_length("text").cast("long"))
+    return changed.select(*columns)
+
+
+def quality_rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops the documents that the quality rules reject."""
+    return quality_filter(docs)
+
+
+def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Takes shared lines out of every document."""
+    return _with_text(line_dedup(docs), "text", docs.columns)
+
+
+def minhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each class of near copies."""
+    return near_filter(docs).select(*docs.columns)
+
+
+def suffix_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Takes repeated passages out of every document."""
+    return _with_text(suffix_dedup(docs, as_text=True), "kept", docs.columns)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Packs the documents into sequences of token ids."""
+    return pack(docs)
+
+
+STAGES = [
+    ("quality_rules", quality_rules_stage),
+    ("line_dedup", line_dedup_stage),
+    ("minhash", minhash_stage),
+    ("suffix_dedup", suffix_dedup_stage),
+    ("packing", packing_stage),
+]
+
+#: SQL can neither sign, pack nor encode; tests hold the stages against plain versions.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each stored and read again by the next."""
     docs = configure(spark).read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
+    for name, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), f"stage-{name}")
-    return docs
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -49,6 +49,11 @@ def row_key(docs_id: Column, text: Column) -> Column:
     return F.xxhash64(docs_id, text)
 
 
+def content_key(*columns: str) -> Column:
+    """A 128-bit key of a row's content, nulls told apart from every value; equal for repeated rows."""
+    return hash128(*[x for c in columns for x in (F.col(c).isNull(), F.col(c))])
+
+
 def running_total(df: DataFrame, value: Column, bucket: Column, order: Column, name: str) -> DataFrame:
     """``df`` with the sum of ``value`` over all rows before each, by (bucket, order).
 

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import document_columns, row_key
+from .common import content_key, document_columns, text_of
 from .components import connected_components
 from .shingles import mix, prob_minhash, shingled, slices
 
@@ -29,7 +29,7 @@ COMPONENTS = BANDS * ROWS
 #: Bits of two sketches that may differ. At the wanted similarity 26 of 256 do, give or take 5.
 SKETCH_BITS = 80
 
-SIGNED = "row_key long, doc_id long, fp binary, n int, bands array<long>, sketch array<long>"
+SIGNED = "row_key struct<h1:long,h2:long>, doc_id long, fp binary, n int, bands array<long>, sketch array<long>"
 
 
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -81,14 +81,16 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def signatures(docs: DataFrame) -> DataFrame:
     """Per document: row, row_key, doc_id, fp (of its words), n distinct shingles, band keys and sketch."""
-    texts = document_columns(docs).select(row_key(F.col("doc_id"), F.col("text")).alias("row_key"), "doc_id", F.lower("text").alias("text"))
+    texts = document_columns(docs).select(
+        content_key("doc_id", "text").alias("row_key"), "doc_id", F.lower("text").alias("text")
+    )
     signed = texts.mapInArrow(_signed, SIGNED)
     return materialize(signed.withColumn("row", F.monotonically_increasing_id()), "signatures")
 
 
 def shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """node and distinct shingles of the ``wanted`` (node, row_key, fp) texts."""
-    texts = document_columns(docs).select(row_key(F.col("doc_id"), F.col("text")).alias("row_key"), F.lower("text").alias("text"))
+    texts = document_columns(docs).select(content_key("doc_id", "text").alias("row_key"), F.lower("text").alias("text"))
     found = texts.join(wanted.hint("merge"), "row_key").select("node", "fp", "text").mapInArrow(
         _sets, "node long, fp binary, found binary, shingles array<long>"
     )
@@ -128,19 +130,8 @@ def _between_classes(members: DataFrame, labels: DataFrame, nodes: DataFrame) ->
     return f.join(m, (F.col("f.key") == F.col("m.key")) & near).select("a", F.col("node").alias("b")).distinct()
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """Each document with the class of near copies it is in.
-
-    Similar are texts whose sets of five-word shingles, in lower case, have a
-    Jaccard similarity of :data:`SIMILARITY_PERCENT` percent or more; classes
-    are the connected components. A text of one to four words is one shingle;
-    texts without words, null ones included, are one class. Texts with the same
-    words are always in one class. The document with the smallest id stays;
-    rows without an id come after all others. An empty table gives an empty
-    result; other columns are not read.
-
-    Returns doc_id, class_id (id of the document that stays), class_size, kept.
-    """
+def near_classes(docs: DataFrame) -> DataFrame:
+    """One row per document: row, row_key, doc_id, class_id, class_size, kept, see :func:`near_duplicates`."""
     signed = signatures(docs)
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row")
     same = signed.groupBy("fp").agg(F.min(order).alias("first"))
@@ -164,13 +155,43 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     if not more.isEmpty():
         labels = connected_components(edges.union(more))
 
-    named = signed.select("row", "doc_id", "fp").join(same, "fp").join(labels, "node", "left")
-    named = materialize(named.select("row", "doc_id", F.coalesce("label", "node").alias("label")), "near-classes")
+    named = signed.select("row", "row_key", "doc_id", "fp").join(same, "fp").join(labels, "node", "left")
+    named = named.select("row", "row_key", "doc_id", F.coalesce("label", "node").alias("label"))
+    named = materialize(named, "near-classes")
     classes = named.groupBy("label").agg(F.count("*").alias("class_size"), F.min(order).alias("first"))
     joined = named.join(materialize(classes, "near-class-heads"), "label")
     return joined.select(
+        "row",
+        "row_key",
         "doc_id",
         F.col("first.doc_id").alias("class_id"),
         "class_size",
         (F.col("row") == F.col("first.row")).alias("kept"),
     )
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """Each document with the class of near copies it is in.
+
+    Similar are texts whose sets of five-word shingles, in lower case, have a
+    Jaccard similarity of :data:`SIMILARITY_PERCENT` percent or more; classes
+    are the connected components. A text of one to four words is one shingle;
+    texts without words, null ones included, are one class. Texts with the same
+    words are always in one class. The document with the smallest id stays;
+    rows without an id come after all others. An empty table gives an empty
+    result; other columns are not read.
+
+    Returns doc_id, class_id (id of the document that stays), class_size, kept.
+    """
+    return near_classes(docs).select("doc_id", "class_id", "class_size", "kept")
+
+
+def near_filter(docs: DataFrame) -> DataFrame:
+    """One row of ``docs`` for each class of :func:`near_duplicates`, with all its columns."""
+    kept = near_classes(docs).filter("kept").select(F.col("row_key").alias("_key"), F.lit(True).alias("_kept"))
+    keyed = docs.withColumns(
+        {"_id": F.col("doc_id").cast("long"), "_text": text_of()}
+    ).withColumn("_key", content_key("_id", "_text"))
+    # rows repeated whole have one key: one of them stays
+    once = keyed.drop("_id", "_text").dropDuplicates(["_key"])
+    return once.join(materialize(kept, "kept").hint("merge"), "_key", "left_semi").drop("_key")

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import SPACE_CLASS, hash128, line_key, lines_of, text_of
+from .common import SPACE_CLASS, content_key, hash128, line_key, lines_of, text_of
 
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
@@ -71,15 +71,16 @@ def _count(n: Column) -> Column:
 
 
 def base_figures(docs: DataFrame, host: str = "source") -> DataFrame:
-    """One row per document: doc_id, host, the figures of its text, its hash and its lines.
+    """One row per document: doc_id, host, a key of these and the text, the figures of the text, its hash and its lines.
 
     ``lines`` holds, for each line with a word, its hash and number of characters.
     """
     df = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
-        (F.col(host).cast("string") if host in docs.columns else F.lit(None).cast("string")).alias("host"),
+        F.col(host).cast("string").alias("host"),
         text_of().alias("text"),
     )
+    df = df.withColumn("content", content_key("doc_id", "host", "text"))
     df = df.withColumns(
         {
             "words": F.regexp_extract_all("text", F.lit(f"[^{SPACE_CLASS}]+"), F.lit(0)),
@@ -121,6 +122,27 @@ def template_lines(figures: DataFrame) -> DataFrame:
     )
 
 
+def judged(docs: DataFrame, host: str = "source") -> DataFrame:
+    """One row per document: its figures, n_chars_left, n_line_chars and ``kept``, see :func:`quality_rules`."""
+    figures = materialize(
+        base_figures(docs, host).withColumn("row", F.monotonically_increasing_id()), "quality-figures"
+    )
+    known, unknown = F.coalesce("host", F.lit("")).alias("h"), F.col("host").isNull().alias("u")
+    cells = figures.select("row", known, unknown, F.explode("lines").alias("line"))
+    template = materialize(template_lines(figures), "template-lines").select(known, unknown, "hash")
+    lost = (
+        cells.select("row", "h", "u", "line.hash", "line.chars")
+        .join(template, ["h", "u", "hash"])
+        .groupBy("row")
+        .agg(F.sum("chars").alias("lost"))
+    )
+    all_chars = F.aggregate("lines.chars", F.lit(0).cast("long"), lambda s, c: s + c)
+    rows = figures.withColumn("n_line_chars", all_chars).drop("lines").join(lost, "row", "left")
+    rows = rows.withColumn("n_chars_left", (F.col("n_line_chars") - F.coalesce("lost", F.lit(0))).cast("long"))
+    depleted = 100 * F.col("n_chars_left") < MIN_LEFT_PERCENT * F.col("n_line_chars")
+    return rows.withColumn("kept", ~F.col("base_failed") & ~depleted)
+
+
 def quality_rules(docs: DataFrame, host: str = "source") -> DataFrame:
     """Each document with its figures and whether it is kept.
 
@@ -136,22 +158,7 @@ def quality_rules(docs: DataFrame, host: str = "source") -> DataFrame:
     Returns doc_id, n_words, word_chars, n_symbols, n_dup_lines,
     n_repeat_words, base_failed, kept, n_chars_left, n_line_chars.
     """
-    figures = materialize(
-        base_figures(docs, host).withColumn("row", F.monotonically_increasing_id()), "quality-figures"
-    )
-    cells = figures.select("row", "host", F.explode("lines").alias("line")).select(
-        "row", F.coalesce("host", F.lit("")).alias("h"), F.col("host").isNull().alias("u"), "line.hash", "line.chars"
-    )
-    template = materialize(template_lines(figures), "template-lines").select(
-        F.coalesce("host", F.lit("")).alias("h"), F.col("host").isNull().alias("u"), "hash"
-    )
-    lost = cells.join(template, ["h", "u", "hash"]).groupBy("row").agg(F.sum("chars").alias("lost"))
-    judged = figures.withColumn(
-        "n_line_chars", F.aggregate("lines.chars", F.lit(0).cast("long"), lambda s, c: s + c)
-    ).join(lost, "row", "left")
-    left = F.col("n_line_chars") - F.coalesce("lost", F.lit(0))
-    depleted = 100 * left < MIN_LEFT_PERCENT * F.col("n_line_chars")
-    return judged.select(
+    return judged(docs, host).select(
         "doc_id",
         "n_words",
         "word_chars",
@@ -159,8 +166,17 @@ def quality_rules(docs: DataFrame, host: str = "source") -> DataFrame:
         "n_dup_lines",
         "n_repeat_words",
         "base_failed",
-        (~F.col("base_failed") & ~depleted).alias("kept"),
-        left.cast("long").alias("n_chars_left"),
+        "kept",
+        "n_chars_left",
         "n_line_chars",
-        "row",
-    ).drop("row")
+    )
+
+
+def quality_filter(docs: DataFrame, host: str = "source") -> DataFrame:
+    """The rows of ``docs`` that :func:`quality_rules` keeps, with all their columns."""
+    rejected = materialize(judged(docs, host).filter("NOT kept").select("content").distinct(), "rejected")
+    plain = docs.withColumns(
+        {"_id": F.col("doc_id").cast("long"), "_host": F.col(host).cast("string"), "_text": text_of()}
+    ).withColumn("_content", content_key("_id", "_host", "_text"))
+    rejected = rejected.withColumnRenamed("content", "_content").hint("merge")
+    return plain.join(rejected, "_content", "left_anti").drop("_id", "_host", "_text", "_content")

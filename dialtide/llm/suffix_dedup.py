@@ -297,40 +297,46 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, large_bucket: int = LA
     )
 
 
-CUT = T.StructType(
-    [T.StructField(n, T.LongType()) for n in ("n_bytes", "n_removed", "n_spans")] + [T.StructField("kept", T.BinaryType())]
-)
-
-
-@F.arrow_udf(CUT)
-def without_spans(blobs: pa.Array, spans: pa.Array) -> pa.Array:
-    """Bytes of a text outside its spans."""
-    grow, out = zstandard.ZstdDecompressor(), []
-    for blob, own in zip(blobs.to_pylist(), spans.to_pylist()):
-        data, kept, at, removed, runs = grow.decompress(blob), [], 0, 0, 0
-        end = -1
-        for s in sorted((s["start"], s["end"]) for s in own or []):
-            if s[0] > end:
-                runs += 1
-                kept.append(data[at : s[0]])
-                removed += s[1] - s[0]
-                end = at = s[1]
-            elif s[1] > end:
-                removed += s[1] - end
-                end = at = s[1]
-        kept.append(data[at:])
-        out.append({"n_bytes": len(data), "n_removed": removed, "n_spans": runs, "kept": b"".join(kept)})
-    return pa.array(out, pa.struct([*[(n, pa.int64()) for n in ("n_bytes", "n_removed", "n_spans")], ("kept", pa.binary())]))
-
-
-def suffix_dedup(docs: DataFrame, length: int = LENGTH, large_bucket: int = LARGE_BUCKET) -> DataFrame:
+def _cutter(as_text: bool):
+    """A function of compressed texts and their spans that removes the spans."""
+    kept_type = T.StringType() if as_text else T.BinaryType()
+    fields = [*[(n, T.LongType()) for n in ("n_bytes", "n_removed", "n_spans")], ("kept", kept_type)]
+
+    @F.arrow_udf(T.StructType([T.StructField(*f) for f in fields]))
+    def without_spans(blobs: pa.Array, spans: pa.Array) -> pa.Array:
+        grow, out = zstandard.ZstdDecompressor(), []
+        for blob, own in zip(blobs.to_pylist(), spans.to_pylist()):
+            data, kept, at, removed, runs = grow.decompress(blob), [], 0, 0, 0
+            end = -1
+            for first, last in sorted((s["start"], s["end"]) for s in own or []):
+                if first > end:
+                    runs += 1
+                    kept.append(data[at:first])
+                    removed += last - first
+                    end = at = last
+                elif last > end:
+                    removed += last - end
+                    end = at = last
+            rest = b"".join([*kept, data[at:]])
+            rest = rest.decode(errors="ignore") if as_text else rest
+            out.append({"n_bytes": len(data), "n_removed": removed, "n_spans": runs, "kept": rest})
+        kinds = [*[(n, pa.int64()) for n, _ in fields[:3]], ("kept", pa.string() if as_text else pa.binary())]
+        return pa.array(out, pa.struct(kinds))
+
+    return without_spans
+
+
+def suffix_dedup(
+    docs: DataFrame, length: int = LENGTH, large_bucket: int = LARGE_BUCKET, as_text: bool = False
+) -> DataFrame:
     """``docs`` without ``text``, and n_bytes, n_removed, n_spans and the ``kept`` bytes of each document.
 
     A byte goes if a string of ``length`` bytes that covers it also starts
     anywhere else, in the same document or another one, in the texts as they
     come in; strings do not go on from one document into the next. A null or
     empty text keeps no bytes; repeated rows are each other's copies. An empty
-    table gives an empty result.
+    table gives an empty result. With ``as_text`` what is kept is text, without
+    the parts of characters that lost others of their bytes.
     """
     spans = repeated_spans(docs, length, large_bucket)
     keyed = docs.withColumn("_key", hash128(text_of())).withColumn("_blob", squeezed(text_of()))
@@ -338,5 +344,5 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, large_bucket: int = LARG
     joined = keyed.join(
         spans.withColumnsRenamed({"k1": "_k1", "k2": "_k2", "spans": "_spans"}).hint("merge"), ["_k1", "_k2"], "left"
     )
-    cut = joined.withColumn("_cut", without_spans("_blob", "_spans")).drop("_k1", "_k2", "_blob", "_spans")
+    cut = joined.withColumn("_cut", _cutter(as_text)("_blob", "_spans")).drop("_k1", "_k2", "_blob", "_spans")
     return cut.select(*[c for c in cut.columns if c != "_cut"], "_cut.*")
