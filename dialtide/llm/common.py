@@ -54,6 +54,17 @@ def content_key(*columns: str) -> Column:
     return hash128(*[x for c in columns for x in (F.col(c).isNull(), F.col(c))])
 
 
+def carried(docs: DataFrame, **own: Column) -> DataFrame:
+    """The operator's own columns next to the whole row, so that names cannot clash."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), *[v.alias(k) for k, v in own.items()])
+
+
+def uncarried(df: DataFrame, columns: list[str], **changed: Column) -> DataFrame:
+    """The columns of the carried rows; those named in ``changed`` are replaced, or added at the end."""
+    every = {c: F.col("_row").getField(c) for c in columns} | changed
+    return df.select(*[v.alias(c) for c, v in every.items()])
+
+
 def running_total(df: DataFrame, value: Column, bucket: Column, order: Column, name: str) -> DataFrame:
     """``df`` with the sum of ``value`` over all rows before each, by (bucket, order).
 

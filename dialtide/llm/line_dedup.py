@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import hash128, line_key, lines_of, row_key, text_of
+from .common import carried, hash128, line_key, lines_of, row_key, text_of, uncarried
 
 MIN_KEY_CHARS = 1
 MIN_DOCUMENTS = 10
@@ -50,19 +50,17 @@ def line_dedup(
     text. An empty table gives an empty result.
     """
     dropped = materialize(dropped_lines(docs, min_key_chars, min_documents), "dropped-lines")
-    lined = docs.withColumns(
-        {"_row_key": row_key(F.col("doc_id"), text_of()), "_lines": lines_of(text_of())}
-    )
-    joined = lined.join(dropped.withColumnsRenamed({"row_key": "_row_key", "dropped": "_dropped"}), "_row_key", "left")
-    every = F.sequence(F.lit(0), F.size("_lines") - 1)
+    lined = carried(docs, row_key=row_key(F.col("doc_id"), text_of()), lines=lines_of(text_of()))
+    joined = lined.join(dropped, "row_key", "left")
+    every = F.sequence(F.lit(0), F.size("lines") - 1)
     kept = F.transform(
-        F.array_except(every, F.coalesce("_dropped", F.expr("CAST(array() AS array<int>)"))),
-        lambda p: F.get(F.col("_lines"), p),
+        F.array_except(every, F.coalesce("dropped", F.expr("CAST(array() AS array<int>)"))),
+        lambda p: F.get(F.col("lines"), p),
+    )
+    return uncarried(
+        joined,
+        docs.columns,
+        text=F.array_join(kept, "\n"),
+        n_lines=F.size("lines").cast("long"),
+        n_dropped=F.coalesce(F.size("dropped"), F.lit(0)).cast("long"),
     )
-    return joined.withColumns(
-        {
-            "text": F.array_join(kept, "\n"),
-            "n_lines": F.size("_lines").cast("long"),
-            "n_dropped": F.coalesce(F.size("_dropped"), F.lit(0)).cast("long"),
-        }
-    ).drop("_row_key", "_lines", "_dropped")

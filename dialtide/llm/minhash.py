@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import content_key, document_columns, text_of
+from .common import carried, content_key, document_columns, text_of, uncarried
 from .components import connected_components
 from .shingles import mix, prob_minhash, shingled, slices
 
@@ -188,10 +188,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def near_filter(docs: DataFrame) -> DataFrame:
     """One row of ``docs`` for each class of :func:`near_duplicates`, with all its columns."""
-    kept = near_classes(docs).filter("kept").select(F.col("row_key").alias("_key"), F.lit(True).alias("_kept"))
-    keyed = docs.withColumns(
-        {"_id": F.col("doc_id").cast("long"), "_text": text_of()}
-    ).withColumn("_key", content_key("_id", "_text"))
+    kept = materialize(near_classes(docs).filter("kept").select("row_key"), "kept")
+    keyed = carried(docs, doc_id=F.col("doc_id").cast("long"), text=text_of())
     # rows repeated whole have one key: one of them stays
-    once = keyed.drop("_id", "_text").dropDuplicates(["_key"])
-    return once.join(materialize(kept, "kept").hint("merge"), "_key", "left_semi").drop("_key")
+    once = keyed.select("_row", content_key("doc_id", "text").alias("row_key")).dropDuplicates(["row_key"])
+    return uncarried(once.join(kept.hint("merge"), "row_key", "left_semi"), docs.columns)

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import SPACE_CLASS, content_key, hash128, line_key, lines_of, text_of
+from .common import SPACE_CLASS, carried, content_key, hash128, line_key, lines_of, text_of, uncarried
 
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
@@ -175,8 +175,6 @@ def quality_rules(docs: DataFrame, host: str = "source") -> DataFrame:
 def quality_filter(docs: DataFrame, host: str = "source") -> DataFrame:
     """The rows of ``docs`` that :func:`quality_rules` keeps, with all their columns."""
     rejected = materialize(judged(docs, host).filter("NOT kept").select("content").distinct(), "rejected")
-    plain = docs.withColumns(
-        {"_id": F.col("doc_id").cast("long"), "_host": F.col(host).cast("string"), "_text": text_of()}
-    ).withColumn("_content", content_key("_id", "_host", "_text"))
-    rejected = rejected.withColumnRenamed("content", "_content").hint("merge")
-    return plain.join(rejected, "_content", "left_anti").drop("_id", "_host", "_text", "_content")
+    plain = carried(docs, doc_id=F.col("doc_id").cast("long"), host=F.col(host).cast("string"), text=text_of())
+    plain = plain.select("_row", content_key("doc_id", "host", "text").alias("content"))
+    return uncarried(plain.join(rejected.hint("merge"), "content", "left_anti"), docs.columns)

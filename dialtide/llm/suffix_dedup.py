@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import materialize
-from .common import hash128, text_of
+from .common import carried, hash128, text_of, uncarried
 from .shingles import SLICE_BYTES, mix, part_hashes, prefix_hashes, slices, text_bytes
 
 LENGTH = 400
@@ -339,10 +339,14 @@ def suffix_dedup(
     the parts of characters that lost others of their bytes.
     """
     spans = repeated_spans(docs, length, large_bucket)
-    keyed = docs.withColumn("_key", hash128(text_of())).withColumn("_blob", squeezed(text_of()))
-    keyed = keyed.drop("text").withColumns({"_k1": F.col("_key.h1"), "_k2": F.col("_key.h2")}).drop("_key")
-    joined = keyed.join(
-        spans.withColumnsRenamed({"k1": "_k1", "k2": "_k2", "spans": "_spans"}).hint("merge"), ["_k1", "_k2"], "left"
+    others = [c for c in docs.columns if c != "text"]
+    keyed = docs.withColumns({"text": text_of()})
+    keyed = carried(keyed, key=hash128(F.col("text")), blob=squeezed("text")).select(
+        F.struct(*[F.col("_row").getField(c).alias(c) for c in others]).alias("_row"),
+        F.col("key.h1").alias("k1"),
+        F.col("key.h2").alias("k2"),
+        "blob",
     )
-    cut = joined.withColumn("_cut", _cutter(as_text)("_blob", "_spans")).drop("_k1", "_k2", "_blob", "_spans")
-    return cut.select(*[c for c in cut.columns if c != "_cut"], "_cut.*")
+    joined = keyed.join(spans.hint("merge"), ["k1", "k2"], "left")
+    cut = joined.select("_row", _cutter(as_text)("blob", "spans").alias("cut"))
+    return uncarried(cut, others, **{c: F.col("cut").getField(c) for c in ("n_bytes", "n_removed", "n_spans", "kept")})

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import functools
 import hashlib
+import re
 import zlib
+from collections import Counter, defaultdict
 
 import numpy as np
 
@@ -16,6 +19,7 @@ def sha(data: bytes | str) -> str:
     return hashlib.sha256(data.encode() if isinstance(data, str) else data).hexdigest()
 
 
+@functools.cache
 def library(name: str):
     import public_tokenizers
     from tokenizers import Tokenizer
@@ -25,3 +29,90 @@ def library(name: str):
 
 def encoded(name: str, text: str | None, end: tuple = ()) -> list[int]:
     return library(name).encode(text or "", add_special_tokens=False).ids + list(end)
+
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def normalised(text: str | None) -> str:
+    return re.sub(r"[\x20\x09-\x0D]+", " ", text or "")
+
+
+def line_key(line: str) -> str:
+    stripped = line.strip(" \t\n\x0b\x0c\r")
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in stripped)
+
+
+def lines_kept(texts: list, least: int = 10) -> list[str]:
+    seen = Counter(k for t in texts for k in {line_key(x) for x in (t or "").split("\n")} if k)
+    return ["\n".join(x for x in (t or "").split("\n") if seen[line_key(x)] < least or not line_key(x)) for t in texts]
+
+
+def quality_figures(text: str | None) -> tuple:
+    text = text or ""
+    words = WORD.findall(text)
+    windows = Counter(tuple(words[i : i + 5]) for i in range(len(words) - 4))
+    covered = {j for i in range(len(words) - 4) if windows[tuple(words[i : i + 5])] > 1 for j in range(i, i + 5)}
+    lines = [x for x in text.split("\n") if WORD.search(x)]
+    n, again = len(words), len(covered)
+    symbols = sum(c in "#*$%&|<>" for c in text)
+    return n, sum(map(len, words)), symbols, len(lines) - len(set(lines)), again, n < 10 or 100 * again > 20 * n
+
+
+def quality_kept(rows: list[tuple]) -> list[bool]:
+    """Verdicts on (text, host) rows."""
+    hosts, lines = defaultdict(set), defaultdict(set)
+    for text, host in rows:
+        hosts[host].add(text or "")
+        for line in (text or "").split("\n"):
+            if WORD.search(line):
+                lines[host, line_key(line)].add(text or "")
+    out = []
+    for text, host in rows:
+        keys = [line_key(x) for x in (text or "").split("\n") if WORD.search(x)]
+        frequent = {k for k in keys if len(lines[host, k]) >= 10 and 10 * len(lines[host, k]) > len(hosts[host])}
+        left = sum(len(k) for k in keys if k not in frequent)
+        out.append(not quality_figures(text)[5] and not 100 * left < 30 * sum(map(len, keys)))
+    return out
+
+
+def shingles(text: str | None) -> frozenset:
+    words = WORD.findall((text or "").lower())
+    return frozenset(tuple(words[i : i + 5]) for i in range(len(words) - 4)) or frozenset([tuple(words)] if words else [])
+
+
+def near_classes(texts: list) -> list[int]:
+    """Number of the first text of each one's class."""
+    sets, holders, common = [shingles(t) for t in texts], defaultdict(list), Counter()
+    for i, s in enumerate(sets):
+        for x in s:
+            common.update((j, i) for j in holders[x])
+            holders[x].append(i)
+    parent = list(range(len(texts)))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    pairs = [p for p, c in common.items() if 10 * c >= 8 * (len(sets[p[0]]) + len(sets[p[1]]) - c)]
+    empty = [i for i, s in enumerate(sets) if not s]
+    for a, b in [*pairs, *zip(empty, empty[1:])]:
+        a, b = root(a), root(b)
+        parent[max(a, b)] = min(a, b)
+    return [root(i) for i in range(len(texts))]
+
+
+def repeats_removed(texts: list, length: int) -> list[tuple[int, int, int, bytes]]:
+    """n_bytes, n_removed, n_spans and the bytes kept."""
+    raw = [(t or "").encode() for t in texts]
+    seen = Counter(b[p : p + length] for b in raw for p in range(len(b) - length + 1))
+    out = []
+    for b in raw:
+        gone = bytearray(len(b) + 1)
+        for p in range(len(b) - length + 1):
+            if seen[b[p : p + length]] > 1:
+                gone[p : p + length] = b"\x01" * length
+        spans = sum(gone[i] and not (i and gone[i - 1]) for i in range(len(b)))
+        out.append((len(b), sum(gone), spans, bytes(c for c, g in zip(b, gone) if not g)))
+    return out
