@@ -51,7 +51,7 @@ def line_dedup(
     """
     dropped = materialize(dropped_lines(docs, min_key_chars, min_documents), "dropped-lines")
     lined = carried(docs, row_key=row_key(F.col("doc_id"), text_of()), lines=lines_of(text_of()))
-    joined = lined.join(dropped, "row_key", "left")
+    joined = lined.join(dropped.hint("merge"), "row_key", "left")  # one plan at every size
     every = F.sequence(F.lit(0), F.size("lines") - 1)
     kept = F.transform(
         F.array_except(every, F.coalesce("dropped", F.expr("CAST(array() AS array<int>)"))),
