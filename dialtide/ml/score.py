@@ -5,12 +5,12 @@ from __future__ import annotations
 import time
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import threshold_prediction
-from ..operators.snapshot import online_lookup
+from ..operators.snapshot import lookup_one, online_lookup
 
 
 def positive_probability(column: str = "probability"):
@@ -26,6 +26,22 @@ def score(features: DataFrame, model: PipelineModel) -> DataFrame:
     )
 
 
+class FixedLogistic:
+    """A logistic model given by its coefficients, with the interface of a fitted pipeline."""
+
+    def __init__(self, coefficients: dict[str, float], intercept: float, means: dict[str, float] | None = None):
+        self.coefficients, self.intercept, self.means = coefficients, intercept, means or {}
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """Adds ``probability``; a missing feature counts as its mean, 0 where none is given."""
+        filled = {c: F.coalesce(F.col(c), F.lit(float(self.means.get(c, 0)))) for c in self.coefficients}
+        scored = logistic_score(df.withColumns(filled), self.coefficients, self.intercept)
+        p = F.col("churn_probability")
+        return scored.withColumn("probability", array_to_vector(F.array(1 - p, p))).drop(
+            "churn_probability", "churn_prediction"
+        )
+
+
 def logistic_score(df: DataFrame, coefficients: dict[str, float], intercept: float) -> DataFrame:
     """Score with given logistic coefficients on the columns of ``df``."""
     margin = F.lit(float(intercept))
@@ -47,12 +63,18 @@ def batch_score(
 ) -> DataFrame:
     """Look up and score each requested customer, in one plan.
 
-    Customers without stored features are scored on the training means. The
-    response has the request's columns, the score, its time and the version.
+    Customers without stored features are scored on the training means, and
+    ``has_features`` says so. The response has the request's columns, the score,
+    its time and the version.
     """
-    found = online_lookup(requests, snapshots, refs, as_of)
+    found = online_lookup(requests, snapshots, refs, as_of, mark=True)
+    return _response(found, requests.columns, model, model_version)
+
+
+def _response(found: DataFrame, columns: list[str], model, model_version: str) -> DataFrame:
     return score(found, model).select(
-        *requests.columns,
+        *columns,
+        "has_features",
         "churn_probability",
         "churn_prediction",
         F.current_timestamp().alias("prediction_time"),
@@ -71,7 +93,6 @@ def score_one(
     customer_id: str, snapshots: dict[str, DataFrame], refs: list[str], model: PipelineModel, model_version: str,
     as_of=None,
 ) -> DataFrame:
-    """:func:`batch_score` for one customer."""
-    spark = next(iter(snapshots.values())).sparkSession
-    request = spark.createDataFrame([(customer_id,)], "customer_id string")
-    return batch_score(request, snapshots, refs, model, model_version, as_of)
+    """:func:`batch_score` for one customer; the id is a filter on the stored features."""
+    found = lookup_one(customer_id, snapshots, refs, as_of, mark=True)
+    return _response(found, ["customer_id"], model, model_version)

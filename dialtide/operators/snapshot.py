@@ -30,12 +30,18 @@ def latest_snapshot(
 
 
 def online_lookup(
-    requests: DataFrame, snapshots: dict[str, DataFrame], refs: list[str], as_of=None, key: str = "customer_id"
+    requests: DataFrame,
+    snapshots: dict[str, DataFrame],
+    refs: list[str],
+    as_of=None,
+    key: str = "customer_id",
+    mark: bool = False,
 ) -> DataFrame:
     """Stored features of each requested key; unknown or expired ones are null.
 
     ``requests`` keeps its columns (such as a position) and duplicates. A value
-    expires when it is older than its view's lifetime at ``as_of``.
+    expires when it is older than its view's lifetime at ``as_of``. ``mark``
+    adds ``has_features``: whether any view knows the key.
     """
 
     def one_view(view: str, cols: list[str]) -> DataFrame:
@@ -43,11 +49,26 @@ def online_lookup(
         if as_of is not None:
             oldest = F.lit(as_of) - F.expr(f"INTERVAL {VIEWS[view].ttl_days} DAYS")
             stored = stored.filter(F.col("event_timestamp") >= oldest)
-        return stored.select(key, *cols)
+        stored = stored.select(key, *cols, F.lit(True).alias(f"_has_{view}"))
+        # few requests are broadcast and cut the stored side down where it is read; many join on the same key anyway
+        return stored.join(wanted, key, "left_semi")
 
-    views = [one_view(v, cols) for v, cols in parse_refs(refs).items()]
+    wanted = requests.select(key).distinct()
+    refs_by_view = parse_refs(refs)
+    views = [one_view(v, cols) for v, cols in refs_by_view.items()]
     found = reduce(lambda left, right: left.join(right, key, "left"), views, requests)
-    return found.select(*requests.columns, *[r.partition(":")[2] for r in refs])
+    flags = [F.coalesce(F.col(f"_has_{v}"), F.lit(False)) for v in refs_by_view]
+    extra = [reduce(lambda a, b: a | b, flags).alias("has_features")] if mark else []
+    return found.select(*requests.columns, *[r.partition(":")[2] for r in refs], *extra)
+
+
+def lookup_one(
+    value: str, snapshots: dict[str, DataFrame], refs: list[str], as_of=None, key: str = "customer_id", mark: bool = False
+) -> DataFrame:
+    """:func:`online_lookup` of one key, which goes into the scan of the stored side as a filter."""
+    request = next(iter(snapshots.values())).sparkSession.createDataFrame([(value,)], f"{key} string")
+    one = {view: stored.filter(F.col(key) == value) for view, stored in snapshots.items()}
+    return online_lookup(request, one, refs, as_of, key, mark)
 
 
 def join_labels(features: DataFrame, labels: DataFrame, key: str = "customer_id") -> DataFrame:

@@ -4,16 +4,16 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.asof import feature_service_join
 from ..operators.daily import billing_daily, cdr_statistics, daily_features, promotion_daily
 from ..operators.rolling import billing_features, promotion_features
 from ..operators.snapshot import join_labels, latest_snapshot
-from ..schemas import MODEL_FEATURES
+from ..schemas import MODEL_FEATURES, VIEWS
 from ..session import materialize
-from ..sources.tables import write_features
+from ..sources.tables import merge_snapshot, read_snapshot, write_features
 
 
 def build_daily_tables(cdr: DataFrame, base: str) -> dict[str, str]:
@@ -49,6 +49,30 @@ def materialize_snapshots(
     return {name: latest_snapshot(t, start, end) for name, t in tables.items()}
 
 
+def store_snapshots(
+    tables: dict[str, DataFrame], base: str, end: datetime, days: int = 90
+) -> dict[str, str]:
+    """Merge each view's newest rows, in their declared types, into its stored snapshot; returns the paths by view."""
+    paths = {}
+    for name, rows in materialize_snapshots(tables, end, days).items():
+        paths[name] = f"{base.rstrip('/')}/{name}"
+        merge_snapshot(declared(rows, name), paths[name])
+    return paths
+
+
+def stored_snapshots(spark: SparkSession, paths: dict[str, str]) -> dict[str, DataFrame]:
+    """The views that :func:`store_snapshots` wrote, for lookups."""
+    return {name: read_snapshot(spark, path) for name, path in paths.items()}
+
+
+def declared(rows: DataFrame, view: str) -> DataFrame:
+    """``rows`` with the view's columns in their declared types; a missing column is an error."""
+    fields = VIEWS[view].fields
+    if lacking := [c for c in fields if c not in rows.columns]:
+        raise ValueError(f"the rows of {view} lack {', '.join(lacking)}")
+    return rows.withColumns({c: F.col(c).cast(t) for c, t in fields.items()})
+
+
 def training_frame(
     labels: DataFrame, tables: dict[str, DataFrame], as_of: datetime, refs: list[str] | None = None
 ) -> DataFrame:

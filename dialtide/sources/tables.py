@@ -6,19 +6,25 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.snapshot import latest_snapshot
 from ..schemas import BENCHMARK_ROWS, CHURN_LABELS, CHURN_TABLE
 
 PARTITIONS = ["year", "month", "day"]
+RUN = "run"
 
 
-def write_silver(df: DataFrame, path: str, files_per_day: int = 16) -> int:
+def write_silver(df: DataFrame, path: str, files_per_day: int = 16, run: str | None = None) -> int:
     """Write cleaned records by day and return their number, counted on the way.
 
     Rows are gathered by day and customer hash, so a day becomes about
     ``files_per_day`` files and a customer sits in one of them, sorted. The
     rebalance hint lets adaptive execution split a day or customer that is too
-    big for one task. Only the days present are replaced.
+    big for one task. Only the days present are replaced; with ``run`` only what
+    this run wrote to them before.
     """
+    parts = PARTITIONS if run is None else [*PARTITIONS, RUN]
+    if run is not None:
+        df = df.withColumn(RUN, F.lit(run))
     seen = Observation("silver")
     bucket = F.pmod(F.xxhash64("customer_id"), F.lit(files_per_day))
     (
@@ -30,15 +36,19 @@ def write_silver(df: DataFrame, path: str, files_per_day: int = 16) -> int:
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "snappy")
-        .partitionBy(*PARTITIONS)
+        .partitionBy(*parts)
         .parquet(path)
     )
     return seen.get["rows"]
 
 
-def read_silver(spark: SparkSession, path: str, start: str | None = None, end: str | None = None) -> DataFrame:
+def read_silver(
+    spark: SparkSession, path: str, start: str | None = None, end: str | None = None, ledger: DataFrame | None = None
+) -> DataFrame:
     """Cleaned records; ``start`` and ``end`` (ISO dates, inclusive) prune day folders.
 
+    With ``ledger`` only runs recorded there count, so a run that broke off is not seen.
+
     Partition values are read as text and cast, so ids that look like numbers
     are never retyped by inference.
     """
@@ -49,14 +59,20 @@ def read_silver(spark: SparkSession, path: str, start: str | None = None, end: s
         df = df.filter(as_number >= int(start.replace("-", "")))
     if end:
         df = df.filter(as_number <= int(end.replace("-", "")))
-    return df.withColumns(parts)
+    if ledger is not None and RUN in df.columns:
+        df = df.join(ledger.select(RUN).distinct(), RUN, "left_semi")
+    return df.withColumns(parts).drop(RUN)
 
 
 FEATURE_FILES = {"cdr_statistics": "cdr_features", "billing": "billing_features", "promotion": "promotion_features"}
 
 
-def write_features(tables: dict[str, DataFrame], base: str) -> dict[str, str]:
-    """Write each feature table by event date; returns its path by name."""
+def write_features(tables: dict[str, DataFrame], base: str, replace_all: bool = False) -> dict[str, str]:
+    """Write each feature table by event date; returns its path by name.
+
+    Only the days that the tables hold are replaced, so a daily run adds its
+    day; ``replace_all`` first drops the days written before.
+    """
     paths = {}
     for name, df in tables.items():
         paths[name] = f"{base.rstrip('/')}/{FEATURE_FILES.get(name, name)}.parquet"
@@ -64,7 +80,7 @@ def write_features(tables: dict[str, DataFrame], base: str) -> dict[str, str]:
             df.withColumn("dt", F.to_date("event_timestamp"))
             .hint("rebalance", F.col("dt"))
             .write.mode("overwrite")
-            .option("partitionOverwriteMode", "static")
+            .option("partitionOverwriteMode", "static" if replace_all else "dynamic")
             .partitionBy("dt")
             .parquet(paths[name])
         )
@@ -123,6 +139,53 @@ def list_new_files(spark: SparkSession, base: str, date: str, ledger: DataFrame
     return files if ledger is None else files.join(ledger.select("path"), "path", "left_anti")
 
 
-def mark_processed(files: DataFrame, ledger_path: str) -> None:
+def mark_processed(files: DataFrame, ledger_path: str, run: str = "") -> None:
     """Append the files of a finished run to the ledger."""
-    files.select("path", F.current_timestamp().alias("processed_at")).write.mode("append").parquet(ledger_path)
+    stamped = files.select("path", F.current_timestamp().alias("processed_at"), F.lit(run).alias(RUN))
+    stamped.write.mode("append").parquet(ledger_path)
+
+
+def write_snapshot(rows: DataFrame, base: str, version: int, key: str = "customer_id") -> str:
+    """Store one row per key as ``version=…`` below ``base``.
+
+    Rows are laid out by ranges of the key, so a lookup of some keys skips the
+    files and row groups that cannot hold them. A version appears whole or not.
+    """
+    path = f"{base.rstrip('/')}/version={version:012d}"
+    rows.repartitionByRange(key).sortWithinPartitions(key).write.mode("overwrite").parquet(path)
+    return path
+
+
+def snapshot_versions(spark: SparkSession, base: str) -> list[int]:
+    """The finished versions below ``base``, oldest first."""
+    marks = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+    try:
+        found = marks.load(base).select(F.regexp_extract("path", r"/version=(\d+)/", 1).alias("v"))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+    return sorted(int(r["v"]) for r in found.filter("v <> ''").distinct().collect())
+
+
+def read_snapshot(spark: SparkSession, base: str, version: int | None = None) -> DataFrame:
+    """The newest, or the given, version of a stored snapshot."""
+    if version is None:
+        version = snapshot_versions(spark, base)[-1]
+    return spark.read.parquet(f"{base.rstrip('/')}/version={version:012d}")
+
+
+def merge_snapshot(rows: DataFrame, base: str, key: str = "customer_id") -> int:
+    """Merge feature rows into the stored snapshot as its next version, the newest row per key winning.
+
+    Merging the same rows again changes nothing, so a run can be repeated.
+    Readers of the version before are not disturbed.
+    """
+    spark = rows.sparkSession
+    versions = snapshot_versions(spark, base)
+    merged = rows
+    if versions:
+        merged = read_snapshot(spark, base, versions[-1]).unionByName(rows)
+    version = versions[-1] + 1 if versions else 0
+    write_snapshot(latest_snapshot(merged, key=key), base, version, key)
+    return version

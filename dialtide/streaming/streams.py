@@ -14,6 +14,7 @@ from ..operators.clean import add_date_parts, clean_cdr
 from ..operators.daily import usage_metrics
 from ..operators.snapshot import latest_snapshot
 from ..sources.cdr_csv import CSV_OPTIONS, text_schema, typed_records
+from ..sources.tables import merge_snapshot, read_snapshot
 
 
 def stream_ingest(
@@ -91,14 +92,14 @@ def run_available(stream: DataFrame, path: str, checkpoint: str, mode: str = "ap
 
 
 def push_latest(stream: DataFrame, path: str, checkpoint: str) -> None:
-    """Push each batch's newest feature row per customer, once per batch.
+    """Merge each batch's newest feature row per customer into the stored snapshot.
 
-    A batch writes only its own folder, named by its id: a replay overwrites it
-    with the same rows, and no batch rewrites the customers of earlier ones.
+    Merging is repeatable: a replayed batch, also one under a new checkpoint,
+    changes no value, and a lookup reads one row per customer, not all pushes.
     """
 
     def push(batch: DataFrame, batch_id: int) -> None:
-        latest_snapshot(batch).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        merge_snapshot(latest_snapshot(batch), path)
 
     query = (
         stream.writeStream.foreachBatch(push)
@@ -111,4 +112,4 @@ def push_latest(stream: DataFrame, path: str, checkpoint: str) -> None:
 
 def read_pushed(spark: SparkSession, path: str) -> DataFrame:
     """The newest row per customer over all pushed batches."""
-    return latest_snapshot(spark.read.parquet(path).drop("batch"))
+    return read_snapshot(spark, path)

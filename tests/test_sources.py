@@ -105,12 +105,62 @@ def test_ingest_day(spark, tmp_path):
     assert ingest_day(spark, str(raw), silver, "2024-01-04", ledger).files == 0
 
 
+def test_a_late_file_adds_to_its_day(spark, tmp_path):
+    raw, silver, ledger, bad = tmp_path / "raw", str(tmp_path / "silver"), str(tmp_path / "ledger"), str(tmp_path / "bad")
+    broken = "c2,002,2024-01-03 12:00:00,abc,VOICE,+1555,4G,T,COMPLETED,1.25,NONE"
+    day = raw / "cdr" / "2024-01-03"
+    put(day, *[GOOD.replace("c1", f"a{i}") for i in range(5)], broken)
+    first = ingest_day(spark, str(raw), silver, "2024-01-03", ledger, bad)
+    os.makedirs(day / "late")
+    put(day / "late", *[GOOD.replace("c1", f"b{i}") for i in range(3)], broken)
+    second = ingest_day(spark, str(raw), silver, "2024-01-03", ledger, bad)
+    assert (first.rows, second.rows) == (5, 3) and first.run != second.run
+    assert tables.read_silver(spark, first.path).count() == 8
+    assert spark.read.parquet(bad).count() == 2
+    recorded = spark.read.parquet(ledger)
+    assert tables.read_silver(spark, first.path, ledger=recorded).count() == 8
+    # a run that broke off before it was recorded is not seen, and a repeat replaces it
+    only_first = recorded.filter(recorded.run == first.run)
+    assert tables.read_silver(spark, first.path, ledger=only_first).count() == 5
+    only_first.write.parquet(f"{ledger}-before")
+    again = ingest_day(spark, str(raw), silver, "2024-01-03", f"{ledger}-before", bad)
+    assert again.run == second.run and tables.read_silver(spark, first.path).count() == 8
+
+
 def test_ingest_stops_on_bad_quality(spark, tmp_path):
-    raw, ledger = tmp_path / "raw", str(tmp_path / "ledger")
+    raw, silver, ledger = tmp_path / "raw", str(tmp_path / "silver"), str(tmp_path / "ledger")
     put(raw / "cdr" / "2024-01-03", GOOD.replace("VOICE", "FAX"))
     with pytest.raises(QualityError):
-        ingest_day(spark, str(raw), str(tmp_path / "silver"), "2024-01-03", ledger)
-    assert not os.path.exists(ledger)
+        ingest_day(spark, str(raw), silver, "2024-01-03", ledger)
+    assert not os.path.exists(ledger) and not os.path.exists(silver)
+
+
+def test_ids_longer_than_their_padding_stay_apart(spark):
+    from dialtide.fixtures import customer_key
+
+    keys = [r[0] for r in spark.range(999_998, 1_000_012).select(customer_key("id")).collect()]
+    assert keys[0] == "CUST999998" and keys[-1] == "CUST1000011" and len(set(keys)) == 14
+
+
+def test_snapshots_merge_and_prune_by_key(spark, tmp_path):
+    base, schema = str(tmp_path / "snap"), "customer_id string, event_timestamp timestamp, v int"
+    day = [datetime(2024, 1, d) for d in range(1, 5)]
+    assert tables.merge_snapshot(spark.createDataFrame([("a", day[2], 3), ("b", day[0], 1)], schema), base) == 0
+    newer = spark.createDataFrame([("a", day[1], 2), ("b", day[3], 4), ("c", day[0], 5)], schema)
+    assert tables.merge_snapshot(newer, base) == 1 and tables.merge_snapshot(newer, base) == 2
+    assert rows_of(tables.read_snapshot(spark, base), "customer_id", "v") == [("a", 3), ("b", 4), ("c", 5)]
+    assert rows_of(tables.read_snapshot(spark, base, 0), "customer_id", "v") == [("a", 3), ("b", 1)]
+    plan = tables.read_snapshot(spark, base).filter("customer_id = 'a'")._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(customer_id,a)" in plan
+
+
+def test_features_of_a_new_day_leave_the_others(spark, tmp_path):
+    schema, base = "customer_id string, event_timestamp timestamp, v int", str(tmp_path)
+    for d in (1, 2, 2):
+        path = tables.write_features({"t": spark.createDataFrame([("a", datetime(2024, 1, d), d)], schema)}, base)["t"]
+    assert rows_of(tables.read_features(spark, path), "v") == [(1,), (2,)]
+    tables.write_features({"t": spark.createDataFrame([("a", datetime(2024, 1, 3), 3)], schema)}, base, replace_all=True)
+    assert rows_of(tables.read_features(spark, path), "v") == [(3,)]
 
 
 def test_paths():
