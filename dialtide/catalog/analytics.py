@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from .. import fixtures as fx
 from ..functions import hash_bucket, tenure_band
 from ..operators import analytics as ops
-from ..schemas import CHURN_METRICS
+from ..schemas import CHURN_METRICS, RAW_CDR
 from .base import query, register, sql
 from .ingest import CHURN_DOUBLES
 
@@ -50,12 +50,10 @@ def churn_kpis(spark, sf_dir):
 
 @query(
     "missing_report",
-    """
-SELECT * FROM (
-  SELECT 'customer_id' AS "column", count(*) - count(customer_id) AS missing FROM cdr_dirty
-  UNION ALL SELECT 'network_type', count(*) - count(network_type) FROM cdr_dirty
-  UNION ALL SELECT 'promotion_code', count(*) - count(promotion_code) FROM cdr_dirty
-  UNION ALL SELECT 'call_type', count(*) - count(call_type) FROM cdr_dirty) WHERE missing > 0""",
+    " UNION ALL ".join(
+        f"SELECT * FROM (SELECT '{c}' AS \"column\", count(*) - count({c}) AS missing FROM cdr_dirty) WHERE missing > 0"
+        for c in RAW_CDR.names
+    ),
     ("cdr_dirty",),
 )
 def missing_report(spark, sf_dir):

@@ -23,9 +23,17 @@ HALF = 0.50037
 
 
 def snap(df: DataFrame) -> DataFrame:
-    """Every double and float column as a multiple of 1e-6."""
+    """Every double and float column as a multiple of 1e-6.
+
+    NaN, infinities and values whose multiple does not fit a bigint stay as they are.
+    """
     fractional = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
-    return df.withColumns({c: F.floor(F.col(c) * 1e6 + HALF).cast("double") / 1e6 for c in fractional})
+
+    def snapped(c: str):
+        value = F.col(c).cast("double")
+        return F.when(F.abs(value) < 1e12, F.floor(value * 1e6 + HALF).cast("double") / 1e6).otherwise(value)
+
+    return df.withColumns({c: snapped(c) for c in fractional})
 
 
 def register(name: str, make: Callable[[SparkSession, str], DataFrame], sql: str | None = None) -> None:
@@ -68,23 +76,23 @@ def sql(body: str, uses: tuple[str, ...] = (), doubles: tuple[str, ...] = ()) ->
 
 def _cdr_sql(value: str) -> str:
     return f"""
-SELECT concat('C', lpad(CAST(event_id AS VARCHAR), 9, '0')) AS call_id,
-       concat('CUST', lpad(CAST(user_id AS VARCHAR), 6, '0')) AS customer_id,
+SELECT concat('C', lpad(CAST(event_id AS VARCHAR), CAST(greatest(9, length(CAST(event_id AS VARCHAR))) AS INTEGER), '0')) AS call_id,
+       concat('CUST', lpad(CAST(user_id AS VARCHAR), CAST(greatest(6, length(CAST(user_id AS VARCHAR))) AS INTEGER), '0')) AS customer_id,
        ts AS call_time,
        CAST(floor(({value}) * 10) AS INTEGER) AS call_duration_seconds,
        CASE WHEN event_type IN ('click', 'view', 'error') THEN 'VOICE'
             WHEN event_type = 'signup' THEN 'SMS' ELSE 'DATA' END AS call_type,
        CASE WHEN event_id % 20 = 0 THEN 'CUSTOMER_SERVICE'
-            WHEN event_id % 15 = 0 THEN concat('+44', lpad(CAST(event_id AS VARCHAR), 10, '0'))
-            ELSE concat('+1', lpad(CAST(event_id AS VARCHAR), 10, '0')) END AS destination_number,
+            WHEN event_id % 15 = 0 THEN concat('+44', lpad(CAST(event_id AS VARCHAR), CAST(greatest(10, length(CAST(event_id AS VARCHAR))) AS INTEGER), '0'))
+            ELSE concat('+1', lpad(CAST(event_id AS VARCHAR), CAST(greatest(10, length(CAST(event_id AS VARCHAR))) AS INTEGER), '0')) END AS destination_number,
        CASE event_id % 8 WHEN 0 THEN '2G' WHEN 1 THEN '3G' WHEN 2 THEN '4G' WHEN 3 THEN '5G'
             WHEN 4 THEN 'WIFI' WHEN 5 THEN 'ROAMING' WHEN 6 THEN '4G' END AS network_type,
-       concat('TOWER', lpad(CAST(event_id % 1000 + 1 AS VARCHAR), 4, '0')) AS cell_tower_id,
+       concat('TOWER', lpad(CAST(event_id % 1000 + 1 AS VARCHAR), CAST(greatest(4, length(CAST(event_id % 1000 + 1 AS VARCHAR))) AS INTEGER), '0')) AS cell_tower_id,
        CASE WHEN event_type = 'error' THEN 'DROPPED' WHEN event_id % 10 = 0 THEN 'BUSY'
             WHEN event_id % 10 = 1 THEN 'NO_ANSWER' WHEN event_id % 10 = 2 THEN 'FAILED'
             ELSE 'COMPLETED' END AS call_result,
        ({value}) / 16 AS call_charge,
-       CASE event_id % 5 WHEN 0 THEN 'SUMMER23' WHEN 1 THEN 'LOYALTY' WHEN 2 THEN 'WEEKEND'
+       CASE event_id % 5 WHEN 0 THEN 'SPRING10' WHEN 1 THEN 'FRIENDS' WHEN 2 THEN 'NIGHTS'
             WHEN 3 THEN 'NONE' END AS promotion_code,
        event_id
 FROM events"""
@@ -111,6 +119,10 @@ SELECT * EXCLUDE (event_id) REPLACE (
          CAST(call_charge / 10 AS FLOAT) AS call_charge)
 FROM cdr_dirty_numbered""",
     ),
+    "cdr_broken": (
+        ("cdr_dirty",),
+        "SELECT * EXCLUDE (network_type) REPLACE (CAST(call_duration_seconds AS BIGINT) AS call_duration_seconds) FROM cdr_dirty",
+    ),
     "clean": (
         ("cdr",),
         "SELECT * FROM cdr WHERE call_duration_seconds > 0 AND customer_id IS NOT NULL AND call_time IS NOT NULL",
@@ -155,7 +167,7 @@ FROM clean GROUP BY customer_id, CAST(call_time AS DATE)""",
     "history": (
         (),
         f"""
-SELECT o_orderkey, concat('CUST', lpad(CAST(o_custkey AS VARCHAR), 6, '0')) AS customer_id,
+SELECT o_orderkey, concat('CUST', lpad(CAST(o_custkey AS VARCHAR), CAST(greatest(6, length(CAST(o_custkey AS VARCHAR))) AS INTEGER), '0')) AS customer_id,
        CAST(CAST(o_orderdate AS DATE) + CAST({SHIFT} AS INTEGER) AS TIMESTAMP) AS order_time,
        o_totalprice AS amount
 FROM orders""",
@@ -236,7 +248,7 @@ FROM promo_windows p LEFT JOIN discount_months d
     "customer_profile": (
         ("history",),
         """
-SELECT concat('CUST', lpad(CAST(c_custkey AS VARCHAR), 6, '0')) AS customer_id, event_timestamp,
+SELECT concat('CUST', lpad(CAST(c_custkey AS VARCHAR), CAST(greatest(6, length(CAST(c_custkey AS VARCHAR))) AS INTEGER), '0')) AS customer_id, event_timestamp,
        CAST(date_diff('day', CAST(first_order AS DATE), DATE '2024-01-31') AS INTEGER) AS tenure_days,
        CASE c_custkey % 3 WHEN 0 THEN 'Month-to-month' WHEN 1 THEN 'One year' ELSE 'Two year' END AS contract_type,
        CASE c_custkey % 4 WHEN 0 THEN 'Bank transfer' WHEN 1 THEN 'Credit card'
@@ -249,12 +261,12 @@ SELECT concat('CUST', lpad(CAST(c_custkey AS VARCHAR), 6, '0')) AS customer_id,
        CASE WHEN c_mktsegment <> 'MACHINERY' THEN 'Yes' ELSE 'No' END AS paperless_billing
 FROM customer JOIN (SELECT customer_id, min(order_time) AS first_order, max(order_time) AS event_timestamp,
                            sum(amount) AS spent FROM history GROUP BY 1) h
-  ON h.customer_id = concat('CUST', lpad(CAST(c_custkey AS VARCHAR), 6, '0'))""",
+  ON h.customer_id = concat('CUST', lpad(CAST(c_custkey AS VARCHAR), CAST(greatest(6, length(CAST(c_custkey AS VARCHAR))) AS INTEGER), '0'))""",
     ),
     "churn_table": (
         (),
         """
-SELECT concat('CUST', lpad(CAST(c_custkey AS VARCHAR), 6, '0')) AS customer_id,
+SELECT concat('CUST', lpad(CAST(c_custkey AS VARCHAR), CAST(greatest(6, length(CAST(c_custkey AS VARCHAR))) AS INTEGER), '0')) AS customer_id,
        CASE WHEN date_diff('day', max(o_orderdate), (SELECT max(o_orderdate) FROM orders)) > 365 THEN 1 ELSE 0 END
          AS churn,
        CAST(floor(date_diff('day', min(o_orderdate), (SELECT max(o_orderdate) FROM orders)) / 7) AS INTEGER)
@@ -282,7 +294,7 @@ FROM history GROUP BY customer_id""",
     "entity_frame": (
         (),
         """
-SELECT concat('CUST', lpad(CAST(o_custkey AS VARCHAR), 6, '0')) AS customer_id,
+SELECT concat('CUST', lpad(CAST(o_custkey AS VARCHAR), CAST(greatest(6, length(CAST(o_custkey AS VARCHAR))) AS INTEGER), '0')) AS customer_id,
        CAST(DATE '2024-01-01' + CAST(o_orderkey % 31 AS INTEGER) AS TIMESTAMP) AS event_timestamp
 FROM orders""",
     ),

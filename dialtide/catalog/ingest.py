@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import fixtures as fx
-from ..operators import clean, quality, rolling
+from ..operators import clean, daily, quality, rolling
 from ..operators.snapshot import unprocessed_files
 from ..plans.features import build_daily_tables
 from ..session import scratch_dir
 from ..sources import cdr_csv, tables
+from .quality import _suite_sql as quality_sql
 from .base import query
+from .features import METRICS
 
 RAW = "call_id, customer_id, call_time, call_duration_seconds, call_type, destination_number, network_type, " \
     "cell_tower_id, call_result, call_charge, promotion_code"
@@ -154,14 +156,14 @@ def unprocessed(spark, sf_dir):
     return unprocessed_files(paths, paths.filter("call_date < DATE '2024-01-16'")).select("call_date", "path")
 
 
+WRITTEN = [*daily.STATISTICS, *daily.BILLING, *daily.PROMOTION]
+
+
 @query(
     "write_features",
-    """
-SELECT customer_id, event_date, event_timestamp, daily_charges, avg_daily_charge, created_timestamp,
-       active_promotions_count, promo_usage_pct, daily_total_minutes
-FROM daily""",
+    f"SELECT customer_id, event_date, event_timestamp, created_timestamp, {', '.join(WRITTEN)} FROM daily",
     ("daily",),
-    ("daily_charges", "avg_daily_charge", "promo_usage_pct", "daily_total_minutes"),
+    tuple(m for m in WRITTEN if METRICS[m]),
 )
 def write_features(spark, sf_dir):
     paths = build_daily_tables(clean_cdr(spark, sf_dir), scratch_dir(spark, "gold"))
@@ -169,9 +171,8 @@ def write_features(spark, sf_dir):
         tables.read_features(spark, paths[n]) for n in ("cdr_statistics", "billing", "promotion")
     )
     key = ["customer_id", "event_date"]
-    return billing.join(promotion.select(*key, "active_promotions_count", "promo_usage_pct"), key).join(
-        stats.select(*key, "daily_total_minutes"), key
-    )
+    both = stats.join(billing.drop("event_timestamp", "created_timestamp"), key)
+    return both.join(promotion.drop("event_timestamp", "created_timestamp"), key)
 
 
 @query("read_labels_csv", "SELECT * FROM churn_labels", ("churn_labels",))
@@ -213,14 +214,14 @@ def tenure_days(spark, sf_dir):
     return rolling.tenure_days(clean_cdr(spark, sf_dir), "2024-01-31")
 
 
+BY_DAY = quality_sql("cdr_dirty", by="CAST(call_time AS DATE)")
+
+
 @query(
     "quality_gate_by_day",
-    """
-SELECT 27 * count(DISTINCT CAST(call_time AS DATE)) AS checks, 0::BIGINT AS failed, true AS passed FROM clean""",
-    ("clean",),
+    f"SELECT count(*) AS checks, count(*) FILTER (WHERE NOT success) AS failed, bool_and(success) AS passed FROM ({BY_DAY})",
+    ("cdr_dirty",),
 )
 def quality_gate_by_day(spark, sf_dir):
-    records = add_date_parts(spark, sf_dir).withColumns(
-        {"call_time": F.col("call_time").cast("timestamp"), "call_charge": F.col("call_charge").cast("float")}
-    )
+    records = fx.cdr_dirty(spark, sf_dir).withColumn("call_date", F.to_date("call_time"))
     return quality.quality_gate(quality.run_suite(records, by=["call_date"]))

@@ -9,18 +9,20 @@ from pyspark.sql import functions as F
 from .. import fixtures as fx
 from ..functions import gauge_band, risk_level
 from ..ml import explain, metrics, prep, split, train
+from ..ml.score import FixedLogistic, logistic_score, score
 from ..ml.score import batch_score as score_batch
-from ..ml.score import logistic_score, score
 from ..ml.score import score_one as score_single
 from ..operators import monitoring, ranking
 from ..operators.snapshot import latest_snapshot
-from ..schemas import CHURN_METRICS
+from ..schemas import CHURN_METRICS, MODEL_FEATURES
 from ..session import materialize, scratch_dir
 from ..sources import models
-from ..sources.tables import read_importance, write_importance
+from ..sources.tables import merge_snapshot, read_importance, read_snapshot, write_importance
 from .analytics import CHURN_CORRELATION, churn_table
 from .base import query, register, sql
 from .features import daily_frame
+from .store import LOOKUP_AT, LOOKUP_REFS, TRAINING_SQL, TRAINING_USES, names, training
+from .store import requests as lookup_requests
 
 USES = ("churn_table",)
 
@@ -106,14 +108,17 @@ def confusion(spark, sf_dir):
     return metrics.confusion(scored_frame(spark, sf_dir))
 
 
-@query(
-    "roc_auc",
-    f"""
+ROC_SQL = f"""
 SELECT sum(pos * (below + neg / 2)) / (sum(pos) * sum(neg)) AS roc_auc
 FROM (SELECT pos, neg, coalesce(sum(neg) OVER (ORDER BY churn_probability ROWS BETWEEN UNBOUNDED PRECEDING
                                                AND 1 PRECEDING), 0) AS below
       FROM (SELECT churn_probability, count(*) FILTER (WHERE churn = 1) AS pos,
-                   count(*) FILTER (WHERE churn = 0) AS neg FROM ({SCORED}) GROUP BY 1))""",
+                   count(*) FILTER (WHERE churn = 0) AS neg FROM ({SCORED}) GROUP BY 1))"""
+
+
+@query(
+    "roc_auc",
+    ROC_SQL,
     USES,
     ("roc_auc",),
 )
@@ -284,18 +289,18 @@ def one_hot(spark, sf_dir):
 
 # ---------------------------------------------------------------- trained models
 
-QUICK = {
-    "logistic": {"max_iter": 100},
-    "forest": {"trees": 20, "max_depth": 5},
-    "boosted": {"trees": 5, "max_depth": 3},
-}
 RUN = datetime(2024, 1, 31, 12, 0, 0)
 _stored: dict[tuple, object] = {}
 
 
 def _once(spark, sf_dir, what: str, make):
-    """Keep a training result for the session, so that queries on it do not train again."""
-    key = (spark.sparkContext.applicationId, sf_dir, what)
+    """Keep a training result for the session, so that queries on it do not train again.
+
+    The key holds size and time of the input files: other data means another result.
+    """
+    files = spark.read.format("binaryFile").load([f"{sf_dir}/{t}.parquet" for t in ("orders", "customer", "events", "lineitem")])
+    state = files.agg(F.sum("length"), F.max("modificationTime")).first()
+    key = (spark.sparkContext.applicationId, sf_dir, tuple(state), what)
     if key not in _stored:
         _stored[key] = make()
     return _stored[key]
@@ -307,20 +312,14 @@ def forget() -> None:
 
 
 def model_table(spark, sf_dir):
-    """Training rows: the churn table with the categorical profile columns."""
-
-    def make():
-        profile = fx.customer_profile(spark, sf_dir).select(
-            "customer_id", "contract_type", "payment_method", "gender", "senior_citizen"
-        )
-        return materialize(churn_table(spark, sf_dir).join(profile, "customer_id"), "model-table")
+    """Training rows: the service's features of every labelled customer as of a day, with the label."""
 
-    return _once(spark, sf_dir, "table", make)
+    return _once(spark, sf_dir, "table", lambda: materialize(training(spark, sf_dir), "model-table"))
 
 
 def trained(spark, sf_dir, kind: str):
     def make():
-        model = train.fit(model_table(spark, sf_dir), kind, **QUICK[kind])
+        model = train.fit(model_table(spark, sf_dir), kind)
         model.metrics = metrics.evaluate(score(model_table(spark, sf_dir), model.pipeline))
         return model
 
@@ -353,7 +352,16 @@ register("train_forest", _predictions("forest"))
 register("train_boosted", _predictions("boosted"))
 
 
-@query("numeric_and_categorical")
+NUMERIC = [c for c in names(MODEL_FEATURES) if c not in ("contract_type", "payment_method", "gender")]
+CATEGORICAL = ["contract_type", "payment_method", "gender"]
+FAMILIES = " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", count({c}) AS filled, '{f}' AS family FROM ({TRAINING_SQL})"
+    for f, columns in (("numeric", NUMERIC), ("categorical", CATEGORICAL))
+    for c in columns
+)
+
+
+@query("numeric_and_categorical", FAMILIES, TRAINING_USES)
 def numeric_and_categorical(spark, sf_dir):
     table = model_table(spark, sf_dir)
     numeric, text = prep.numeric_and_categorical(table)
@@ -361,15 +369,34 @@ def numeric_and_categorical(spark, sf_dir):
     return filled.withColumn("family", F.when(F.col("column").isin(text), "categorical").otherwise("numeric"))
 
 
-@query("assemble")
+def _scaled_sql(c: str) -> str:
+    """A column standardised after missing values took the mean; left out without any value."""
+    filled = f"SELECT customer_id, coalesce({c}, m) AS x, m, n FROM (SELECT *, avg({c}) OVER () AS m, count({c}) OVER () AS n FROM frame)"
+    return f"""
+SELECT customer_id, '{c}' AS feature, CAST(coalesce((x - m) / nullif(stddev_pop(x) OVER (), 0), 0) AS DOUBLE) AS value
+FROM ({filled}) WHERE n > 0"""
+
+
+def _hot_sql(c: str) -> str:
+    return f"""
+SELECT f.customer_id, concat('{c}_', l.level), CASE WHEN coalesce(f.{c}, '{prep.MISSING}') = l.level THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END
+FROM frame f CROSS JOIN (SELECT DISTINCT coalesce({c}, '{prep.MISSING}') AS level FROM frame) l"""
+
+
+ASSEMBLED = f"""
+SELECT * FROM (WITH frame AS MATERIALIZED ({TRAINING_SQL})
+{' UNION ALL '.join([*map(_scaled_sql, NUMERIC), *map(_hot_sql, CATEGORICAL)])})"""
+
+
+@query("assemble", ASSEMBLED, TRAINING_USES, ("value",))
 def assemble(spark, sf_dir):
     from pyspark.ml.functions import vector_to_array
 
-    model = trained(spark, sf_dir, "forest")
-    prepared = model.preparation.transform(model_table(spark, sf_dir))
-    values = prepared.select("customer_id", F.posexplode(vector_to_array("features")).alias("j", "value"))
-    names = F.array(*map(F.lit, model.names))
-    return values.select("customer_id", F.element_at(names, F.col("j") + 1).alias("feature"), "value")
+    table = model_table(spark, sf_dir)
+    ready = train.prepare(table)
+    slots = prep.feature_names(ready.preparation.stages, ready.profile.numeric, ready.profile.categorical)
+    values = ready.preparation.transform(table).select("customer_id", F.posexplode(vector_to_array("features")).alias("j", "value"))
+    return values.select("customer_id", F.element_at(F.array(*map(F.lit, slots)), F.col("j") + 1).alias("feature"), "value")
 
 
 @query("feature_importance")
@@ -392,19 +419,30 @@ def importance_file(spark, sf_dir):
     return read_importance(spark, path)
 
 
+#: Both kinds of the tuning space with every setting of it, smaller than the job's 20 trials: those take hours
+#: here, where each fit is thousands of tiny Spark jobs.
+TRIALS = [
+    {"kind": "forest", "trees": 50, "max_depth": 8, "min_split": 6, "min_leaf": 2},
+    {"kind": "boosted", "trees": 10, "max_depth": 3, "learning_rate": 0.2, "row_share": 0.8, "column_share": 0.8,
+     "min_leaf": 2, "min_gain": 0.1},
+]
+
+
 @query("tune")
 def tune(spark, sf_dir):
-    trials = [{"kind": "forest", "trees": 5, "max_depth": 3}, {"kind": "forest", "trees": 10, "max_depth": 5}]
-    scores = train.cross_validate(model_table(spark, sf_dir), trials, folds=3)
-    rows = [(i, t["kind"], t["trees"], t["max_depth"], s) for i, (t, s) in enumerate(zip(trials, scores))]
+    table = model_table(spark, sf_dir)
+    scores = train.cross_validate(table, TRIALS, folds=5)
+    rows = [(i, t["kind"], t["trees"], t["max_depth"], s) for i, (t, s) in enumerate(zip(TRIALS, scores))]
+    best = TRIALS[max(range(len(TRIALS)), key=lambda i: scores[i])]
+    refit = train.fit(table, best["kind"], **{k: v for k, v in best.items() if k != "kind"})
+    found = metrics.evaluate(score(table, refit.pipeline))["roc_auc"]
+    rows.append((-1, f"refit {best['kind']}", best["trees"], best["max_depth"], found))
     return spark.createDataFrame(rows, "trial int, kind string, trees int, max_depth int, roc_auc double")
 
 
 @query("select_best")
 def select_best(spark, sf_dir):
-    _, candidates, _ = train.train_candidates(
-        model_table(spark, sf_dir), {"logistic": QUICK["logistic"], "forest": {"trees": 5, "max_depth": 4}}
-    )
+    _, candidates, _ = train.train_candidates(model_table(spark, sf_dir), trials=TRIALS[:1], folds=2)
     return ranking.rank_models(train.model_candidates(candidates, spark))
 
 
@@ -419,35 +457,90 @@ def save_model(spark, sf_dir):
 @query("model_info")
 def model_info(spark, sf_dir):
     info = models.model_info(spark, stored_runs(spark, sf_dir), feature_importance(spark, sf_dir))
-    return info.select("model_version", "model_type", "training_date", F.explode("metrics").alias("metric", "value"))
+    kept = ["model_version", "model_type", "training_date"]
+    figures = info.select(*kept, F.explode("metrics").alias("metric", "value"))
+    importance = info.select(*kept, F.explode("feature_importance").alias("metric", "value"))
+    return figures.union(importance.withColumn("metric", F.concat(F.lit("importance of "), "metric")))
 
 
-@query("write_metrics")
+@query(
+    "write_metrics",
+    f"SELECT TIMESTAMP '2024-01-31 12:00:00' AS timestamp, m.*, r.roc_auc FROM ({metrics_sql(f'({SCORED})')}) m, ({ROC_SQL}) r",
+    USES,
+    (*FOUR, "roc_auc"),
+)
 def write_metrics(spark, sf_dir):
-    return models.read_metrics_history(spark, stored_runs(spark, sf_dir)).withColumn(
-        "timestamp", F.col("timestamp").cast("timestamp_ntz")
-    )
+    base = scratch_dir(spark, "metrics")
+    models.write_metrics(spark, metrics.evaluate(scored_frame(spark, sf_dir)), base, RUN)
+    history = models.read_metrics_history(spark, base)
+    return history.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
 
 
 def _requests_and_views(spark, sf_dir):
     requests = fx.table(spark, sf_dir, "customer").select(
         fx.customer_key("c_custkey").alias("customer_id"), F.col("c_custkey").alias("position")
     )
-    columns = [c for c in model_table(spark, sf_dir).columns if c not in ("customer_id", "churn")]
-    stored = model_table(spark, sf_dir).drop("churn").withColumn(
+    columns = [c for c in model_table(spark, sf_dir).columns if c not in ("customer_id", "churn", "event_timestamp")]
+    stored = model_table(spark, sf_dir).drop("churn", "event_timestamp").withColumn(
         "event_timestamp", F.lit(RUN).cast("timestamp_ntz")
     )
     return requests, {"customer_profile": latest_snapshot(stored)}, [f"customer_profile:{c}" for c in columns]
 
 
-@query("batch_score")
+SCORE_WEIGHTS = {"daily_total_minutes": 0.01, "customer_service_calls": 0.6, "monthly_charges": -0.02}
+SCORE_MEANS = {"monthly_charges": 40.0}
+SCORE_REFS = [r for r in LOOKUP_REFS if r.partition(":")[2] in SCORE_WEIGHTS]
+FIXED = FixedLogistic(SCORE_WEIGHTS, -0.4, SCORE_MEANS)
+
+
+def _scored_lookup_sql(where: str = "") -> str:
+    margin = " + ".join(f"{w} * coalesce({c}, {SCORE_MEANS.get(c, 0)})" for c, w in SCORE_WEIGHTS.items())
+    key = "concat('CUST', lpad(CAST(c_custkey AS VARCHAR), CAST(greatest(6, length(CAST(c_custkey AS VARCHAR))) AS INTEGER), '0'))"
+    return f"""
+SELECT customer_id, position, has_features, churn_probability, churn_probability >= 0.5 AS churn_prediction, 'fixed' AS model_version
+FROM (SELECT r.customer_id, position, s.customer_id IS NOT NULL OR p.customer_id IS NOT NULL AS has_features,
+             1 / (1 + exp(-CAST(-0.4 + {margin} AS DOUBLE))) AS churn_probability
+      FROM (SELECT {key} AS customer_id, c_custkey AS position FROM customer) r
+      LEFT JOIN (SELECT * FROM daily QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY event_timestamp DESC) = 1) s
+        ON s.customer_id = r.customer_id AND s.event_timestamp >= TIMESTAMP '2024-04-20' - INTERVAL 90 DAY
+      LEFT JOIN customer_profile p
+        ON p.customer_id = r.customer_id AND p.event_timestamp >= TIMESTAMP '2024-04-20' - INTERVAL 365 DAY){where}"""
+
+
+def _stored_views(spark, sf_dir):
+    """Snapshots written once and read back, as a service would hold them."""
+    base, paths = scratch_dir(spark, "snapshots"), {}
+    for view, rows in (("cdr_statistics", daily_frame(spark, sf_dir)), ("customer_profile", fx.customer_profile(spark, sf_dir))):
+        paths[view] = f"{base}/{view}"
+        merge_snapshot(latest_snapshot(rows), paths[view])
+    return {view: read_snapshot(spark, path) for view, path in paths.items()}
+
+
+@query("batch_score", _scored_lookup_sql(), ("daily", "customer_profile"), ("churn_probability",))
 def batch_score(spark, sf_dir):
+    views = _stored_views(spark, sf_dir)
+    return score_batch(lookup_requests(spark, sf_dir), views, SCORE_REFS, FIXED, "fixed", LOOKUP_AT).drop("prediction_time")
+
+
+@query(
+    "score_one",
+    f"SELECT * EXCLUDE (position) FROM ({_scored_lookup_sql(chr(32) + 'WHERE customer_id = ' + chr(39) + 'CUST000019' + chr(39))})",
+    ("daily", "customer_profile"),
+    ("churn_probability",),
+)
+def score_one(spark, sf_dir):
+    views = _stored_views(spark, sf_dir)
+    return score_single("CUST000019", views, SCORE_REFS, FIXED, "fixed", LOOKUP_AT).drop("prediction_time")
+
+
+@query("batch_score_stored_model")
+def batch_score_stored_model(spark, sf_dir):
     pipeline, version = models.load_model(spark, stored_runs(spark, sf_dir))
     return score_batch(*_requests_and_views(spark, sf_dir), pipeline, version).drop("prediction_time")
 
 
-@query("score_one")
-def score_one(spark, sf_dir):
+@query("score_one_stored_model")
+def score_one_stored_model(spark, sf_dir):
     pipeline, version = models.load_model(spark, stored_runs(spark, sf_dir))
     _, views, refs = _requests_and_views(spark, sf_dir)
     return score_single("CUST000019", views, refs, pipeline, version).drop("prediction_time")
@@ -464,14 +557,14 @@ def explain_linear_model(spark, sf_dir):
 def explain_shapley(spark, sf_dir):
     model = trained(spark, sf_dir, "forest")
     prepared = model.preparation.transform(model_table(spark, sf_dir))
-    return explain.explain_shapley(prepared, prepared, model.classifier, model.names, orderings=4)
+    return explain.explain_shapley(prepared, prepared, model.classifier, model.names)
 
 
 @query("explain_local_linear")
 def explain_local_linear(spark, sf_dir):
     model = trained(spark, sf_dir, "forest")
     prepared = model.preparation.transform(model_table(spark, sf_dir))
-    return explain.explain_local_linear(prepared, prepared, model.classifier, model.names, samples=50)
+    return explain.explain_local_linear(prepared, prepared, model.classifier, model.names)
 
 
 # ---------------------------------------------------------------- monitoring

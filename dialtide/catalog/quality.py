@@ -15,14 +15,38 @@ EXISTING = (
 TYPED = ("call_id", "customer_id", "call_time", "call_duration_seconds", "call_charge")
 
 
-def _suite_sql() -> str:
-    rows = [f"SELECT '{quality.EXISTS}' AS \"check\", '{c}' AS \"column\", 1.0 AS observed, 1.0 AS threshold, true AS success"
-            for c in EXISTING]
-    rows += [f"SELECT '{quality.OF_TYPE}', '{c}', 1.0, 1.0, true" for c in TYPED]
-
-    def share(kind, column, ok, whole, threshold):
-        value = f"count(*) FILTER (WHERE {ok}) / CAST({whole} AS DOUBLE)"
-        return f"SELECT '{kind}', '{column}', {value}, {threshold}, {value} >= {threshold} FROM cdr_dirty"
+SPARK_TYPES = "CASE column_type WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int' WHEN 'FLOAT' THEN 'float' WHEN 'TIMESTAMP' THEN 'timestamp' ELSE lower(column_type) END"
+TYPES = {"call_id": "string", "customer_id": "string", "call_time": "timestamp", "call_duration_seconds": "int", "call_charge": "float"}
+
+
+def _suite_sql(source: str = "cdr_dirty", missing: tuple[str, ...] = (), by: str = "") -> str:
+    """The suite on ``source``; columns and types are asked of the table itself.
+
+    ``missing`` are columns that the source lacks. ``by`` is an expression that tells batches apart.
+    """
+    batch = f"{by} AS batch, " if by else ""
+    group = f" GROUP BY {by}" if by else ""
+    described = f"(DESCRIBE SELECT * FROM {source})"
+    rows = []
+
+    def whole(kind, column, ok):
+        holds = f"(SELECT count(*) = 1 FROM {described} WHERE column_name = '{column}'{ok})"
+        start = f"SELECT DISTINCT {batch}" if by else "SELECT "
+        rows.append(
+            f"{start}'{kind}' AS \"check\", '{column}' AS \"column\", CAST(CAST({holds} AS INTEGER) AS DOUBLE) AS observed, "
+            f"1.0 AS threshold, {holds} AS success" + (f" FROM {source}" if by else "")
+        )
+
+    for column in EXISTING:
+        whole(quality.EXISTS, column, "")
+    for column, wanted in TYPES.items():
+        whole(quality.OF_TYPE, column, f" AND {SPARK_TYPES} = '{wanted}'")
+
+    def share(kind, column, ok, total, threshold):
+        if column in missing:
+            return f"SELECT {batch}'{kind}', '{column}', NULL, {threshold}, false FROM {source}{group or ' LIMIT 1'}"
+        value = f"count(*) FILTER (WHERE {ok}) / nullif(CAST({total} AS DOUBLE), 0)"
+        return f"SELECT {batch}'{kind}', '{column}', {value}, {threshold}, coalesce({value} >= {threshold}, true) FROM {source}{group}"
 
     for column, threshold in [
         ("call_id", 1.0), ("customer_id", 1.0), ("call_time", 1.0), ("call_duration_seconds", 0.95),
@@ -38,10 +62,10 @@ def _suite_sql() -> str:
     }
     for column, (kind, ok) in conditions.items():
         rows.append(share(kind, column, ok, f"count({column})", 0.99))
-    rows.append(
-        f"SELECT '{quality.ROW_COUNT}', NULL, CAST(count(*) AS DOUBLE), 1.0, count(*) BETWEEN 1 AND 100000000 FROM cdr_dirty"
-    )
-    union = " UNION ALL ".join(rows)
+    rows.append(f"SELECT {batch}'{quality.ROW_COUNT}', NULL, CAST(count(*) AS DOUBLE), 1.0, count(*) >= 1 FROM {source}{group}")
+    if by:
+        return " UNION ALL ".join(f"({r})" for r in rows)
+    union = " UNION ALL ".join(f"({r})" for r in rows)
     return f"SELECT CAST(row_number() OVER () AS INTEGER) AS check_no, * FROM ({union})"
 
 
@@ -73,8 +97,31 @@ def _register_kind(name: str, kind: str, mostly: bool | None = None) -> None:
     )
 
 
-_register_kind("expect_columns", quality.EXISTS)
-_register_kind("expect_types", quality.OF_TYPE)
+def broken_results(spark, sf_dir):
+    """Records that lack a column and hold another in a wrong type."""
+    broken = fx.cdr_dirty(spark, sf_dir).drop("network_type")
+    return quality.run_suite(broken.withColumn("call_duration_seconds", F.col("call_duration_seconds").cast("bigint")))
+
+
+BROKEN = _suite_sql("broken", ("network_type",))
+BROKEN_USES = ("cdr_broken",)
+
+
+def _register_broken(name: str, kind: str) -> None:
+    register(
+        name,
+        lambda spark, sf_dir: broken_results(spark, sf_dir).filter(F.col("check") == kind),
+        sql(
+            f"SELECT * REPLACE (CAST(threshold AS DOUBLE) AS threshold) FROM ({BROKEN.replace('FROM broken', 'FROM cdr_broken')}) "
+            f"WHERE \"check\" = '{kind}'",
+            BROKEN_USES,
+            DOUBLES,
+        ),
+    )
+
+
+_register_broken("expect_columns", quality.EXISTS)
+_register_broken("expect_types", quality.OF_TYPE)
 _register_kind("expect_not_null", quality.NOT_NULL, False)
 _register_kind("expect_mostly_not_null", quality.NOT_NULL, True)
 _register_kind("expect_between", quality.BETWEEN)
@@ -117,16 +164,15 @@ def first_failures(spark, sf_dir):
 @query(
     "alert_text",
     f"""
-SELECT concat('*⚠️ Data Quality Alert*', chr(10), 'Call records failed checks', chr(10),
-              string_agg(concat('*Failed Check #', n, '*', chr(10), 'Type: ', "check", chr(10), 'Column: ', "column"),
-                         chr(10) ORDER BY n) FILTER (WHERE n <= 2),
-              CASE WHEN count(*) > 2 THEN concat(chr(10), '... and ', count(*) - 2, ' more failed checks') ELSE '' END)
+SELECT concat('Records failed their checks. Night batch', chr(10),
+              string_agg(concat(n, '. ', "check", ' on ', "column"), chr(10) ORDER BY n) FILTER (WHERE n <= 2),
+              CASE WHEN count(*) > 2 THEN concat(chr(10), 'plus ', count(*) - 2, ' not listed') ELSE '' END)
          AS alert
 FROM (SELECT *, row_number() OVER (ORDER BY check_no) AS n FROM ({FAILED}))""",
     USES,
 )
 def alert_text(spark, sf_dir):
-    return quality.alert_text(suite_results(spark, sf_dir), "Call records failed checks", 2)
+    return quality.alert_text(suite_results(spark, sf_dir), "Night batch", 2)
 
 
 def _drift_sql(current: str, reference: str, columns: tuple[str, ...]) -> str:
@@ -137,7 +183,7 @@ def _drift_sql(current: str, reference: str, columns: tuple[str, ...]) -> str:
         for side, flag in ((current, 1), (reference, 0))
     )
     return f"""
-SELECT "column", n_current, n_reference, CASE WHEN tr > 0 THEN kl END AS kl_divergence,
+SELECT "column", n_current, n_reference, CAST(n_reference - tr AS BIGINT) AS n_outside, CASE WHEN tr > 0 THEN kl END AS kl_divergence,
        CASE WHEN tr > 0 THEN kl > 0.1 ELSE true END AS drift_detected,
        CASE WHEN tr = 0 THEN 'no_overlap' WHEN kl > 0.1 THEN 'kl_above_threshold' ELSE 'ok' END AS reason
 FROM (
@@ -219,8 +265,8 @@ def drift_any(spark, sf_dir):
 @query(
     "drift_alert",
     f"""
-SELECT "column", concat('Distribution drift detected in column ', "column", ' (',
-       CASE WHEN kl_divergence IS NULL THEN reason ELSE format('KL div: {{:.4f}}', kl_divergence) END, ')') AS alert
+SELECT "column", concat('values of ', "column", ' have moved: ',
+       CASE WHEN kl_divergence IS NULL THEN reason ELSE format('divergence {{:.4f}}', kl_divergence) END) AS alert
 FROM ({SHIFTED}) WHERE drift_detected""",
     ("dated",),
 )

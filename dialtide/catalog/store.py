@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import functions as F
 
@@ -10,9 +11,9 @@ from .. import fixtures as fx
 from ..operators import daily as ops
 from ..operators import snapshot
 from ..operators.asof import AsOfSource, feature_service_join, pit_join, select_features
-from ..plans.features import materialize_snapshots, training_frame, view_tables
+from ..plans.features import store_snapshots, stored_snapshots, training_frame, view_tables
 from ..schemas import CHURN_SERVICE, MODEL_FEATURES, VIEWS, parse_refs
-from ..session import materialize
+from ..session import materialize, scratch_dir
 from .base import query
 from .features import METRICS, PROFILE_DOUBLES, daily_frame
 
@@ -129,14 +130,14 @@ def requests(spark, sf_dir):
 @query(
     "online_lookup",
     """
-SELECT concat('CUST', lpad(CAST(c_custkey AS VARCHAR), 6, '0')) AS customer_id, c_custkey AS position,
+SELECT concat('CUST', lpad(CAST(c_custkey AS VARCHAR), CAST(greatest(6, length(CAST(c_custkey AS VARCHAR))) AS INTEGER), '0')) AS customer_id, c_custkey AS position,
        daily_total_minutes, customer_service_calls, contract_type, monthly_charges
 FROM customer
 LEFT JOIN (SELECT * FROM daily QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY event_timestamp DESC) = 1) s
-  ON s.customer_id = concat('CUST', lpad(CAST(c_custkey AS VARCHAR), 6, '0'))
+  ON s.customer_id = concat('CUST', lpad(CAST(c_custkey AS VARCHAR), CAST(greatest(6, length(CAST(c_custkey AS VARCHAR))) AS INTEGER), '0'))
      AND s.event_timestamp >= TIMESTAMP '2024-04-20' - INTERVAL 90 DAY
 LEFT JOIN customer_profile p
-  ON p.customer_id = concat('CUST', lpad(CAST(c_custkey AS VARCHAR), 6, '0'))
+  ON p.customer_id = concat('CUST', lpad(CAST(c_custkey AS VARCHAR), CAST(greatest(6, length(CAST(c_custkey AS VARCHAR))) AS INTEGER), '0'))
      AND p.event_timestamp >= TIMESTAMP '2024-04-20' - INTERVAL 365 DAY""",
     ("daily", "customer_profile"),
     ("daily_total_minutes", "monthly_charges"),
@@ -149,23 +150,32 @@ def lookup(spark, sf_dir):
     return snapshot.online_lookup(requests(spark, sf_dir), snapshots, LOOKUP_REFS, LOOKUP_AT)
 
 
-@query(
-    "materialize_views",
-    """
-WITH newest AS (
-  SELECT 'cdr_statistics' AS view, customer_id, max(event_timestamp) AS event_timestamp FROM daily GROUP BY ALL
-  UNION ALL SELECT 'billing_features', customer_id, max(event_timestamp) FROM billing_features
-            WHERE event_timestamp BETWEEN TIMESTAMP '2023-11-02' AND TIMESTAMP '2024-01-31' GROUP BY ALL
-  UNION ALL SELECT 'promotion_features', customer_id, max(event_timestamp) FROM promotion_features GROUP BY ALL
-  UNION ALL SELECT 'customer_profile', customer_id, max(event_timestamp) FROM customer_profile
-            WHERE event_timestamp BETWEEN TIMESTAMP '2023-11-02' AND TIMESTAMP '2024-01-31' GROUP BY ALL)
-SELECT * FROM newest""",
-    tuple(VIEW_TABLES.values()),
-)
+def _view_sql(view: str) -> str:
+    """Numeric columns of a view's newest rows, one row per value, in the declared types."""
+    parts = [
+        f"SELECT '{view}' AS view, customer_id, event_timestamp, '{c}' AS feature, "
+        + (f"CAST(CAST({c} AS FLOAT) AS DOUBLE)" if t == "float" else f"CAST(trunc({c}) AS DOUBLE)")
+        + " AS value FROM newest"
+        for c, t in VIEWS[view].fields.items()
+        if t != "string"
+    ]
+    return f"""
+SELECT * FROM (WITH newest AS (
+  SELECT * FROM {VIEW_TABLES[view]} WHERE event_timestamp BETWEEN TIMESTAMP '2023-11-02' AND TIMESTAMP '2024-01-31'
+  QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY event_timestamp DESC) = 1)
+{' UNION ALL '.join(parts)})"""
+
+
+@query("materialize_views", " UNION ALL ".join(map(_view_sql, VIEW_TABLES)), tuple(VIEW_TABLES.values()), ("value",))
 def materialize_views(spark, sf_dir):
-    stored = materialize_snapshots(tables(spark, sf_dir), datetime(2024, 1, 31), 90)
-    parts = [t.select(F.lit(v).alias("view"), "customer_id", "event_timestamp") for v, t in stored.items()]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+    paths = store_snapshots(tables(spark, sf_dir), scratch_dir(spark, "views"), datetime(2024, 1, 31), 90)
+    parts = []
+    for view, rows in stored_snapshots(spark, paths).items():
+        numeric = [c for c, t in VIEWS[view].fields.items() if t != "string"]
+        values = rows.select("customer_id", "event_timestamp", *[F.col(c).cast("double").alias(c) for c in numeric])
+        long = values.unpivot(["customer_id", "event_timestamp"], numeric, "feature", "value")
+        parts.append(long.withColumn("view", F.lit(view)))
+    return reduce(lambda a, b: a.unionByName(b), parts)
 
 
 @query(
@@ -188,11 +198,12 @@ def feature_target_split(spark, sf_dir):
     return snapshot.feature_target_split(join_labels(spark, sf_dir))[0]
 
 
-@query(
-    "training_frame",
-    asof_sql("(SELECT customer_id, TIMESTAMP '2024-01-31' AS event_timestamp, churn FROM churn_labels)", MODEL_FEATURES),
-    ("churn_labels", *VIEW_TABLES.values()),
-    fractional(MODEL_FEATURES),
+TRAINING_SQL = asof_sql(
+    "(SELECT customer_id, TIMESTAMP '2024-01-31' AS event_timestamp, churn FROM churn_labels)", MODEL_FEATURES
 )
+TRAINING_USES = ("churn_labels", *VIEW_TABLES.values())
+
+
+@query("training_frame", TRAINING_SQL, TRAINING_USES, fractional(MODEL_FEATURES))
 def training(spark, sf_dir):
     return training_frame(fx.churn_labels(spark, sf_dir), tables(spark, sf_dir), datetime(2024, 1, 31))

@@ -17,16 +17,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def padded(number: F.Column, width: int) -> F.Column:
+    """Digits with leading zeros up to ``width``; longer numbers stay whole."""
+    digits = number.cast("string")
+    return F.lpad(digits, F.greatest(F.length(digits), F.lit(width)), F.lit("0"))
+
+
 def customer_key(col: str) -> F.Column:
-    return F.concat(F.lit("CUST"), F.lpad(F.col(col).cast("string"), 6, "0"))
+    return F.concat(F.lit("CUST"), padded(F.col(col), 6))
 
 
 def events_to_cdr(events: DataFrame) -> DataFrame:
-    """Call records from event rows; every domain value but FAMILY occurs."""
+    """Call records from event rows; every domain value but BUNDLE occurs."""
     eid, kind = F.col("event_id"), F.col("event_type")
-    digits = F.lpad(eid.cast("string"), 10, "0")
+    digits = padded(eid, 10)
     return events.select(
-        F.concat(F.lit("C"), F.lpad(eid.cast("string"), 9, "0")).alias("call_id"),
+        F.concat(F.lit("C"), padded(eid, 9)).alias("call_id"),
         customer_key("user_id").alias("customer_id"),
         F.col("ts").alias("call_time"),
         F.floor(F.col("value") * 10).cast("int").alias("call_duration_seconds"),
@@ -42,7 +48,7 @@ def events_to_cdr(events: DataFrame) -> DataFrame:
             F.array(*[F.lit(n) for n in ("2G", "3G", "4G", "5G", "WIFI", "ROAMING", "4G", None)]),
             (eid % 8 + 1).cast("int"),
         ).alias("network_type"),
-        F.concat(F.lit("TOWER"), F.lpad((eid % 1000 + 1).cast("string"), 4, "0")).alias("cell_tower_id"),
+        F.concat(F.lit("TOWER"), padded(eid % 1000 + 1, 4)).alias("cell_tower_id"),
         F.when(kind == "error", "DROPPED")
         .when(eid % 10 == 0, "BUSY")
         .when(eid % 10 == 1, "NO_ANSWER")
@@ -51,7 +57,7 @@ def events_to_cdr(events: DataFrame) -> DataFrame:
         .alias("call_result"),
         (F.col("value") / 16).alias("call_charge"),
         F.element_at(
-            F.array(*[F.lit(n) for n in ("SUMMER23", "LOYALTY", "WEEKEND", "NONE", None)]),
+            F.array(*[F.lit(n) for n in ("SPRING10", "FRIENDS", "NIGHTS", "NONE", None)]),
             (eid % 5 + 1).cast("int"),
         ).alias("promotion_code"),
     )
@@ -64,7 +70,7 @@ def cdr(spark: SparkSession, sf_dir: str) -> DataFrame:
 def cdr_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Call records with out-of-range, unknown and missing values, in the raw types."""
     events = table(spark, sf_dir, "events")
-    seq = F.substring("call_id", 2, 9).cast("bigint")
+    seq = F.expr("substring(call_id, 2)").cast("bigint")
     return (
         events_to_cdr(events.withColumn("value", F.col("value") * 10))
         .withColumn("network_type", F.when(seq % 20 == 1, "SAT").otherwise(F.col("network_type")))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -42,14 +43,17 @@ def explain_linear_model(prepared: DataFrame, key: str, model, names: list[str])
     )
 
 
-def _spread_rows(rows: DataFrame) -> DataFrame:
-    """Give every core a share of the rows before each is multiplied.
+COPIES_PER_TASK = 20_000
+
+
+def _spread_rows(rows: DataFrame, copies: int) -> DataFrame:
+    """Cut the rows into tasks of about :data:`COPIES_PER_TASK` copies before each is multiplied.
 
     The input's partitions are sized for reading it; scoring hundreds of copies
     of each row needs more of them. A fixed number, so that they are not merged
     again for being small in bytes.
     """
-    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return rows.repartition(max(1, math.ceil(rows.count() * copies / COPIES_PER_TASK)))
 
 
 def _orderings(background: DataFrame, key: str, d: int, n: int, seed: int) -> DataFrame:
@@ -85,13 +89,13 @@ def explain_shapley(
     The changes telescope, so per row they add up exactly to its score minus
     the mean score of the background rows. ``prepared`` and ``background`` carry
     a ``features`` vector. Work is rows × orderings × (features + 1) scores, all
-    made from the row in place: only one sum per row and feature is shuffled.
+    made from the row in place: only one sum per row and feature is shuffled. A
+    key that comes more than once gets the mean over its rows.
     """
     d = len(names)
     plan = _orderings(background, key, d, orderings, seed)
-    count = plan.agg(F.count(F.lit(1)).alias("n")).scalar()
     moved = (
-        _spread_rows(prepared.select(key, vector_to_array("features").alias("x")))
+        _spread_rows(prepared.select(key, vector_to_array("features").alias("x")), orderings * (d + 1))
         .withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(orderings))))
         .join(F.broadcast(plan), "k")  # `orderings` rows by construction
         .withColumn("step", F.explode(F.sequence(F.lit(0), F.lit(d))))
@@ -114,7 +118,8 @@ def explain_shapley(
     changes = scored.select(key, F.inline(F.array(added, follow))).filter(F.col("j").isNotNull())
     return (
         changes.groupBy(key, "j")
-        .agg((F.sum("change") / count).alias("contribution"))
+        # every ordering of every row of the key adds a feature once and is followed by it once
+        .agg((F.sum("change") / (F.count(F.lit(1)) / 2)).alias("contribution"))
         .select(key, F.element_at(F.array(*map(F.lit, names)), F.col("j") + 1).alias("feature"), "contribution")
     )
 
@@ -132,8 +137,10 @@ def explain_local_linear(
     """Weights of a linear model fitted around each row: key, feature, contribution.
 
     ``samples`` copies of the row are shifted by training-deviation noise and
-    scored; nearer copies weigh more. The fit itself is a small ridge solve over
-    one row's copies, the only step in Python.
+    scored; nearer copies weigh more. The copies of a row come from it in place
+    and stay together, so nothing is shuffled; many small ridge problems are
+    solved at a time, the only step in Python. A key that comes more than once
+    gets a fit for each of its rows.
     """
     d = len(names)
     spread = training.select(vector_to_array("features").alias("x")).agg(
@@ -146,7 +153,7 @@ def explain_local_linear(
         ).otherwise(0.0),
     )
     shifted = (
-        _spread_rows(prepared.select(key, vector_to_array("features").alias("x")))
+        _spread_rows(prepared.select(key, vector_to_array("features").alias("x")), samples)
         .withColumn("spread", spread)
         .withColumn("sample", F.explode(F.sequence(F.lit(0), F.lit(samples - 1))))
         .withColumn("z", noise)
@@ -159,15 +166,32 @@ def explain_local_linear(
     width = 0.75 * math.sqrt(d)
     key_type = prepared.schema[key].dataType.simpleString()
 
-    def solve(group_key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        z = np.stack(rows["z"].to_numpy())
-        p = rows["p"].to_numpy()
-        w = np.exp(-(z**2).sum(axis=1) / width**2)
-        zc, pc = z - np.average(z, axis=0, weights=w), p - np.average(p, weights=w)
-        weights = np.linalg.solve((zc * w[:, None]).T @ zc + ridge * np.eye(d), (zc * w[:, None]).T @ pc)
-        return pd.DataFrame({key: group_key[0], "feature": names, "contribution": weights})
+    def solve(keys: np.ndarray, z: np.ndarray, p: np.ndarray) -> pd.DataFrame:
+        """Weights for rows × samples × features shifts and rows × samples scores."""
+        w = np.exp(-(z**2).sum(axis=2) / width**2)
+        w /= w.sum(axis=1, keepdims=True)
+        total = np.exp(-(z**2).sum(axis=2) / width**2).sum(axis=1)
+        zc = z - np.einsum("rs,rsd->rd", w, z)[:, None, :]
+        pc = p - np.einsum("rs,rs->r", w, p)[:, None]
+        left = np.einsum("r,rs,rsd,rse->rde", total, w, zc, zc) + ridge * np.eye(d)
+        right = np.einsum("r,rs,rsd,rs->rd", total, w, zc, pc)
+        weights = np.linalg.solve(left, right[:, :, None])[:, :, 0]
+        return pd.DataFrame(
+            {key: np.repeat(keys, d), "feature": names * len(keys), "contribution": weights.reshape(-1)}
+        )
 
-    return scored.groupBy(key).applyInPandas(solve, f"{key} {key_type}, feature string, contribution double")
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rest = None
+        for batch in batches:
+            rows = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
+            whole = len(rows) - len(rows) % samples
+            if whole:
+                now = rows.iloc[:whole]
+                z = np.stack(now["z"].to_numpy()).reshape(-1, samples, d)
+                yield solve(now[key].to_numpy()[::samples], z, now["p"].to_numpy().reshape(-1, samples))
+            rest = rows.iloc[whole:]
+
+    return scored.mapInPandas(run, f"{key} {key_type}, feature string, contribution double")
 
 
 def explain_top(contributions: DataFrame, key: str = "customer_id", n: int = 10) -> DataFrame:

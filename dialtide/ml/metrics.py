@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.ordered import running_sums, value_buckets
+from ..session import materialize
 
 
 def confusion(scored: DataFrame, label: str = "churn", prediction: str = "churn_prediction") -> DataFrame:
@@ -54,6 +55,7 @@ def roc_auc(scored: DataFrame, label: str = "churn", score: str = "churn_probabi
 
 
 def evaluate(scored: DataFrame, label: str = "churn") -> dict[str, float]:
-    """All five metrics of a scored frame as a dict."""
+    """All five metrics of a scored frame as a dict; rows are scored once and the scores stored."""
+    scored = materialize(scored.select(label, "churn_prediction", "churn_probability"), "scores")
     row = binary_metrics(scored, label).first().asDict()
     return row | {"roc_auc": roc_auc(scored, label).first()["roc_auc"]}

@@ -67,7 +67,8 @@ def classifier(kind: str, rows: int, seed: int = SEED, **params):
         return RandomForestClassifier(
             numTrees=params.get("trees", 100),
             maxDepth=params.get("max_depth", 10),
-            minInstancesPerNode=params.get("min_leaf", 2),
+            # Spark has no minimum of rows to split: a node of that many has halves of half as many
+            minInstancesPerNode=max(params.get("min_leaf", 2), params.get("min_split", 2) // 2),
             seed=seed,
             **common,
         )
@@ -130,19 +131,38 @@ def _without_summary(model):
     return model
 
 
-def fit(train: DataFrame, kind: str, seed: int = SEED, **params) -> TrainedModel:
-    """Fit preparation and classifier on ``train`` (features and ``churn``).
+@dataclass
+class Prepared:
+    """Training rows as stored vectors, with the fitted preparation that made them."""
+
+    profile: Profile
+    preparation: PipelineModel
+    vectors: DataFrame
+
+
+def prepare(train: DataFrame) -> Prepared:
+    """Fit the preparation on ``train`` once and store its vectors, for any number of classifiers.
 
     ``train`` is scanned once per stage: pass a stored table, not a long plan.
     """
     known = profile(train)
-    stages = [
-        *preparation_stages(known.numeric, known.categorical, known.rows),
-        classifier(kind, known.rows, seed, **params),
-    ]
-    fitted = Pipeline(stages=stages).fit(with_class_weight(train, *known.weights(kind)))
-    _without_summary(fitted.stages[-1])
-    return TrainedModel(kind, fitted, known.numeric, known.categorical, params)
+    fitted = Pipeline(stages=preparation_stages(known.numeric, known.categorical, known.rows)).fit(train)
+    vectors = fitted.transform(train).select("churn", "features")
+    return Prepared(known, fitted, materialize(vectors, "vectors"))
+
+
+def fit_prepared(rows: Prepared, kind: str, seed: int = SEED, **params) -> TrainedModel:
+    """Fit a classifier on prepared rows."""
+    known = rows.profile
+    weighted = with_class_weight(rows.vectors, *known.weights(kind))
+    model = _without_summary(classifier(kind, known.rows, seed, **params).fit(weighted))
+    pipeline = PipelineModel([*rows.preparation.stages, model])
+    return TrainedModel(kind, pipeline, known.numeric, known.categorical, params)
+
+
+def fit(train: DataFrame, kind: str, seed: int = SEED, **params) -> TrainedModel:
+    """Fit preparation and classifier on ``train`` (features and ``churn``)."""
+    return fit_prepared(prepare(train), kind, seed, **params)
 
 
 def train_logistic(train: DataFrame, **params) -> TrainedModel:
@@ -184,6 +204,7 @@ def sample_trials(n: int, seed: int = SEED, max_trees: int = 300) -> list[dict]:
                     "kind": "forest",
                     "trees": rng.randint(min(50, max_trees), max_trees),
                     "max_depth": rng.randint(5, 30),
+                    "min_split": rng.randint(2, 10),
                     "min_leaf": rng.randint(1, 5),
                 }
             )
@@ -193,17 +214,23 @@ def sample_trials(n: int, seed: int = SEED, max_trees: int = 300) -> list[dict]:
 def cross_validate(train: DataFrame, trials: list[dict], folds: int = 5, seed: int = SEED, parallelism: int = 4):
     """Mean ROC-AUC of each trial over stratified folds, in trial order.
 
-    Preparation is fitted inside each fold. Fits are submitted from
+    Preparation is fitted inside each fold, once for all trials, and its vectors
+    are stored; only classifiers are fitted per trial. Fits are submitted from
     ``parallelism`` threads so that small jobs overlap on the cluster.
     """
     split = materialize(stratified_folds(train, folds, seed=seed), "folds")
     evaluator = BinaryClassificationEvaluator(labelCol="churn", numBins=0)
+    kept = [prepare(split.filter(F.col("fold") != f).drop("fold")) for f in range(folds)]
+    held = [
+        materialize(k.preparation.transform(split.filter(F.col("fold") == f)).select("churn", "features"), "held-out")
+        for f, k in enumerate(kept)
+    ]
 
     def one(job: tuple[dict, int]) -> float:
         trial, fold = job
         params = {k: v for k, v in trial.items() if k != "kind"}
-        model = fit(split.filter(F.col("fold") != fold), trial["kind"], seed, **params)
-        return evaluator.evaluate(model.pipeline.transform(split.filter(F.col("fold") == fold)))
+        model = fit_prepared(kept[fold], trial["kind"], seed, **params)
+        return evaluator.evaluate(model.classifier.transform(held[fold]))
 
     jobs = [(t, f) for t in trials for f in range(folds)]
     with ThreadPoolExecutor(parallelism) as pool:
@@ -252,7 +279,8 @@ def train_candidates(
     rest = materialize(stratified_split(split.filter("NOT is_test").drop("is_test"), seed=seed + 1), "rest")
     train, valid = rest.filter("NOT is_test").drop("is_test"), rest.filter("is_test").drop("is_test")
 
-    models = [fit(train, kind, seed, **params) for kind, params in settings.items()]
+    rows = prepare(train)
+    models = [fit_prepared(rows, kind, seed, **params) for kind, params in settings.items()]
     if trials:
         models.append(tune(train, trials, folds, seed))
     for model in models:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import churn_segment, segment_rank, tenure_band
-from .ordered import exact_quantiles
+from .ordered import exact_quantiles, null_safe_join
 
 BOX_METRICS = ["monthly_charge", "account_weeks", "cust_serv_calls", "day_mins", "data_usage"]
 HISTOGRAM_METRICS = ["monthly_charge", "day_mins", "cust_serv_calls", "account_weeks", "data_usage", "overage_fee"]
@@ -142,8 +142,8 @@ def box_summary(df: DataFrame, by: str = "churn", metrics: list[str] | None = No
     group = [by, "metric"]
     quartiles = exact_quantiles(values, group, "value", [0.0, 0.25, 0.5, 0.75, 1.0])
     reach = (F.col("q3") - F.col("q1")) * 1.5
-    # one row per group and metric
-    inside = values.join(F.broadcast(quartiles), group).filter(
+    # one row per group and metric; how many groups there are is the caller's choice
+    inside = null_safe_join(values, quartiles, group).filter(
         F.col("value").between(F.col("q1") - reach, F.col("q3") + reach)
     )
     return inside.groupBy(*group, "n", "q0", "q1", "q2", "q3", "q4").agg(

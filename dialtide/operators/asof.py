@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 from ..schemas import VIEWS, parse_refs
 
 DAY = 86400
+#: Feature rows are daily or coarser, so a slice holds many of them and one is carried.
+SLICE = 30 * DAY
 
 
 @dataclass(frozen=True)
@@ -46,12 +48,16 @@ def pit_join(
     sources: list[AsOfSource],
     key: str = "customer_id",
     time: str = "event_timestamp",
-    slice_seconds: int = DAY,
+    slice_seconds: int = SLICE,
+    only_requested: bool = False,
 ) -> DataFrame:
     """``entities`` plus, per source, its newest row not after ``time``.
 
     Ties on the instant go to the newest creation time. A row exactly
     ``ttl_days`` old still counts; an older one yields nulls, as does no match.
+    Feature rows after the newest request, or too old for the oldest one, never
+    enter the shuffle. ``only_requested`` also keeps rows of other keys out, by
+    a semi-join: right when few of many keys are asked for.
     """
     width = slice_seconds * 1_000_000
     requests = entities.filter(F.col(key).isNotNull() & F.col(time).isNotNull()).select(key, time).distinct()
@@ -69,8 +75,17 @@ def pit_join(
         )
 
     timeline = timeline_part(requests, F.lit(None).cast("bigint"), None)
+    # one row, read by every source as a scalar subquery
+    span = requests.agg(
+        F.struct(F.min(_micros(F.col(time))).alias("low"), F.max(_micros(F.col(time))).alias("high")).alias("span")
+    )
     for i, source in enumerate(sources):
-        rows = source.rows.filter(F.col(key).isNotNull() & F.col(time).isNotNull())
+        at, asked = _micros(F.col(time)), span.scalar()
+        rows = source.rows.filter(F.col(key).isNotNull() & (at <= asked["high"]))
+        if source.ttl_days is not None:
+            rows = rows.filter(at >= asked["low"] - int(source.ttl_days * DAY * 1_000_000))
+        if only_requested:
+            rows = rows.join(requests.select(key).distinct(), key, "left_semi")
         created = _micros(F.col(source.created)) if source.created in rows.columns else F.lit(None).cast("bigint")
         timeline = timeline.unionByName(timeline_part(rows, created, i), allowMissingColumns=True)
 
@@ -110,7 +125,7 @@ def pit_join(
 
 
 def feature_service_join(
-    entities: DataFrame, tables: dict[str, DataFrame], refs: list[str], slice_seconds: int = DAY
+    entities: DataFrame, tables: dict[str, DataFrame], refs: list[str], slice_seconds: int = SLICE
 ) -> DataFrame:
     """One wide row per entity row out of several views, in the order of ``refs``.
 

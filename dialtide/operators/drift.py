@@ -28,17 +28,19 @@ def drift_report(
     """KL divergence of each shared numeric column, current against reference.
 
     Both sides are counted in ``bins`` equal bins over the current range (the
-    top edge belongs to the last bin; values outside are left out); empty bins
-    count 1e-10 and both densities are normalised. Columns without more than
-    ``min_values`` values on both sides are left out. A reference wholly outside
-    the current range is drift with reason ``no_overlap`` and no number.
+    top edge belongs to the last bin); empty bins count 1e-10 and both densities
+    are normalised. Reference values outside the range are not binned but counted
+    in ``n_outside``. A column without more than ``min_values`` values on both
+    sides has reason ``too_few_values`` and no number, and is no drift. A
+    reference wholly outside the current range is drift with reason
+    ``no_overlap`` and no number.
     """
     shared = [c for c in _numeric(current) if c in _numeric(reference)]
     both = _long(current, shared, 1).unionByName(_long(reference, shared, 0))
     is_current, value = F.col("current") == 1, F.col("value")
 
     lo, hi = F.min(F.when(is_current, value)), F.max(F.when(is_current, value))
-    stats = (
+    present = (
         both.groupBy("column")
         .agg(
             F.count_if(is_current).alias("n_current"),
@@ -46,9 +48,10 @@ def drift_report(
             F.when(lo == hi, lo - 0.5).otherwise(lo).alias("lo"),
             F.when(lo == hi, hi + 0.5).otherwise(hi).alias("hi"),
         )
-        .filter((F.col("n_current") > min_values) & (F.col("n_reference") > min_values))
         .withColumn("width", (F.col("hi") - F.col("lo")) / bins)
     )
+    enough = (F.col("n_current") > min_values) & (F.col("n_reference") > min_values)
+    stats = present.filter(enough)
 
     # one row per column of the schema: small whatever the data
     guess = F.least(F.floor((value - F.col("lo")) / (F.col("hi") - F.col("lo")) * bins), F.lit(bins - 1))
@@ -93,15 +96,33 @@ def drift_report(
     )
     kl = F.when(F.col("tr") > 0, F.aggregate(terms, F.lit(0.0), lambda acc, x: acc + x))
     overlap = F.col("tr") > 0
-    return parts.withColumn("kl_divergence", kl).select(
+    compared = parts.withColumn("kl_divergence", kl).select(
         "column",
         "n_current",
         "n_reference",
+        (F.col("n_reference") - F.col("tr")).alias("n_outside"),
         "kl_divergence",
         F.when(overlap, F.col("kl_divergence") > threshold).otherwise(True).alias("drift_detected"),
         F.when(~overlap, "no_overlap").when(F.col("kl_divergence") > threshold, "kl_above_threshold").otherwise("ok")
         .alias("reason"),
     )
+    # every shared column has a row, also one without any value
+    names = both.sparkSession.createDataFrame([(c,) for c in shared], "column string")
+    few = (
+        names.join(present, "column", "left")
+        .fillna(0, ["n_current", "n_reference"])
+        .filter(~enough)
+        .select(
+            "column",
+            "n_current",
+            "n_reference",
+            F.lit(None).cast("bigint").alias("n_outside"),
+            F.lit(None).cast("double").alias("kl_divergence"),
+            F.lit(False).alias("drift_detected"),
+            F.lit("too_few_values").alias("reason"),
+        )
+    )
+    return compared.unionByName(few)
 
 
 def drift_detected(report: DataFrame) -> DataFrame:
@@ -117,11 +138,11 @@ def drift_alert(report: DataFrame) -> DataFrame:
     """One line of text per drifted column."""
     drifted = report.filter("drift_detected")
     number = F.when(F.col("kl_divergence").isNull(), F.col("reason")).otherwise(
-        F.format_string("KL div: %.4f", "kl_divergence")
+        F.format_string("divergence %.4f", "kl_divergence")
     )
     return drifted.select(
         "column",
-        F.concat(F.lit("Distribution drift detected in column "), "column", F.lit(" ("), number, F.lit(")")).alias(
+        F.concat(F.lit("values of "), "column", F.lit(" have moved: "), number).alias(
             "alert"
         ),
     )

@@ -14,9 +14,25 @@ from pyspark.sql import functions as F
 
 from ..functions import stable_order
 
+#: Least number of buckets; more where the session shuffles into more partitions.
 CUTS = 64
 
 
+def _cuts(df: DataFrame) -> int:
+    """Buckets that keep every core of the cluster busy: twice its shuffle partitions."""
+    setting = df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")
+    return max(CUTS, 2 * int(setting)) if setting.isdigit() else CUTS
+
+
+def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join on equal keys, null being equal to null; the keys of ``left`` stay."""
+    other = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_r_{k}"))
+    return left.join(other, same, how).drop(*[f"_r_{k}" for k in keys])
+
+
 def running_sums(df: DataFrame, group: list[str], bucket: str, order: list[str], sums: list[str]) -> DataFrame:
     """Add ``<c>_before`` (sum over earlier rows of the group) and ``<c>_total``.
 
@@ -36,7 +52,7 @@ def running_sums(df: DataFrame, group: list[str], bucket: str, order: list[str],
         Window.partitionBy(*group, bucket).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     )
     here = df.withColumns({f"{c}_inside": F.coalesce(F.sum(c).over(inside), F.lit(0)) for c in sums})
-    joined = here.join(offsets, [*group, bucket])
+    joined = null_safe_join(here, offsets, [*group, bucket])
     return joined.select(
         *df.columns,
         *[(F.col(f"{c}_offset") + F.col(f"{c}_inside")).alias(f"{c}_before") for c in sums],
@@ -49,15 +65,15 @@ def _cut_points(df: DataFrame, group: list[str], value: str, cuts: int) -> DataF
     return df.groupBy(*group).agg(F.percentile_approx(value, shares, 10000).alias("_cuts"))
 
 
-def value_buckets(freq: DataFrame, group: list[str], value: str, cuts: int = CUTS) -> DataFrame:
+def value_buckets(freq: DataFrame, group: list[str], value: str, cuts: int | None = None) -> DataFrame:
     """Add ``_bucket``: about equally many distinct values each, rising with ``value``.
 
     The cut points come from a fixed-size sketch, one row per group; groups are
     labels and metric names, not ids. The cuts need not be exact: any cut points
     give exact sums, only the balance changes.
     """
-    points = _cut_points(freq, group, value, cuts)
-    tagged = freq.join(F.broadcast(points), group) if group else freq.withColumn("_cuts", points.scalar())
+    points = _cut_points(freq, group, value, cuts or _cuts(freq))
+    tagged = null_safe_join(freq, points, group) if group else freq.withColumn("_cuts", points.scalar())
     below = F.size(F.filter("_cuts", lambda cut: cut < F.col(value)))
     return tagged.withColumn("_bucket", below).drop("_cuts")
 
@@ -98,7 +114,7 @@ def hashed_ranks(df: DataFrame, group: str, key: str, seed: int = 42, digits: in
         df.groupBy(group, key)
         .agg(F.count(F.lit(1)).alias("n"))
         .withColumn("_order", stable_order(F.col(key), seed))
-        .withColumn("_bucket", F.substring("_order", 1, digits))
+        .withColumn("_bucket", F.coalesce(F.substring("_order", 1, digits), F.lit("")))
     )
     ranked = running_sums(units, [group], "_bucket", ["_order", key], ["n"])
     return ranked.select(group, key, F.col("n_before").alias("rank"), F.col("n_total").alias("group_rows"))

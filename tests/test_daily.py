@@ -37,7 +37,7 @@ def test_dropped_share_counts_all_types_over_voice(spark):
 
 
 def test_promotions(spark):
-    codes = ["NONE", "LOYALTY", "LOYALTY", None]
+    codes = ["NONE", "FRIENDS", "FRIENDS", None]
     got = one(spark, *[{"promotion_code": c} for c in codes])
     assert got["active_promotions_count"] == 2  # NONE counts, null does not
     assert got["promo_usage_pct"] == 50.0  # null is in the denominator only

@@ -132,6 +132,22 @@ def test_shapley_values_add_up(data, forest):
     }
 
 
+def test_repeated_keys_do_not_multiply_contributions(data, forest):
+    prepared = forest.preparation.transform(data.orderBy("customer_id").limit(20))
+    once = explain.explain_shapley(prepared, prepared, forest.classifier, forest.names, orderings=4)
+    twice = explain.explain_shapley(prepared.union(prepared), prepared, forest.classifier, forest.names, orderings=4)
+    assert {(r[0], r[1]): round(r[2], 9) for r in once.collect()} == {(r[0], r[1]): round(r[2], 9) for r in twice.collect()}
+
+
+def test_splits_keep_rows_without_label_or_key(spark):
+    rows = [("a", 1), ("b", 0), (None, 1), ("c", None), (None, None), ("d", 0)]
+    df = spark.createDataFrame(rows, "customer_id string, churn int")
+    from dialtide.ml.split import stratified_folds, stratified_split
+
+    assert sorted(map(str, stratified_split(df).select("customer_id", "churn").collect())) == sorted(map(str, df.collect()))
+    assert stratified_folds(df, 2).count() == len(rows)
+
+
 def test_linear_explanation_is_exact(data, logistic):
     prepared = logistic.preparation.transform(data)
     values = explain.explain_linear_model(prepared, "customer_id", logistic.classifier, logistic.names)
@@ -171,6 +187,7 @@ def test_save_load_score(spark, data, logistic, forest, tmp_path):
     got = batch_score(requests, views, refs, pipeline, version).orderBy("position").collect()
     assert got[0]["churn_probability"] == got[2]["churn_probability"] == before["c0001"]
     assert 0 < got[1]["churn_probability"] < 1 and got[0]["model_version"] == version
+    assert [r["has_features"] for r in got] == [True, False, True]
     assert score_one("c0001", views, refs, pipeline, version).first()["churn_probability"] == before["c0001"]
 
 

@@ -72,7 +72,7 @@ def test_alert_shows_five_and_counts_the_rest(spark):
     shown = first_failures(results).collect()
     assert len(shown) == 5 and {r["more"] for r in shown} == {n - 5}
     text = alert_text(results, "daily run").first()["alert"]
-    assert text.count("*Failed Check #") == 5 and text.endswith(f"... and {n - 5} more failed checks")
+    assert len(text.splitlines()) == 7 and text.endswith(f"plus {n - 5} not listed")
     assert alert_text(run_suite(calls(spark, {})), "daily run").count() == 0
 
 
@@ -124,8 +124,27 @@ def test_nulls_and_nans_do_not_count(spark):
     assert (got["n_current"], got["n_reference"]) == (101, 101) and got["kl_divergence"] == pytest.approx(0, abs=1e-9)
 
 
-def test_columns_with_few_values_are_left_out(spark):
-    assert report(spark, RNG.normal(size=100), RNG.normal(size=500)) == []
+def test_columns_with_few_values_are_reported(spark):
+    for current in (RNG.normal(size=100), [None] * 200):
+        (got,) = report(spark, current, RNG.normal(size=500))
+        assert (got["reason"], got["drift_detected"], got["kl_divergence"]) == ("too_few_values", False, None)
+
+
+def test_reference_values_outside_are_counted(spark):
+    (got,) = report(spark, np.arange(200.0), np.concatenate([np.arange(150.0), np.full(7, 1e9)]))
+    assert got["n_outside"] == 7
+
+
+def test_a_gate_without_checks_does_not_pass(spark):
+    empty = calls(spark, {}).limit(0)
+    assert quality_gate(run_suite(empty, by=["call_id"])).first()["passed"] is False
+    assert quality_gate(run_suite(empty)).first()["passed"] is False
+
+
+def test_no_upper_bound_on_rows(spark):
+    from dialtide.operators.quality import CDR_SUITE
+
+    assert [c.high for c in CDR_SUITE if c.low == 1] == [None]
 
 
 def test_only_shared_numeric_columns(spark):

@@ -43,7 +43,7 @@ def test_daily_features_of_closed_days_equal_the_batch(spark, dirs):
     batch = calls(
         spark,
         {"call_time": datetime(2024, 1, 1, 10)},
-        {"call_time": datetime(2024, 1, 1, 18), "call_type": "SMS", "promotion_code": "LOYALTY"},
+        {"call_time": datetime(2024, 1, 1, 18), "call_type": "SMS", "promotion_code": "FRIENDS"},
         {"call_time": datetime(2024, 1, 2, 10), "customer_id": "x"},
         {"call_time": datetime(2024, 1, 3, 10)},
     )
