@@ -14,6 +14,16 @@ SPACE_CLASS = r"\x20\x09-\x0D"
 ROW_BITS = 33  #: ``monotonically_increasing_id`` counts rows below this bit, partitions above.
 
 
+#: Bytes that Spark hands to a Python worker at a time, whatever the length of the texts.
+BATCH_BYTES = 4 << 20
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, in a session whose Arrow batches are bounded by their bytes and not only by their rows."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return df
+
+
 def text_of(column: str = "text") -> Column:
     """The text, null counting as empty."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
@@ -21,7 +31,7 @@ def text_of(column: str = "text") -> Column:
 
 def document_columns(docs: DataFrame) -> DataFrame:
     """``doc_id`` as bigint and ``text`` without nulls; all other columns are left out."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
+    return small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
 
 
 def ascii_lower(column: Column) -> Column:

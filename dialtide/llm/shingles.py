@@ -7,7 +7,7 @@ import pyarrow as pa
 import xxhash
 
 SHINGLE_WORDS = 5
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 19
 
 _U = np.uint64
 _ODD = _U(0x9E3779B97F4A7C15)

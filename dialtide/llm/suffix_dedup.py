@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import materialize
-from .common import carried, hash128, text_of, uncarried
+from .common import carried, hash128, small_batches, text_of, uncarried
 from .shingles import SLICE_BYTES, mix, part_hashes, prefix_hashes, slices, text_bytes
 
 LENGTH = 400
@@ -244,7 +244,7 @@ def _named_windows(length: int):
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, large_bucket: int = LARGE_BUCKET) -> DataFrame:
     """Per distinct text that has any: its hash (k1, k2) and the spans of bytes that repeats cover, which may overlap."""
-    keyed = docs.select(text_of().alias("text")).withColumn("k", hash128(F.col("text")))
+    keyed = small_batches(docs).select(text_of().alias("text")).withColumn("k", hash128(F.col("text")))
     keyed = keyed.select(F.col("k.h1").alias("k1"), F.col("k.h2").alias("k2"), "text")
     long_enough = keyed.filter(F.octet_length("text") >= length)
     anchors = long_enough.mapInArrow(_anchored(length), ANCHORS).withColumn("row", F.monotonically_increasing_id())
