@@ -14,6 +14,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -29,11 +30,14 @@ BLOCK_CHARS = 512
 BLOCKS_PER_DOCUMENT = 4
 DICTIONARY_BLOCKS = 4096  #: bound of the sample per label
 DICTIONARY_BYTES = 1 << 20
-CALIBRATION_ROWS = 20_000  #: bound of the sample per label
+SAMPLE_ROWS = 10_000  #: bound of the labelled rows per label, for the dictionaries and again for the calibration
 LEVEL = 9
 CUT = 0.7
 
 
+FEATURES = ["difference", "length", "product"]
+
+
 @dataclass(frozen=True)
 class Model:
     """Dictionary contents and the weights of (1, difference, log length, their product)."""
@@ -66,7 +70,12 @@ def held_out(doc_id: Column) -> Column:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, text and label of labelled rows outside the held-out part. Conflicting labels of one id are left out."""
+    """doc_id, text, label and half of a sample of labelled rows outside the held-out part.
+
+    Half 0 is for the dictionaries, half 1 for the calibration; each has the
+    first :data:`SAMPLE_ROWS` ids of a label in the order of their hashes.
+    Conflicting labels of one id are left out.
+    """
     label = F.col("quality").cast("int")
     marked = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), label.alias("label"))
@@ -74,9 +83,19 @@ def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
         .groupBy("doc_id")
         .agg(F.min("label").alias("label"), F.max("label").alias("most"))
         .filter("label = most")
-        .drop("most")
+        .select("doc_id", "label", F.xxhash64("doc_id").alias("hash"))
+        .withColumn("half", F.col("hash").bitwiseAND(F.lit(1)).cast("int"))
+        .filter(~held_out(F.col("doc_id")))
     )
-    return document_columns(docs).filter(~held_out(F.col("doc_id"))).join(marked, "doc_id")
+    marked = materialize(marked, "marked")
+    parts = [
+        marked.filter((F.col("label") == label) & (F.col("half") == half)).orderBy("hash", "doc_id").limit(SAMPLE_ROWS)
+        for label in (0, 1)
+        for half in (0, 1)
+    ]
+    chosen = reduce(DataFrame.union, parts).drop("hash")
+    # at most four times SAMPLE_ROWS ids, whatever the number of labels
+    return document_columns(docs).join(F.broadcast(chosen), "doc_id")
 
 
 def dictionary(rows: DataFrame, label: int) -> bytes:
@@ -110,7 +129,7 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3) -> np.ndarray:
 
 def _with_features(df: DataFrame, good: bytes, bad: bytes, columns: list[str]) -> DataFrame:
     """``columns`` of ``df`` and the three features of ``text``."""
-    names = ["difference", "length", "product"]
+    names = FEATURES
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sizer = Sizer(good, bad)
@@ -133,15 +152,18 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
     calibration, so no text is measured with a dictionary that holds it.
     """
     rows = materialize(training_rows(docs, labels), "labelled")
-    half = F.xxhash64("doc_id").bitwiseAND(F.lit(1)) == 0
-    good, bad = (dictionary(rows.filter(half), k) for k in (1, 0))
+    good, bad = (dictionary(rows.filter("half = 0"), k) for k in (1, 0))
     if not good or not bad:
         return None
-    sample = None
-    for label in (0, 1):
-        one = rows.filter(~half & (F.col("label") == label)).orderBy(F.xxhash64("doc_id", "text"), "doc_id")
-        sample = one.limit(CALIBRATION_ROWS) if sample is None else sample.union(one.limit(CALIBRATION_ROWS))
-    measured = _with_features(sample, good, bad, ["label"]).collect()
+    # rows with an id that repeats come along; the features of one row a sampled id are taken
+    measured = (
+        _with_features(rows.filter("half = 1"), good, bad, ["doc_id", "label"])
+        .groupBy("doc_id")
+        .agg(F.min(F.struct("label", "difference", "length", "product")).alias("f"))
+        .select("f.*")
+        .orderBy(*FEATURES)
+        .collect()
+    )
     data = np.array([tuple(r) for r in measured], float).reshape(-1, 4)
     if len(set(data[:, 0])) < 2:
         return None

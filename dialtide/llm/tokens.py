@@ -10,6 +10,7 @@ encode each text whole.
 from __future__ import annotations
 
 import json
+import os
 import re
 import struct
 from collections.abc import Iterator
@@ -49,6 +50,8 @@ class PartEncoder(dict):
     """Ids of texts, as little-endian bytes of ``dtype``; the mapping is of parts already encoded."""
 
     def __init__(self, path: str):
+        # Spark runs a worker on each core; the library would start as many threads in each again
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
