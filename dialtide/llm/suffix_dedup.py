@@ -292,9 +292,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, large_bucket: int = LA
     # touching spans of a text are merged when they are applied
     spans = whole.union(small).union(large).groupBy("row").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     spans = spans.join(anchors.select("row", "k1", "k2"), "row")
-    return materialize(
-        spans.groupBy("k1", "k2").agg(F.flatten(F.collect_list("spans")).alias("spans")), "repeated-spans"
-    )
+    # every row of a text has the same spans, as all its anchors then share their cover
+    return materialize(spans.groupBy("k1", "k2").agg(F.first("spans").alias("spans")), "repeated-spans")
 
 
 def _cutter(as_text: bool):
