@@ -13,6 +13,7 @@ import json
 import os
 import re
 import struct
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,7 +23,8 @@ from pyspark.sql import functions as F
 
 from .common import document_columns
 
-CACHE_PARTS = 400_000
+#: Bounds of what a worker remembers: parts as they stand in texts, and the words in them.
+CACHE_PARTS, CACHE_WORDS = 800_000, 300_000
 CACHED_CHARS = 64
 SLICE_ROWS = 256  #: texts turned into Python strings at a time
 
@@ -34,7 +36,26 @@ def default_path(name: str) -> str:
 
 
 #: Letters whose lower case is one letter, in composed form: here lower-casing and composing have no context.
-_PLAIN_WORD = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)").fullmatch
+_LATIN_WORD = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+").fullmatch
+
+
+def _latin_classes() -> bytes:
+    """For each Latin-1 character: a letter or number, white space, ``.`` for full stop and comma, other marks as ``p``.
+
+    ``!`` are the four characters that Python alone takes for white space.
+    """
+
+    def one(c: str) -> str:
+        if c in ".,":
+            return "."
+        if "\x1c" <= c <= "\x1f":
+            return "!"
+        return " " if c.isspace() else "a" if unicodedata.category(c)[0] in "LN" else "p"
+
+    return "".join(one(chr(i)) for i in range(256)).encode()
+
+
+_CLASSES = _latin_classes()
 _DOUBLE_SPACE = re.compile(r"\s\s").search
 _SPACE_AFTER_TEXT = re.compile(r"(?<=\S)(?= )")
 
@@ -61,9 +82,14 @@ class PartEncoder(dict):
         self.dtype = "<u2" if self.size <= 1 << 16 else "<u4"
         self._code = "H" if self.dtype == "<u2" else "I"
         self._alphabet = _byte_alphabet()
+        self._latin = {i: "".join(map(self._alphabet.__getitem__, chr(i).encode())) for i in range(128, 256)}
+        width = 2 if self._code == "H" else 4
+        self._packed = [i.to_bytes(width, "little") for i in range(self.size)]
         # where a text may be cut: at spaces if they are dropped, before them if they lead their word
         spec = json.loads(self.tokenizer.to_str())
         self.style = self._style(spec)
+        self._words: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})  # without and with a leading space
+        self._marks = {m: self._merge(m, False) for m in ".,\n"} if self.style != "whole" else {}
 
     @staticmethod
     def _style(spec: dict) -> str:
@@ -92,37 +118,76 @@ class PartEncoder(dict):
     def library_ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def _merge(self, word: str, lead: bool) -> list[int]:
-        if not word.isascii():
-            word = "".join(map(self._alphabet.__getitem__, word.encode()))
-        return [t.id for t in self.tokenizer.model.tokenize(self._alphabet[32] + word if lead else word)]
+    def _merge(self, word: str, lead: bool) -> bytes:
+        if not word.isascii() or word == "\n":
+            word = self._alphabet[10] if word == "\n" else word.translate(self._latin)
+        tokens = self.tokenizer.model.tokenize(self._alphabet[32] + word if lead else word)
+        return b"".join([self._packed[t.id] for t in tokens])
 
     def _pack(self, ids: list[int]) -> bytes:
         return struct.pack(f"<{len(ids)}{self._code}", *ids)
 
+    def _plain(self, part: str, lead: bool) -> bytes | None:
+        """Ids of a word with a full stop or comma after it, if any; None if ``part`` is anything else."""
+        mark = self._marks.get(part[-1:], b"")
+        word = part[:-1] if mark else part
+        if not word.isalpha() or not (word.isascii() or _LATIN_WORD(word)):
+            return None
+        known = self._words[lead]
+        found = known.get(word)
+        if found is None:
+            found = self._merge(word, lead)
+            if len(word) <= CACHED_CHARS:
+                if len(known) >= CACHE_WORDS:
+                    known.clear()
+                known[word] = found
+        return found + mark
+
     def __missing__(self, part: str) -> bytes:
         """``part`` is what stands between two spaces; the space before it belongs to it in style ``lead``."""
+        if self.style == "drop" and part.isalpha() and (part.isascii() or _LATIN_WORD(part)):
+            packed = self._merge(part.lower(), False)
+            if len(part) <= CACHED_CHARS:
+                if len(self) >= CACHE_PARTS:
+                    self.clear()
+                self[part] = packed
+            return packed
         lead = self.style == "lead"
-        if match := _PLAIN_WORD(part):
-            word, mark = match.groups()
-            ids = self._merge(word if lead else word.lower(), lead)
-            if mark:
-                ids += self._merge(mark, False)
-        else:
-            ids = self.library_ids(" " + part if lead else part)
-        packed = self._pack(ids)
+        packed = self._plain(part, True) if lead else None
+        if packed is None and lead and part.count("\n") == 1:
+            # a single line break between words is a token of its own, and the next word has no space
+            left, right = part.split("\n")
+            left, right = self._plain(left, True), self._plain(right, False)
+            packed = None if left is None or right is None else left + self._marks["\n"] + right
+        if packed is None:
+            packed = self._pack(self.library_ids(" " + part if lead else part))
         if len(part) <= CACHED_CHARS:
             if len(self) >= CACHE_PARTS:
                 self.clear()
             self[part] = packed
         return packed
 
+    @staticmethod
+    def _dropped_spaces(text: str) -> list[str]:
+        """Parts of a text whose white space means nothing.
+
+        In Latin text, lower case has no context, and a full stop or comma that
+        touches no other mark stands alone; then words and marks are parts.
+        """
+        try:
+            classes = text.encode("latin-1").translate(_CLASSES)
+        except UnicodeEncodeError:
+            classes = b"!"
+        if b"!" in classes or b".." in classes or b".p" in classes or b"p." in classes or "<|" in text:
+            return text.replace("\n", " ").split(" ")
+        return text.lower().replace(".", " . ").replace(",", " , ").split()
+
     def encode(self, text: str) -> bytes:
         """The ids of the whole text, as the library gives them without special tokens added."""
         if self.style == "whole":
             return self._pack(self.library_ids(text))
         if self.style == "drop":
-            return b"".join(map(self.__getitem__, text.split(" ")))
+            return b"".join(map(self.__getitem__, self._dropped_spaces(text)))
         if _DOUBLE_SPACE(text):
             first, *rest = _SPACE_AFTER_TEXT.split(text)
             rest = [p[1:] for p in rest]
