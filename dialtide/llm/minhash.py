@@ -2,11 +2,11 @@
 
 Texts with the same words are one node. Nodes that share a band are compared in
 two rounds. First every member with the smallest node of its bucket: in a group
-of near copies this joins all of it, with one comparison a member. Then, in
-buckets that still hold several classes, the members outside the largest class
-with the members of other classes; a bitwise sketch of the signatures and the
-sizes rule out most of these inside the join. Comparisons are of whole shingle
-sets. No bucket is capped, and members of one class are never paired.
+of near copies this joins all of it, with one comparison a member. Then the
+nodes of buckets that still hold several classes: those of different classes
+that share one of their rarest shingles, which no similar pair fails to do
+(prefix filter). Comparisons are of whole shingle sets. No bucket is capped,
+and members of one class are never paired.
 """
 
 from __future__ import annotations
@@ -26,10 +26,8 @@ from .shingles import mix, prob_minhash, shingled, slices
 SIMILARITY_PERCENT = 80
 BANDS, ROWS = 32, 8
 COMPONENTS = BANDS * ROWS
-#: Bits of two sketches that may differ. At the wanted similarity 26 of 256 do, give or take 5.
-SKETCH_BITS = 80
 
-SIGNED = "row_key struct<h1:long,h2:long>, doc_id long, fp binary, n int, bands array<long>, sketch array<long>"
+SIGNED = "row_key struct<h1:long,h2:long>, doc_id long, fp binary, n int, bands array<long>"
 
 
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -46,11 +44,8 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for r in range(ROWS):
                 bands = mix(bands + spread.reshape(texts, BANDS, ROWS)[:, :, r])
             bands = mix(bands + np.arange(1, BANDS + 1, dtype=np.uint64))
-            bits = np.packbits((spread & np.uint64(1)).astype(bool), axis=1).view(np.int64)
             sizes = np.bincount(owner, minlength=texts)
-            rows = zip(sizes.tolist(), bands.view(np.int64).tolist(), bits.tolist())
-            rows = [(n, b, s) if n else (0, [], []) for n, b, s in rows]
-            n, b, s = zip(*rows)
+            n, b = zip(*[(n, b) if n else (0, []) for n, b in zip(sizes.tolist(), bands.view(np.int64).tolist())])
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column("row_key"),
@@ -58,9 +53,8 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     pa.array(fingerprints, pa.binary()),
                     pa.array(n, pa.int32()),
                     pa.array(b, pa.list_(pa.int64())),
-                    pa.array(s, pa.list_(pa.int64())),
                 ],
-                names=["row_key", "doc_id", "fp", "n", "bands", "sketch"],
+                names=["row_key", "doc_id", "fp", "n", "bands"],
             )
 
 
@@ -80,7 +74,7 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """Per document: row, row_key, doc_id, fp (of its words), n distinct shingles, band keys and sketch."""
+    """Per document: row, row_key, doc_id, fp (of its words), n distinct shingles and band keys."""
     texts = document_columns(docs).select(
         content_key("doc_id", "text").alias("row_key"), "doc_id", F.lower("text").alias("text")
     )
@@ -106,27 +100,49 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return joined.filter(100 * F.col("i") >= SIMILARITY_PERCENT * (F.col("n") - F.col("i"))).select("a", "b")
 
 
-def _between_classes(members: DataFrame, labels: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Pairs of nodes of different classes that share a bucket and are not ruled out by size or sketch."""
+def _prefixes(open_nodes: DataFrame, sets: DataFrame) -> DataFrame:
+    """(key, node, label, n): of each node the shingles that a similar node must share one of.
+
+    Shingles are in one order for all nodes, the rarest first. Two sets that are
+    similar enough share an element among the first n - ceil(similarity * n) + 1
+    of each. Passages that many texts hold come last and so pair nothing.
+    """
+    words = open_nodes.join(sets, "node").select("node", "label", F.explode("shingles").alias("key"))
+    counts = words.groupBy("key").agg(F.count("*").alias("c"))
+    ordered = (
+        words.join(counts, "key")
+        .groupBy("node", "label")
+        .agg(F.array_sort(F.collect_list(F.struct("c", "key"))).alias("keys"))
+        .withColumn("n", F.size("keys"))
+    )
+    first = F.expr(f"slice(keys, 1, CAST(n - ({SIMILARITY_PERCENT} * n + 99) div 100 + 1 AS INT))")
+    return ordered.select("node", "label", "n", F.inline(first)).filter("c > 1").drop("c")
+
+
+def _between_classes(members: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs of nodes of different classes that may be similar, out of buckets that hold several classes."""
     own = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     own = materialize(own.select("key", "node", "label"), "bucket-classes")
-    sizes = own.groupBy("key", "label").agg(F.count("*").alias("c"))
-    main = sizes.groupBy("key").agg(
-        F.max(F.struct("c", "label")).alias("top"), F.count("*").alias("classes")
-    ).filter("classes > 1").select("key", F.col("top.label").alias("main"))
-    mixed = own.join(materialize(main, "mixed-buckets"), "key").join(nodes.select("node", "n", "sketch"), "node")
-    mixed = materialize(mixed, "mixed-members")
-    few = mixed.filter("label <> main").select(
-        "key", F.col("node").alias("a"), F.col("label").alias("la"), F.col("n").alias("na"), F.col("sketch").alias("ka")
+    mixed = own.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high")
+    open_nodes = own.join(materialize(mixed.select("key"), "mixed-buckets"), "key").select("node", "label").distinct()
+    cells = materialize(_prefixes(materialize(open_nodes, "open-nodes"), sets), "prefixes")
+    sizes = cells.groupBy("key", "label").agg(F.count("*").alias("c"))
+    main = (
+        sizes.groupBy("key")
+        .agg(F.max(F.struct("c", "label")).alias("top"), F.count("*").alias("classes"))
+        .filter("classes > 1")
+        .select("key", F.col("top.label").alias("main"))
+    )
+    cells = materialize(cells.join(materialize(main, "mixed-shingles"), "key"), "mixed-cells")
+    few = cells.filter("label <> main").select(
+        "key", F.col("node").alias("a"), F.col("label").alias("la"), F.col("n").alias("na")
     )
-    bits = sum(F.bit_count(F.get("sketch", i).bitwiseXOR(F.get("ka", i))) for i in range(COMPONENTS // 64))
     near = (
         (F.col("label") != F.col("la"))
         & ((F.col("label") == F.col("main")) | (F.col("a") < F.col("node")))
         & (100 * F.least("n", "na") >= SIMILARITY_PERCENT * F.greatest("n", "na"))
-        & (bits <= SKETCH_BITS)
     )
-    f, m = few.alias("f"), mixed.alias("m")
+    f, m = few.alias("f"), cells.alias("m")
     return f.join(m, (F.col("f.key") == F.col("m.key")) & near).select("a", F.col("node").alias("b")).distinct()
 
 
@@ -149,7 +165,7 @@ def near_classes(docs: DataFrame) -> DataFrame:
     edges = materialize(verified(star, sets), "near-pairs")
     labels = connected_components(edges)
 
-    more = _between_classes(members.select("key", "node"), labels, nodes)
+    more = _between_classes(members.select("key", "node"), labels, sets)
     tested = star.select(F.col("a"), F.col("b")).union(star.select(F.col("b"), F.col("a")))
     more = materialize(verified(more.join(tested, ["a", "b"], "left_anti"), sets), "more-near-pairs")
     if not more.isEmpty():
