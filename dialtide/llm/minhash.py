@@ -1,12 +1,14 @@
 """Near-duplicate detection: ProbMinHash signatures, banding, exact verification.
 
-Texts with the same words are one node. Nodes that share a band are compared in
-two rounds. First every member with the smallest node of its bucket: in a group
-of near copies this joins all of it, with one comparison a member. Then the
-nodes of buckets that still hold several classes: those of different classes
-that share one of their rarest shingles, which no similar pair fails to do
-(prefix filter). Comparisons are of whole shingle sets. No bucket is capped,
-and members of one class are never paired.
+Texts with the same words are one node. Nodes are compared in two rounds. First
+every member of a bucket, whose nodes share a band, with the smallest node of
+it: in a group of near copies this joins all of it, with one comparison a
+member. Signatures are of weighted shingles, so this finds similar sets only
+where the counts are similar too. Then all nodes, with a band in common or not:
+those of different classes that share one of their first shingles, which no
+similar pair fails to do (prefix filter). Shingles that many texts of a sample
+hold come last. Comparisons are of whole shingle sets. No bucket is capped, and
+members of one class are never paired.
 """
 
 from __future__ import annotations
@@ -27,35 +29,81 @@ SIMILARITY_PERCENT = 80
 BANDS, ROWS = 32, 8
 COMPONENTS = BANDS * ROWS
 
-SIGNED = "row_key struct<h1:long,h2:long>, doc_id long, fp binary, n int, bands array<long>"
+#: One text in so many is looked at for shingles that many texts hold, and so many of those are remembered.
+#: They only order the shingles: pairs are the same whatever is remembered.
+SAMPLE_ONE_IN = 16
+COMMON_SHINGLES = 1 << 18
 
+SIGNED = "row_key struct<h1:long,h2:long>, doc_id long, fp binary, n int, bands array<long>, prefix array<long>"
 
-def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _prefixes(
+    owner: np.ndarray, hashes: np.ndarray, sizes: np.ndarray, common: np.ndarray, ranks: np.ndarray
+) -> pa.ListArray:
+    """Of each text the shingles that a similar text must share one of, in order.
+
+    Shingles are in one order for all texts: by rank, which is 0 but for the
+    ``common`` (sorted) ones, then by hash. Two sets that are similar enough
+    share an element among the first n - ceil(similarity * n) + 1 of each.
+    """
+    begins = np.cumsum(sizes) - sizes
+    if len(common):
+        at = np.minimum(np.searchsorted(common, hashes), len(common) - 1)
+        rank = np.where(common[at] == hashes, ranks[at], 0)
+        if rank.any():
+            hashes = hashes[np.lexsort((hashes, rank, owner))]
+    lengths = np.where(sizes > 0, sizes - (SIMILARITY_PERCENT * sizes + 99) // 100 + 1, 0)
+    inside = np.arange(len(hashes)) - begins[owner] < lengths[owner]
+    ends = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(hashes[inside].view(np.int64)))
+
+
+def _signed(common: np.ndarray, ranks: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = 0
+            for column in slices(batch.column("text")):
+                part = batch.slice(at, len(column))
+                at += len(column)
+                fingerprints, owner, hashes, counts = shingled(column)
+                texts = len(column)
+                signature = prob_minhash(owner, hashes, 1 + np.log(counts), texts, COMPONENTS)
+                spread = mix(signature)
+                bands = np.zeros((texts, BANDS), np.uint64)
+                for r in range(ROWS):
+                    bands = mix(bands + spread.reshape(texts, BANDS, ROWS)[:, :, r])
+                bands = mix(bands + np.arange(1, BANDS + 1, dtype=np.uint64))
+                sizes = np.bincount(owner, minlength=texts)
+                n, b = zip(*[(n, b) if n else (0, []) for n, b in zip(sizes.tolist(), bands.view(np.int64).tolist())])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column("row_key"),
+                        part.column("doc_id"),
+                        pa.array(fingerprints, pa.binary()),
+                        pa.array(n, pa.int32()),
+                        pa.array(b, pa.list_(pa.int64())),
+                        _prefixes(owner, hashes, sizes, common, ranks),
+                    ],
+                    names=["row_key", "doc_id", "fp", "n", "bands", "prefix"],
+                )
+
+    return run
+
+
+def _each_shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        at = 0
         for column in slices(batch.column("text")):
-            part = batch.slice(at, len(column))
-            at += len(column)
-            fingerprints, owner, hashes, counts = shingled(column)
-            texts = len(column)
-            signature = prob_minhash(owner, hashes, 1 + np.log(counts), texts, COMPONENTS)
-            spread = mix(signature)
-            bands = np.zeros((texts, BANDS), np.uint64)
-            for r in range(ROWS):
-                bands = mix(bands + spread.reshape(texts, BANDS, ROWS)[:, :, r])
-            bands = mix(bands + np.arange(1, BANDS + 1, dtype=np.uint64))
-            sizes = np.bincount(owner, minlength=texts)
-            n, b = zip(*[(n, b) if n else (0, []) for n, b in zip(sizes.tolist(), bands.view(np.int64).tolist())])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    part.column("row_key"),
-                    part.column("doc_id"),
-                    pa.array(fingerprints, pa.binary()),
-                    pa.array(n, pa.int32()),
-                    pa.array(b, pa.list_(pa.int64())),
-                ],
-                names=["row_key", "doc_id", "fp", "n", "bands"],
-            )
+            yield pa.RecordBatch.from_arrays([pa.array(shingled(column)[2].view(np.int64))], names=["shingle"])
+
+
+def common_shingles(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes, sorted, and counts of the shingles that most texts of a sample hold."""
+    sample = texts.filter(F.col("row_key.h2") % SAMPLE_ONE_IN == 0).select("text").mapInArrow(_each_shingle, "shingle long")
+    counts = sample.groupBy("shingle").agg(F.count("*").alias("c")).filter("c > 1")
+    found = counts.orderBy(F.desc("c"), "shingle").limit(COMMON_SHINGLES).toArrow()
+    hashes, ranks = found.column("shingle").to_numpy().view(np.uint64), found.column("c").to_numpy()
+    order = np.argsort(hashes)
+    return hashes[order], ranks[order]
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -74,11 +122,11 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """Per document: row, row_key, doc_id, fp (of its words), n distinct shingles and band keys."""
+    """Per document: row, row_key, doc_id, fp (of its words), n distinct shingles, band keys and the prefix of shingles."""
     texts = document_columns(docs).select(
         content_key("doc_id", "text").alias("row_key"), "doc_id", F.lower("text").alias("text")
     )
-    signed = texts.mapInArrow(_signed, SIGNED)
+    signed = texts.mapInArrow(_signed(*common_shingles(texts)), SIGNED)
     return materialize(signed.withColumn("row", F.monotonically_increasing_id()), "signatures")
 
 
@@ -100,47 +148,31 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return joined.filter(100 * F.col("i") >= SIMILARITY_PERCENT * (F.col("n") - F.col("i"))).select("a", "b")
 
 
-def _prefixes(open_nodes: DataFrame, sets: DataFrame) -> DataFrame:
-    """(key, node, label, n): of each node the shingles that a similar node must share one of.
-
-    Shingles are in one order for all nodes, the rarest first. Two sets that are
-    similar enough share an element among the first n - ceil(similarity * n) + 1
-    of each. Passages that many texts hold come last and so pair nothing.
-    """
-    words = open_nodes.join(sets, "node").select("node", "label", F.explode("shingles").alias("key"))
-    counts = words.groupBy("key").agg(F.count("*").alias("c"))
-    ordered = (
-        words.join(counts, "key")
-        .groupBy("node", "label")
-        .agg(F.array_sort(F.collect_list(F.struct("c", "key"))).alias("keys"))
-        .withColumn("n", F.size("keys"))
+def _between_classes(nodes: DataFrame, labels: DataFrame) -> DataFrame:
+    """Pairs of nodes (node, n, prefix) of different classes that may be similar, whatever bands they have."""
+    own = nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    own = materialize(own.select("node", "label", "n", "prefix"), "node-prefixes")
+    mixed = (
+        own.select("label", F.explode("prefix").alias("key"))
+        .groupBy("key")
+        .agg(F.min("label").alias("low"), F.max("label").alias("high"))
+        .filter("low < high")
     )
-    first = F.expr(f"slice(keys, 1, CAST(n - ({SIMILARITY_PERCENT} * n + 99) div 100 + 1 AS INT))")
-    return ordered.select("node", "label", "n", F.inline(first)).filter("c > 1").drop("c")
-
-
-def _between_classes(members: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs of nodes of different classes that may be similar, out of buckets that hold several classes."""
-    own = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    own = materialize(own.select("key", "node", "label"), "bucket-classes")
-    mixed = own.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high")
-    open_nodes = own.join(materialize(mixed.select("key"), "mixed-buckets"), "key").select("node", "label").distinct()
-    cells = materialize(_prefixes(materialize(open_nodes, "open-nodes"), sets), "prefixes")
+    mixed = materialize(mixed.select("key"), "mixed-shingles")
+    cells = own.select("node", "label", "n", F.posexplode("prefix").alias("at", "key"))
+    # the shingles from here on bound what a pair can share; at its first common shingle no similar pair is below the limit
+    cells = cells.withColumn("rest", F.col("n") - F.col("at")).drop("at")
+    cells = materialize(cells.join(mixed, "key"), "mixed-cells")
     sizes = cells.groupBy("key", "label").agg(F.count("*").alias("c"))
-    main = (
-        sizes.groupBy("key")
-        .agg(F.max(F.struct("c", "label")).alias("top"), F.count("*").alias("classes"))
-        .filter("classes > 1")
-        .select("key", F.col("top.label").alias("main"))
-    )
-    cells = materialize(cells.join(materialize(main, "mixed-shingles"), "key"), "mixed-cells")
+    main = sizes.groupBy("key").agg(F.max(F.struct("c", "label")).alias("top"))
+    cells = materialize(cells.join(main.select("key", F.col("top.label").alias("main")), "key"), "main-classes")
     few = cells.filter("label <> main").select(
-        "key", F.col("node").alias("a"), F.col("label").alias("la"), F.col("n").alias("na")
+        "key", F.col("node").alias("a"), F.col("label").alias("la"), F.col("n").alias("na"), F.col("rest").alias("ra")
     )
     near = (
         (F.col("label") != F.col("la"))
         & ((F.col("label") == F.col("main")) | (F.col("a") < F.col("node")))
-        & (100 * F.least("n", "na") >= SIMILARITY_PERCENT * F.greatest("n", "na"))
+        & ((100 + SIMILARITY_PERCENT) * F.least("rest", "ra") >= SIMILARITY_PERCENT * (F.col("n") + F.col("na")))
     )
     f, m = few.alias("f"), cells.alias("m")
     return f.join(m, (F.col("f.key") == F.col("m.key")) & near).select("a", F.col("node").alias("b")).distinct()
@@ -153,7 +185,7 @@ def near_classes(docs: DataFrame) -> DataFrame:
     same = signed.groupBy("fp").agg(F.min(order).alias("first"))
     same = materialize(same.select("fp", F.col("first.row").alias("node")), "same-words")
     nodes = signed.filter("n > 0").join(same.select(F.col("node").alias("row")), "row", "left_semi")
-    nodes = materialize(nodes.withColumnRenamed("row", "node"), "nodes")
+    nodes = materialize(nodes.select(F.col("row").alias("node"), "row_key", "fp", "bands"), "nodes")
 
     cells = nodes.select("node", F.explode("bands").alias("key"))
     buckets = cells.groupBy("key").agg(F.count("*").alias("c"), F.min("node").alias("head")).filter("c > 1")
@@ -165,9 +197,15 @@ def near_classes(docs: DataFrame) -> DataFrame:
     edges = materialize(verified(star, sets), "near-pairs")
     labels = connected_components(edges)
 
-    more = _between_classes(members.select("key", "node"), labels, sets)
+    signed_nodes = signed.select(F.col("row").alias("node"), "n", "prefix").join(nodes.select("node"), "node")
+    more = _between_classes(signed_nodes, labels)
     tested = star.select(F.col("a"), F.col("b")).union(star.select(F.col("b"), F.col("a")))
-    more = materialize(verified(more.join(tested, ["a", "b"], "left_anti"), sets), "more-near-pairs")
+    more = materialize(more.join(tested, ["a", "b"], "left_anti"), "more-pairs")
+    ends = more.select(F.col("a").alias("node")).union(more.select(F.col("b").alias("node"))).distinct()
+    others = materialize(ends.join(sets.select("node"), "node", "left_anti"), "more-nodes")
+    if not others.isEmpty():
+        sets = sets.union(shingle_sets(docs, nodes.select("node", "row_key", "fp").join(others, "node")))
+    more = materialize(verified(more, sets), "more-near-pairs")
     if not more.isEmpty():
         labels = connected_components(edges.union(more))
 

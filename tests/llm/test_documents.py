@@ -166,6 +166,25 @@ def test_near_duplicates_join_groups_through_their_members(documents):
     assert [got[i] for i in range(len(texts))] == brute.near_classes(texts)
 
 
+def test_near_duplicates_with_unequal_counts(documents):
+    rng = random.Random(2)
+    texts = []
+    for i in range(8):
+        # the same shingles, some of them repeated in one text only; a phrase that starts over makes no new ones after the first
+        words = [f"w{i}.{j}" for j in range(100)]
+        phrase = [f"p{i}.{j}" for j in range(30)]
+        texts += [" ".join(words + phrase * 2), " ".join(words + phrase * 100)]
+    for i in range(8):
+        words = [f"v{i}.{j}" for j in range(160)]
+        extra = [f"x{i}.{j}" for j in range(24)]
+        texts += [" ".join(words), " ".join(words + extra * 50)]
+    rng.shuffle(texts)
+    expected = brute.near_classes(texts)
+    assert len(set(expected)) == 16
+    got = {r["doc_id"]: r["class_id"] for r in minhash.near_duplicates(documents(list(enumerate(texts)))).collect()}
+    assert [got[i] for i in range(len(texts))] == expected
+
+
 def test_near_filter_keeps_one_row_a_class(odd_documents):
     classes = minhash.near_duplicates(odd_documents).collect()
     kept = minhash.near_filter(odd_documents)
