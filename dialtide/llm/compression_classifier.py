@@ -1,9 +1,10 @@
 """Quality score by compression.
 
 Two zstandard dictionaries are made of good and of bad labelled text. A text is
-compressed with each; the difference of the sizes, per byte of text, says which
-kind it resembles. A logistic fit on other labelled rows turns difference and
-length into a probability.
+compressed with each, in blocks that each start from the dictionary alone, so
+that every part of a long text counts; the difference of the sizes, per byte of
+text, says which kind it resembles. A logistic fit on other labelled rows turns
+difference and length, up to that of one block, into a probability.
 
 Fitting uses bounded samples: blocks of text for the dictionaries and size
 differences for the calibration. Scoring reads every whole text.
@@ -32,6 +33,7 @@ DICTIONARY_BLOCKS = 4096  #: bound of the sample per label
 DICTIONARY_BYTES = 1 << 20
 SAMPLE_ROWS = 10_000  #: bound of the labelled rows per label, for the dictionaries and again for the calibration
 LEVEL = 9
+FRAME_BYTES = 1 << 14  #: a longer text is compressed in blocks of this size
 CUT = 0.7
 
 
@@ -40,7 +42,7 @@ FEATURES = ["difference", "length", "product"]
 
 @dataclass(frozen=True)
 class Model:
-    """Dictionary contents and the weights of (1, difference, log length, their product)."""
+    """Dictionary contents and the weights of (1, difference, log length up to a block, their product)."""
 
     good: bytes
     bad: bytes
@@ -48,7 +50,7 @@ class Model:
 
 
 class Sizer:
-    """Compressed sizes of a text with either dictionary."""
+    """Compressed sizes of a text with either dictionary, added up over its blocks."""
 
     def __init__(self, good: bytes, bad: bytes):
         self.compressors = []
@@ -59,8 +61,10 @@ class Sizer:
 
     def features(self, text: str) -> tuple[float, float, float]:
         data = text.encode()
-        good, bad = (len(c.compress(data)) for c in self.compressors)
-        difference, length = (bad - good) / max(len(data), 1), math.log1p(len(data))
+        blocks = [data[i : i + FRAME_BYTES] for i in range(0, max(len(data), 1), FRAME_BYTES)]
+        good, bad = (sum(len(c.compress(b)) for b in blocks) for c in self.compressors)
+        # a block more changes nothing in what the difference per byte says, so the length ends at one
+        difference, length = (bad - good) / max(len(data), 1), math.log1p(min(len(data), FRAME_BYTES))
         return difference, length, difference * length
 
 

@@ -312,6 +312,21 @@ def test_classifier_separates_held_out_labels(spark, odd_documents):
     assert table(again, "doc_id", "score") == table(got, "doc_id", "score")  # held-out labels change nothing
 
 
+def test_classifier_counts_every_part_of_long_texts(spark, documents):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    model = compression_classifier.fit(docs, labels)
+    rows = docs.join(labels, "doc_id").filter(compression_classifier.held_out(F.col("doc_id"))).orderBy("doc_id").collect()
+    texts, expected = [], []
+    for label in (0, 1):
+        joined = "\n".join(r["text"] for r in rows if r["quality"] == label and r["text"])
+        for size in (100_000, 1_000_000, 3_000_000):
+            texts.append((joined * (size // len(joined) + 1))[:size])
+            expected.append(label)
+    got = compression_classifier.score(documents(list(enumerate(texts))), model).collect()
+    assert [r["predicted"] for r in sorted(got, key=lambda r: r["doc_id"])] == expected
+
+
 def test_classifier_without_labels(odd_documents, spark):
     labels = spark.createDataFrame([(1, None, 0), (None, 1, 0), (3, 1, 0), (3, 0, 0)], "doc_id long, quality int, toxic int")
     rows = compression_classifier.compression_classifier(odd_documents, labels).collect()
