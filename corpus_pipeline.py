@@ -42,7 +42,7 @@ def minhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def suffix_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Takes repeated passages out of every document."""
-    return _with_text(suffix_dedup(docs, as_text=True), "kept", docs.columns)
+    return _with_text(suffix_dedup(docs, PASSAGE_BYTES, as_text=True, least_words=PASSAGE_WORDS), "kept", docs.columns)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,6 +50,10 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return pack(docs)
 
 
+#: A passage of over 50 words goes if it repeats. It has as many bytes at least: words of one byte and the spaces between.
+PASSAGE_WORDS = 51
+PASSAGE_BYTES = 2 * PASSAGE_WORDS - 1
+
 STAGES = [
     ("quality_rules", quality_rules_stage),
     ("line_dedup", line_dedup_stage),

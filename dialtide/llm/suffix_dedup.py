@@ -296,8 +296,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, large_bucket: int = LA
     return materialize(spans.groupBy("k1", "k2").agg(F.first("spans").alias("spans")), "repeated-spans")
 
 
-def _cutter(as_text: bool):
-    """A function of compressed texts and their spans that removes the spans."""
+def _cutter(as_text: bool, least_words: int = 0, enough: int = 0):
+    """A function of compressed texts and their spans that removes the spans of ``least_words`` or ``enough`` bytes."""
     kept_type = T.StringType() if as_text else T.BinaryType()
     fields = [*[(n, T.LongType()) for n in ("n_bytes", "n_removed", "n_spans")], ("kept", kept_type)]
 
@@ -306,16 +306,20 @@ def _cutter(as_text: bool):
         grow, out = zstandard.ZstdDecompressor(), []
         for blob, own in zip(blobs.to_pylist(), spans.to_pylist()):
             data, kept, at, removed, runs = grow.decompress(blob), [], 0, 0, 0
-            end = -1
+            merged = []
             for first, last in sorted((s["start"], s["end"]) for s in own or []):
-                if first > end:
-                    runs += 1
-                    kept.append(data[at:first])
-                    removed += last - first
-                    end = at = last
-                elif last > end:
-                    removed += last - end
-                    end = at = last
+                if merged and first <= merged[-1][1]:
+                    merged[-1][1] = max(last, merged[-1][1])
+                else:
+                    merged.append([first, last])
+            for first, last in merged:
+                # words cut at either end count: a passage may begin or end with them
+                if least_words and last - first < enough and len(data[first:last].split()) < least_words:
+                    continue
+                runs += 1
+                kept.append(data[at:first])
+                removed += last - first
+                at = last
             rest = b"".join([*kept, data[at:]])
             rest = rest.decode(errors="ignore") if as_text else rest
             out.append({"n_bytes": len(data), "n_removed": removed, "n_spans": runs, "kept": rest})
@@ -326,7 +330,11 @@ def _cutter(as_text: bool):
 
 
 def suffix_dedup(
-    docs: DataFrame, length: int = LENGTH, large_bucket: int = LARGE_BUCKET, as_text: bool = False
+    docs: DataFrame,
+    length: int = LENGTH,
+    large_bucket: int = LARGE_BUCKET,
+    as_text: bool = False,
+    least_words: int = 0,
 ) -> DataFrame:
     """``docs`` without ``text``, and n_bytes, n_removed, n_spans and the ``kept`` bytes of each document.
 
@@ -335,7 +343,8 @@ def suffix_dedup(
     come in; strings do not go on from one document into the next. A null or
     empty text keeps no bytes; repeated rows are each other's copies. An empty
     table gives an empty result. With ``as_text`` what is kept is text, without
-    the parts of characters that lost others of their bytes.
+    the parts of characters that lost others of their bytes. With ``least_words``
+    a run of such bytes stays if it has fewer words and is under :data:`LENGTH`.
     """
     spans = repeated_spans(docs, length, large_bucket)
     others = [c for c in docs.columns if c != "text"]
@@ -347,5 +356,5 @@ def suffix_dedup(
         "blob",
     )
     joined = keyed.join(spans.hint("merge"), ["k1", "k2"], "left")
-    cut = joined.select("_row", _cutter(as_text)("blob", "spans").alias("cut"))
+    cut = joined.select("_row", _cutter(as_text, least_words, LENGTH)("blob", "spans").alias("cut"))
     return uncarried(cut, others, **{c: F.col("cut").getField(c) for c in ("n_bytes", "n_removed", "n_spans", "kept")})

@@ -42,6 +42,39 @@ def test_stages(spark, sf_dir):
     assert whole.columns == docs.columns and whole.count() == docs.count()
 
 
+def test_passages_of_51_words_in_two_documents_go(documents, spark, sf_dir):
+    import random
+
+    rng = random.Random(5)
+    own = lambda n: " ".join("".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(n))
+    passage, short = " ".join(own(1)[:4] for _ in range(51)), own(30)
+    assert len(passage) < 400
+    texts = [f"{own(200)}\n{passage}\n{own(200)}" for _ in range(2)] + [f"{own(200)} {short} {own(200)}" for _ in range(2)]
+    kept = dict(corpus_pipeline.suffix_dedup_stage(spark, documents(list(enumerate(texts))), sf_dir).select("doc_id", "text").collect())
+    assert all(passage not in kept[i] and len(kept[i]) <= len(texts[i]) - len(passage) for i in (0, 1))
+    assert all(kept[i] == texts[i] for i in (2, 3))
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    texts = dict(docs.select("doc_id", "text").collect())
+    raw = {i: (t or "").encode() for i, t in texts.items()}
+    seen = brute.Counter(b[p : p + 101] for b in raw.values() for p in range(len(b) - 100))
+    expected = {}
+    for i, b in raw.items():
+        runs = []
+        for p in range(len(b) - 100):
+            if seen[b[p : p + 101]] > 1:
+                if runs and p <= runs[-1][1]:
+                    runs[-1][1] = p + 101
+                else:
+                    runs.append([p, p + 101])
+        at, out = 0, []
+        for first, last in runs:
+            if last - first >= 400 or len(b[first:last].split()) > 50:
+                out.append(b[at:first])
+                at = last
+        expected[i] = b"".join([*out, b[at:]]).decode(errors="ignore")
+    assert dict(corpus_pipeline.suffix_dedup_stage(spark, docs, sf_dir).select("doc_id", "text").collect()) == expected
+
+
 def test_odd_rows_pass_through_every_stage(odd_documents, spark, sf_dir):
     docs = odd_documents
     for name, stage in corpus_pipeline.STAGES[:-1]:
