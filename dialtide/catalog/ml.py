@@ -14,6 +14,7 @@ from ..ml.score import batch_score as score_batch
 from ..ml.score import score_one as score_single
 from ..operators import monitoring, ranking
 from ..operators.snapshot import latest_snapshot
+from ..plans.training import TRIALS as JOB_TRIALS
 from ..schemas import CHURN_METRICS, MODEL_FEATURES
 from ..session import materialize, scratch_dir
 from ..sources import models
@@ -419,19 +420,15 @@ def importance_file(spark, sf_dir):
     return read_importance(spark, path)
 
 
-#: Both kinds of the tuning space with every setting of it, smaller than the job's 20 trials: those take hours
-#: here, where each fit is thousands of tiny Spark jobs.
-TRIALS = [
-    {"kind": "forest", "trees": 50, "max_depth": 8, "min_split": 6, "min_leaf": 2},
-    {"kind": "boosted", "trees": 10, "max_depth": 3, "learning_rate": 0.2, "row_share": 0.8, "column_share": 0.8,
-     "min_leaf": 2, "min_gain": 0.1},
-]
+#: The job's own trials: both kinds, drawn out of the whole tuning space.
+TRIALS = train.sample_trials(JOB_TRIALS)
+FOLDS = 5
 
 
 @query("tune")
 def tune(spark, sf_dir):
     table = model_table(spark, sf_dir)
-    scores = train.cross_validate(table, TRIALS, folds=5)
+    scores = train.cross_validate(table, TRIALS, folds=FOLDS)
     rows = [(i, t["kind"], t["trees"], t["max_depth"], s) for i, (t, s) in enumerate(zip(TRIALS, scores))]
     best = TRIALS[max(range(len(TRIALS)), key=lambda i: scores[i])]
     refit = train.fit(table, best["kind"], **{k: v for k, v in best.items() if k != "kind"})
@@ -442,7 +439,7 @@ def tune(spark, sf_dir):
 
 @query("select_best")
 def select_best(spark, sf_dir):
-    _, candidates, _ = train.train_candidates(model_table(spark, sf_dir), trials=TRIALS[:1], folds=2)
+    _, candidates, _ = train.train_candidates(model_table(spark, sf_dir), trials=TRIALS, folds=FOLDS)
     return ranking.rank_models(train.model_candidates(candidates, spark))
 
 

@@ -108,6 +108,20 @@ def test_trials_are_seeded_and_in_range():
         assert (3 <= t["max_depth"] <= 10) if t["kind"] == "boosted" else (5 <= t["max_depth"] <= 30)
 
 
+def test_registered_tuning_is_the_whole_job(monkeypatch):
+    from dialtide.catalog import ml
+    from dialtide.plans.training import TRIALS
+
+    assert TRIALS == 20 and ml.TRIALS == train.sample_trials(20) and {t["kind"] for t in ml.TRIALS} == {"forest", "boosted"}
+    seen = []
+    monkeypatch.setattr(ml, "model_table", lambda *_: None)
+    monkeypatch.setattr(ml.train, "train_candidates", lambda table, trials, folds: seen.append((trials, folds)) or (None, [], None))
+    monkeypatch.setattr(ml.train, "model_candidates", lambda candidates, spark: None)
+    monkeypatch.setattr(ml.ranking, "rank_models", lambda found: None)
+    ml.select_best(None, None)
+    assert seen == [(ml.TRIALS, 5)] and ml.FOLDS == 5
+
+
 def test_tune_and_select(data):
     trials = [{"kind": "forest", "trees": 1, "max_depth": 1}, {"kind": "forest", "trees": 10, "max_depth": 4}]
     scores = train.cross_validate(data, trials, folds=2)
