@@ -1,7 +1,9 @@
 """Removal of every byte inside a long string that starts in more than one place.
 
-This is bucket-pointer refinement of a sparse suffix array. Instead of all
-suffixes it sorts *anchors*: in each window of the wanted length, the q-gram
+This counts winnowed fingerprints. It takes the place of bucket-pointer
+refinement, which would store and join identifiers at later offsets level by
+level; here hashes of whole windows say at once which repeat. Instead of all
+suffixes it groups *anchors*: in each window of the wanted length, the q-gram
 with the smallest hash. Equal windows have their anchor at the same offset, so
 no repeat is missed. An anchor's windows are those it is the anchor of.
 
