@@ -7,6 +7,8 @@ import string
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 #: The white space of the contracts, as characters and as a regular expression class.
 SPACES = " \t\n\x0b\x0c\r"
 SPACE_CLASS = r"\x20\x09-\x0D"
@@ -95,3 +97,22 @@ def running_total(df: DataFrame, value: Column, bucket: Column, order: Column, n
         .withColumn(name, F.col("_base") + F.col("_inner"))
         .drop("_bucket", "_value", "_order", "_inner", "_base")
     )
+
+
+def numbered(df: DataFrame, *order: Column) -> DataFrame:
+    """``df`` with ``position``, from 0, in the order of ``order``.
+
+    Rows are dealt out by ranges of the order, sorted inside them and stored;
+    the sizes of the ranges, one row each, say where a range begins.
+    """
+    tie = F.xxhash64(F.spark_partition_id(), F.monotonically_increasing_id())
+    rows = df.withColumn("_tie", tie)  # equal rows need not end up in one range
+    rows = rows.repartitionByRange(*order, "_tie").sortWithinPartitions(*order, "_tie").drop("_tie")
+    rows = materialize(rows.withColumn("_at", F.monotonically_increasing_id()), "numbered")
+    part = F.shiftright("_at", ROW_BITS)
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = rows.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
+    bases = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
+    inner = F.col("_at").bitwiseAND((1 << ROW_BITS) - 1)
+    joined = rows.withColumn("_part", part).join(F.broadcast(bases), "_part")
+    return joined.withColumn("position", F.col("_base") + inner).drop("_at", "_part", "_base")

@@ -12,10 +12,12 @@ from . import sql
 from .bpe_tree import bpe_round_trip
 from .compression_classifier import compression_classifier
 from .exact_dedup import exact_dedup
+from .importance import importance_resample
 from .line_dedup import line_dedup
 from .minhash import near_duplicates
 from .packing import pack
 from .quality_rules import quality_rules
+from .source_audit import source_audit
 from .suffix_dedup import suffix_dedup
 from .token_files import token_files
 from .url_filter import url_filter
@@ -78,6 +80,15 @@ def op10_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_audit(_table(spark, sf_dir, "documents"))
+
+
+def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = importance_resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return scored.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -91,6 +102,8 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_minhash,
         op9_compression_classifier,
         op10_bpe_tree,
+        op11_source_audit,
+        op12_importance,
     )
 }
 
@@ -99,4 +112,6 @@ LLM_ORACLES: dict[str, str] = {
     "op2_line_dedup": sql.LINE_DEDUP,
     "op4_quality_rules": sql.QUALITY_RULES,
     "op7_url_filter": sql.URL_FILTER,
+    "op11_source_audit": sql.SOURCE_AUDIT,
+    "op12_importance": sql.IMPORTANCE,
 }

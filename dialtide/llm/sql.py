@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import line_dedup, quality_rules, url_filter
+from . import importance, line_dedup, quality_rules, source_audit, url_filter
 
 SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]"
@@ -128,3 +128,74 @@ FROM ruled"""
 
 
 URL_FILTER = _url_filter()
+
+LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')".format
+
+SOURCE_AUDIT = f"""
+WITH texts AS (SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS t FROM documents),
+words AS (
+  SELECT doc_id, lang, source, {LOWER("unnest(regexp_extract_all(t, '" + source_audit.TERM + "'))")} AS term FROM texts),
+kept AS (SELECT lang, term FROM words GROUP BY lang, term HAVING count(DISTINCT doc_id) >= {source_audit.MIN_DOCUMENTS}),
+counted AS (
+  SELECT w.lang, w.source, w.term, count(*) AS n FROM words w JOIN kept k ON w.lang = k.lang AND w.term = k.term
+  GROUP BY w.lang, w.source, w.term),
+groups AS (SELECT DISTINCT lang, source FROM texts),
+totals AS (
+  SELECT g.lang, g.source, coalesce(c.total, 0) AS total, coalesce(v.terms, 0) AS terms FROM groups g
+  LEFT JOIN (SELECT lang, source, sum(n) AS total FROM counted GROUP BY lang, source) c ON c.lang = g.lang AND c.source = g.source
+  LEFT JOIN (SELECT lang, count(*) AS terms FROM kept GROUP BY lang) v ON v.lang = g.lang),
+shares AS (
+  SELECT t.lang, t.source, k.term, coalesce(c.n, 0) AS n,
+         1 + (CAST({source_audit.UNIT} AS HUGEINT) * (coalesce(c.n, 0) + 1)) // (t.total + t.terms) AS p
+  FROM totals t JOIN kept k ON k.lang = t.lang
+  LEFT JOIN counted c ON c.lang = t.lang AND c.source = t.source AND c.term = k.term),
+whole AS (
+  SELECT lang, term, 1 + (CAST({source_audit.UNIT} AS HUGEINT) * (n + 1)) // (sum(n) OVER l + count(*) OVER l) AS q
+  FROM (SELECT lang, term, sum(n) AS n FROM counted GROUP BY lang, term) WINDOW l AS (PARTITION BY lang)),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(s.value, 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN (SELECT x.lang, x.source, y.source AS other, sum((x.p - y.p) * (x.p - y.p) // y.p) AS value
+             FROM shares x JOIN shares y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source
+             GROUP BY x.lang, x.source, y.source) s ON s.lang = a.lang AND s.source = a.source AND s.other = b.source),
+terms AS (
+  SELECT s.lang, s.source, s.term AS item, (s.p - w.q) * (s.p - w.q) // w.q AS value
+  FROM shares s JOIN whole w ON w.lang = s.lang AND w.term = s.term WHERE s.n > 0 AND s.p > w.q),
+ranked AS (
+  SELECT lang, source, 'pair' AS part, item, value FROM pairs UNION ALL SELECT lang, source, 'term', item, value FROM terms)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+       CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM ranked QUALIFY part = 'pair' OR rank <= {source_audit.TOP_TERMS}"""
+
+#: CRC-32 by its table, which the polynomial gives; words are hashed once each.
+IMPORTANCE = f"""
+WITH crc_table AS (
+  SELECT list(list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)
+              ORDER BY i) AS steps FROM range(256) r(i)),
+words AS (
+  SELECT doc_id, unnest(regexp_extract_all({LOWER("coalesce(text, '')")}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')) AS word FROM documents),
+aims AS (SELECT unnest(regexp_extract_all({LOWER("coalesce(text, '')")}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')) AS word FROM benchmark),
+vocabulary AS (SELECT word, hex(encode(word)) AS h FROM (SELECT word FROM words UNION SELECT word FROM aims)),
+hashed AS (
+  SELECT word, xor(list_reduce(list_prepend(4294967295, list_transform(range(length(h) // 2),
+           lambda i: CAST('0x' || substr(h, 2 * i + 1, 2) AS BIGINT))),
+           lambda c, b: xor(c >> 8, steps[1 + (xor(c, b) & 255)])), 4294967295) % {importance.BUCKETS} AS bucket
+  FROM vocabulary, crc_table),
+own AS (SELECT bucket, count(*) AS s FROM words JOIN hashed USING (word) GROUP BY bucket),
+aim AS (SELECT bucket, count(*) AS t FROM aims JOIN hashed USING (word) GROUP BY bucket),
+gains AS (
+  SELECT bucket, CAST(floor(1000 * ln((coalesce(t, 0) + 1.0::DOUBLE) * ((SELECT count(*) FROM words) + {importance.BUCKETS})
+         / ((s + 1.0::DOUBLE) * ((SELECT count(*) FROM aims) + {importance.BUCKETS})))) AS BIGINT) AS gain
+  FROM own LEFT JOIN aim USING (bucket)),
+weighted AS (
+  SELECT doc_id, count(*) AS n_features, CAST(floor(sum(gain) / count(*)) AS BIGINT) AS weight
+  FROM words JOIN hashed USING (word) JOIN gains USING (bucket) GROUP BY doc_id),
+scored AS (
+  SELECT doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln(
+         (CAST('0x' || substr(sha256('{importance.SEED}:' || doc_id), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296.0::DOUBLE))) AS BIGINT) AS score
+  FROM (SELECT doc_id FROM documents) LEFT JOIN weighted USING (doc_id)),
+drawn AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS n
+  FROM scored WHERE n_features >= {importance.MIN_WORDS})
+SELECT s.doc_id, n_features, weight, score, CASE WHEN rank <= {importance.PERCENT} * n // 100 THEN rank END AS rank
+FROM scored s LEFT JOIN drawn d ON s.doc_id = d.doc_id"""
