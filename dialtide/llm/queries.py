@@ -11,6 +11,7 @@ from ..session import configure
 from . import sql
 from .bpe_tree import bpe_round_trip
 from .compression_classifier import compression_classifier
+from .edit_fingerprints import document_fingerprints
 from .exact_dedup import exact_dedup
 from .importance import importance_resample
 from .line_dedup import line_dedup
@@ -89,6 +90,10 @@ def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "n_features", "weight", "score", "rank")
 
 
+def op13_edit_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return document_fingerprints(_table(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -104,6 +109,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_bpe_tree,
         op11_source_audit,
         op12_importance,
+        op13_edit_fingerprints,
     )
 }
 
