@@ -3,17 +3,16 @@
 from __future__ import annotations
 
 import random
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark import SparkContext
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
+from .batch_trees import BLOCK_ROWS, KINDS, cross_validated_auc
 from .metrics import evaluate
 from .prep import feature_names, numeric_and_categorical, preparation_stages, with_class_weight
 from .score import score
@@ -211,38 +210,28 @@ def sample_trials(n: int, seed: int = SEED, max_trees: int = 300) -> list[dict]:
     return trials
 
 
-def cross_validate(train: DataFrame, trials: list[dict], folds: int = 5, seed: int = SEED, parallelism: int = 4):
+def cross_validate(train: DataFrame, trials: list[dict], folds: int = 5, seed: int = SEED, block_rows: int = BLOCK_ROWS):
     """Mean ROC-AUC of each trial over stratified folds, in trial order.
 
-    Preparation is fitted inside each fold, once for all trials, and its vectors
-    are stored; only classifiers are fitted per trial. Fits are submitted from
-    ``parallelism`` threads so that small jobs overlap on the cluster.
+    Preparation is fitted inside each fold, on the rows outside it. The trees of
+    all trials and folds then grow together, see :mod:`.batch_trees`. A fold
+    whose held-out rows lack a class does not count.
     """
     split = materialize(stratified_folds(train, folds, seed=seed), "folds")
-    evaluator = BinaryClassificationEvaluator(labelCol="churn", numBins=0)
-    kept = [prepare(split.filter(F.col("fold") != f).drop("fold")) for f in range(folds)]
-    held = [
-        materialize(k.preparation.transform(split.filter(F.col("fold") == f)).select("churn", "features"), "held-out")
-        for f, k in enumerate(kept)
-    ]
-
-    def one(job: tuple[dict, int]) -> float:
-        trial, fold = job
-        params = {k: v for k, v in trial.items() if k != "kind"}
-        model = fit_prepared(kept[fold], trial["kind"], seed, **params)
-        return evaluator.evaluate(model.classifier.transform(held[fold]))
-
-    jobs = [(t, f) for t in trials for f in range(folds)]
-    with ThreadPoolExecutor(parallelism) as pool:
-        scores = list(pool.map(one, jobs))
-    return [sum(scores[i * folds : (i + 1) * folds]) / folds for i in range(len(trials))]
-
-
-def tune(
-    train: DataFrame, trials: list[dict], folds: int = 5, seed: int = SEED, parallelism: int = 4
-) -> TrainedModel:
+    rows, weights = [], []
+    for f in range(folds):
+        known = prepare(split.filter(F.col("fold") != f).drop("fold"))
+        ready = known.preparation.transform(split).select("customer_id", "churn", (F.col("fold") == f).alias("held"), "features")
+        rows.append(materialize(ready, "fold-vectors"))
+        weights.append({kind: known.profile.weights(kind) for kind in KINDS})
+    found = cross_validated_auc(rows, weights, trials, "customer_id", seed, block_rows)
+    means = {r["trial"]: r["auc"] for r in found.groupBy("trial").agg(F.avg("roc_auc").alias("auc")).collect()}
+    return [means.get(i) or 0.0 for i in range(len(trials))]
+
+
+def tune(train: DataFrame, trials: list[dict], folds: int = 5, seed: int = SEED) -> TrainedModel:
     """Refit the trial with the best cross-validated ROC-AUC on all of ``train``."""
-    scores = cross_validate(train, trials, folds, seed, parallelism)
+    scores = cross_validate(train, trials, folds, seed)
     best = trials[max(range(len(trials)), key=lambda i: scores[i])]
     return fit(train, best["kind"], seed, **{k: v for k, v in best.items() if k != "kind"})
 
