@@ -12,6 +12,7 @@ from ..ml import explain, metrics, prep, split, train
 from ..ml.score import FixedLogistic, logistic_score, score
 from ..ml.score import batch_score as score_batch
 from ..ml.score import score_one as score_single
+from ..ml.tree_shapley import explain_trees
 from ..operators import monitoring, ranking
 from ..operators.snapshot import latest_snapshot
 from ..plans.training import TRIALS as JOB_TRIALS
@@ -550,8 +551,21 @@ def explain_linear_model(spark, sf_dir):
     return explain.explain_linear_model(prepared, "customer_id", model.classifier, model.names)
 
 
-@query("explain_shapley")
-def explain_shapley(spark, sf_dir):
+def _exact_shapley(kind: str):
+    def run(spark, sf_dir):
+        model = trained(spark, sf_dir, kind)
+        prepared = model.preparation.transform(model_table(spark, sf_dir))
+        return explain_trees(prepared, prepared, model.classifier, model.names)
+
+    return run
+
+
+register("explain_shapley", _exact_shapley("forest"))
+register("explain_shapley_boosted", _exact_shapley("boosted"))
+
+
+@query("explain_shapley_sampled")
+def explain_shapley_sampled(spark, sf_dir):
     model = trained(spark, sf_dir, "forest")
     prepared = model.preparation.transform(model_table(spark, sf_dir))
     return explain.explain_shapley(prepared, prepared, model.classifier, model.names)
