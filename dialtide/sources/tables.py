@@ -6,8 +6,28 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.snapshot import latest_snapshot
 from ..schemas import BENCHMARK_ROWS, CHURN_LABELS, CHURN_TABLE
+from .snapshots import expire_snapshots, merge_snapshot, read_snapshot, snapshot_versions, write_snapshot
+
+__all__ = [
+    "expire_snapshots",
+    "list_new_files",
+    "mark_processed",
+    "merge_snapshot",
+    "read_churn_table",
+    "read_features",
+    "read_importance",
+    "read_labels_csv",
+    "read_silver",
+    "read_snapshot",
+    "read_training_parquet",
+    "snapshot_versions",
+    "write_benchmark_results",
+    "write_features",
+    "write_importance",
+    "write_silver",
+    "write_snapshot",
+]
 
 PARTITIONS = ["year", "month", "day"]
 RUN = "run"
@@ -143,49 +163,3 @@ def mark_processed(files: DataFrame, ledger_path: str, run: str = "") -> None:
     """Append the files of a finished run to the ledger."""
     stamped = files.select("path", F.current_timestamp().alias("processed_at"), F.lit(run).alias(RUN))
     stamped.write.mode("append").parquet(ledger_path)
-
-
-def write_snapshot(rows: DataFrame, base: str, version: int, key: str = "customer_id") -> str:
-    """Store one row per key as ``version=…`` below ``base``.
-
-    Rows are laid out by ranges of the key, so a lookup of some keys skips the
-    files and row groups that cannot hold them. A version appears whole or not.
-    """
-    path = f"{base.rstrip('/')}/version={version:012d}"
-    rows.repartitionByRange(key).sortWithinPartitions(key).write.mode("overwrite").parquet(path)
-    return path
-
-
-def snapshot_versions(spark: SparkSession, base: str) -> list[int]:
-    """The finished versions below ``base``, oldest first."""
-    marks = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
-    try:
-        found = marks.load(base).select(F.regexp_extract("path", r"/version=(\d+)/", 1).alias("v"))
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return []
-    return sorted(int(r["v"]) for r in found.filter("v <> ''").distinct().collect())
-
-
-def read_snapshot(spark: SparkSession, base: str, version: int | None = None) -> DataFrame:
-    """The newest, or the given, version of a stored snapshot."""
-    if version is None:
-        version = snapshot_versions(spark, base)[-1]
-    return spark.read.parquet(f"{base.rstrip('/')}/version={version:012d}")
-
-
-def merge_snapshot(rows: DataFrame, base: str, key: str = "customer_id") -> int:
-    """Merge feature rows into the stored snapshot as its next version, the newest row per key winning.
-
-    Merging the same rows again changes nothing, so a run can be repeated.
-    Readers of the version before are not disturbed.
-    """
-    spark = rows.sparkSession
-    versions = snapshot_versions(spark, base)
-    merged = rows
-    if versions:
-        merged = read_snapshot(spark, base, versions[-1]).unionByName(rows)
-    version = versions[-1] + 1 if versions else 0
-    write_snapshot(latest_snapshot(merged, key=key), base, version, key)
-    return version

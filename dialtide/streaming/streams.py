@@ -12,9 +12,8 @@ from pyspark.sql import types as T
 
 from ..operators.clean import add_date_parts, clean_cdr
 from ..operators.daily import usage_metrics
-from ..operators.snapshot import latest_snapshot
 from ..sources.cdr_csv import CSV_OPTIONS, text_schema, typed_records
-from ..sources.tables import merge_snapshot, read_snapshot
+from ..sources.tables import expire_snapshots, merge_snapshot, read_snapshot
 
 
 def stream_ingest(
@@ -91,15 +90,18 @@ def run_available(stream: DataFrame, path: str, checkpoint: str, mode: str = "ap
     query.awaitTermination()
 
 
-def push_latest(stream: DataFrame, path: str, checkpoint: str) -> None:
+def push_latest(stream: DataFrame, path: str, checkpoint: str, keep: int = 8) -> None:
     """Merge each batch's newest feature row per customer into the stored snapshot.
 
-    Merging is repeatable: a replayed batch, also one under a new checkpoint,
-    changes no value, and a lookup reads one row per customer, not all pushes.
+    A batch writes the customers it changes, not the snapshot. Merging is
+    repeatable: a replayed batch, also one under a new checkpoint, changes no
+    value, and a lookup reads one row per customer, not all pushes. The newest
+    ``keep`` versions stay readable.
     """
 
     def push(batch: DataFrame, batch_id: int) -> None:
-        merge_snapshot(latest_snapshot(batch), path)
+        merge_snapshot(batch, path)
+        expire_snapshots(batch.sparkSession, path, keep)
 
     query = (
         stream.writeStream.foreachBatch(push)
