@@ -56,11 +56,6 @@ def hash128(*parts: Column) -> Column:
     return F.struct(F.xxhash64(F.lit(17), *parts).alias("h1"), F.xxhash64(F.lit(9176), *parts).alias("h2"))
 
 
-def row_key(docs_id: Column, text: Column) -> Column:
-    """Joins facts about a document back to it; equal for repeated rows, never null."""
-    return F.xxhash64(docs_id, text)
-
-
 def content_key(*columns: str) -> Column:
     """A 128-bit key of a row's content, nulls told apart from every value; equal for repeated rows."""
     return hash128(*[x for c in columns for x in (F.col(c).isNull(), F.col(c))])
@@ -71,8 +66,16 @@ def carried(docs: DataFrame, **own: Column) -> DataFrame:
     return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), *[v.alias(k) for k, v in own.items()])
 
 
+def retexted(df: DataFrame, docs: DataFrame, text: Column) -> DataFrame:
+    """The columns of the carried rows of ``docs``, with a new text; an n_chars of theirs follows it."""
+    every = {c: F.col("_row").getField(c) for c in docs.columns if c != "text"} | {"text": text}
+    if "n_chars" in docs.columns:
+        every["n_chars"] = F.char_length(text).cast(docs.schema["n_chars"].dataType)
+    return df.select(*[every[c].alias(c) for c in docs.columns])
+
+
 def uncarried(df: DataFrame, columns: list[str], **changed: Column) -> DataFrame:
-    """The columns of the carried rows; those named in ``changed`` are replaced, or added at the end."""
+    """The columns of the carried rows; those named in ``changed`` give way to it, the others of it come at the end."""
     every = {c: F.col("_row").getField(c) for c in columns} | changed
     return df.select(*[v.alias(c) for c, v in every.items()])
 

@@ -1,14 +1,23 @@
 """Near-duplicate detection: ProbMinHash signatures, banding, exact verification.
 
-Texts with the same words are one node. Nodes are compared in two rounds. First
-every member of a bucket, whose nodes share a band, with the smallest node of
-it: in a group of near copies this joins all of it, with one comparison a
-member. Signatures are of weighted shingles, so this finds similar sets only
-where the counts are similar too. Then all nodes, with a band in common or not:
-those of different classes that share one of their first shingles, which no
-similar pair fails to do (prefix filter). Shingles that many texts of a sample
-hold come last. Comparisons are of whole shingle sets. No bucket is capped, and
-members of one class are never paired.
+One similarity, the probability Jaccard of weighted shingles, makes the pairs and
+verifies them: signatures estimate it, shingles decide. In production every
+distinct shingle weighs the same, and it is the Jaccard similarity of the sets;
+with ``repeats`` a shingle weighs 1 + ln(count).
+
+Texts with the same words are one node. Nodes with a band in common are in a
+bucket. Buckets are worked off in two steps:
+
+1. Every member is compared with the smallest node of its bucket. In a group of
+   near copies this joins nearly all of it, with one comparison a member.
+2. Where a bucket still holds several classes, the members outside its largest
+   class are compared with all others of another class. Signatures are compared
+   by the array, in blocks of a bucket, so that no pair is written unless its
+   estimate is near the limit; members of one class are never paired.
+
+No bucket is capped. A pair at the limit has no band in common with probability
+0.003, far less above it; an estimate that is off by :data:`MARGIN_PERCENT` is
+four deviations away.
 """
 
 from __future__ import annotations
@@ -20,45 +29,29 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import materialize, release
 from .common import carried, content_key, document_columns, text_of, uncarried
 from .components import connected_components
-from .shingles import mix, prob_minhash, shingled, slices
+from .shingles import mix, prob_minhash, probability_jaccard, shingled, slices
 
 SIMILARITY_PERCENT = 80
 BANDS, ROWS = 32, 8
 COMPONENTS = BANDS * ROWS
+#: Pairs whose signatures estimate a similarity so far below the limit are not verified.
+MARGIN_PERCENT = 10
+#: Members of a bucket that are compared at a time.
+BLOCK = 512
 
-#: One text in so many is looked at for shingles that many texts hold, and so many of those are remembered.
-#: They only order the shingles: pairs are the same whatever is remembered.
-SAMPLE_ONE_IN = 16
-COMMON_SHINGLES = 1 << 18
+_SIGNED = "row_key struct<h1:long,h2:long>, doc_id long, fp binary, n int, sig binary"
+_SETS = "node long, fp binary, found binary, hashes binary, weights binary"
+_PAIRS = "a long, b long"
 
-SIGNED = "row_key struct<h1:long,h2:long>, doc_id long, fp binary, n int, bands array<long>, prefix array<long>"
 
+def _weights(counts: np.ndarray, repeats: bool) -> np.ndarray:
+    return 1 + np.log(counts) if repeats else np.ones(len(counts))
 
-def _prefixes(
-    owner: np.ndarray, hashes: np.ndarray, sizes: np.ndarray, common: np.ndarray, ranks: np.ndarray
-) -> pa.ListArray:
-    """Of each text the shingles that a similar text must share one of, in order.
 
-    Shingles are in one order for all texts: by rank, which is 0 but for the
-    ``common`` (sorted) ones, then by hash. Two sets that are similar enough
-    share an element among the first n - ceil(similarity * n) + 1 of each.
-    """
-    begins = np.cumsum(sizes) - sizes
-    if len(common):
-        at = np.minimum(np.searchsorted(common, hashes), len(common) - 1)
-        rank = np.where(common[at] == hashes, ranks[at], 0)
-        if rank.any():
-            hashes = hashes[np.lexsort((hashes, rank, owner))]
-    lengths = np.where(sizes > 0, sizes - (SIMILARITY_PERCENT * sizes + 99) // 100 + 1, 0)
-    inside = np.arange(len(hashes)) - begins[owner] < lengths[owner]
-    ends = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(hashes[inside].view(np.int64)))
-
-
-def _signed(common: np.ndarray, ranks: np.ndarray):
+def _signed(repeats: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = 0
@@ -67,151 +60,186 @@ def _signed(common: np.ndarray, ranks: np.ndarray):
                 at += len(column)
                 fingerprints, owner, hashes, counts = shingled(column)
                 texts = len(column)
-                signature = prob_minhash(owner, hashes, 1 + np.log(counts), texts, COMPONENTS)
-                spread = mix(signature)
-                bands = np.zeros((texts, BANDS), np.uint64)
-                for r in range(ROWS):
-                    bands = mix(bands + spread.reshape(texts, BANDS, ROWS)[:, :, r])
-                bands = mix(bands + np.arange(1, BANDS + 1, dtype=np.uint64))
+                signature = prob_minhash(owner, hashes, _weights(counts, repeats), texts, COMPONENTS)
+                # a byte a component: different ones are equal with probability 1 / 256
+                small = (mix(signature) >> np.uint64(56)).astype(np.uint8)
                 sizes = np.bincount(owner, minlength=texts)
-                n, b = zip(*[(n, b) if n else (0, []) for n, b in zip(sizes.tolist(), bands.view(np.int64).tolist())])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column("row_key"),
-                        part.column("doc_id"),
-                        pa.array(fingerprints, pa.binary()),
-                        pa.array(n, pa.int32()),
-                        pa.array(b, pa.list_(pa.int64())),
-                        _prefixes(owner, hashes, sizes, common, ranks),
-                    ],
-                    names=["row_key", "doc_id", "fp", "n", "bands", "prefix"],
-                )
+                columns = [
+                    part.column("row_key"),
+                    part.column("doc_id"),
+                    pa.array(fingerprints, pa.binary()),
+                    pa.array(sizes.astype(np.int32)),
+                    pa.array([s.tobytes() for s in small], pa.binary()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=["row_key", "doc_id", "fp", "n", "sig"])
 
     return run
 
 
-def _each_shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for column in slices(batch.column("text")):
-            yield pa.RecordBatch.from_arrays([pa.array(shingled(column)[2].view(np.int64))], names=["shingle"])
-
-
-def common_shingles(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes, sorted, and counts of the shingles that most texts of a sample hold."""
-    sample = texts.filter(F.col("row_key.h2") % SAMPLE_ONE_IN == 0).select("text").mapInArrow(_each_shingle, "shingle long")
-    counts = sample.groupBy("shingle").agg(F.count("*").alias("c")).filter("c > 1")
-    found = counts.orderBy(F.desc("c"), "shingle").limit(COMMON_SHINGLES).toArrow()
-    hashes, ranks = found.column("shingle").to_numpy().view(np.uint64), found.column("c").to_numpy()
-    order = np.argsort(hashes)
-    return hashes[order], ranks[order]
-
-
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        at = 0
-        for column in slices(batch.column("text")):
-            part = batch.slice(at, len(column))
-            at += len(column)
-            fingerprints, owner, hashes, _ = shingled(column)
-            ends = np.searchsorted(owner, np.arange(len(column) + 1)).astype(np.int32)
-            values = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(hashes.view(np.int64)))
-            yield pa.RecordBatch.from_arrays(
-                [part.column("node"), part.column("fp"), pa.array(fingerprints, pa.binary()), values],
-                names=["node", "fp", "found", "shingles"],
-            )
-
-
-def signatures(docs: DataFrame) -> DataFrame:
-    """Per document: row, row_key, doc_id, fp (of its words), n distinct shingles, band keys and the prefix of shingles."""
+def signatures(docs: DataFrame, repeats: bool = False) -> DataFrame:
+    """Per document: row, row_key, doc_id, fp (of its words), n distinct shingles and the signature, a byte a component."""
     texts = document_columns(docs).select(
         content_key("doc_id", "text").alias("row_key"), "doc_id", F.lower("text").alias("text")
     )
-    signed = texts.mapInArrow(_signed(*common_shingles(texts)), SIGNED)
+    signed = texts.mapInArrow(_signed(repeats), _SIGNED)
     return materialize(signed.withColumn("row", F.monotonically_increasing_id()), "signatures")
 
 
-def shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """node and distinct shingles of the ``wanted`` (node, row_key, fp) texts."""
+def _sets(repeats: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = 0
+            for column in slices(batch.column("text")):
+                part = batch.slice(at, len(column))
+                at += len(column)
+                fingerprints, owner, hashes, counts = shingled(column)
+                ends = np.searchsorted(owner, np.arange(len(column) + 1))
+                weights = _weights(counts, repeats).astype(np.float32)
+                parts = [slice(*x) for x in zip(ends[:-1], ends[1:])]
+                columns = [
+                    part.column("node"),
+                    part.column("fp"),
+                    pa.array(fingerprints, pa.binary()),
+                    pa.array([hashes[p].tobytes() for p in parts], pa.binary()),
+                    pa.array([weights[p].tobytes() if repeats else b"" for p in parts], pa.binary()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=["node", "fp", "found", "hashes", "weights"])
+
+    return run
+
+
+def shingle_sets(docs: DataFrame, wanted: DataFrame, repeats: bool = False) -> DataFrame:
+    """node, hashes and weights of the shingles of the ``wanted`` (node, row_key, fp) texts."""
     texts = document_columns(docs).select(content_key("doc_id", "text").alias("row_key"), F.lower("text").alias("text"))
-    found = texts.join(wanted.hint("merge"), "row_key").select("node", "fp", "text").mapInArrow(
-        _sets, "node long, fp binary, found binary, shingles array<long>"
-    )
-    return materialize(found.filter("fp = found").dropDuplicates(["node"]).select("node", "shingles"), "shingle-sets")
+    found = texts.join(wanted.hint("merge"), "row_key").select("node", "fp", "text").mapInArrow(_sets(repeats), _SETS)
+    return materialize(found.filter("fp = found").dropDuplicates(["node"]).select("node", "hashes", "weights"), "shingle-sets")
+
+
+def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        hits = []
+        for i, (ha, wa, hb, wb) in enumerate(zip(*[batch.column(c).to_pylist() for c in ("ha", "wa", "hb", "wb")])):
+            a, b = np.frombuffer(ha, np.uint64), np.frombuffer(hb, np.uint64)
+            wa, wb = (np.frombuffer(w, np.float32).astype(float) if w else np.ones(len(h)) for w, h in ((wa, a), (wb, b)))
+            if probability_jaccard(a, wa, b, wb) * 100 >= SIMILARITY_PERCENT - 1e-6:
+                hits.append(i)
+        yield batch.select(["a", "b"]).take(pa.array(hits, pa.int64()))
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose shingle sets are similar enough."""
-    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
-    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
-    common = F.size(F.array_intersect("sa", "sb"))
-    joined = pairs.join(left, "a").join(right, "b").select("a", "b", common.alias("i"), (F.size("sa") + F.size("sb")).alias("n"))
-    return joined.filter(100 * F.col("i") >= SIMILARITY_PERCENT * (F.col("n") - F.col("i"))).select("a", "b")
-
-
-def _between_classes(nodes: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of nodes (node, n, prefix) of different classes that may be similar, whatever bands they have."""
-    own = nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    own = materialize(own.select("node", "label", "n", "prefix"), "node-prefixes")
-    mixed = (
-        own.select("label", F.explode("prefix").alias("key"))
-        .groupBy("key")
-        .agg(F.min("label").alias("low"), F.max("label").alias("high"))
-        .filter("low < high")
+    """The pairs (a, b) whose shingles are similar enough."""
+    side = lambda x: sets.select(F.col("node").alias(x), F.col("hashes").alias(f"h{x}"), F.col("weights").alias(f"w{x}"))
+    return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_similar, _PAIRS)
+
+
+def _near(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """How many components agree, of every row of ``a`` with every row of ``b``."""
+    return np.stack([(b == x).sum(axis=1) for x in a]) if len(a) else np.zeros((0, len(b)), int)
+
+
+_LEAST = -(-COMPONENTS * (SIMILARITY_PERCENT - MARGIN_PERCENT) // 100)
+
+
+def _estimated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, COMPONENTS) for c in ("sa", "sb"))
+        yield batch.select(["a", "b"]).filter(pa.array((a == b).sum(axis=1) >= _LEAST))
+
+
+def likely(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose signatures estimate a similarity near the limit or above."""
+    a, b = (nodes.select(F.col("node").alias(x), F.col("sig").alias(f"s{x}")) for x in "ab")
+    return pairs.join(a, "a").join(b, "b").mapInArrow(_estimated, _PAIRS)
+
+
+def _block_pairs(table: pa.Table) -> pa.Table:
+    """Pairs of different classes in two blocks of a bucket, by their signatures."""
+    side = table.column("side").to_numpy()
+    node, label = table.column("node").to_numpy(), table.column("label").to_numpy()
+    sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint8).reshape(-1, COMPONENTS)
+    few, all_others = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+    i, j = np.nonzero(_near(sig[few], sig[all_others]) >= _LEAST)
+    i, j = few[i], all_others[j]
+    other = label[i] != label[j]
+    a, b = np.minimum(node[i], node[j])[other], np.maximum(node[i], node[j])[other]
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
+def between_classes(members: DataFrame, labels: DataFrame, nodes: DataFrame, block: int = BLOCK) -> DataFrame:
+    """Likely pairs of different classes in a bucket of ``members`` (key, node)."""
+    own = members.join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
+    own = materialize(own, "labelled-members")
+    sizes = own.groupBy("key", "label").agg(F.count("*").alias("c"))
+    of_key = sizes.groupBy("key").agg(F.max(F.struct("c", "label")).alias("top"), F.sum("c").alias("all")).filter("top.c < all")
+    blocks = lambda n: F.ceil(n / block).cast("int")
+    of_key = of_key.select(
+        "key", F.col("top.label").alias("main"), blocks(F.col("all") - F.col("top.c")).alias("few"), blocks(F.col("all")).alias("every")
     )
-    mixed = materialize(mixed.select("key"), "mixed-shingles")
-    cells = own.select("node", "label", "n", F.posexplode("prefix").alias("at", "key"))
-    # the shingles from here on bound what a pair can share; at its first common shingle no similar pair is below the limit
-    cells = cells.withColumn("rest", F.col("n") - F.col("at")).drop("at")
-    cells = materialize(cells.join(mixed, "key"), "mixed-cells")
-    sizes = cells.groupBy("key", "label").agg(F.count("*").alias("c"))
-    main = sizes.groupBy("key").agg(F.max(F.struct("c", "label")).alias("top"))
-    cells = materialize(cells.join(main.select("key", F.col("top.label").alias("main")), "key"), "main-classes")
+    cells = own.join(materialize(of_key, "mixed-buckets"), "key")
+    # the few once for each block of all, and all once for each block of the few
+    place = lambda salt, n: F.pmod(F.xxhash64("node", F.lit(salt)), n).cast("int")
     few = cells.filter("label <> main").select(
-        "key", F.col("node").alias("a"), F.col("label").alias("la"), F.col("n").alias("na"), F.col("rest").alias("ra")
+        "key", "node", "label", F.lit(0).alias("side"), place(1, F.col("few")).alias("i"), F.explode(F.expr("sequence(0, every - 1)")).alias("j")
     )
-    near = (
-        (F.col("label") != F.col("la"))
-        & ((F.col("label") == F.col("main")) | (F.col("a") < F.col("node")))
-        & ((100 + SIMILARITY_PERCENT) * F.least("rest", "ra") >= SIMILARITY_PERCENT * (F.col("n") + F.col("na")))
+    every = cells.select(
+        "key", "node", "label", F.lit(1).alias("side"), F.explode(F.expr("sequence(0, few - 1)")).alias("i"), place(2, F.col("every")).alias("j")
     )
-    f, m = few.alias("f"), cells.alias("m")
-    return f.join(m, (F.col("f.key") == F.col("m.key")) & near).select("a", F.col("node").alias("b")).distinct()
+    dealt = few.union(every).join(nodes.select("node", "sig"), "node")
+    found = _by_groups(dealt, ["key", "i", "j"])
+    return materialize(found.distinct(), "likely-pairs")
+
+
+def _by_groups(dealt: DataFrame, keys: list[str]) -> DataFrame:
+    """:func:`_block_pairs` of every group of ``keys``; the groups of a batch are cut out of it, whole."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            held.append(batch)
+            table = pa.Table.from_batches(held)
+            marks = np.stack([table.column(k).to_numpy() for k in keys])
+            cuts = np.flatnonzero((marks[:, 1:] != marks[:, :-1]).any(axis=0)) + 1
+            for first, last in zip(np.append(0, cuts), cuts):
+                yield from _block_pairs(table.slice(first, last - first)).to_batches()
+            held = table.slice(cuts[-1] if len(cuts) else 0).to_batches()
+        if held:
+            yield from _block_pairs(pa.Table.from_batches(held)).to_batches()
 
-def near_classes(docs: DataFrame) -> DataFrame:
+    return dealt.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, _PAIRS)
+
+
+def near_classes(docs: DataFrame, repeats: bool = False) -> DataFrame:
     """One row per document: row, row_key, doc_id, class_id, class_size, kept, see :func:`near_duplicates`."""
-    signed = signatures(docs)
+    signed = signatures(docs, repeats)
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row")
     same = signed.groupBy("fp").agg(F.min(order).alias("first"))
     same = materialize(same.select("fp", F.col("first.row").alias("node")), "same-words")
     nodes = signed.filter("n > 0").join(same.select(F.col("node").alias("row")), "row", "left_semi")
-    nodes = materialize(nodes.select(F.col("row").alias("node"), "row_key", "fp", "bands"), "nodes")
+    nodes = materialize(nodes.select(F.col("row").alias("node"), "row_key", "fp", "sig"), "nodes")
 
-    cells = nodes.select("node", F.explode("bands").alias("key"))
+    keys = F.array(*[F.xxhash64(F.expr(f"substring(sig, {ROWS * i + 1}, {ROWS})"), F.lit(i)) for i in range(BANDS)])
+    cells = nodes.select("node", F.explode(keys).alias("key"))
     buckets = cells.groupBy("key").agg(F.count("*").alias("c"), F.min("node").alias("head")).filter("c > 1")
-    members = materialize(cells.join(materialize(buckets.select("key", "head"), "buckets"), "key"), "members")
+    buckets = materialize(buckets.select("key", "head"), "buckets")
+    members = materialize(cells.join(buckets, "key"), "members")
     star = members.filter("node <> head").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()
-    star = materialize(star, "star-pairs")
+    star = materialize(likely(star, nodes), "star-pairs")
     wanted = members.select("node").distinct().join(nodes.select("node", "row_key", "fp"), "node")
-    sets = shingle_sets(docs, wanted)
+    sets = shingle_sets(docs, wanted, repeats)
     edges = materialize(verified(star, sets), "near-pairs")
     labels = connected_components(edges)
 
-    signed_nodes = signed.select(F.col("row").alias("node"), "n", "prefix").join(nodes.select("node"), "node")
-    more = _between_classes(signed_nodes, labels)
-    tested = star.select(F.col("a"), F.col("b")).union(star.select(F.col("b"), F.col("a")))
-    more = materialize(more.join(tested, ["a", "b"], "left_anti"), "more-pairs")
-    ends = more.select(F.col("a").alias("node")).union(more.select(F.col("b").alias("node"))).distinct()
-    others = materialize(ends.join(sets.select("node"), "node", "left_anti"), "more-nodes")
-    if not others.isEmpty():
-        sets = sets.union(shingle_sets(docs, nodes.select("node", "row_key", "fp").join(others, "node")))
-    more = materialize(verified(more, sets), "more-near-pairs")
+    more = between_classes(members.select("key", "node"), labels, nodes)
+    tested = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    more = materialize(verified(more.join(tested, ["a", "b"], "left_anti"), sets), "more-near-pairs")
     if not more.isEmpty():
         labels = connected_components(edges.union(more))
+    release(nodes, buckets, members, star, sets)
 
     named = signed.select("row", "row_key", "doc_id", "fp").join(same, "fp").join(labels, "node", "left")
     named = named.select("row", "row_key", "doc_id", F.coalesce("label", "node").alias("label"))
     named = materialize(named, "near-classes")
+    release(signed, same)
     classes = named.groupBy("label").agg(F.count("*").alias("class_size"), F.min(order).alias("first"))
     joined = named.join(materialize(classes, "near-class-heads"), "label")
     return joined.select(
@@ -224,24 +252,29 @@ def near_classes(docs: DataFrame) -> DataFrame:
     )
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, repeats: bool = False) -> DataFrame:
     """Each document with the class of near copies it is in.
 
-    Similar are texts whose sets of five-word shingles, in lower case, have a
-    Jaccard similarity of :data:`SIMILARITY_PERCENT` percent or more; classes
-    are the connected components. A text of one to four words is one shingle;
-    texts without words, null ones included, are one class. Texts with the same
-    words are always in one class. The document with the smallest id stays;
-    rows without an id come after all others. An empty table gives an empty
-    result; other columns are not read.
+    Similar are texts whose five-word shingles, in lower case, have a probability
+    Jaccard similarity of :data:`SIMILARITY_PERCENT` percent or more, which is
+    that of their sets, or with ``repeats`` that of shingles weighted by
+    1 + ln(count); classes are the connected components. A text of one to four
+    words is one shingle; texts without words, null ones included, are one class.
+    Texts with the same words are always in one class. The document with the
+    smallest id stays; rows without an id come after all others. Of rows repeated
+    whole any one may stay. Texts are read whole. An empty table gives an empty
+    result; other columns are not read, whatever their names.
 
     Returns doc_id, class_id (id of the document that stays), class_size, kept.
     """
-    return near_classes(docs).select("doc_id", "class_id", "class_size", "kept")
+    return near_classes(docs, repeats).select("doc_id", "class_id", "class_size", "kept")
 
 
 def near_filter(docs: DataFrame) -> DataFrame:
-    """One row of ``docs`` for each class of :func:`near_duplicates`, with all its columns."""
+    """One row of ``docs`` for each class of :func:`near_duplicates`, with all its columns as they were.
+
+    Of rows repeated whole one stays; null and empty texts are one class. An empty table gives an empty result.
+    """
     kept = materialize(near_classes(docs).filter("kept").select("row_key"), "kept")
     keyed = carried(docs, doc_id=F.col("doc_id").cast("long"), text=text_of())
     # rows repeated whole have one key: one of them stays

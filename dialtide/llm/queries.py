@@ -56,7 +56,14 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup(_table(spark, sf_dir, "documents")).select(
-        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+        "doc_id",
+        "n_bytes",
+        "n_removed",
+        "n_spans",
+        F.sha2("kept", 256).alias("kept_sha256"),
+        "n_passages",
+        "n_passage_words",
+        (F.col("n_passages") > 0).alias("has_repeated_passage"),
     )
 
 

@@ -27,7 +27,7 @@ _FACTORS = mix((np.arange(SHINGLE_WORDS, dtype=_U) + _U(101)) * _ODD) | _U(1)
 _powers = {_BASE: np.ones(1, _U), _INVERSE: np.ones(1, _U)}
 
 
-def powers(base: int, n: int) -> np.ndarray:
+def powers(n: int, base: int = _BASE) -> np.ndarray:
     """The first ``n`` powers modulo 2**64, kept for the next call."""
     if len(_powers[base]) < n:
         factors = np.full(1 << (n - 1).bit_length(), base, _U)
@@ -39,12 +39,12 @@ def powers(base: int, n: int) -> np.ndarray:
 def prefix_hashes(data: np.ndarray) -> np.ndarray:
     """Sums whose differences, times an inverse power, hash any part of ``data``."""
     out = np.zeros(len(data) + 1, _U)
-    np.cumsum(_BYTES[data] * powers(_BASE, len(data)), out=out[1:])
+    np.cumsum(_BYTES[data] * powers(len(data)), out=out[1:])
     return out
 
 
 def part_hashes(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    value = (prefix[end] - prefix[start]) * powers(_INVERSE, len(prefix))[start]
+    value = (prefix[end] - prefix[start]) * powers(len(prefix), _INVERSE)[start]
     return mix(value + (end - start).astype(_U) * _ODD)
 
 
@@ -81,6 +81,11 @@ def _words(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return np.flatnonzero(begins), np.flatnonzero(stops) + 1
 
 
+def word_bounds(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end of every word of one text."""
+    return _words(np.frombuffer(text, np.uint8), np.zeros(1, int))
+
+
 def word_hashes(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hash and text number of every word; long texts are hashed a stretch at a time."""
     begins, stops = _words(data, starts)
@@ -157,3 +162,23 @@ def prob_minhash(owner: np.ndarray, hashes: np.ndarray, weights: np.ndarray, tex
         live = time < latest[owner]
         owner, hashes, weights, time = owner[live], hashes[live], weights[live], time[live]
     return winner
+
+
+def probability_jaccard(a: np.ndarray, wa: np.ndarray, b: np.ndarray, wb: np.ndarray) -> float:
+    """The probability Jaccard similarity of two weighted sets of distinct hashes.
+
+    For each common element the weights of all are compared after both sets are
+    scaled so that it weighs 1; the larger ones add up to the inverse of its
+    share. With equal weights this is the Jaccard similarity.
+    """
+    if not len(a) or not len(b):
+        return 0.0
+    _, ia, ib = np.intersect1d(a, b, assume_unique=True, return_indices=True)
+    if (wa == wa[0]).all() and (wb == wb[0]).all():
+        return len(ia) / (len(a) + len(b) - len(ia))
+    x, y = wa[ia], wb[ib]
+    order = np.argsort(x / y)
+    x, y = x[order], y[order]
+    larger_x = wa.sum() - np.cumsum(x) + x  # only in a, or at this ratio or above
+    larger_y = wb.sum() - y.sum() + np.cumsum(y) - y  # only in b, or below this ratio
+    return float((1 / (larger_x / x + larger_y / y)).sum())

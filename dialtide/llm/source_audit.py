@@ -7,14 +7,16 @@ terms are joined back to the counts. So the work on terms follows the vocabulary
 and not the corpus.
 
 How many documents hold a term cannot be added up from its chunks, as one
-document may hold several of them. But only a few documents are asked for. A chunk
-in enough documents settles its terms. One in fewer carries its documents along,
-the first and the last row, so that the documents of the other terms are
-counted exactly.
+document may hold several of them. But only a few documents are asked for. The
+sum over the chunks bounds them from above. From below a source has as many as
+its commonest chunk, or as the first and last rows of its chunks tell apart, and
+documents of different sources differ. Terms that these bounds leave open are
+counted exactly, by the documents of their chunks.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,37 +35,45 @@ UNIT = 1_000_000_000
 TOP_TERMS = 200
 #: Cells of terms, and sources, that one task compares at a time.
 BLOCK_CELLS, BLOCK_SOURCES = 1 << 16, 256
+#: Chunks that a task holds before it hands on their counts.
+HELD_CHUNKS = 1 << 18
 
 _GROUP = ["lang", "source"]
 _COUNTS = "lang string, source string, chunk string, n long, documents long, low long, high long"
 
 
 def _chunk_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The chunks of a batch of documents by language and source, with the first and the last row that hold them."""
+    """Chunks by language and source, with the first and the last row that hold them; a task adds up what it can hold."""
+    held: dict[tuple[str, str], tuple] = {}
+    size = 0
+
+    def emptied() -> Iterator[pa.RecordBatch]:
+        for (lang, source), (n, documents, low, high) in held.items():
+            chunks = pa.array(list(low), pa.binary()).cast(pa.string())
+            names = [pa.array([x], pa.string()).take(pa.array(np.zeros(len(low), int))) for x in (lang, source)]
+            numbers = [pa.array([x[c] for c in low], pa.int64()) for x in (n, documents, low, high)]
+            yield pa.RecordBatch.from_arrays([*names, chunks, *numbers], names=[c.split()[0] for c in _COUNTS.split(", ")])
+        held.clear()
+
     for batch in batches:
-        found: dict[tuple[str, str], dict[bytes, list[int]]] = {}
         columns = [batch.column(c).to_pylist() for c in ("lang", "source", "row", "text")]
         for lang, source, row, text in zip(*columns):
-            own = found.setdefault((lang, source), {})
-            for chunk in text.encode().split():  # at white space of ASCII alone
-                seen = own.get(chunk)
-                if seen is None:
-                    own[chunk] = [1, 1, row, row]
-                else:
-                    seen[0] += 1
-                    if seen[3] != row:
-                        seen[1] += 1
-                        seen[3] = row
-        for (lang, source), own in found.items():
-            if not own:
+            words = text.encode().split()  # at white space of ASCII alone
+            if not words:
                 continue
-            chunks = pa.array(list(own), pa.binary()).cast(pa.string())
-            numbers = np.array(list(own.values()), np.int64)
-            names = [pa.array([x] * len(own), pa.string()) for x in (lang, source)]
-            yield pa.RecordBatch.from_arrays(
-                [*names, chunks, *[pa.array(numbers[:, i]) for i in range(4)]],
-                names=["lang", "source", "chunk", "n", "documents", "low", "high"],
-            )
+            own = held.setdefault((lang, source), (Counter(), Counter(), {}, {}))
+            n, documents, low, high = own
+            once = dict.fromkeys(words, row)
+            new = once.keys() - low.keys()
+            n.update(words)
+            documents.update(once.keys())
+            high.update(once)
+            low.update(dict.fromkeys(new, row))
+            size += len(new)
+            if size > HELD_CHUNKS:
+                yield from emptied()
+                size = 0
+    yield from emptied()
 
 
 def chunk_counts(docs: DataFrame) -> DataFrame:
@@ -80,35 +90,44 @@ def chunk_terms(counts: DataFrame) -> DataFrame:
     return materialize(each.groupBy("chunk", "term").agg(F.count("*").alias("times")), "chunk-terms")
 
 
-def _rare_witnesses(docs: DataFrame, unsettled: DataFrame, min_documents: int) -> DataFrame:
-    """lang, term and row of the documents with chunks of the unsettled (lang, term, source, chunk, low, high)."""
-    if min_documents <= 3:  # a chunk in under three documents is in its first and last
-        return unsettled.select("lang", "term", F.explode(F.array("low", "high")).alias("row"))
-    chunks = F.array_distinct(F.split("text", r"[\x20\x09-\x0D]+"))
-    cells = docs.select(*_GROUP, "row", F.explode(chunks).alias("chunk"))
-    return cells.join(unsettled.select(*_GROUP, "chunk", "term"), [*_GROUP, "chunk"]).select("lang", "term", "row")
+def _open_documents(docs: DataFrame, counts: DataFrame, terms: DataFrame, unsettled: DataFrame, least: int) -> DataFrame:
+    """lang, term and row of the documents that hold the unsettled terms (lang, term); chunks in ``least`` documents do not occur here."""
+    chunks = terms.join(unsettled, "term").select("lang", "chunk", "term").distinct()
+    if least <= 3:  # a chunk in under three documents is in its first and last
+        return counts.join(chunks, ["lang", "chunk"]).select("lang", "term", F.explode(F.array("low", "high")).alias("row"))
+    split = F.explode(F.array_distinct(F.split("text", r"[\x20\x09-\x0D]+"))).alias("chunk")
+    return docs.select("lang", "row", split).join(chunks, ["lang", "chunk"]).select("lang", "term", "row")
 
 
 def term_cells(docs: DataFrame, min_documents: int = MIN_DOCUMENTS) -> tuple[DataFrame, DataFrame]:
-    """Of (row, lang, source, text): the kept terms of each language, and their counts by (lang, source, term)."""
+    """Of (row, lang, source, text): the kept terms of each language, and their counts by (lang, source, term), also over all sources."""
     counts = chunk_counts(docs)
-    cells = counts.join(chunk_terms(counts), "chunk")
-    cells = materialize(cells.withColumn("n", F.col("n") * F.col("times")).drop("times"), "term-cells")
-    by_term = cells.groupBy("lang", "term").agg(F.max("documents").alias("most"), F.sum("documents").alias("all"))
-    by_term = materialize(by_term.filter(F.col("all") >= min_documents), "term-documents")
-    open_terms = by_term.filter(F.col("most") < min_documents).select("lang", "term")
-    rows = _rare_witnesses(docs, cells.join(open_terms, ["lang", "term"]), min_documents)
-    counted = rows.distinct().groupBy("lang", "term").agg(F.count("*").alias("c")).filter(F.col("c") >= min_documents)
-    kept = by_term.filter(F.col("most") >= min_documents).select("lang", "term").union(counted.select("lang", "term"))
-    kept = materialize(kept, "kept-terms")
-    summed = cells.groupBy(*_GROUP, "term").agg(F.sum("n").alias("n")).join(kept, ["lang", "term"])
-    return kept, materialize(summed.select(*_GROUP, "term", "n"), "kept-cells")
+    terms = chunk_terms(counts)
+    cells = counts.join(terms, "chunk").groupBy(*_GROUP, "term")
+    told_apart = F.size(F.array_distinct(F.array(*[f(c) for f in (F.min, F.max) for c in ("low", "high")])))
+    cells = cells.agg(
+        F.sum(F.col("n") * F.col("times")).alias("n"),
+        F.greatest(F.max("documents"), told_apart.cast("long")).alias("least"),
+        F.sum("documents").alias("most"),
+    )
+    cells = materialize(cells, "term-cells")
+    by_term = cells.groupBy("lang", "term").agg(*[F.sum(c).alias(c) for c in ("n", "least", "most")])
+    by_term = materialize(by_term.filter(F.col("most") >= min_documents), "term-documents")
+    kept = by_term.filter(F.col("least") >= min_documents).select("lang", "term", "n")
+    unsettled = by_term.filter(F.col("least") < min_documents)
+    if not unsettled.isEmpty():
+        rows = _open_documents(docs, counts, terms, unsettled.select("lang", "term"), min_documents)
+        counted = rows.distinct().groupBy("lang", "term").agg(F.count("*").alias("c")).filter(F.col("c") >= min_documents)
+        kept = kept.union(unsettled.join(counted, ["lang", "term"]).select("lang", "term", "n"))
+    kept = materialize(kept.withColumnRenamed("n", "whole"), "kept-terms")
+    return kept, materialize(cells.select(*_GROUP, "term", "n").join(kept, ["lang", "term"]), "kept-cells")
 
 
 def share(n: Column, total: Column, terms: Column) -> Column:
     """The smoothed share of a count, in units of 1 / :data:`UNIT`, as a whole number: 1 + floor(UNIT (n + 1) / (total + terms))."""
-    exact = (n + 1).cast("decimal(19,0)") * F.lit(UNIT).cast("decimal(10,0)")
-    return F.expr("1L") + F.call_function("div", exact, (total + terms).cast("decimal(19,0)"))
+    plain = F.call_function("div", (n + 1) * UNIT, total + terms)
+    exact = F.call_function("div", (n + 1).cast("decimal(19,0)") * F.lit(UNIT).cast("decimal(10,0)"), (total + terms).cast("decimal(19,0)"))
+    return 1 + F.when(n < (1 << 62) // UNIT, plain).otherwise(exact)
 
 
 def _divergence(p: np.ndarray, q: np.ndarray) -> np.ndarray:
@@ -148,7 +167,6 @@ def pair_values(groups: DataFrame, kept: DataFrame, cells: DataFrame) -> DataFra
     blocks = F.ceil(F.col("terms") * F.col("places") / (4 * BLOCK_CELLS)).cast("int")
     sizes = sizes.select("lang", blocks.alias("blocks"), F.floor((F.col("places") - 1) / BLOCK_SOURCES).cast("int").alias("parts"))
     part = F.explode(F.sequence(F.lit(0), "parts")).alias("part")
-    # a term without a count in any source does not exist, so every kept term is in its block
     dealt = cells.join(groups.select(*_GROUP, "place", "total", "terms"), _GROUP).join(sizes, "lang")
     dealt = dealt.select(
         "lang", F.pmod(F.xxhash64("term"), F.col("blocks")).cast("int").alias("block"), part, "term", F.col("place").alias("place"),
@@ -199,11 +217,10 @@ def source_audit(docs: DataFrame, min_documents: int = MIN_DOCUMENTS, top_terms:
     pairs = one.join(other, "lang").filter("a <> b").join(sums, ["lang", "a", "b"], "left")
     pairs = pairs.select(*_GROUP, F.lit("pair").alias("part"), "item", F.coalesce("value", F.lit(0)).cast("long").alias("value"))
 
-    whole = cells.groupBy("lang", "term").agg(F.sum("n").alias("all"))
     of_lang = groups.groupBy("lang").agg(F.sum("total").alias("lang_total"))
-    terms = cells.join(whole, ["lang", "term"]).join(groups.select(*_GROUP, "total", "terms"), _GROUP).join(of_lang, "lang")
+    terms = cells.join(groups.select(*_GROUP, "total", "terms"), _GROUP).join(of_lang, "lang")
     terms = terms.withColumn("p", share(F.col("n"), F.col("total"), F.col("terms")))
-    terms = terms.withColumn("q", share(F.col("all"), F.col("lang_total"), F.col("terms"))).filter("p > q")
+    terms = terms.withColumn("q", share(F.col("whole"), F.col("lang_total"), F.col("terms"))).filter("p > q")
     terms = terms.select(*_GROUP, F.lit("term").alias("part"), F.col("term").alias("item"), F.expr("(p - q) * (p - q) div q").alias("value"))
     order = Window.partitionBy(*_GROUP, "part").orderBy(F.desc("value"), "item")
     ranked = lambda df: df.withColumn("rank", F.row_number().over(order))

@@ -1,4 +1,8 @@
-"""Removal of every byte inside a long string that starts in more than one place.
+"""Removal of repeated strings and of repeated passages.
+
+Two units are looked for in one pass: strings of :data:`LENGTH` bytes, and
+passages of :data:`PASSAGE_WORDS` words, whatever white space is between these.
+What any of them covers that also starts anywhere else is repeated.
 
 This counts winnowed fingerprints. It takes the place of bucket-pointer
 refinement, which would store and join identifiers at later offsets level by
@@ -31,18 +35,34 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import materialize
-from .common import carried, hash128, small_batches, text_of, uncarried
-from .shingles import SLICE_BYTES, mix, part_hashes, prefix_hashes, slices, text_bytes
+from ..session import materialize, release
+from .common import carried, hash128, retexted, small_batches, text_of, uncarried
+from .shingles import (
+    SLICE_BYTES,
+    mix,
+    part_hashes,
+    powers,
+    prefix_hashes,
+    slices,
+    text_bytes,
+    word_bounds,
+    word_hashes,
+)
 
 LENGTH = 400
+PASSAGE_WORDS = 51
 LARGE_BUCKET = 2000  #: members beyond which a bucket's windows are counted in a shuffle
 _POSITION_BITS = 24
+BYTES, WORDS = 0, 1  #: the units
 
-ANCHORS = "k1 long, k2 long, at array<int>, first array<int>, last array<int>, core array<long>, cover array<long>"
-CONTEXT = "core long, large boolean, row long, weight int, at int, first int, last int, bytes binary"
-WINDOW = "row long, first int, name1 long, name2 long, weight int"
-SPAN = "row long, start int, end int"
+_ANCHOR = [("unit", pa.int8()), *[(c, pa.int32()) for c in ("at", "first", "last")], ("core", pa.int64()), ("cover", pa.int64())]
+ANCHORS = (
+    "k1 long, k2 long, unit array<tinyint>, at array<int>, first array<int>, last array<int>, core array<long>, cover array<long>"
+)
+MEMBER = ["unit", "core", "large", "row", "weight", "at", "first", "last"]
+CONTEXT = "unit tinyint, core long, large boolean, row long, weight int, at int, first int, last int, bytes binary"
+WINDOW = "unit tinyint, row long, first int, name1 long, name2 long, weight int"
+SPAN = "unit tinyint, row long, start int, end int"
 
 
 def window_grams(length: int) -> int:
@@ -60,12 +80,14 @@ def _sliding_least(keys: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(behind[: n - width + 1], ahead[width - 1 : n])
 
 
-def find_anchors(data: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
-    """Anchors of the texts that end at ``ends``: position, first and last window, q-gram hash; positions in ``data``."""
-    width = window_grams(length)
+def find_anchors(prefix: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
+    """Anchors of the texts that end at ``ends``: position, first and last window, q-gram hash.
+
+    Positions are those of the bytes or words whose prefix sums are given.
+    """
+    n, width = len(prefix) - 1, window_grams(length)
     q = length - width + 1
-    prefix = prefix_hashes(data)
-    start = np.arange(len(data) - q + 1)
+    start = np.arange(n - q + 1)
     grams = part_hashes(prefix, start, start + q)
     low = np.uint64(_POSITION_BITS)
     least = _sliding_least(grams >> low << low | start.astype(np.uint64), width)
@@ -81,6 +103,13 @@ def find_anchors(data: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.nd
     return anchor[runs], windows[runs], last, grams[anchor[runs]]
 
 
+def _word_prefix(hashes: np.ndarray) -> np.ndarray:
+    """Like :func:`prefix_hashes`, over the hashes of words."""
+    out = np.zeros(len(hashes) + 1, np.uint64)
+    np.cumsum(hashes * powers(len(hashes)), out=out[1:])
+    return out
+
+
 def _stretches(column: pa.Array, length: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first text, offset in it, bytes, ends of texts); a long text comes in overlapping stretches."""
     at = 0
@@ -95,32 +124,50 @@ def _stretches(column: pa.Array, length: int) -> Iterator[tuple[int, int, np.nda
         at += len(part)
 
 
-def _anchored(length: int):
+def _word_stretches(column: pa.Array, words: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """The same of the hashes of words."""
+    at = 0
+    for part in slices(column):
+        data, bounds = text_bytes(part)
+        hashes, owner = word_hashes(data, bounds[:-1])
+        if len(part) == 1 and len(hashes) > 2 * SLICE_BYTES:
+            for offset in range(0, len(hashes), SLICE_BYTES):
+                piece = hashes[offset : offset + SLICE_BYTES + words - 1]
+                yield at, offset, piece, np.array([len(piece)])
+        else:
+            yield at, 0, hashes, np.searchsorted(owner, np.arange(1, len(part) + 1))
+        at += len(part)
+
+
+def _anchored(lengths: dict[int, int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             column = batch.column("text")
-            found = [[[], [], [], [], []] for _ in range(batch.num_rows)]
-            for text, offset, data, ends in _stretches(column, length):
-                if len(data) < length:
-                    continue
-                at, first, last, grams = find_anchors(data, ends, length)
-                begins = np.concatenate([[0], ends[:-1]])
-                owner = np.searchsorted(ends, first, "right")
-                raw, base = data.tobytes(), begins[owner] - offset
-                covers = [xxhash.xxh3_64_intdigest(raw[a : b + length]) for a, b in zip(first.tolist(), last.tolist())]
-                covers = np.array(covers, np.uint64).view(np.int64)
-                columns = (at - base, first - base, last - base, grams.view(np.int64), covers)
-                cuts = np.searchsorted(owner, np.arange(len(ends) + 1))
-                for i in np.unique(owner).tolist():
-                    for out, values in zip(found[text + i], columns):
-                        out.append(values[cuts[i] : cuts[i + 1]])
+            found = [[[] for _ in _ANCHOR] for _ in range(batch.num_rows)]
+            for unit, length in lengths.items():
+                cut = _stretches if unit == BYTES else _word_stretches
+                for text, offset, data, ends in cut(column, length):
+                    if len(data) < length:
+                        continue
+                    prefix = prefix_hashes(data) if unit == BYTES else _word_prefix(data)
+                    at, first, last, grams = find_anchors(prefix, ends, length)
+                    begins = np.concatenate([[0], ends[:-1]])
+                    owner = np.searchsorted(ends, first, "right")
+                    raw, size, base = data.tobytes(), data.itemsize, begins[owner] - offset
+                    covers = [xxhash.xxh3_64_intdigest(raw[a * size : (b + length) * size]) for a, b in zip(first.tolist(), last.tolist())]
+                    covers = np.array(covers, np.uint64).view(np.int64)
+                    # grams of bytes and of words are never in one bucket
+                    grams = mix(grams + np.uint64(unit)).view(np.int64)
+                    columns = (np.full(len(at), unit), at - base, first - base, last - base, grams, covers)
+                    cuts = np.searchsorted(owner, np.arange(len(ends) + 1))
+                    for i in np.unique(owner).tolist():
+                        for out, values in zip(found[text + i], columns):
+                            out.append(values[cuts[i] : cuts[i + 1]])
             arrays = [
-                pa.array([np.concatenate(x[c]) if x[c] else [] for x in found], pa.list_(t))
-                for c, t in enumerate([pa.int32()] * 3 + [pa.int64()] * 2)
+                pa.array([np.concatenate(x[c]) if x[c] else [] for x in found], pa.list_(t)) for c, (_, t) in enumerate(_ANCHOR)
             ]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("k1"), batch.column("k2"), *arrays],
-                names=["k1", "k2", "at", "first", "last", "core", "cover"],
+                [batch.column("k1"), batch.column("k2"), *arrays], names=["k1", "k2", *[c for c, _ in _ANCHOR]]
             )
 
     return run
@@ -132,7 +179,7 @@ def squeezed(texts: pa.Array) -> pa.Array:
     return pa.array([shrink.compress(t.encode()) for t in texts.to_pylist()], pa.binary())
 
 
-def _contexts(length: int):
+def _contexts(lengths: dict[int, int]):
     """The bytes that the windows of each member cover."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -140,26 +187,38 @@ def _contexts(length: int):
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1).to_pylist()[0]
-                data, out = grow.decompress(row["blob"]), []
+                data, out, bounds = grow.decompress(row["blob"]), [], None
                 for m in row["members"]:
-                    part = data[m["first"] : m["last"] + length]
-                    out.append((m["core"], m["large"], m["row"], m["weight"], m["at"], m["first"], m["last"], part))
-                types = [pa.int64(), pa.bool_(), pa.int64(), *[pa.int32()] * 4, pa.binary()]
-                names = ["core", "large", "row", "weight", "at", "first", "last", "bytes"]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
+                    first, last = m["first"], m["last"] + lengths[m["unit"]]
+                    if m["unit"] == WORDS:
+                        bounds = word_bounds(data) if bounds is None else bounds
+                        first, last = int(bounds[0][first]), int(bounds[1][last - 1])
+                    out.append((*[m[c] for c in MEMBER], data[first:last]))
+                types = [pa.int8(), pa.int64(), pa.bool_(), pa.int64(), *[pa.int32()] * 4, pa.binary()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=[*MEMBER, "bytes"])
 
     return run
 
 
-def _windows(table: pa.Table, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of every window of the members: member, offset from the first window, and two hashes of bucket, place and bytes."""
+def _by_unit(table: pa.Table) -> Iterator[tuple[int, pa.Table]]:
+    units = table.column("unit").to_numpy()
+    for unit in np.unique(units).tolist():
+        yield unit, table.take(pa.array(np.flatnonzero(units == unit))).combine_chunks()
+
+
+def _windows(table: pa.Table, unit: int, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of every window of the members: member, offset from the first window, and two hashes of bucket, place and content."""
     data, bounds = text_bytes(table.column("bytes").combine_chunks())
     first, last, at = (table.column(c).to_numpy().astype(int) for c in ("first", "last", "at"))
+    if unit == BYTES:
+        begins, prefix = bounds[:-1], prefix_hashes(data)
+    else:
+        hashes, owner = word_hashes(data, bounds[:-1])
+        begins, prefix = np.searchsorted(owner, np.arange(len(first))), _word_prefix(hashes)
     counts = last - first + 1
     member = np.repeat(np.arange(len(counts)), counts)
     inner = np.arange(len(member)) - np.repeat(np.cumsum(counts) - counts, counts)
-    start = bounds[:-1][member] + inner
-    prefix = prefix_hashes(data)
+    start = begins[member] + inner
     core = table.column("core").to_numpy().view(np.uint64)[member]
     place = (at[member] - first[member] - inner).astype(np.uint64)
     name = mix(part_hashes(prefix, start, start + length) ^ mix(core + place))
@@ -169,8 +228,8 @@ def _windows(table: pa.Table, length: int) -> tuple[np.ndarray, np.ndarray, np.n
     return member, inner, name, mix(other ^ core)
 
 
-def _spans(table: pa.Table, member: np.ndarray, inner: np.ndarray, hit: np.ndarray, length: int) -> pa.RecordBatch:
-    """Runs of repeated windows as spans of bytes."""
+def _spans(table: pa.Table, unit: int, member: np.ndarray, inner: np.ndarray, hit: np.ndarray, length: int) -> pa.RecordBatch:
+    """Runs of repeated windows as spans of the unit."""
     member, inner = member[hit], inner[hit]
     new = np.ones(len(member), bool)
     new[1:] = (member[1:] != member[:-1]) | (inner[1:] != inner[:-1] + 1)
@@ -180,19 +239,20 @@ def _spans(table: pa.Table, member: np.ndarray, inner: np.ndarray, hit: np.ndarr
     rows = table.column("row").to_numpy()
     return pa.RecordBatch.from_arrays(
         [
+            pa.array(np.full(len(runs), unit, np.int8)),
             pa.array(rows[member[runs]], pa.int64()),
             pa.array((first[member[runs]] + inner[runs]).astype(np.int32)),
             pa.array((first[member[ends]] + inner[ends] + length).astype(np.int32)),
         ],
-        names=["row", "start", "end"],
+        names=["unit", "row", "start", "end"],
     )
 
 
-def _small_buckets(length: int):
+def _small_buckets(lengths: dict[int, int]):
     """Repeated windows of buckets that come sorted; each batch of work holds whole buckets."""
 
-    def solve(table: pa.Table) -> pa.RecordBatch:
-        member, inner, name, other = _windows(table, length)
+    def solve(table: pa.Table, unit: int) -> pa.RecordBatch:
+        member, inner, name, other = _windows(table, unit, lengths[unit])
         weight = table.column("weight").to_numpy()[member]
         order = np.lexsort((other, name))
         sorted_name, sorted_other = name[order], other[order]
@@ -203,7 +263,11 @@ def _small_buckets(length: int):
         hit = np.zeros(len(order), bool)
         hit[order] = total[group] >= 2
         alone = table.column("weight").to_numpy()[member] < 2  # members of weight 2 stand for finished classes
-        return _spans(table, member, inner, hit & alone, length)
+        return _spans(table, unit, member, inner, hit & alone, lengths[unit])
+
+    def solved(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        for unit, part in _by_unit(table):
+            yield solve(part, unit)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting, size = [], 0
@@ -215,53 +279,57 @@ def _small_buckets(length: int):
                 core = table.column("core").to_numpy()
                 cut = int(np.flatnonzero(core != core[-1])[-1]) + 1 if (core != core[-1]).any() else 0
                 if cut:
-                    yield solve(table.slice(0, cut).combine_chunks())
+                    yield from solved(table.slice(0, cut))
                     waiting = table.slice(cut).to_batches()
                     size = sum(b.column("bytes").nbytes for b in waiting)
         if waiting:
-            yield solve(pa.Table.from_batches(waiting).combine_chunks())
+            yield from solved(pa.Table.from_batches(waiting))
 
     return run
 
 
-def _named_windows(length: int):
+def _named_windows(lengths: dict[int, int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 2048):
-                table = pa.Table.from_batches([batch.slice(at, 2048)]).combine_chunks()
-                member, inner, name, other = _windows(table, length)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(table.column("row").to_numpy()[member]),
-                        pa.array((table.column("first").to_numpy()[member] + inner).astype(np.int32)),
-                        pa.array(name.view(np.int64)),
-                        pa.array(other.view(np.int64)),
-                        pa.array(table.column("weight").to_numpy()[member].astype(np.int32)),
-                    ],
-                    names=["row", "first", "name1", "name2", "weight"],
-                )
+                for unit, table in _by_unit(pa.Table.from_batches([batch.slice(at, 2048)])):
+                    member, inner, name, other = _windows(table, unit, lengths[unit])
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(np.full(len(member), unit, np.int8)),
+                            pa.array(table.column("row").to_numpy()[member]),
+                            pa.array((table.column("first").to_numpy()[member] + inner).astype(np.int32)),
+                            pa.array(name.view(np.int64)),
+                            pa.array(other.view(np.int64)),
+                            pa.array(table.column("weight").to_numpy()[member].astype(np.int32)),
+                        ],
+                        names=["unit", "row", "first", "name1", "name2", "weight"],
+                    )
 
     return run
 
 
-def repeated_spans(docs: DataFrame, length: int = LENGTH, large_bucket: int = LARGE_BUCKET) -> DataFrame:
-    """Per distinct text that has any: its hash (k1, k2) and the spans of bytes that repeats cover, which may overlap."""
+def repeated_spans(docs: DataFrame, lengths: dict[int, int], large_bucket: int = LARGE_BUCKET) -> DataFrame:
+    """Per distinct text that has any: its hash (k1, k2) and the spans, by unit, that repeats cover, which may overlap."""
     keyed = small_batches(docs).select(text_of().alias("text")).withColumn("k", hash128(F.col("text")))
     keyed = keyed.select(F.col("k.h1").alias("k1"), F.col("k.h2").alias("k2"), "text")
-    long_enough = keyed.filter(F.octet_length("text") >= length)
-    anchors = long_enough.mapInArrow(_anchored(length), ANCHORS).withColumn("row", F.monotonically_increasing_id())
+    # a word takes a byte and, but for the last, one of white space
+    least = min(n if unit == BYTES else 2 * n - 1 for unit, n in lengths.items())
+    long_enough = keyed.filter(F.octet_length("text") >= least)
+    anchors = long_enough.mapInArrow(_anchored(lengths), ANCHORS).withColumn("row", F.monotonically_increasing_id())
     anchors = materialize(anchors, "anchors")
-    each = anchors.select("row", F.inline(F.arrays_zip("at", "first", "last", "core", "cover")))
+    each = anchors.select("row", F.inline(F.arrays_zip("unit", "at", "first", "last", "core", "cover")))
+    reach = F.element_at(F.create_map(*[F.lit(x).cast("int") for pair in lengths.items() for x in pair]), F.col("unit").cast("int"))
 
     shared = each.groupBy("core").agg(F.count("*").alias("n")).filter("n > 1").select("core")
     live = materialize(each.join(materialize(shared, "shared-grams"), "core"), "live-anchors")
     classes = live.groupBy("core", "cover").agg(
-        F.count("*").alias("n"), F.min(F.struct("row", "at", "first", "last")).alias("one")
+        F.count("*").alias("n"), F.min(F.struct("row", "unit", "at", "first", "last")).alias("one")
     )
     classes = materialize(classes.select("core", "cover", "n", "one.*"), "anchor-classes")
     finished = classes.filter("n > 1").select("core", "cover")
     whole = live.join(finished, ["core", "cover"]).select(
-        "row", F.col("first").alias("start"), (F.col("last") + length).alias("end")
+        "unit", "row", F.col("first").alias("start"), (F.col("last") + reach).alias("end")
     )
 
     # buckets with anchors that are not finished, and one member of each finished class in them
@@ -272,83 +340,83 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, large_bucket: int = LA
         .select("core", (F.col("members") > large_bucket).alias("large"))
     )
     members = classes.join(materialize(open_buckets, "open-buckets"), "core").select(
-        "row", "core", "large", F.least("n", F.lit(2)).cast("int").alias("weight"), "at", "first", "last"
-    )
-    listed = members.groupBy("row").agg(
-        F.collect_list(F.struct("core", "large", "row", "weight", "at", "first", "last")).alias("members")
+        "row", "unit", "core", "large", F.least("n", F.lit(2)).cast("int").alias("weight"), "at", "first", "last"
     )
+    listed = members.groupBy("row").agg(F.collect_list(F.struct(*MEMBER)).alias("members"))
     wanted = listed.join(anchors.select("row", "k1", "k2"), "row")
     # equal texts may be named by several of their rows; each text is sent once
     wanted = wanted.groupBy("k1", "k2").agg(F.flatten(F.collect_list("members")).alias("members"))
     texts = long_enough.select("k1", "k2", squeezed("text").alias("blob")).dropDuplicates(["k1", "k2"])
-    contexts = texts.join(wanted.hint("merge"), ["k1", "k2"]).select("blob", "members").mapInArrow(_contexts(length), CONTEXT)
+    contexts = texts.join(wanted.hint("merge"), ["k1", "k2"]).select("blob", "members").mapInArrow(_contexts(lengths), CONTEXT)
     contexts = materialize(contexts, "contexts")
 
     small = contexts.filter("NOT large").repartition("core").sortWithinPartitions("core")
-    small = small.mapInArrow(_small_buckets(length), SPAN)
-    windows = contexts.filter("large").mapInArrow(_named_windows(length), WINDOW)
+    small = small.mapInArrow(_small_buckets(lengths), SPAN)
+    windows = contexts.filter("large").mapInArrow(_named_windows(lengths), WINDOW)
     again = windows.groupBy("name1", "name2").agg(F.sum("weight").alias("n")).filter("n > 1").select("name1", "name2")
     large = windows.filter("weight = 1").join(materialize(again, "repeated-windows"), ["name1", "name2"])
-    large = large.select("row", F.col("first").alias("start"), (F.col("first") + length).alias("end"))
+    large = large.select("unit", "row", F.col("first").alias("start"), (F.col("first") + reach).alias("end"))
 
     # touching spans of a text are merged when they are applied
-    spans = whole.union(small).union(large).groupBy("row").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    spans = whole.union(small).union(large).groupBy("row").agg(F.collect_list(F.struct("unit", "start", "end")).alias("spans"))
     spans = spans.join(anchors.select("row", "k1", "k2"), "row")
     # every row of a text has the same spans, as all its anchors then share their cover
-    return materialize(spans.groupBy("k1", "k2").agg(F.first("spans").alias("spans")), "repeated-spans")
+    found = materialize(spans.groupBy("k1", "k2").agg(F.first("spans").alias("spans")), "repeated-spans")
+    release(anchors, live, classes, contexts)
+    return found
+
+
+def _merged(spans: list[dict], unit: int) -> list[tuple[int, int]]:
+    """The spans of a unit, those that touch or overlap put together."""
+    out: list[list[int]] = []
+    for first, last in sorted((s["start"], s["end"]) for s in spans if s["unit"] == unit):
+        if out and first <= out[-1][1]:
+            out[-1][1] = max(last, out[-1][1])
+        else:
+            out.append([first, last])
+    return [tuple(x) for x in out]
+
+
+def _without(data: bytes, spans: list[tuple[int, int]]) -> bytes:
+    at, kept = 0, []
+    for first, last in spans:
+        kept.append(data[at:first])
+        at = last
+    return b"".join([*kept, data[at:]])
+
 
+_FIGURES = ["n_bytes", "n_removed", "n_spans", "n_passages", "n_passage_words"]
 
-def _cutter(as_text: bool, least_words: int = 0, enough: int = 0):
-    """A function of compressed texts and their spans that removes the spans of ``least_words`` or ``enough`` bytes."""
-    kept_type = T.StringType() if as_text else T.BinaryType()
-    fields = [*[(n, T.LongType()) for n in ("n_bytes", "n_removed", "n_spans")], ("kept", kept_type)]
 
-    @F.arrow_udf(T.StructType([T.StructField(*f) for f in fields]))
+def _cutter(as_text: bool):
+    """A function of compressed texts and their spans.
+
+    It gives the figures, and the text without its repeated strings, as bytes, or without its repeated passages, as text.
+    """
+    kind = (T.StringType(), pa.string()) if as_text else (T.BinaryType(), pa.binary())
+    fields = [T.StructField(n, T.LongType()) for n in _FIGURES]
+
+    @F.arrow_udf(T.StructType([*fields, T.StructField("kept", kind[0])]))
     def without_spans(blobs: pa.Array, spans: pa.Array) -> pa.Array:
         grow, out = zstandard.ZstdDecompressor(), []
         for blob, own in zip(blobs.to_pylist(), spans.to_pylist()):
-            data, kept, at, removed, runs = grow.decompress(blob), [], 0, 0, 0
-            merged = []
-            for first, last in sorted((s["start"], s["end"]) for s in own or []):
-                if merged and first <= merged[-1][1]:
-                    merged[-1][1] = max(last, merged[-1][1])
-                else:
-                    merged.append([first, last])
-            for first, last in merged:
-                # words cut at either end count: a passage may begin or end with them
-                if least_words and last - first < enough and len(data[first:last].split()) < least_words:
-                    continue
-                runs += 1
-                kept.append(data[at:first])
-                removed += last - first
-                at = last
-            rest = b"".join([*kept, data[at:]])
-            rest = rest.decode(errors="ignore") if as_text else rest
-            out.append({"n_bytes": len(data), "n_removed": removed, "n_spans": runs, "kept": rest})
-        kinds = [*[(n, pa.int64()) for n, _ in fields[:3]], ("kept", pa.string() if as_text else pa.binary())]
-        return pa.array(out, pa.struct(kinds))
+            data = grow.decompress(blob)
+            strings, passages = _merged(own or [], BYTES), _merged(own or [], WORDS)
+            if as_text and passages:
+                begins, stops = word_bounds(data)
+                kept = _without(data, [(int(begins[a]), int(stops[b - 1])) for a, b in passages])
+            else:
+                kept = data if as_text else _without(data, strings)
+            row = (len(data), sum(b - a for a, b in strings), len(strings), len(passages), sum(b - a for a, b in passages))
+            out.append(dict(zip(_FIGURES, row)) | {"kept": kept.decode() if as_text else kept})
+        return pa.array(out, pa.struct([*[(n, pa.int64()) for n in _FIGURES], ("kept", kind[1])]))
 
     return without_spans
 
 
-def suffix_dedup(
-    docs: DataFrame,
-    length: int = LENGTH,
-    large_bucket: int = LARGE_BUCKET,
-    as_text: bool = False,
-    least_words: int = 0,
-) -> DataFrame:
-    """``docs`` without ``text``, and n_bytes, n_removed, n_spans and the ``kept`` bytes of each document.
-
-    A byte goes if a string of ``length`` bytes that covers it also starts
-    anywhere else, in the same document or another one, in the texts as they
-    come in; strings do not go on from one document into the next. A null or
-    empty text keeps no bytes; repeated rows are each other's copies. An empty
-    table gives an empty result. With ``as_text`` what is kept is text, without
-    the parts of characters that lost others of their bytes. With ``least_words``
-    a run of such bytes stays if it has fewer words and is under :data:`LENGTH`.
-    """
-    spans = repeated_spans(docs, length, large_bucket)
+def _cut(docs: DataFrame, lengths: dict[int, int], large_bucket: int, as_text: bool) -> DataFrame:
+    """The rows of ``docs`` as they are but for their texts, in ``_row``, beside the result of :func:`_cutter` in ``cut``."""
+    spans = repeated_spans(docs, lengths, large_bucket)
     others = [c for c in docs.columns if c != "text"]
     keyed = docs.withColumns({"text": text_of()})
     keyed = carried(keyed, key=hash128(F.col("text")), blob=squeezed("text")).select(
@@ -358,5 +426,38 @@ def suffix_dedup(
         "blob",
     )
     joined = keyed.join(spans.hint("merge"), ["k1", "k2"], "left")
-    cut = joined.select("_row", _cutter(as_text, least_words, LENGTH)("blob", "spans").alias("cut"))
-    return uncarried(cut, others, **{c: F.col("cut").getField(c) for c in ("n_bytes", "n_removed", "n_spans", "kept")})
+    return joined.select("_row", _cutter(as_text)("blob", "spans").alias("cut"))
+
+
+def suffix_dedup(
+    docs: DataFrame, length: int = LENGTH, large_bucket: int = LARGE_BUCKET, words: int = PASSAGE_WORDS
+) -> DataFrame:
+    """``docs`` without ``text``, and n_bytes, n_removed, n_spans, ``kept``, n_passages and n_passage_words.
+
+    A byte goes if a string of ``length`` bytes that covers it also starts
+    anywhere else, in the same document or another one, in the texts as they
+    come in; strings do not go on from one document into the next. n_passages
+    counts the maximal runs of words that repeated passages of ``words`` words
+    cover, n_passage_words the words in them; with ``words`` 0 none are looked
+    for. A null or empty text keeps no bytes and has no passages; texts are read
+    whole; repeated rows are each other's copies. A column of ``docs`` that has
+    the name of one of these gives way to it. An empty table gives an empty
+    result.
+    """
+    cut = _cut(docs, {BYTES: length} | ({WORDS: words} if words else {}), large_bucket, as_text=False)
+    others = [c for c in docs.columns if c != "text"]
+    own = ["n_bytes", "n_removed", "n_spans", "kept", "n_passages", "n_passage_words"]
+    return uncarried(cut, others, **{c: F.col("cut").getField(c) for c in own})
+
+
+def passage_filter(docs: DataFrame, words: int = PASSAGE_WORDS, large_bucket: int = LARGE_BUCKET) -> DataFrame:
+    """``docs`` with its columns, and texts without the passages that repeat; n_chars follows the text.
+
+    A word goes if a passage of ``words`` words that covers it also starts
+    anywhere else, in the same document or another one; white space between
+    words does not count, and that around a passage stays. A null text becomes
+    an empty one; repeated rows are each other's copies. Other columns stay as
+    they are, whatever their names. An empty table gives an empty result.
+    """
+    cut = _cut(docs, {WORDS: words}, large_bucket, as_text=True)
+    return retexted(cut, docs, F.col("cut").getField("kept"))

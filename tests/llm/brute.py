@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -81,7 +82,19 @@ def shingles(text: str | None) -> frozenset:
     return frozenset(tuple(words[i : i + 5]) for i in range(len(words) - 4)) or frozenset([tuple(words)] if words else [])
 
 
-def near_classes(texts: list) -> list[int]:
+def weights(text: str | None) -> dict:
+    """1 + ln(count) of each shingle."""
+    words = WORD.findall((text or "").lower())
+    found = Counter(tuple(words[i : i + 5]) for i in range(len(words) - 4)) or Counter([tuple(words)] if words else [])
+    return {s: 1 + math.log(n) for s, n in found.items()}
+
+
+def probability_jaccard(x: dict, y: dict) -> float:
+    every = x.keys() | y.keys()
+    return sum(1 / sum(max(x.get(e, 0) / x[d], y.get(e, 0) / y[d]) for e in every) for d in x.keys() & y.keys())
+
+
+def near_classes(texts: list, repeats: bool = False) -> list[int]:
     """Number of the first text of each one's class."""
     sets, holders, common = [shingles(t) for t in texts], defaultdict(list), Counter()
     for i, s in enumerate(sets):
@@ -96,6 +109,8 @@ def near_classes(texts: list) -> list[int]:
         return x
 
     pairs = [p for p, c in common.items() if 10 * c >= 8 * (len(sets[p[0]]) + len(sets[p[1]]) - c)]
+    if repeats:
+        pairs = [(a, b) for a, b in common if probability_jaccard(weights(texts[a]), weights(texts[b])) >= 0.8]
     empty = [i for i, s in enumerate(sets) if not s]
     for a, b in [*pairs, *zip(empty, empty[1:])]:
         a, b = root(a), root(b)
@@ -116,3 +131,27 @@ def repeats_removed(texts: list, length: int) -> list[tuple[int, int, int, bytes
         spans = sum(gone[i] and not (i and gone[i - 1]) for i in range(len(b)))
         out.append((len(b), sum(gone), spans, bytes(c for c, g in zip(b, gone) if not g)))
     return out
+
+
+def passages_removed(texts: list, words: int) -> list[tuple[int, int, str]]:
+    """Per text: runs of words that repeated windows of so many words cover, the words in them, and the rest."""
+    found = [[(m.start(), m.end(), m.group()) for m in re.finditer(r"[^\x20\x09-\x0D]+", t or "")] for t in texts]
+    seen = Counter(tuple(w for _, _, w in own[i : i + words]) for own in found for i in range(len(own) - words + 1))
+    out = []
+    for text, own in zip(texts, found):
+        covered = set()
+        for i in range(len(own) - words + 1):
+            if seen[tuple(w for _, _, w in own[i : i + words])] > 1:
+                covered.update(range(i, i + words))
+        runs = []
+        for i in sorted(covered):
+            if runs and runs[-1][1] == i - 1:
+                runs[-1][1] = i
+            else:
+                runs.append([i, i])
+        at, rest = 0, []
+        for a, b in runs:
+            rest.append((text or "")[at : own[a][0]])
+            at = own[b][1]
+        out.append((len(runs), len(covered), "".join([*rest, (text or "")[at:]])))
+    return out

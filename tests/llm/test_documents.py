@@ -127,16 +127,57 @@ def test_suffix_dedup_of_long_texts_goes_stretch_by_stretch(documents, monkeypat
     base = "".join(rng.choice("abcdefgh") for _ in range(9000))
     texts = [base, base[2000:5000] + "".join(rng.choice("ABCD") for _ in range(3000)), "".join(rng.choice("wxyz") for _ in range(6000))]
     monkeypatch.setattr(suffix_dedup, "SLICE_BYTES", 1000)
-    run = suffix_dedup._anchored(400)
+    run = suffix_dedup._anchored({suffix_dedup.BYTES: 400})
     import pyarrow as pa
 
     whole = pa.RecordBatch.from_arrays([pa.array([0] * 3), pa.array([0] * 3), pa.array(texts)], names=["k1", "k2", "text"])
     anchors = {(i, a) for i, row in enumerate(next(run([whole])).to_pylist()) for a in row["at"]}
     monkeypatch.undo()
-    expected = {(i, a) for i, row in enumerate(next(suffix_dedup._anchored(400)([whole])).to_pylist()) for a in row["at"]}
+    expected = {(i, a) for i, row in enumerate(next(suffix_dedup._anchored({suffix_dedup.BYTES: 400})([whole])).to_pylist()) for a in row["at"]}
     assert anchors == expected
-    got = suffix_dedup.suffix_dedup(documents(list(enumerate(texts))), as_text=True).orderBy("doc_id").collect()
-    assert [r["kept"].encode() for r in got] == [x[3] for x in brute.repeats_removed(texts, 400)]
+    got = suffix_dedup.suffix_dedup(documents(list(enumerate(texts)))).orderBy("doc_id").collect()
+    assert [bytes(r["kept"]) for r in got] == [x[3] for x in brute.repeats_removed(texts, 400)]
+
+
+@pytest.mark.parametrize(("words", "large_bucket"), [(5, 2000), (8, 2), (51, 2)])
+def test_repeated_passages(documents, words, large_bucket):
+    rng = random.Random(words)
+    own = [f"{rng.choice('abcdé')}{i}" for i in range(300)]
+    passage = [rng.choice(own) for _ in range(words * 3)]
+    texts = []
+    for i in range(40):
+        cut = passage[rng.randrange(words) : rng.randrange(words, words * 3)]
+        space = rng.choice([" ", "  ", "\n", "\t "])
+        parts = [" ".join(f"{i}x{rng.randrange(9)}" for _ in range(rng.randint(0, words))) for _ in range(2)]
+        texts.append(space.join([parts[0], space.join(cut if i % 3 else cut[: words - 1]), parts[1]]))
+    texts += [None, "", " ", " ".join(["y"] * (words + 3)), " ".join(passage) * 2, texts[1], " ".join(own[:words])]
+    df = documents(list(enumerate(texts)))
+    got = {r["doc_id"]: (r["n_passages"], r["n_passage_words"]) for r in suffix_dedup.suffix_dedup(df, 400, large_bucket, words).collect()}
+    kept = dict(suffix_dedup.passage_filter(df, words, large_bucket).select("doc_id", "text").collect())
+    plain = brute.passages_removed(texts, words)
+    assert [(*got[i], kept[i]) for i in range(len(texts))] == plain
+    assert sum(1 for p in plain if p[0]) > 15 and any(not p[0] for p in plain[:40])
+
+
+def test_adjoining_short_repeats_are_no_passage(documents):
+    own = lambda name, n: " ".join(f"{name}{i}" for i in range(n))
+    short = [own(c, 20) for c in "abc"]
+    texts = [" ".join(short), *[f"{own(f'v{i}.', 30)} {s} {own(f'w{i}.', 30)}" for i, s in enumerate(short)]]
+    df = documents(list(enumerate(texts)))
+    assert dict(suffix_dedup.passage_filter(df).select("doc_id", "text").collect()) == dict(enumerate(texts))
+    assert {r["n_passages"] for r in suffix_dedup.suffix_dedup(df).collect()} == {0}
+
+
+def test_long_texts_have_their_passages_stretch_by_stretch(monkeypatch):
+    import pyarrow as pa
+
+    rng = random.Random(4)
+    texts = [" ".join(f"w{rng.randrange(500)}" for _ in range(9000)), "short text"]
+    batch = pa.RecordBatch.from_arrays([pa.array([0] * 2), pa.array([0] * 2), pa.array(texts)], names=["k1", "k2", "text"])
+    find = lambda: {(i, a) for i, row in enumerate(next(suffix_dedup._anchored({suffix_dedup.WORDS: 51})([batch])).to_pylist()) for a in row["at"]}
+    whole = find()
+    monkeypatch.setattr(suffix_dedup, "SLICE_BYTES", 1000)
+    assert find() == whole and len(whole) > 100
 
 
 def test_near_duplicates_match_all_pairs(small, spark):
@@ -185,6 +226,59 @@ def test_near_duplicates_with_unequal_counts(documents):
     assert [got[i] for i in range(len(texts))] == expected
 
 
+def test_weighted_near_duplicates(documents):
+    rng = random.Random(6)
+    texts = []
+    for i in range(12):
+        # near as sets; the repeats of some shingles set the weighted ones apart
+        words, phrase = [f"w{i}.{j}" for j in range(60)], [f"p{i}.{j}" for j in range(40)]
+        texts += [" ".join(words + phrase * 2), " ".join(words + phrase * rng.choice([2, 3, 60]))]
+    df = documents(list(enumerate(texts)))
+    for repeats in (False, True):
+        got = {r["doc_id"]: r["class_id"] for r in minhash.near_duplicates(df, repeats).collect()}
+        assert [got[i] for i in range(len(texts))] == brute.near_classes(texts, repeats)
+    assert len(set(brute.near_classes(texts, True))) > len(set(brute.near_classes(texts))) == 12
+
+
+def test_buckets_with_many_classes_lose_no_pair(documents, spark):
+    """Every pair of different classes with a likely signature, whatever the size of the blocks."""
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 256, (6, minhash.COMPONENTS), np.uint8)
+    rows = []
+    for i in range(150):
+        sig = base[i % 6].copy()
+        sig[rng.random(minhash.COMPONENTS) < rng.choice([0.02, 0.2, 0.4])] = 0
+        rows.append((i, sig.tobytes()))
+    nodes = spark.createDataFrame(rows, "node long, sig binary")
+    members = spark.createDataFrame([(i % 3, i) for i, _ in rows] + [(9, i) for i, _ in rows[::7]], "key long, node long")
+    label = {i: (i if i < 100 else 100) for i, _ in rows}
+    labels = spark.createDataFrame([(i, v) for i, v in label.items() if v == 100], "node long, label long")
+    buckets = [[i for i, _ in rows if i % 3 == k] for k in range(3)] + [list(range(0, 150, 7))]
+    sig = [np.frombuffer(s, np.uint8) for _, s in rows]
+    least = minhash.COMPONENTS * 0.7
+    want = {(a, b) for own in buckets for a in own for b in own if a < b and label[a] != label[b] and (sig[a] == sig[b]).sum() >= least}
+    for block in (7, 512):
+        got = [tuple(r) for r in minhash.between_classes(members, labels, nodes, block).collect()]
+        assert sorted(got) == sorted(want) and len(want) > 100
+
+
+def test_recall_against_all_pairs(documents):
+    rng = random.Random(8)
+    words, texts = [f"w{i}" for i in range(3000)], []
+    for _ in range(80):
+        text = [rng.choice(words) for _ in range(200)]
+        texts.append(" ".join(text))
+        for at in rng.sample(range(200), 3 + rng.randrange(2)):
+            text[at] = "edited"
+        texts.append(" ".join(text))
+    want = brute.near_classes(texts)
+    got = {r["doc_id"]: r["class_id"] for r in minhash.near_duplicates(documents(list(enumerate(texts)))).collect()}
+    pairs = [i for i, c in enumerate(want) if c != i]
+    found = [i for i in pairs if got[i] == want[i]]
+    assert len(pairs) > 30 and len(found) >= 0.9 * len(pairs)
+    assert all(want[got[i]] == want[i] for i in got)  # none is joined that is not similar
+
+
 def test_near_filter_keeps_one_row_a_class(odd_documents):
     classes = minhash.near_duplicates(odd_documents).collect()
     kept = minhash.near_filter(odd_documents)

@@ -28,7 +28,7 @@ def test_stages(spark, sf_dir):
         elif name == "minhash":
             rows = [r for i, (r, c) in enumerate(zip(rows, brute.near_classes(texts))) if i == c]
         else:
-            new = brute.lines_kept(texts) if name == "line_dedup" else [x[3].decode(errors="ignore") for x in brute.repeats_removed(texts, 400)]
+            new = brute.lines_kept(texts) if name == "line_dedup" else [x[2] for x in brute.passages_removed(texts, 51)]
             rows = [(r[0], t, r[2], r[3], len(t)) for r, t in zip(rows, new)]
         assert docs.columns == columns, name
         assert sorted(tuple(r) for r in docs.collect()) == rows, name
@@ -55,26 +55,29 @@ def test_passages_of_51_words_in_two_documents_go(documents, spark, sf_dir):
     assert all(kept[i] == texts[i] for i in (2, 3))
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     texts = dict(docs.select("doc_id", "text").collect())
-    raw = {i: (t or "").encode() for i, t in texts.items()}
-    seen = brute.Counter(b[p : p + 101] for b in raw.values() for p in range(len(b) - 100))
-    expected = {}
-    for i, b in raw.items():
-        runs = []
-        for p in range(len(b) - 100):
-            if seen[b[p : p + 101]] > 1:
-                if runs and p <= runs[-1][1]:
-                    runs[-1][1] = p + 101
-                else:
-                    runs.append([p, p + 101])
-        at, out = 0, []
-        for first, last in runs:
-            if last - first >= 400 or len(b[first:last].split()) > 50:
-                out.append(b[at:first])
-                at = last
-        expected[i] = b"".join([*out, b[at:]]).decode(errors="ignore")
+    expected = dict(zip(texts, [x[2] for x in brute.passages_removed(list(texts.values()), 51)]))
     assert dict(corpus_pipeline.suffix_dedup_stage(spark, docs, sf_dir).select("doc_id", "text").collect()) == expected
 
 
+CLASHING = ["n_lines", "n_dropped", "kept", "n_bytes", "n_removed", "n_spans", "n_passages", "label", "class_id", "row_key", "_row", "fp", "text_left"]
+
+
+def test_values_of_clashing_columns_pass_through_every_stage(documents, spark, sf_dir):
+    own = lambda i, n: " ".join(f"w{i}.{j}" for j in range(n))
+    line = "a line that many documents share"
+    texts = [f"{own(i, 40)}\n{line}\n{own(100 + i, 30)}" for i in range(12)] + [own(50, 60), own(50, 60) + " end", own(60, 80) + " " + own(70, 55), own(70, 55) + " " + own(80, 80)]
+    docs = documents(list(enumerate(texts))).selectExpr("*", *[f"concat('{c}-', doc_id) AS {c}" for c in CLASHING])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        before, columns = docs.count(), docs.columns
+        docs = materialize(stage(spark, docs, sf_dir), f"clash-{name}")
+        assert docs.columns == columns and docs.count() == before - (name == "minhash")
+        for r in docs.collect():
+            assert [r[c] for c in CLASHING] == [f"{c}-{r['doc_id']}" for c in CLASHING], name
+            assert r["n_chars"] == len(r["text"])
+    left = {r["doc_id"]: r["text"] for r in docs.collect()}
+    assert all(line not in t for t in left.values()) and own(70, 55) not in left[14] + left[15]
+
+
 def test_odd_rows_pass_through_every_stage(odd_documents, spark, sf_dir):
     docs = odd_documents
     for name, stage in corpus_pipeline.STAGES[:-1]:
@@ -87,7 +90,7 @@ def test_odd_rows_pass_through_every_stage(odd_documents, spark, sf_dir):
 
 
 def test_every_operator_has_one_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in LLM_QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in LLM_QUERIES) == list(range(1, 14))
     assert set(LLM_ORACLES) <= set(LLM_QUERIES)
 
 
