@@ -7,52 +7,64 @@ returns the columns of ``documents``. Columns beyond those pass through.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from dialtide.llm.line_dedup import line_dedup
+from dialtide.llm.line_dedup import line_filter
 from dialtide.llm.minhash import near_filter
 from dialtide.llm.packing import pack
 from dialtide.llm.quality_rules import quality_filter
-from dialtide.llm.suffix_dedup import suffix_dedup
+from dialtide.llm.suffix_dedup import passage_filter
 from dialtide.session import configure, materialize
 
 
-def _with_text(docs: DataFrame, text: str, columns: list[str]) -> DataFrame:
-    """The original columns with a new text; n_chars follows it."""
-    changed = docs.withColumn("text", F.col(text))
-    if "n_chars" in columns:
-        changed = changed.withColumn("n_chars", F.char_length("text").cast("long"))
-    return changed.select(*columns)
-
-
 def quality_rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops the documents that the quality rules reject."""
+    """Drops the documents that the quality rules reject, see :func:`~dialtide.llm.quality_rules.quality_filter`.
+
+    Null and empty texts have no words and go; repeated rows are judged alike;
+    texts of any length are judged whole. Rows stay as they are, with columns of
+    any names. An empty table stays empty.
+    """
     return quality_filter(docs)
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Takes shared lines out of every document."""
-    return _with_text(line_dedup(docs), "text", docs.columns)
+    """Takes shared lines out of every document, see :func:`~dialtide.llm.line_dedup.line_filter`.
+
+    A null text becomes an empty one; a document that loses all lines stays, with
+    an empty text. Every row counts as a document, repeated ones too. Only text
+    and n_chars change, columns of any names stay. An empty table stays empty.
+    """
+    return line_filter(docs)
 
 
 def minhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each class of near copies."""
-    return near_filter(docs).select(*docs.columns)
+    """Keeps one document of each class of near copies, see :func:`~dialtide.llm.minhash.near_filter`.
+
+    The smallest doc_id stays, rows without one only if there is no other; of
+    rows repeated whole one stays. Texts without words are one class. Rows stay
+    as they are, with columns of any names. An empty table stays empty.
+    """
+    return near_filter(docs)
 
 
 def suffix_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Takes repeated passages out of every document."""
-    return _with_text(suffix_dedup(docs, PASSAGE_BYTES, as_text=True, least_words=PASSAGE_WORDS), "kept", docs.columns)
+    """Takes passages of over 50 words that repeat out of every document, see :func:`~dialtide.llm.suffix_dedup.passage_filter`.
+
+    All their occurrences go, so of two equal rows nothing of that length stays.
+    A null text becomes an empty one. Only text and n_chars change, columns of
+    any names stay. An empty table stays empty.
+    """
+    return passage_filter(docs)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packs the documents into sequences of token ids."""
-    return pack(docs)
+    """Packs the documents into sequences of token ids, see :func:`~dialtide.llm.packing.pack`.
 
+    A null or empty text is its end token; longer texts are cut; repeated rows
+    are packed like others. Only doc_id and text are read. An empty table gives
+    no pieces.
+    """
+    return pack(docs)
 
-#: A passage of over 50 words goes if it repeats. It has as many bytes at least: words of one byte and the spaces between.
-PASSAGE_WORDS = 51
-PASSAGE_BYTES = 2 * PASSAGE_WORDS - 1
 
 STAGES = [
     ("quality_rules", quality_rules_stage),
@@ -67,7 +79,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each stored and read again by the next."""
+    """All stages over ``documents``, each stored and read again by the next; returns the pieces of the last.
+
+    Nulls, empty texts, ties, repeated rows, clashing names and empty tables are
+    handled as the stages say.
+    """
     docs = configure(spark).read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), f"stage-{name}")

@@ -56,4 +56,13 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """
     path = scratch_dir(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    stored._stored_at = path
+    return stored
+
+
+def release(*stored: DataFrame) -> None:
+    """Empty the tables behind frames of :func:`materialize`; nothing may read these any more."""
+    for df in stored:
+        spark = df.sparkSession
+        spark.range(0).coalesce(1).write.mode("overwrite").parquet(df._stored_at)
