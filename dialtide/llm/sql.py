@@ -100,28 +100,29 @@ def _url_filter() -> str:
         f"""links AS (SELECT DISTINCT host AS u, v FROM
                   (SELECT host, {lower("unnest(regexp_extract_all(coalesce(html, ''), '" + link + "', 1))")} AS v FROM split)
                   WHERE host <> '' AND host <> v)""",
-        """edges AS (SELECT 0 AS kind, u, v, count(*) OVER (PARTITION BY u) AS degree FROM links
-                  UNION ALL SELECT 1, v, u, count(*) OVER (PARTITION BY v) FROM links)""",
-        f"""nodes AS (SELECT host, kind, max(seed) AS seed FROM (
-                  SELECT host, 0 AS kind, count(*) FILTER (WHERE verdict = 'allow') * {url_filter.UNIT} // count(*) AS seed
-                  FROM ruled WHERE host <> '' GROUP BY host
-                  UNION ALL SELECT host, 1, count(*) FILTER (WHERE verdict = 'block') * {url_filter.UNIT} // count(*)
-                  FROM ruled WHERE host <> '' GROUP BY host
-                  UNION ALL SELECT v, kind, 0 FROM edges) GROUP BY host, kind)""",
-        f"scores0 AS (SELECT host, kind, CAST(seed * {restart} // 100 AS BIGINT) AS score FROM nodes)",
+        "edges AS (SELECT u, v, count(*) OVER (PARTITION BY u) AS degree FROM links)",
+        f"""nodes AS (SELECT host, max(allow) AS allow, max(block) AS block FROM (
+                  SELECT host, count(*) FILTER (WHERE verdict = 'allow') * {url_filter.UNIT} // count(*) AS allow,
+                         count(*) FILTER (WHERE verdict = 'block') * {url_filter.UNIT} // count(*) AS block
+                  FROM ruled WHERE host <> '' GROUP BY host UNION ALL SELECT v, 0, 0 FROM edges) GROUP BY host)""",
+        # every host also has a way to itself that carries nothing, so that it is there in each round
+        "ways AS (SELECT u, v, degree FROM edges UNION ALL SELECT host, host, NULL FROM nodes)",
+        f"""trusting AS (SELECT 0 AS i, host, CAST(allow * {restart} // 100 AS BIGINT) AS score FROM nodes
+                  UNION ALL SELECT i + 1, host, CAST(allow * {restart} // 100 + received // 100 * {100 - restart} AS BIGINT)
+                  FROM (SELECT i, w.v AS host, coalesce(sum(score // degree), 0) AS received FROM trusting t
+                        JOIN ways w ON w.u = t.host WHERE i < {url_filter.ROUNDS} GROUP BY i, w.v) JOIN nodes USING (host))""",
+        f"""known AS (SELECT host, block, least({url_filter.UNIT}, score * 100 // {restart}) AS trust
+                  FROM trusting JOIN nodes USING (host) WHERE i = {url_filter.ROUNDS})""",
+        f"""distrusting AS (SELECT 0 AS i, host, CAST(block AS BIGINT) AS score FROM known
+                  UNION ALL SELECT i + 1, host, CAST(block + ({url_filter.UNIT} - block) * share // {url_filter.UNIT}
+                                                     * {100 - restart} // 100 AS BIGINT)
+                  FROM (SELECT i, w.u AS host, coalesce(sum(CASE WHEN degree IS NOT NULL THEN greatest(score - trust, 0) END)
+                               // max(degree), 0) AS share FROM distrusting d JOIN known USING (host)
+                        JOIN ways w ON w.v = d.host WHERE i < {url_filter.ROUNDS} GROUP BY i, w.u) JOIN known USING (host))""",
     ]
-    for i in range(url_filter.ITERATIONS):
-        parts += [
-            f"""sent{i} AS (SELECT v AS host, e.kind, sum(score // degree) AS received FROM edges e
-                JOIN scores{i} s ON e.u = s.host AND e.kind = s.kind GROUP BY v, e.kind)""",
-            f"""scores{i + 1} AS MATERIALIZED (SELECT host, kind, CAST(seed * {restart} // 100
-                + coalesce(received, 0) // 100 * {100 - restart} AS BIGINT) AS score
-                FROM nodes LEFT JOIN sent{i} USING (host, kind))""",
-        ]
-    last = f"scores{url_filter.ITERATIONS}"
-    return f"""WITH {", ".join(parts)},
-bad AS (SELECT b.host FROM {last} b LEFT JOIN {last} g ON g.host = b.host AND g.kind = 0
-        WHERE b.kind = 1 AND b.score >= {url_filter.THRESHOLD} AND b.score > coalesce(g.score, 0))
+    return f"""WITH RECURSIVE {", ".join(parts)},
+bad AS (SELECT host FROM distrusting JOIN known USING (host)
+        WHERE i = {url_filter.ROUNDS} AND score >= {url_filter.THRESHOLD} AND score > trust)
 SELECT page_id, host, path, rule,
        coalesce(verdict, CASE WHEN host IN (SELECT host FROM bad) THEN 'block' END, 'allow') AS verdict
 FROM ruled"""

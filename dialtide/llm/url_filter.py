@@ -1,9 +1,12 @@
 """URL filter: rules on hosts and paths, and trust that spreads over links.
 
-A rule that fits a URL decides it. Other URLs take the verdict of their host:
-trust spreads from hosts whose pages the rules allow along links (personalised
-PageRank), distrust from hosts whose pages they block against the links. Both
-are whole numbers, so the result does not depend on the order of addition.
+A rule that fits a URL decides it. Other URLs take the verdict of their host.
+Trust spreads from hosts whose pages the rules allow along links (personalised
+PageRank). Distrust spreads against the links from hosts whose pages they block: a
+host is distrusted as far as its own links lead to distrusted hosts that are not
+trusted as much. That is a share of its own links, so it does not matter how many
+others link to the same hosts. Both are whole numbers, so the result does not
+depend on the order of addition.
 """
 
 from __future__ import annotations
@@ -20,9 +23,11 @@ from .common import ascii_lower
 RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
 UNIT = 1_000_000_000  #: a host whose pages are all decided one way is a seed of this size
 RESTART_PERCENT = 15
-ITERATIONS = 12
-#: A host is blocked if its distrust reaches this and exceeds its trust: half of what a full seed keeps for itself.
-THRESHOLD = UNIT * RESTART_PERCENT // 100 // 2
+#: Rounds of spreading, if scores still change: each round takes 15 % off what is left to
+#: come, so after these it is under a ten-thousandth of a unit.
+ROUNDS = 57
+#: A host is blocked if its distrust reaches this and exceeds its trust: about half of its links lead to blocked hosts.
+THRESHOLD = UNIT * 4 // 10
 #: Absolute links of a page; the first group is the host.
 LINK = r"""(?i)\shref\s*=\s*["']?\s*(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s<>]+)"""
 
@@ -102,20 +107,22 @@ def host_links(pages: DataFrame) -> DataFrame:
     return links.filter("source <> '' AND source <> target").distinct()
 
 
-def host_scores(pages: DataFrame, ruled: DataFrame, iterations: int = ITERATIONS) -> DataFrame:
-    """host, trust and distrust after spreading over the host graph."""
-    links = host_links(pages)
+def _spread(start: DataFrame, step, rounds: int, name: str) -> DataFrame:
+    """(host, score) after ``step`` has been taken until no score changes, ``rounds`` times at most."""
+    scores = start
+    for _ in range(rounds):
+        new = materialize(step(scores).join(scores.withColumnRenamed("score", "old"), "host"), name)
+        scores, moved = new.select("host", "score"), not new.filter("score <> old").isEmpty()
+        if not moved:
+            break
+    return scores
+
+
+def host_scores(pages: DataFrame, ruled: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+    """host, trust and distrust, 0 to :data:`UNIT`, after spreading over the host graph."""
+    links = materialize(host_links(pages), "host-links")
     out = links.groupBy("source").agg(F.count("*").alias("degree"))
-    into = links.groupBy("target").agg(F.count("*").alias("degree"))
-    # kind 0 carries trust along a link, kind 1 distrust against it
-    edges = materialize(
-        links.join(out, "source")
-        .select(F.lit(0).alias("kind"), F.col("source").alias("u"), F.col("target").alias("v"), "degree")
-        .union(
-            links.join(into, "target").select(F.lit(1), F.col("target").alias("u"), F.col("source").alias("v"), "degree")
-        ),
-        "host-edges",
-    )
+    edges = materialize(links.join(out, "source").select(F.col("source").alias("u"), F.col("target").alias("v"), "degree"), "host-edges")
     seeds = (
         ruled.filter("host <> ''")
         .groupBy("host")
@@ -124,49 +131,53 @@ def host_scores(pages: DataFrame, ruled: DataFrame, iterations: int = ITERATIONS
             F.count_if(F.col("ruled") == "allow").alias("allowed"),
             F.count_if(F.col("ruled") == "block").alias("blocked"),
         )
-        .select("host", F.expr(f"stack(2, 0, allowed * {UNIT} div n, 1, blocked * {UNIT} div n) AS (kind, seed)"))
-    )
-    nodes = seeds.union(edges.select(F.col("v").alias("host"), "kind", F.lit(0).cast("long")))
-    nodes = materialize(nodes.groupBy("host", "kind").agg(F.max("seed").alias("seed")), "host-seeds")
-    start = F.expr(f"seed * {RESTART_PERCENT} div 100").alias("score")
-    scores = nodes.select("host", "kind", start)
-    if not edges.isEmpty():
-        for _ in range(iterations):
-            sent = (
-                edges.join(scores.withColumnRenamed("host", "u"), ["u", "kind"])
-                .groupBy(F.col("v").alias("host"), "kind")
-                .agg(F.sum(F.expr("score div degree")).alias("received"))
-            )
-            new = F.expr(
-                f"seed * {RESTART_PERCENT} div 100 + coalesce(received, 0L) div 100 * {100 - RESTART_PERCENT}"
-            )
-            scores = materialize(
-                nodes.join(sent, ["host", "kind"], "left").select("host", "kind", new.alias("score")), "host-scores"
-            )
-    return scores.groupBy("host").agg(
-        F.max(F.when(F.col("kind") == 0, F.col("score"))).alias("trust"),
-        F.max(F.when(F.col("kind") == 1, F.col("score"))).alias("distrust"),
+        .select("host", F.expr(f"allowed * {UNIT} div n").alias("allow"), F.expr(f"blocked * {UNIT} div n").alias("block"))
     )
+    none = F.lit(0).cast("long")
+    nodes = seeds.union(edges.select(F.col("v").alias("host"), none, none))
+    nodes = materialize(nodes.groupBy("host").agg(F.max("allow").alias("allow"), F.max("block").alias("block")), "host-seeds")
+    if edges.isEmpty():
+        return nodes.select("host", F.col("allow").alias("trust"), F.col("block").alias("distrust"))
+    restart = f"allow * {RESTART_PERCENT} div 100"
+
+    def trusting(scores: DataFrame) -> DataFrame:
+        sent = edges.join(scores.withColumnRenamed("host", "u"), "u").groupBy(F.col("v").alias("host"))
+        sent = sent.agg(F.sum(F.expr("score div degree")).alias("received"))
+        new = F.expr(f"{restart} + coalesce(received, 0L) div 100 * {100 - RESTART_PERCENT}")
+        return nodes.join(sent, "host", "left").select("host", new.alias("score"))
+
+    trust = _spread(nodes.select("host", F.expr(restart).alias("score")), trusting, rounds, "host-trust")
+    trust = trust.select("host", F.expr(f"least({UNIT}L, score * 100 div {RESTART_PERCENT})").alias("trust"))
+    known = materialize(nodes.join(trust, "host"), "host-trust")
+
+    def distrusting(scores: DataFrame) -> DataFrame:
+        bad = scores.join(known.select("host", "trust"), "host").select(F.col("host").alias("v"), F.expr("greatest(score - trust, 0L)").alias("bad"))
+        share = edges.join(bad, "v").groupBy(F.col("u").alias("host")).agg(F.expr("sum(bad) div max(degree)").alias("share"))
+        new = F.expr(f"block + ({UNIT} - block) * coalesce(share, 0L) div {UNIT} * {100 - RESTART_PERCENT} div 100")
+        return known.join(share, "host", "left").select("host", new.alias("score"))
+
+    distrust = _spread(known.select("host", F.col("block").alias("score")), distrusting, rounds, "host-distrust")
+    return known.select("host", "trust").join(distrust.withColumnRenamed("score", "distrust"), "host")
 
 
 def url_filter(
-    pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, iterations: int = ITERATIONS, threshold: int = THRESHOLD
+    pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, rounds: int = ROUNDS, threshold: int = THRESHOLD
 ) -> DataFrame:
     """Each page with the rule that fits it, if any, and its verdict.
 
     A rule fits its host and all subdomains if the path starts with the rule's;
     the longest text wins. Pages without a fitting rule are blocked if the
-    distrust of their host reaches ``threshold`` and exceeds its trust. A null
-    url, one without ``://`` and one with an empty host fit no rule and are
-    allowed. Repeated pages are judged alike, an empty table gives an empty
-    result, and other columns are not read.
+    distrust of their host reaches ``threshold`` and exceeds its trust, so a
+    host that links to a blocked one stays allowed where a trusted host vouches
+    for it. A null url, one without ``://`` and one with an empty host fit no
+    rule and are allowed; a null html has no links, long ones are read whole.
+    Repeated pages are judged alike, an empty table gives an empty result, and
+    other columns are not read, whatever their names.
 
     Returns page_id, host, path, rule, verdict.
     """
     ruled = materialize(ruled_pages(pages, rules), "ruled-pages")
-    bad = host_scores(pages, ruled, iterations).filter(
-        (F.col("distrust") >= threshold) & (F.col("distrust") > F.coalesce("trust", F.lit(0)))
-    )
+    bad = host_scores(pages, ruled, rounds).filter((F.col("distrust") >= threshold) & (F.col("distrust") > F.col("trust")))
     bad = materialize(bad.select("host", F.lit("block").alias("spread")), "blocked-hosts")
     return ruled.join(bad, "host", "left").select(
         "page_id", "host", "path", "rule", F.coalesce("ruled", "spread", F.lit("allow")).alias("verdict")
