@@ -84,3 +84,52 @@ def push_latest(spark, sf_dir):
     stream = streaming.stream_ingest(spark, source, daily.schema, "parquet", max_files=1)
     streaming.push_latest(stream, f"{path}/table", f"{path}/checkpoint")
     return streaming.read_pushed(spark, f"{path}/table").select(*daily.columns)
+
+
+#: The first days' records arrive last, all others in the order of their days: the day of a cut is open in both parts.
+LATE_UNTIL = "(SELECT min(call_date) + 3 FROM (SELECT CAST(call_time AS DATE) AS call_date FROM clean))"
+
+
+def _day_states(spark, sf_dir):
+    """The base of a stream that got the events in three runs: to the middle, the rest, and last the first three days."""
+    base, source = scratch_dir(spark, "day-state"), scratch_dir(spark, "arriving")
+    records = fx.cdr(spark, sf_dir)
+    first, last = records.filter("call_duration_seconds > 0").agg(F.min("call_time"), F.max("call_time")).first()
+    middle, late = F.lit(first + (last - first) / 2), F.date_add(F.to_date(F.lit(first)), 3)
+    came_late = F.to_date("call_time") < late
+    for part in (~came_late & (F.col("call_time") < middle), ~came_late & (F.col("call_time") >= middle), came_late):
+        records.filter(part).write.mode("append").parquet(source)
+        stream = streaming.stream_ingest(spark, source, records.schema, "parquet")
+        streaming.stream_day_state(streaming.stream_clean(stream), base, f"{base}/checkpoint", "1 hour")
+    return base
+
+
+STATE_COLUMNS = [m for m in METRICS if m != "created_timestamp"]
+
+
+@query(
+    "stream_day_state",
+    f"""
+SELECT customer_id, event_date, {', '.join(STATE_COLUMNS)},
+       event_date + INTERVAL 1 DAY <= (SELECT max(call_time) FROM clean) - INTERVAL 1 HOUR AS closed
+FROM daily WHERE event_date >= {LATE_UNTIL}""",
+    ("daily", "clean"),
+    tuple(m for m in STATE_COLUMNS if METRICS[m]),
+)
+def stream_day_state(spark, sf_dir):
+    days = streaming.read_day_features(spark, _day_states(spark, sf_dir))
+    return days.withColumn("event_timestamp", F.col("event_timestamp").cast("timestamp_ntz")).select(
+        "customer_id", "event_date", *STATE_COLUMNS, "closed"
+    )
+
+
+@query(
+    "stream_late_records",
+    f"""
+SELECT CAST(call_time AS DATE) AS event_date, customer_id, count(*) AS records, CAST(2 AS BIGINT) AS batch
+FROM clean WHERE CAST(call_time AS DATE) < {LATE_UNTIL} GROUP BY ALL""",
+    ("clean",),
+)
+def stream_late_records(spark, sf_dir):
+    late = streaming.late_records(spark, _day_states(spark, sf_dir))
+    return late.groupBy(F.to_date("call_time").alias("event_date"), "customer_id", "batch").agg(F.count("*").alias("records"))

@@ -74,6 +74,70 @@ def daily_features(cdr: DataFrame) -> DataFrame:
     )
 
 
+def day_state(cdr: DataFrame) -> DataFrame:
+    """What :func:`daily_features` needs of each customer and day, in parts that add up over batches of records.
+
+    The codes of a day are kept as a set, no larger than the list of promotions.
+    """
+    kind, seconds = F.col("call_type"), F.col("call_duration_seconds").cast("double")
+    counts = {
+        "voice": kind == "VOICE",
+        "sms": kind == "SMS",
+        "dropped": F.col("call_result") == "DROPPED",
+        "peak": peak_flag(F.col("call_time")),
+        "weekend": weekend_flag(F.col("call_time")),
+        "service": F.col("destination_number") == "CUSTOMER_SERVICE",
+        "international": is_international(kind, F.col("destination_number")),
+        "promo": is_promo(F.col("promotion_code")),
+    }
+    return cdr.groupBy("customer_id", F.to_date("call_time").alias("event_date")).agg(
+        F.max("call_time").alias("event_timestamp"),
+        F.count(F.lit(1)).alias("records"),
+        *[F.count_if(c).alias(n) for n, c in counts.items()],
+        F.sum(F.when(kind == "VOICE", seconds / 60).otherwise(0.0)).alias("minutes"),
+        F.sum(F.when(kind == "VOICE", seconds)).alias("voice_seconds"),
+        F.sum(F.when(kind == "DATA", seconds * 0.001).otherwise(0.0)).alias("data_mb"),
+        F.sum("call_charge").alias("charges"),
+        F.collect_set("promotion_code").alias("codes"),
+    )
+
+
+def merged_state(states: DataFrame) -> DataFrame:
+    """One :func:`day_state` per customer and day out of several."""
+    summed = [c for c in states.columns if c not in (*KEY, "event_timestamp", "codes")]
+    return states.groupBy(*KEY).agg(
+        F.max("event_timestamp").alias("event_timestamp"),
+        *[F.sum(c).alias(c) for c in summed],
+        F.array_distinct(F.flatten(F.collect_list("codes"))).alias("codes"),
+    )
+
+
+def features_of_state(state: DataFrame) -> DataFrame:
+    """The columns of :func:`daily_features` out of :func:`day_state`."""
+    percent = lambda c: F.col(c) / F.col("records") * 100
+    return state.select(
+        *KEY,
+        "event_timestamp",
+        F.col("minutes").alias("daily_total_minutes"),
+        F.col("voice").alias("daily_total_calls"),
+        F.col("sms").alias("daily_total_sms"),
+        F.col("data_mb").alias("daily_total_data_mb"),
+        F.try_divide("voice_seconds", "voice").alias("avg_call_duration"),
+        percent("peak").alias("peak_hour_usage_pct"),
+        percent("weekend").alias("weekend_usage_pct"),
+        (F.try_divide("dropped", "voice") * 100).alias("dropped_calls_pct"),
+        F.col("service").alias("customer_service_calls"),
+        F.col("international").alias("international_calls_count"),
+        F.col("charges").alias("daily_charges"),
+        percent("promo").alias("promo_usage_pct"),
+        F.col("promo").alias("promo_rows"),
+        F.col("records").alias("total_rows"),
+        F.size("codes").cast("bigint").alias("active_promotions_count"),
+        F.col("charges").alias("avg_daily_charge"),
+        created_timestamp(F.col("event_timestamp")).alias("created_timestamp"),
+    )
+
+
 def _table(daily: DataFrame, metrics: list[str]) -> DataFrame:
     return daily.select(*KEY, "event_timestamp", *metrics, "created_timestamp")
 

@@ -181,11 +181,25 @@ def merge_snapshot(rows: DataFrame, base: str, key: str = "customer_id", created
     same rows again changes nothing and a run can be repeated. Columns are those
     of the first version.
     """
-    spark = rows.sparkSession
-    versions = snapshot_versions(spark, base)
     batch = latest_snapshot(rows, key=key, created=created)
+    return update_snapshot(batch, base, lambda new, stored: _newer(new, stored, key, created), key)
+
+
+def update_snapshot(batch: DataFrame, base: str, combine, key: str = "customer_id", version: int | None = None) -> int:
+    """Store the next version of a snapshot from a batch with one row per key; returns its number.
+
+    ``combine(batch, stored)`` gives the rows to write, of keys of the batch
+    alone; ``stored`` are the stored rows of the ranges that these fall into.
+    With ``version`` the result has this number, and nothing happens if there is
+    one as new: an update that adds to what is stored can be repeated.
+    """
+    spark = batch.sparkSession
+    versions = snapshot_versions(spark, base)
+    if version is not None and versions and versions[-1] >= version:
+        return version
     parts = read_manifest(spark, base, versions[-1]) if versions else []
-    version = versions[-1] + 1 if versions else 0
+    if version is None:
+        version = versions[-1] + 1 if versions else 0
     if not parts:
         write_snapshot(batch, base, version, key)
         return version
@@ -193,10 +207,10 @@ def merge_snapshot(rows: DataFrame, base: str, key: str = "customer_id", created
     batch = materialize(batch.select(*schema.names).withColumn("range", _range_of(key, parts)), "snapshot-batch")
     touched = {r["range"] for r in batch.select("range").distinct().collect()}
     old = [p for p in parts if p.range in touched]
-    newer = _newer(batch, _rows_of(spark, base, old, key, schema), key, created) if old else batch
-    newer = materialize(newer, "snapshot-newer")
-    if not newer.isEmpty():
-        name = _segment(newer.repartition("range"), base, key)
+    changed = combine(batch.drop("range"), _rows_of(spark, base, old, key, schema)) if old else batch.drop("range")
+    changed = materialize(changed.select(*schema.names).withColumn("range", _range_of(key, parts)), "snapshot-changed")
+    if not changed.isEmpty():
+        name = _segment(changed.repartition("range"), base, key)
         last, lows = {}, {}
         for p in parts:
             last[p.range], lows[p.range] = max(last.get(p.range, 0), p.place), p.low
