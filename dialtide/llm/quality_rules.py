@@ -2,7 +2,7 @@
 
 Lines are normalised and hashed; for each host (here: the source of a document)
 the distinct documents with a line are counted. A line above the limits is
-template text. A document of which little else remains is rejected.
+template text and goes. A document of which little else remains is rejected.
 """
 
 from __future__ import annotations
@@ -11,14 +11,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import SPACE_CLASS, carried, content_key, hash128, line_key, lines_of, text_of, uncarried
+from .common import SPACE_CLASS, carried, content_key, hash128, line_key, lines_of, retexted, text_of
 
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 WINDOW = 5
-#: A line is template text in a host if at least so many different documents, and more than such a share, hold it.
+#: A line is template text in a host if at least so many different documents hold it, and at least the square root of
+#: the host's: what a small host repeats everywhere is one, and the limit of a host a hundred times the size is ten times as high.
 MIN_LINE_DOCUMENTS = 10
-LINE_SHARE_PERCENT = 10
 #: A document is depleted if less than this share of its characters is outside template lines.
 MIN_LEFT_PERCENT = 30
 
@@ -73,7 +73,7 @@ def _count(n: Column) -> Column:
 def base_figures(docs: DataFrame, host: str = "source") -> DataFrame:
     """One row per document: doc_id, host, a key of these and the text, the figures of the text, its hash and its lines.
 
-    ``lines`` holds, for each line with a word, its hash and number of characters.
+    ``lines`` holds, for each line with a word, its hash, number of characters and place among all lines.
     """
     df = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
@@ -85,7 +85,10 @@ def base_figures(docs: DataFrame, host: str = "source") -> DataFrame:
         {
             "words": F.regexp_extract_all("text", F.lit(f"[^{SPACE_CLASS}]+"), F.lit(0)),
             "n_symbols": _count(F.regexp_count("text", F.lit("[#*$%&|<>]"))),
-            "written": F.filter(lines_of(F.col("text")), lambda line: line.rlike(f"[^{SPACE_CLASS}]")),
+            "written": F.filter(
+                F.transform(lines_of(F.col("text")), lambda line, i: F.struct(line.alias("line"), i.alias("pos"))),
+                lambda x: x["line"].rlike(f"[^{SPACE_CLASS}]"),
+            ),
             "fingerprint": F.xxhash64("text"),
         }
     ).drop("text")
@@ -93,10 +96,10 @@ def base_figures(docs: DataFrame, host: str = "source") -> DataFrame:
         {
             "n_words": _count(F.size("words")),
             "word_chars": F.aggregate("words", F.lit(0).cast("long"), lambda s, w: s + F.char_length(w)),
-            "n_dup_lines": _count(F.size("written") - F.size(F.array_distinct("written"))),
+            "n_dup_lines": _count(F.size("written") - F.size(F.array_distinct("written.line"))),
             "lines": F.transform(
-                F.transform("written", line_key),
-                lambda k: F.struct(hash128(k).alias("hash"), F.char_length(k).alias("chars")),
+                F.transform("written", lambda x: F.struct(line_key(x["line"]).alias("k"), x["pos"].alias("pos"))),
+                lambda x: F.struct(hash128(x["k"]).alias("hash"), F.char_length(x["k"]).alias("chars"), x["pos"].alias("pos")),
             ),
         }
     ).drop("written")
@@ -117,13 +120,13 @@ def template_lines(figures: DataFrame) -> DataFrame:
     lines, hosts = lines.alias("l"), hosts.alias("h")
     return (
         lines.join(hosts, F.col("l.host").eqNullSafe(F.col("h.host")))
-        .filter(100 * F.col("documents") > LINE_SHARE_PERCENT * F.col("host_documents"))
+        .filter(F.col("documents") * F.col("documents") >= F.col("host_documents"))
         .select("l.host", "hash")
     )
 
 
 def judged(docs: DataFrame, host: str = "source") -> DataFrame:
-    """One row per document: its figures, n_chars_left, n_line_chars and ``kept``, see :func:`quality_rules`."""
+    """One row per document: its figures, n_chars_left, n_line_chars, n_template_lines, their places and ``kept``, see :func:`quality_rules`."""
     figures = materialize(
         base_figures(docs, host).withColumn("row", F.monotonically_increasing_id()), "quality-figures"
     )
@@ -131,14 +134,15 @@ def judged(docs: DataFrame, host: str = "source") -> DataFrame:
     cells = figures.select("row", known, unknown, F.explode("lines").alias("line"))
     template = materialize(template_lines(figures), "template-lines").select(known, unknown, "hash")
     lost = (
-        cells.select("row", "h", "u", "line.hash", "line.chars")
+        cells.select("row", "h", "u", "line.hash", "line.chars", "line.pos")
         .join(template, ["h", "u", "hash"])
         .groupBy("row")
-        .agg(F.sum("chars").alias("lost"))
+        .agg(F.sum("chars").alias("lost"), F.collect_list("pos").alias("dropped"))
     )
     all_chars = F.aggregate("lines.chars", F.lit(0).cast("long"), lambda s, c: s + c)
     rows = figures.withColumn("n_line_chars", all_chars).drop("lines").join(lost, "row", "left")
     rows = rows.withColumn("n_chars_left", (F.col("n_line_chars") - F.coalesce("lost", F.lit(0))).cast("long"))
+    rows = rows.withColumn("n_template_lines", F.coalesce(F.size("dropped"), F.lit(0)).cast("long"))
     depleted = 100 * F.col("n_chars_left") < MIN_LEFT_PERCENT * F.col("n_line_chars")
     return rows.withColumn("kept", ~F.col("base_failed") & ~depleted)
 
@@ -152,11 +156,14 @@ def quality_rules(docs: DataFrame, host: str = "source") -> DataFrame:
     that it holds twice or more. It is rejected as depleted if template lines
     of its host leave less than :data:`MIN_LEFT_PERCENT` percent of the
     characters of its lines. Documents without a host form one host. Null and
-    empty texts have no words and fail. Repeated rows are judged alike. An
-    empty table gives an empty result; other columns are not read.
+    empty texts have no words and fail. Texts are read whole. Repeated rows are
+    judged alike. An empty table gives an empty result; other columns are not
+    read, whatever their names. The texts without template lines are those of
+    :func:`quality_filter`.
 
     Returns doc_id, n_words, word_chars, n_symbols, n_dup_lines,
-    n_repeat_words, base_failed, kept, n_chars_left, n_line_chars.
+    n_repeat_words, base_failed, kept, n_chars_left, n_line_chars,
+    n_template_lines.
     """
     return judged(docs, host).select(
         "doc_id",
@@ -169,12 +176,23 @@ def quality_rules(docs: DataFrame, host: str = "source") -> DataFrame:
         "kept",
         "n_chars_left",
         "n_line_chars",
+        "n_template_lines",
     )
 
 
 def quality_filter(docs: DataFrame, host: str = "source") -> DataFrame:
-    """The rows of ``docs`` that :func:`quality_rules` keeps, with all their columns."""
-    rejected = materialize(judged(docs, host).filter("NOT kept").select("content").distinct(), "rejected")
+    """The rows of ``docs`` that :func:`quality_rules` keeps, with their columns, and texts without template lines.
+
+    The other lines keep their order; n_chars follows a text that lost lines.
+    Null and empty texts go, repeated rows stay or go together, columns of any
+    names stay as they are. An empty table gives an empty result.
+    """
+    rows = judged(docs, host).filter("NOT kept OR n_template_lines > 0").select("content", "kept", "dropped")
+    rows = materialize(rows.groupBy("content").agg(F.first("kept").alias("kept"), F.first("dropped").alias("dropped")), "verdicts")
     plain = carried(docs, doc_id=F.col("doc_id").cast("long"), host=F.col(host).cast("string"), text=text_of())
-    plain = plain.select("_row", content_key("doc_id", "host", "text").alias("content"))
-    return uncarried(plain.join(rejected.hint("merge"), "content", "left_anti"), docs.columns)
+    plain = plain.select("_row", "text", lines_of(F.col("text")).alias("lines"), content_key("doc_id", "host", "text").alias("content"))
+    joined = plain.join(rows.hint("merge"), "content", "left").filter("kept IS NULL OR kept")
+    places = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("dropped"))
+    left = F.array_join(F.transform(places, lambda p: F.get(F.col("lines"), p)), "\n")
+    left = F.when(F.col("dropped").isNull(), F.col("text")).otherwise(left)
+    return retexted(joined.select("_row", left.alias("text")), docs, F.col("text"))

@@ -59,23 +59,24 @@ template AS (
   SELECT k.source, k.key FROM keyed k JOIN hosts h ON k.source IS NOT DISTINCT FROM h.source
   GROUP BY k.source, k.key, host_documents
   HAVING count(DISTINCT k.t) >= {quality_rules.MIN_LINE_DOCUMENTS}
-     AND 100 * count(DISTINCT k.t) > {quality_rules.LINE_SHARE_PERCENT} * host_documents),
+     AND count(DISTINCT k.t) * count(DISTINCT k.t) >= host_documents),
 left_over AS (
   SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines, CAST(sum(length(k.key)) AS BIGINT) AS n_line_chars,
-         CAST(coalesce(sum(length(k.key)) FILTER (WHERE m.key IS NULL), 0) AS BIGINT) AS n_chars_left
+         CAST(coalesce(sum(length(k.key)) FILTER (WHERE m.key IS NULL), 0) AS BIGINT) AS n_chars_left,
+         count(m.key) AS n_template_lines
   FROM keyed k LEFT JOIN template m ON k.key = m.key AND k.source IS NOT DISTINCT FROM m.source GROUP BY doc_id),
 figures AS (
   SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(word_chars, 0) AS word_chars,
          CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines,
          coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(n_chars_left, 0) AS n_chars_left,
-         coalesce(n_line_chars, 0) AS n_line_chars
+         coalesce(n_line_chars, 0) AS n_line_chars, coalesce(n_template_lines, 0) AS n_template_lines
   FROM texts LEFT JOIN counts USING (doc_id) LEFT JOIN repeats USING (doc_id) LEFT JOIN left_over USING (doc_id)),
 judged AS (
   SELECT *, n_words < {quality_rules.MIN_WORDS} OR 100 * n_repeat_words > {quality_rules.MAX_REPEAT_PERCENT} * n_words
             AS base_failed FROM figures)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND NOT 100 * n_chars_left < {quality_rules.MIN_LEFT_PERCENT} * n_line_chars AS kept,
-       n_chars_left, n_line_chars
+       n_chars_left, n_line_chars, n_template_lines
 FROM judged"""
 
 

@@ -62,6 +62,11 @@ def quality_figures(text: str | None) -> tuple:
 
 def quality_kept(rows: list[tuple]) -> list[bool]:
     """Verdicts on (text, host) rows."""
+    return [v for v, _ in quality_judged(rows)]
+
+
+def quality_judged(rows: list[tuple]) -> list[tuple[bool, str]]:
+    """Verdicts on (text, host) rows, and the texts without template lines."""
     hosts, lines = defaultdict(set), defaultdict(set)
     for text, host in rows:
         hosts[host].add(text or "")
@@ -71,9 +76,10 @@ def quality_kept(rows: list[tuple]) -> list[bool]:
     out = []
     for text, host in rows:
         keys = [line_key(x) for x in (text or "").split("\n") if WORD.search(x)]
-        frequent = {k for k in keys if len(lines[host, k]) >= 10 and 10 * len(lines[host, k]) > len(hosts[host])}
+        frequent = {k for k in keys if len(lines[host, k]) >= 10 and len(lines[host, k]) ** 2 >= len(hosts[host])}
         left = sum(len(k) for k in keys if k not in frequent)
-        out.append(not quality_figures(text)[5] and not 100 * left < 30 * sum(map(len, keys)))
+        rest = "\n".join(x for x in (text or "").split("\n") if line_key(x) not in frequent)
+        out.append((not quality_figures(text)[5] and not 100 * left < 30 * sum(map(len, keys)), rest))
     return out
 
 
