@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from itertools import combinations_with_replacement
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -190,30 +192,77 @@ def pearson(a: str, b: str) -> Column:
     return F.covar_pop(a, b) / F.nullif(spread, F.lit(0.0))
 
 
+_MOMENTS = ["n", "mx", "my", "xx", "yy", "xy"]
+_PAIR = "i int, j int, n double, mx double, my double, xx double, yy double, xy double"
+
+
+def _block_moments(x: np.ndarray, there: np.ndarray) -> np.ndarray:
+    """[moment, i, j] of all column pairs of a block, each over the rows where both are present.
+
+    Values are shifted by the column's first one, so that large means do no harm.
+    """
+    first = x[there.argmax(axis=0), np.arange(x.shape[1])]
+    x, m = np.where(there, x - np.where(there.any(axis=0), first, 0.0), 0.0), there.astype(float)
+    first = np.where(there.any(axis=0), first, 0.0)
+    n, sx, sy = m.T @ m, x.T @ m, m.T @ x
+    sxx, syy, sxy = (x * x).T @ m, m.T @ (x * x), x.T @ x
+    with np.errstate(invalid="ignore", divide="ignore"):
+        xx, yy, xy = sxx - sx * sx / n, syy - sy * sy / n, sxy - sx * sy / n
+        # what is left of equal values is rounding
+        xx, yy = (np.where(v <= 1e-14 * s, 0.0, v) for v, s in ((xx, sxx), (yy, syy)))
+        return np.where(n > 0, np.stack([n, first[:, None] + sx / n, first[None, :] + sy / n, xx, yy, xy]), 0.0)
+
+
+def _merged_moments(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The moments of two sets of rows together."""
+    n = a[0] + b[0]
+    with np.errstate(invalid="ignore", divide="ignore"):
+        share, dx, dy = np.where(n > 0, b[0] / n, 0.0), b[1] - a[1], b[2] - a[2]
+    both = np.stack([n, a[1] + dx * share, a[2] + dy * share, *(a[k] + b[k] + a[0] * share * d for k, d in ((3, dx * dx), (4, dy * dy), (5, dx * dy)))])
+    return np.where(a[0] == 0, b, np.where(b[0] == 0, a, both))
+
+
+def _moments(width: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((len(_MOMENTS), width, width))
+        for batch in batches:
+            values = batch.column("x").flatten()
+            x = values.to_numpy(zero_copy_only=False).reshape(-1, width)
+            there = values.is_valid().to_numpy(zero_copy_only=False).reshape(-1, width)
+            if len(x):
+                total = _merged_moments(total, _block_moments(x, there))
+        i, j = np.nonzero(np.triu(total[0]))
+        columns = [pa.array(i.astype(np.int32)), pa.array(j.astype(np.int32)), *[pa.array(t[i, j]) for t in total]]
+        yield pa.RecordBatch.from_arrays(columns, names=["i", "j", *_MOMENTS])
+
+    return run
+
+
+def _all_moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The tasks' moments of each pair, put together."""
+    total: dict[tuple[int, int], np.ndarray] = {}
+    for batch in batches:
+        moments = np.stack([batch.column(c).to_numpy() for c in _MOMENTS])
+        for k, pair in enumerate(zip(batch.column("i").to_pylist(), batch.column("j").to_pylist())):
+            total[pair] = _merged_moments(total[pair], moments[:, k]) if pair in total else moments[:, k]
+    if total:
+        i, j = (pa.array([p[k] for p in total], pa.int32()) for k in (0, 1))
+        moments = np.stack(list(total.values()), axis=1)
+        yield pa.RecordBatch.from_arrays([i, j, *[pa.array(m) for m in moments]], names=["i", "j", *_MOMENTS])
+
+
 def correlation_matrix(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Pearson correlation of every ordered pair of numeric columns, in long form.
 
-    Each row is expanded to its column pairs and combined per pair in place, so
-    the plan stays small for many columns and only pairs are shuffled. A pair
-    uses the rows where both are present; without variance it is null.
+    A task multiplies blocks of rows with masks of what is present and keeps one
+    set of moments for each pair, whatever its rows; only these are shuffled. A
+    pair uses the rows where both are present; without variance it is null, and
+    without such rows it is left out.
     """
     columns = columns or _numeric(df)
-    x, y = F.col("x"), F.col("y")
-    pairs = [
-        F.struct(
-            F.lit(i).alias("i"),
-            F.lit(j).alias("j"),
-            F.col(columns[i]).cast("double").alias("x"),
-            F.col(columns[j]).cast("double").alias("y"),
-        )
-        for i, j in combinations_with_replacement(range(len(columns)), 2)
-    ]
-    half = (
-        df.select(F.inline(F.array(*pairs)))
-        .filter(x.isNotNull() & y.isNotNull())
-        .groupBy("i", "j")
-        .agg((F.covar_pop(x, y) / F.nullif(F.stddev_pop(x) * F.stddev_pop(y), F.lit(0.0))).alias("correlation"))
-    )
+    values = df.select(F.array(*[F.col(c).cast("double") for c in columns]).alias("x"))
+    half = values.mapInArrow(_moments(len(columns)), _PAIR).repartition("i", "j").mapInArrow(_all_moments, _PAIR)
+    half = half.select("i", "j", (F.col("xy") / F.nullif(F.sqrt("xx") * F.sqrt("yy"), F.lit(0.0))).alias("correlation"))
     both = F.array_distinct(F.array(F.struct("i", "j"), F.struct(F.col("j").alias("i"), F.col("i").alias("j"))))
     names = F.array(*map(F.lit, columns))
     return half.select(F.explode(both).alias("p"), "correlation").select(

@@ -74,8 +74,14 @@ def value_buckets(freq: DataFrame, group: list[str], value: str, cuts: int | Non
     """
     points = _cut_points(freq, group, value, cuts or _cuts(freq))
     tagged = null_safe_join(freq, points, group) if group else freq.withColumn("_cuts", points.scalar())
-    below = F.size(F.filter("_cuts", lambda cut: cut < F.col(value)))
-    return tagged.withColumn("_bucket", below).drop("_cuts")
+    return tagged.withColumn("_bucket", _below("_cuts", F.col(value), cuts or _cuts(freq))).drop("_cuts")
+
+
+def _below(cuts: str, value: Column, most: int) -> Column:
+    """How many of the sorted ``cuts``, ``most`` at the most, are below the value, by halving."""
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(most.bit_length()))])
+    is_below = lambda place: F.coalesce(F.get(F.col(cuts), place) < value, F.lit(False))
+    return F.aggregate(steps, F.lit(0), lambda found, step: F.when(is_below(found + step - 1), found + step).otherwise(found))
 
 
 def exact_quantiles(df: DataFrame, group: list[str], value: str, probs: list[float]) -> DataFrame:

@@ -12,7 +12,7 @@ from ..operators.clean import add_date_parts, clean_cdr
 from ..operators.quality import require_gate, run_suite
 from ..session import materialize
 from ..sources.cdr_csv import quarantine_rows, read_cdr_csv, silver_path
-from ..sources.tables import list_new_files, mark_processed, write_silver
+from ..sources.tables import list_new_files, mark_processed, publish_run, write_silver
 
 
 @dataclass
@@ -49,10 +49,10 @@ def ingest_day(
     The batch is checked where it is staged, so a refused batch is never
     readable. A run writes below its own name, ``run=…``, and leaves what
     earlier runs of the day published; a run that is repeated after a failure
-    replaces its own rows. Malformed rows go to ``quarantine`` in the same way,
-    at the price of a second read of the files. Files are recorded, with the
-    run, only after that; :func:`dialtide.sources.tables.read_silver` with the
-    ledger leaves runs out that never got so far.
+    replaces its own rows, also if it meets more files than before. Malformed
+    rows go to ``quarantine`` in the same way, at the price of a second read of
+    the files. A run's rows are visible once it is published, by a mark written
+    last; files are recorded, with the run, after that.
     """
     ledger = _read(spark, ledger_path) if ledger_path else None
     files = materialize(list_new_files(spark, raw_base, date, ledger), "new-files")
@@ -67,6 +67,7 @@ def ingest_day(
     rows = write_silver(staged, out, run=run)
     if quarantine:
         quarantine_rows(spark, paths).write.mode("overwrite").parquet(f"{quarantine.rstrip('/')}/run={run}")
+    publish_run(files, out, run, ledger)
     if ledger_path:
         mark_processed(files, ledger_path, run)
     return IngestResult(count, rows, out, run)

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import BENCHMARK_ROWS, CHURN_LABELS, CHURN_TABLE
+from ..session import materialize
 from .snapshots import expire_snapshots, merge_snapshot, read_snapshot, snapshot_versions, write_snapshot
 
 __all__ = [
@@ -14,6 +15,8 @@ __all__ = [
     "list_new_files",
     "mark_processed",
     "merge_snapshot",
+    "publish_run",
+    "published_runs",
     "read_churn_table",
     "read_features",
     "read_importance",
@@ -31,6 +34,9 @@ __all__ = [
 
 PARTITIONS = ["year", "month", "day"]
 RUN = "run"
+#: Below a silver folder: for each run that is published its files, and the runs it takes the place of.
+PUBLISHED = "_published"
+_MARK = "path string, replaces string"
 
 
 def write_silver(df: DataFrame, path: str, files_per_day: int = 16, run: str | None = None) -> int:
@@ -67,7 +73,9 @@ def read_silver(
 ) -> DataFrame:
     """Cleaned records; ``start`` and ``end`` (ISO dates, inclusive) prune day folders.
 
-    With ``ledger`` only runs recorded there count, so a run that broke off is not seen.
+    Of rows that were written by runs, those of published runs count, see
+    :func:`publish_run`, and with ``ledger`` only those of runs recorded there;
+    so a run that broke off is not seen. Rows written without runs all count.
 
     Partition values are read as text and cast, so ids that look like numbers
     are never retyped by inference.
@@ -79,11 +87,51 @@ def read_silver(
         df = df.filter(as_number >= int(start.replace("-", "")))
     if end:
         df = df.filter(as_number <= int(end.replace("-", "")))
-    if ledger is not None and RUN in df.columns:
-        df = df.join(ledger.select(RUN).distinct(), RUN, "left_semi")
+    if RUN in df.columns:
+        visible = published_runs(spark, path) if ledger is None else ledger.select(RUN).distinct()
+        df = df.join(visible, RUN, "left_semi")
     return df.withColumns(parts).drop(RUN)
 
 
+def _marks(spark: SparkSession, path: str) -> DataFrame:
+    """The files and replaced runs of each published run: run, path, replaces."""
+    try:
+        return spark.read.schema(f"{_MARK}, {RUN} string").parquet(f"{path.rstrip('/')}/{PUBLISHED}")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], f"{_MARK}, {RUN} string")
+
+
+def published_runs(spark: SparkSession, path: str) -> DataFrame:
+    """The runs whose rows count: published, and no later run has taken their place."""
+    marks = _marks(spark, path)
+    replaced = marks.filter("replaces IS NOT NULL").select(F.col("replaces").alias(RUN))
+    return marks.select(RUN).distinct().join(replaced, RUN, "left_anti")
+
+
+def publish_run(files: DataFrame, path: str, run: str, ledger: DataFrame | None = None) -> None:
+    """Make what a run wrote below ``path`` visible, by one small file written last.
+
+    ``files`` (path) are those the run has read. A run published before with
+    no file beyond these, and not recorded in the ``ledger``, broke off between
+    publishing and recording: this run read its files again and takes its place.
+    """
+    spark = files.sparkSession
+    earlier = _marks(spark, path).filter((F.col(RUN) != run) & F.col("path").isNotNull()).select(RUN, "path")
+    if ledger is not None:
+        earlier = earlier.join(ledger.select(RUN).distinct(), RUN, "left_anti")
+    again = F.col("again").isNotNull()
+    read = files.select("path", F.lit(True).alias("again")).distinct()
+    replaced = earlier.join(read, "path", "left").groupBy(RUN).agg(F.every(again).alias("all")).filter("all")
+    rows = files.select("path", F.lit(None).cast("string").alias("replaces")).union(
+        replaced.select(F.lit(None).cast("string"), RUN)
+    )
+    # written aside first: the mark of a run that is repeated is among what was read
+    rows = materialize(rows, "published")
+    rows.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{path.rstrip('/')}/{PUBLISHED}/{RUN}={run}")
+
+
 FEATURE_FILES = {"cdr_statistics": "cdr_features", "billing": "billing_features", "promotion": "promotion_features"}
 
 

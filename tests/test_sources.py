@@ -127,6 +127,32 @@ def test_a_late_file_adds_to_its_day(spark, tmp_path):
     assert again.run == second.run and tables.read_silver(spark, first.path).count() == 8
 
 
+def test_a_run_is_visible_once_it_is_published(spark, tmp_path, monkeypatch):
+    from dialtide.plans import ingest
+
+    raw, silver, ledger = tmp_path / "raw", str(tmp_path / "silver"), str(tmp_path / "ledger")
+    day = raw / "cdr" / "2024-01-03"
+    put(day, GOOD)
+    first = ingest_day(spark, str(raw), silver, "2024-01-03", ledger)
+    os.makedirs(day / "late")
+    put(day / "late", *[GOOD.replace("c1", f"b{i}") for i in range(2)])
+    with monkeypatch.context() as m:  # breaks off after its rows are written
+        m.setattr(ingest, "publish_run", lambda *_: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            ingest_day(spark, str(raw), silver, "2024-01-03", ledger)
+    assert tables.read_silver(spark, first.path).count() == 1
+    with monkeypatch.context() as m:  # breaks off after publishing, before it is recorded
+        m.setattr(ingest, "mark_processed", lambda *_: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            ingest_day(spark, str(raw), silver, "2024-01-03", ledger)
+    assert tables.read_silver(spark, first.path).count() == 3
+    os.makedirs(day / "later")
+    put(day / "later", GOOD.replace("c1", "d0"))
+    again = ingest_day(spark, str(raw), silver, "2024-01-03", ledger)  # meets one more file: another run
+    assert again.files == 2 and tables.read_silver(spark, first.path).count() == 4
+    assert ingest_day(spark, str(raw), silver, "2024-01-03", ledger).files == 0
+
+
 def test_ingest_stops_on_bad_quality(spark, tmp_path):
     raw, silver, ledger = tmp_path / "raw", str(tmp_path / "silver"), str(tmp_path / "ledger")
     put(raw / "cdr" / "2024-01-03", GOOD.replace("VOICE", "FAX"))
