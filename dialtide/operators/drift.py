@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import materialize
+
 EMPTY_BIN = 1e-10
 
 
@@ -50,6 +52,8 @@ def drift_report(
         )
         .withColumn("width", (F.col("hi") - F.col("lo")) / bins)
     )
+    # one row per column, stored: each side is read once for the ranges and once for the bins
+    present = materialize(present, "drift-ranges")
     enough = (F.col("n_current") > min_values) & (F.col("n_reference") > min_values)
     stats = present.filter(enough)
 
