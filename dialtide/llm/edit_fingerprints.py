@@ -29,7 +29,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import materialize
 from .common import small_batches, text_of
+from .components import connected_components
+from .minhash import BLOCK, by_blocks, mixed_blocks
 from .shingles import mix
 
 WALKS, SAMPLES = 4, 32
@@ -292,3 +295,67 @@ def document_fingerprints(docs: DataFrame) -> DataFrame:
     order = ["dest", "late", F.asc_nulls_last("doc_id"), "h", "text"]
     routed = routed.select("dest", "late", "doc_id", "h", "text").repartition("dest").sortWithinPartitions(*order)
     return routed.mapInArrow(_neighbours, _NEIGHBOUR)
+
+
+SIMILARITY_PERCENT = 80
+BANDS = 16
+_ROWS = COMPONENTS // BANDS
+_LINK = "a long, b long"
+
+
+def _links(table: pa.Table) -> pa.Table:
+    """Links between members of a block whose fingerprints are alike, those that join classes only."""
+    side, node, label = (table.column(c).to_numpy() for c in ("side", "node", "label"))
+    sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint8).reshape(-1, COMPONENTS)
+    few, every = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+    agree = np.stack([(sig[every] == sig[i]).sum(axis=1) for i in few]) if len(few) else np.zeros((0, len(every)), int)
+    i, j = np.nonzero(100 * agree >= SIMILARITY_PERCENT * COMPONENTS)
+    head: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while head.get(x, x) != x:
+            x = head[x]
+        return x
+
+    found = []
+    for a, b in zip(few[i].tolist(), every[j].tolist()):
+        x, y = root(int(label[a])), root(int(label[b]))
+        if x != y:
+            head[max(x, y)] = min(x, y)
+            found.append((int(node[a]), int(node[b])))
+    return pa.table({c: pa.array([f[k] for f in found], pa.int64()) for k, c in enumerate("ab")})
+
+
+def edit_classes(docs: DataFrame) -> DataFrame:
+    """Each document with the class of documents whose fingerprints are alike: doc_id, class_id, class_size.
+
+    Bands of components are the keys of buckets; in a bucket every fingerprint is
+    compared with the smallest row's, then those outside its largest class with
+    all others of another class, by whole fingerprints. Alike are those that
+    agree in :data:`SIMILARITY_PERCENT` percent of the components; classes are
+    the connected components, named by their smallest doc_id, rows without one
+    last. Equal texts, empty and null ones too, are in one class. Texts are read
+    whole. An empty table gives an empty result; other columns are not read.
+    """
+    texts = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
+    rows = texts.select("doc_id", F.unhex(fingerprint("text")).alias("sig"), F.monotonically_increasing_id().alias("row"))
+    rows = materialize(rows, "edit-fingerprints")
+    nodes = materialize(rows.groupBy("sig").agg(F.min("row").alias("node")), "edit-nodes")
+    keys = F.array(*[F.xxhash64(F.expr(f"substring(sig, {_ROWS * i + 1}, {_ROWS})"), F.lit(i)) for i in range(BANDS)])
+    cells = nodes.select("node", F.posexplode(keys).alias("band", "key"))
+    buckets = cells.groupBy("key").agg(F.count("*").alias("c"), F.min("node").alias("head")).filter("c > 1")
+    members = materialize(cells.join(buckets.select("key", "head"), "key"), "edit-members")
+    star = members.filter("node <> head").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()
+    a, b = (nodes.select(F.col("node").alias(x), F.hex("sig").alias(f"s{x}")) for x in "ab")
+    near = star.join(a, "a").join(b, "b").filter(likeness(F.col("sa"), F.col("sb")) >= SIMILARITY_PERCENT / 100)
+    edges = materialize(near.select("a", "b"), "edit-links")
+    labels = connected_components(edges)
+    dealt = mixed_blocks(members.select("key", "band", "node"), labels, BLOCK).join(nodes, "node")
+    more = materialize(by_blocks(dealt, _links, _LINK).distinct(), "edit-links")
+    if not more.isEmpty():
+        labels = connected_components(edges.union(more))
+    named = rows.join(nodes, "sig").join(labels, "node", "left").select("doc_id", F.coalesce("label", "node").alias("label"))
+    named = materialize(named, "edit-classes")
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id")
+    classes = named.groupBy("label").agg(F.count("*").alias("class_size"), F.min(order).alias("first"))
+    return named.join(classes, "label").select("doc_id", F.col("first.doc_id").alias("class_id"), "class_size")

@@ -11,9 +11,11 @@ bucket. Buckets are worked off in two steps:
 1. Every member is compared with the smallest node of its bucket. In a group of
    near copies this joins nearly all of it, with one comparison a member.
 2. Where a bucket still holds several classes, the members outside its largest
-   class are compared with all others of another class. Signatures are compared
-   by the array, in blocks of a bucket, so that no pair is written unless its
-   estimate is near the limit; members of one class are never paired.
+   class are compared with all others of another class, in blocks of a bucket:
+   first signatures, by the array, then the shingles of members that have a
+   likely partner. A block keeps track of the classes it joins and hands on only
+   the links that join some, so no more links than members are written. A pair
+   is looked at in the first band it has in common, and never inside a class.
 
 No bucket is capped. A pair at the limit has no band in common with probability
 0.003, far less above it; an estimate that is off by :data:`MARGIN_PERCENT` is
@@ -115,14 +117,16 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, repeats: bool = False) -> D
     return materialize(found.filter("fp = found").dropDuplicates(["node"]).select("node", "hashes", "weights"), "shingle-sets")
 
 
+def _is_similar(ha: bytes, wa: bytes, hb: bytes, wb: bytes) -> bool:
+    a, b = np.frombuffer(ha, np.uint64), np.frombuffer(hb, np.uint64)
+    wa, wb = (np.frombuffer(w, np.float32).astype(float) if w else np.ones(len(h)) for w, h in ((wa, a), (wb, b)))
+    return probability_jaccard(a, wa, b, wb) * 100 >= SIMILARITY_PERCENT - 1e-6
+
+
 def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        hits = []
-        for i, (ha, wa, hb, wb) in enumerate(zip(*[batch.column(c).to_pylist() for c in ("ha", "wa", "hb", "wb")])):
-            a, b = np.frombuffer(ha, np.uint64), np.frombuffer(hb, np.uint64)
-            wa, wb = (np.frombuffer(w, np.float32).astype(float) if w else np.ones(len(h)) for w, h in ((wa, a), (wb, b)))
-            if probability_jaccard(a, wa, b, wb) * 100 >= SIMILARITY_PERCENT - 1e-6:
-                hits.append(i)
+        sides = [batch.column(c).to_pylist() for c in ("ha", "wa", "hb", "wb")]
+        hits = [i for i, pair in enumerate(zip(*sides)) if _is_similar(*pair)]
         yield batch.select(["a", "b"]).take(pa.array(hits, pa.int64()))
 
 
@@ -152,22 +156,54 @@ def likely(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return pairs.join(a, "a").join(b, "b").mapInArrow(_estimated, _PAIRS)
 
 
-def _block_pairs(table: pa.Table) -> pa.Table:
-    """Pairs of different classes in two blocks of a bucket, by their signatures."""
-    side = table.column("side").to_numpy()
-    node, label = table.column("node").to_numpy(), table.column("label").to_numpy()
+CELL = "key long, i int, j int, band int, side int, node long, label long"
+_KEYS = ["key", "i", "j"]
+
+
+def _likely_in_block(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows (few, other) of two blocks of a bucket that are of different classes and likely similar, and how many components agree."""
+    side, node, label = (table.column(c).to_numpy() for c in ("side", "node", "label"))
     sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint8).reshape(-1, COMPONENTS)
-    few, all_others = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-    i, j = np.nonzero(_near(sig[few], sig[all_others]) >= _LEAST)
-    i, j = few[i], all_others[j]
-    other = label[i] != label[j]
-    a, b = np.minimum(node[i], node[j])[other], np.maximum(node[i], node[j])[other]
-    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+    few, every = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+    agree = _near(sig[few], sig[every])
+    i, j = np.nonzero(agree >= _LEAST)
+    agree, i, j = agree[i, j], few[i], every[j]
+    bands = (sig[i] == sig[j]).reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1) if len(i) else np.empty(0, int)
+    other = (label[i] != label[j]) & (bands == table.column("band").to_numpy()[i])
+    return i[other], j[other], agree[other]
 
 
-def between_classes(members: DataFrame, labels: DataFrame, nodes: DataFrame, block: int = BLOCK) -> DataFrame:
-    """Likely pairs of different classes in a bucket of ``members`` (key, node)."""
-    own = members.join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
+def _with_partner(table: pa.Table) -> pa.Table:
+    """The members of a block that have a likely partner in it."""
+    i, j, _ = _likely_in_block(table)
+    return table.select([c.split()[0] for c in CELL.split(", ")]).take(pa.array(np.unique(np.concatenate([i, j]))))
+
+
+def _links(table: pa.Table) -> pa.Table:
+    """Links between similar members of a block, those that join classes only."""
+    i, j, agree = _likely_in_block(table)
+    node, label = table.column("node").to_numpy(), table.column("label").to_numpy()
+    hashes, weights = table.column("hashes").to_pylist(), table.column("weights").to_pylist()
+    head: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while head.get(x, x) != x:
+            x = head[x]
+        return x
+
+    found = []
+    for k in np.argsort(-agree, kind="stable").tolist():
+        a, b = int(i[k]), int(j[k])
+        x, y = root(int(label[a])), root(int(label[b]))
+        if x != y and _is_similar(hashes[a], weights[a], hashes[b], weights[b]):
+            head[max(x, y)] = min(x, y)
+            found.append((int(node[a]), int(node[b])))
+    return pa.table({c: pa.array([f[n] for f in found], pa.int64()) for n, c in enumerate("ab")})
+
+
+def mixed_blocks(members: DataFrame, labels: DataFrame, block: int) -> DataFrame:
+    """The members of buckets with several classes, dealt out to pairs of blocks (key, i, j)."""
+    own = members.join(labels, "node", "left").select("key", "band", "node", F.coalesce("label", "node").alias("label"))
     own = materialize(own, "labelled-members")
     sizes = own.groupBy("key", "label").agg(F.count("*").alias("c"))
     of_key = sizes.groupBy("key").agg(F.max(F.struct("c", "label")).alias("top"), F.sum("c").alias("all")).filter("top.c < all")
@@ -179,33 +215,40 @@ def between_classes(members: DataFrame, labels: DataFrame, nodes: DataFrame, blo
     # the few once for each block of all, and all once for each block of the few
     place = lambda salt, n: F.pmod(F.xxhash64("node", F.lit(salt)), n).cast("int")
     few = cells.filter("label <> main").select(
-        "key", "node", "label", F.lit(0).alias("side"), place(1, F.col("few")).alias("i"), F.explode(F.expr("sequence(0, every - 1)")).alias("j")
+        "key", place(1, F.col("few")).alias("i"), F.explode(F.expr("sequence(0, every - 1)")).alias("j"), "band", F.lit(0).alias("side"), "node", "label"
     )
     every = cells.select(
-        "key", "node", "label", F.lit(1).alias("side"), F.explode(F.expr("sequence(0, few - 1)")).alias("i"), place(2, F.col("every")).alias("j")
+        "key", F.explode(F.expr("sequence(0, few - 1)")).alias("i"), place(2, F.col("every")).alias("j"), "band", F.lit(1).alias("side"), "node", "label"
     )
-    dealt = few.union(every).join(nodes.select("node", "sig"), "node")
-    found = _by_groups(dealt, ["key", "i", "j"])
-    return materialize(found.distinct(), "likely-pairs")
+    return few.union(every)
 
 
-def _by_groups(dealt: DataFrame, keys: list[str]) -> DataFrame:
-    """:func:`_block_pairs` of every group of ``keys``; the groups of a batch are cut out of it, whole."""
+def by_blocks(dealt: DataFrame, work, schema: str) -> DataFrame:
+    """``work`` on every pair of blocks; a batch is cut where one ends."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         for batch in batches:
             held.append(batch)
             table = pa.Table.from_batches(held)
-            marks = np.stack([table.column(k).to_numpy() for k in keys])
+            marks = np.stack([table.column(k).to_numpy() for k in _KEYS])
             cuts = np.flatnonzero((marks[:, 1:] != marks[:, :-1]).any(axis=0)) + 1
             for first, last in zip(np.append(0, cuts), cuts):
-                yield from _block_pairs(table.slice(first, last - first)).to_batches()
+                yield from work(table.slice(first, last - first)).to_batches()
             held = table.slice(cuts[-1] if len(cuts) else 0).to_batches()
         if held:
-            yield from _block_pairs(pa.Table.from_batches(held)).to_batches()
+            yield from work(pa.Table.from_batches(held)).to_batches()
+
+    return dealt.repartition(*_KEYS).sortWithinPartitions(*_KEYS).mapInArrow(run, schema)
+
 
-    return dealt.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, _PAIRS)
+def between_classes(members: DataFrame, labels: DataFrame, nodes: DataFrame, sets: DataFrame, block: int = BLOCK) -> DataFrame:
+    """Links (a, b) that join different classes of ``members`` (key, band, node), of all pairs of these that are similar."""
+    dealt = mixed_blocks(members, labels, block)
+    signed = nodes.select("node", "sig")
+    likely_cells = materialize(by_blocks(dealt.join(signed, "node"), _with_partner, CELL), "likely-members")
+    found = by_blocks(likely_cells.join(signed, "node").join(sets, "node"), _links, _PAIRS)
+    return materialize(found.distinct(), "more-near-pairs")
 
 
 def near_classes(docs: DataFrame, repeats: bool = False) -> DataFrame:
@@ -218,7 +261,7 @@ def near_classes(docs: DataFrame, repeats: bool = False) -> DataFrame:
     nodes = materialize(nodes.select(F.col("row").alias("node"), "row_key", "fp", "sig"), "nodes")
 
     keys = F.array(*[F.xxhash64(F.expr(f"substring(sig, {ROWS * i + 1}, {ROWS})"), F.lit(i)) for i in range(BANDS)])
-    cells = nodes.select("node", F.explode(keys).alias("key"))
+    cells = nodes.select("node", F.posexplode(keys).alias("band", "key"))
     buckets = cells.groupBy("key").agg(F.count("*").alias("c"), F.min("node").alias("head")).filter("c > 1")
     buckets = materialize(buckets.select("key", "head"), "buckets")
     members = materialize(cells.join(buckets, "key"), "members")
@@ -229,9 +272,7 @@ def near_classes(docs: DataFrame, repeats: bool = False) -> DataFrame:
     edges = materialize(verified(star, sets), "near-pairs")
     labels = connected_components(edges)
 
-    more = between_classes(members.select("key", "node"), labels, nodes)
-    tested = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    more = materialize(verified(more.join(tested, ["a", "b"], "left_anti"), sets), "more-near-pairs")
+    more = between_classes(members, labels, nodes, sets)
     if not more.isEmpty():
         labels = connected_components(edges.union(more))
     release(nodes, buckets, members, star, sets)

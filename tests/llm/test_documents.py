@@ -103,6 +103,19 @@ def test_template_lines_reject_depleted_documents_but_not_copies(documents):
     kept = {r["doc_id"]: r["kept"] for r in quality_rules.quality_rules(documents(rows)).collect()}
     assert kept == {i: ok for (i, _, _), ok in zip(rows, brute.quality_kept([r[1:] for r in rows]))}
     assert not any(kept[i] for i in range(30)) and all(kept[i] for i in kept if i >= 100)
+    texts = {r["doc_id"]: (r["text"], r["n_chars"]) for r in quality_rules.quality_filter(documents(rows)).collect()}
+    assert texts == {i: (t, len(t)) for (i, _, _), (ok, t) in zip(rows, brute.quality_judged([r[1:] for r in rows])) if ok}
+    assert all(menu not in t for t, _ in texts.values())
+
+
+def test_the_limit_of_template_lines_grows_slower_than_the_host(documents):
+    """The same line in the same number of documents, of a host of 100 and one of 400."""
+    line = "the footer of the site"
+    rows = [(i, (f"{line}\n" if i % 100 < 12 else "") + " ".join(f"{i}w{j}" for j in range(30)), "small" if i < 100 else "large") for i in range(500)]
+    rows = [(i, t if h == "small" or i < 112 else t.replace(f"{line}\n", ""), h) for i, t, h in rows]
+    got = {r["doc_id"]: r["n_template_lines"] for r in quality_rules.quality_rules(documents(rows)).collect()}
+    assert sorted(i for i, n in got.items() if n) == list(range(12))
+    assert sum(got.values()) == 12  # 12 * 12 >= 100, and < 400
 
 
 @pytest.mark.parametrize("large_bucket", [2000, 2])
@@ -240,26 +253,56 @@ def test_weighted_near_duplicates(documents):
     assert len(set(brute.near_classes(texts, True))) > len(set(brute.near_classes(texts))) == 12
 
 
-def test_buckets_with_many_classes_lose_no_pair(documents, spark):
-    """Every pair of different classes with a likely signature, whatever the size of the blocks."""
+def test_buckets_with_many_classes_lose_no_link(spark):
+    """Classes that similar members of any bucket join are joined, whatever the size of the blocks, with few links."""
     rng = np.random.default_rng(3)
-    base = rng.integers(0, 256, (6, minhash.COMPONENTS), np.uint8)
-    rows = []
+    base = [rng.choice(2**40, 300, replace=False).astype(np.uint64) for _ in range(6)]
+    sets, owner, hashes = [], [], []
     for i in range(150):
-        sig = base[i % 6].copy()
-        sig[rng.random(minhash.COMPONENTS) < rng.choice([0.02, 0.2, 0.4])] = 0
-        rows.append((i, sig.tobytes()))
-    nodes = spark.createDataFrame(rows, "node long, sig binary")
-    members = spark.createDataFrame([(i % 3, i) for i, _ in rows] + [(9, i) for i, _ in rows[::7]], "key long, node long")
-    label = {i: (i if i < 100 else 100) for i, _ in rows}
-    labels = spark.createDataFrame([(i, v) for i, v in label.items() if v == 100], "node long, label long")
-    buckets = [[i for i, _ in rows if i % 3 == k] for k in range(3)] + [list(range(0, 150, 7))]
-    sig = [np.frombuffer(s, np.uint8) for _, s in rows]
-    least = minhash.COMPONENTS * 0.7
-    want = {(a, b) for own in buckets for a in own for b in own if a < b and label[a] != label[b] and (sig[a] == sig[b]).sum() >= least}
+        own = base[i % 6].copy()
+        change = rng.random(300) < rng.choice([0.01, 0.06, 0.2])
+        own[change] = rng.integers(2**41, 2**42, change.sum())
+        own = np.unique(own)
+        sets.append(own)
+        owner += [i] * len(own)
+        hashes.append(own)
+    from dialtide.llm.shingles import mix, prob_minhash
+
+    signature = prob_minhash(np.array(owner), np.concatenate(hashes), np.ones(len(owner)), 150, minhash.COMPONENTS)
+    sig = (mix(signature) >> np.uint64(56)).astype(np.uint8)
+    nodes = spark.createDataFrame([(i, sig[i].tobytes()) for i in range(150)], "node long, sig binary")
+    stored = spark.createDataFrame([(i, s.tobytes(), b"") for i, s in enumerate(sets)], "node long, hashes binary, weights binary")
+    cells = [(b, sig[i, 8 * b : 8 * b + 8].tobytes(), i) for i in range(150) for b in range(minhash.BANDS)]
+    number = {k: n for n, k in enumerate(sorted({c[:2] for c in cells}))}
+    members = spark.createDataFrame([(number[c[:2]], c[0], c[2]) for c in cells], "key long, band int, node long")
+    start = {i: (i if i < 100 else 100 + i % 6) for i in range(150)}
+    labels = spark.createDataFrame([(i, v) for i, v in start.items() if v != i], "node long, label long")
+    buckets = defaultdict(set)
+    for b, key, i in cells:
+        buckets[b, key].add(i)
+    near = {(a, b) for own in buckets.values() for a in own for b in own if a < b
+            and 10 * len(np.intersect1d(sets[a], sets[b])) >= 8 * len(np.union1d(sets[a], sets[b]))}
+
+    def classes(links):
+        parent = {v: v for v in start.values()}
+
+        def root(x):
+            while parent[x] != x:
+                x = parent[x]
+            return x
+
+        for a, b in links:
+            x, y = root(start[a]), root(start[b])
+            parent[max(x, y)] = min(x, y)
+        return [root(start[i]) for i in range(150)]
+
+    want = classes(near)
+    assert 6 <= len(set(want)) < 80
     for block in (7, 512):
-        got = [tuple(r) for r in minhash.between_classes(members, labels, nodes, block).collect()]
-        assert sorted(got) == sorted(want) and len(want) > 100
+        got = [tuple(r) for r in minhash.between_classes(members, labels, nodes, stored, block).collect()]
+        assert classes(got) == want
+        assert all(tuple(sorted(g)) in near for g in got)
+        assert block < 512 or len(got) < len(near) / 2
 
 
 def test_recall_against_all_pairs(documents):
@@ -406,6 +449,35 @@ def test_classifier_separates_held_out_labels(spark, odd_documents):
     assert table(again, "doc_id", "score") == table(got, "doc_id", "score")  # held-out labels change nothing
 
 
+def test_classifier_scores_are_the_plain_ones(small, spark, sf_dir, documents):
+    """The sizes with either dictionary, block by block, and the logistic formula, recomputed one text at a time."""
+    import math
+
+    import zstandard
+
+    docs, rows = small
+    model = compression_classifier.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    texts = [*[t for _, t, _ in rows[:80]], "", None, " ".join(t for _, t, _ in rows[:60])]
+
+    def size(text, content):
+        held = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        data = text.encode()
+        parts = [data[i : i + 16384] for i in range(0, len(data), 16384)] or [b""]
+        return sum(len(zstandard.ZstdCompressor(level=9, dict_data=held).compress(p)) for p in parts)
+
+    def plain(text):
+        n = len(text.encode())
+        difference, length = (size(text, model.bad) - size(text, model.good)) / max(n, 1), math.log(1 + min(n, 16384))
+        one, a, b, c = model.weights
+        return 1 / (1 + math.exp(-(one + a * difference + b * length + c * difference * length)))
+
+    got = compression_classifier.score(documents(list(enumerate(texts))), model).collect()
+    for r in got:
+        want = plain(texts[r["doc_id"]] or "")
+        assert abs(r["score"] - want) < 1e-9 and r["predicted"] == int(want >= 0.7)
+    assert len(got) == len(texts) and len({r["predicted"] for r in got}) == 2
+
+
 def test_classifier_counts_every_part_of_long_texts(spark, documents):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")

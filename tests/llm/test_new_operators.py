@@ -216,6 +216,34 @@ def test_few_edits_leave_fingerprints_alike(rows):
     assert np.median(near) > 0.9 and far.max() < 0.3
 
 
+def test_classes_of_alike_fingerprints(spark, rows):
+    rnd = random.Random(11)
+    texts = [r[1][:1500] for r in rows if len(r[1]) > 600][:60]
+    for t in texts[:25]:
+        at = rnd.randrange(len(t))
+        texts.append(t[:at] + "#" + t[at + 1 :])
+    texts += [texts[0], "", None, ""]
+    found = {r["doc_id"]: (r["class_id"], r["class_size"]) for r in edit_fingerprints.edit_classes(as_docs(spark, [(i, t, "en", "s") for i, t in enumerate(texts)])).collect()}
+    prints = edit_fingerprints.fingerprint_texts([t or "" for t in texts])
+    parent = list(range(len(texts)))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a in range(len(texts)):
+        for b in range(a):
+            if 10 * (prints[a] == prints[b]).sum() >= 8 * prints.shape[1]:
+                x, y = root(a), root(b)
+                parent[max(x, y)] = min(x, y)
+    want = [root(i) for i in range(len(texts))]
+    got = [found[i][0] for i in range(len(texts))]
+    assert len(set(want)) < len(texts) - 15
+    assert sum(x == y for x, y in zip(got, want)) >= 0.95 * len(want)  # a band may be missed at the limit
+    assert all(want[c] == want[i] for i, c in enumerate(got)) and Counter(got)[got[-1]] == found[len(texts) - 1][1] == 3
+
+
 @pytest.mark.parametrize("lanes", [1, 1 << 20])
 def test_walks_together_and_alone_agree(rows, lanes, monkeypatch):
     texts = ["", *[r[1] for r in rows[:40]], "z"]
@@ -226,6 +254,6 @@ def test_walks_together_and_alone_agree(rows, lanes, monkeypatch):
 
 def test_clashing_columns_and_empty_tables(odd_documents, spark):
     aim = spark.createDataFrame([("one two",)], "text string")
-    for run in (source_audit.source_audit, lambda d: importance_resample(d, aim), document_fingerprints):
+    for run in (source_audit.source_audit, lambda d: importance_resample(d, aim), document_fingerprints, edit_fingerprints.edit_classes):
         assert run(odd_documents).count() >= 0
         assert run(odd_documents.limit(0)).count() == 0
