@@ -406,18 +406,27 @@ def feature_importance(spark, sf_dir):
     return train.feature_importance(trained(spark, sf_dir, "forest"), spark)
 
 
-@query("importance_names")
+@query(
+    "importance_names",
+    f"SELECT CAST(row_number() OVER (ORDER BY feature) - 1 AS INTEGER) AS position, feature, importance FROM ({CHURN_CORRELATION})",
+    USES,
+    ("importance",),
+)
 def importance_names(spark, sf_dir):
-    model = trained(spark, sf_dir, "forest")
-    names = spark.createDataFrame([(model.names,)], "names array<string>")
-    values = spark.createDataFrame([([float(v) for v in model.classifier.featureImportances.toArray()],)], "importances array<double>")
-    return ranking.importance_names(names, values)
+    from .analytics import churn_correlation
+
+    # correlations with churn stand for a model's importances: two arrays, in the order of the names
+    pairs = F.array_sort(F.collect_list(F.struct("feature", "importance")))
+    arrays = churn_correlation(spark, sf_dir).agg(pairs.alias("p"))
+    return ranking.importance_names(arrays.select(F.col("p.feature").alias("names")), arrays.select(F.col("p.importance").alias("importances")))
 
 
-@query("write_importance")
+@query("write_importance", CHURN_CORRELATION, USES, ("importance",))
 def importance_file(spark, sf_dir):
+    from .analytics import churn_correlation
+
     path = scratch_dir(spark, "importance")
-    write_importance(feature_importance(spark, sf_dir), path)
+    write_importance(churn_correlation(spark, sf_dir), path)
     return read_importance(spark, path)
 
 
