@@ -122,13 +122,23 @@ def _weights(size: int) -> np.ndarray:
 
 def contributions_of(leaf: Leaf, answers: np.ndarray, seen: np.ndarray, share: np.ndarray, weights: np.ndarray) -> np.ndarray:
     """[answer, feature of the leaf]: contributions against background rows with the answers ``seen`` in these shares."""
-    every = (1 << len(leaf.features)) - 1
-    mine, other = answers[:, None] & ~seen[None, :], seen[None, :] & ~answers[:, None]
+    every, bits = (1 << len(leaf.features)) - 1, np.arange(len(leaf.features))
     reach = ((answers[:, None] | seen[None, :]) == every) * (share * leaf.value)
-    a, b = np.bitwise_count(mine), np.bitwise_count(other)
-    gain, loss = weights[a, b] * reach, weights[b, a] * reach
-    out = [((mine >> k & 1) * gain - (other >> k & 1) * loss).sum(axis=1) for k in range(len(leaf.features))]
-    return np.stack(out, axis=1) if out else np.zeros((len(answers), 0))
+    # within reach the background's own features are those that the row fails
+    mine, other = np.bitwise_count(answers[:, None] & ~seen[None, :]), np.bitwise_count(every & ~answers)[:, None]
+    gain, loss = weights[mine, other] * reach, (weights[other, mine] * reach).sum(axis=1)
+    fits = (answers[:, None] >> bits & 1).astype(bool)
+    return np.where(fits, gain @ (1.0 - (seen[:, None] >> bits & 1)), -loss[:, None])
+
+
+def _distinct(answers: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct answers, and the place of each row's among them."""
+    if bits > 16:
+        return np.unique(answers, return_inverse=True)
+    found = np.flatnonzero(np.bincount(answers, minlength=1 << bits))
+    place = np.zeros(1 << bits, np.int64)
+    place[found] = np.arange(len(found))
+    return found, place[answers]
 
 
 def explain_trees(
@@ -164,7 +174,7 @@ def explain_trees(
             for leaf, (own, share) in zip(leaves, seen):
                 if not leaf.features:
                     continue
-                answers, place = np.unique(leaf.answers(values), return_inverse=True)
+                answers, place = _distinct(leaf.answers(values), len(leaf.features))
                 parts = contributions_of(leaf, answers, own, share, weights)
                 for k, j in enumerate(leaf.features):
                     total[j] += parts[place, k]
