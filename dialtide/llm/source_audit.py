@@ -4,19 +4,18 @@ Documents are cut at white space into chunks, and chunks are counted as they
 are: once a document for the number of documents, and each time for the number
 of occurrences. Only the globally distinct chunks are tokenized, each once; their
 terms are joined back to the counts. So the work on terms follows the vocabulary
-and not the corpus.
+and not the corpus. A chunk that is one term as it stands needs neither step.
 
 How many documents hold a term cannot be added up from its chunks, as one
 document may hold several of them. But only a few documents are asked for. The
 sum over the chunks bounds them from above. From below a source has as many as
-its commonest chunk, or as the first and last rows of its chunks tell apart, and
-documents of different sources differ. Terms that these bounds leave open are
+its commonest chunk, or as the first and last rows of its chunks and a bit map of
+these tell apart, and documents of different sources differ. Terms that these bounds leave open are
 counted exactly, by the documents of their chunks.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,50 +29,43 @@ from .common import ascii_lower, small_batches, text_of
 
 #: A term is a run of ASCII letters and characters beyond ASCII; white space never is in one.
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+#: A chunk that is one term as it stands.
+PLAIN = r"^[^\x00-\x60\x7B-\x7F]+$"
 MIN_DOCUMENTS = 3
 UNIT = 1_000_000_000
 TOP_TERMS = 200
 #: Cells of terms, and sources, that one task compares at a time.
 BLOCK_CELLS, BLOCK_SOURCES = 1 << 16, 256
-#: Chunks that a task holds before it hands on their counts.
-HELD_CHUNKS = 1 << 18
+#: Chunks of open terms that are sent to all tasks; more are joined by a shuffle.
+FEW_CHUNKS = 1 << 16
 
 _GROUP = ["lang", "source"]
 _COUNTS = "lang string, source string, chunk string, n long, documents long, low long, high long"
 
 
 def _chunk_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Chunks by language and source, with the first and the last row that hold them; a task adds up what it can hold."""
-    held: dict[tuple[str, str], tuple] = {}
-    size = 0
-
-    def emptied() -> Iterator[pa.RecordBatch]:
-        for (lang, source), (n, documents, low, high) in held.items():
-            chunks = pa.array(list(low), pa.binary()).cast(pa.string())
-            names = [pa.array([x], pa.string()).take(pa.array(np.zeros(len(low), int))) for x in (lang, source)]
-            numbers = [pa.array([x[c] for c in low], pa.int64()) for x in (n, documents, low, high)]
-            yield pa.RecordBatch.from_arrays([*names, chunks, *numbers], names=[c.split()[0] for c in _COUNTS.split(", ")])
-        held.clear()
-
+    """The chunks of a batch of documents by language and source, with the first and the last row that hold them."""
     for batch in batches:
+        found: dict[tuple[str, str], dict[bytes, list[int]]] = {}
         columns = [batch.column(c).to_pylist() for c in ("lang", "source", "row", "text")]
         for lang, source, row, text in zip(*columns):
-            words = text.encode().split()  # at white space of ASCII alone
-            if not words:
+            own = found.setdefault((lang, source), {})
+            for chunk in text.encode().split():  # at white space of ASCII alone
+                seen = own.get(chunk)
+                if seen is None:
+                    own[chunk] = [1, 1, row, row]
+                else:
+                    seen[0] += 1
+                    if seen[3] != row:
+                        seen[1] += 1
+                        seen[3] = row
+        for (lang, source), own in found.items():
+            if not own:
                 continue
-            own = held.setdefault((lang, source), (Counter(), Counter(), {}, {}))
-            n, documents, low, high = own
-            once = dict.fromkeys(words, row)
-            new = once.keys() - low.keys()
-            n.update(words)
-            documents.update(once.keys())
-            high.update(once)
-            low.update(dict.fromkeys(new, row))
-            size += len(new)
-            if size > HELD_CHUNKS:
-                yield from emptied()
-                size = 0
-    yield from emptied()
+            names = [pa.array([x], pa.string()).take(pa.array(np.zeros(len(own), np.int8))) for x in (lang, source)]
+            numbers = np.array(list(own.values()), np.int64)
+            columns = [*names, pa.array(list(own), pa.binary()).cast(pa.string()), *[pa.array(numbers[:, i]) for i in range(4)]]
+            yield pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in _COUNTS.split(", ")])
 
 
 def chunk_counts(docs: DataFrame) -> DataFrame:
@@ -92,7 +84,10 @@ def chunk_terms(counts: DataFrame) -> DataFrame:
 
 def _open_documents(docs: DataFrame, counts: DataFrame, terms: DataFrame, unsettled: DataFrame, least: int) -> DataFrame:
     """lang, term and row of the documents that hold the unsettled terms (lang, term); chunks in ``least`` documents do not occur here."""
-    chunks = terms.join(unsettled, "term").select("lang", "chunk", "term").distinct()
+    chunks = terms.join(unsettled, "term").select("lang", "chunk", "term")
+    chunks = materialize(chunks.union(unsettled.select("lang", F.col("term").alias("chunk"), "term")).distinct(), "open-chunks")
+    if chunks.count() <= FEW_CHUNKS:  # usually; any number goes the other way
+        chunks = F.broadcast(chunks)
     if least <= 3:  # a chunk in under three documents is in its first and last
         return counts.join(chunks, ["lang", "chunk"]).select("lang", "term", F.explode(F.array("low", "high")).alias("row"))
     split = F.explode(F.array_distinct(F.split("text", r"[\x20\x09-\x0D]+"))).alias("chunk")
@@ -102,12 +97,18 @@ def _open_documents(docs: DataFrame, counts: DataFrame, terms: DataFrame, unsett
 def term_cells(docs: DataFrame, min_documents: int = MIN_DOCUMENTS) -> tuple[DataFrame, DataFrame]:
     """Of (row, lang, source, text): the kept terms of each language, and their counts by (lang, source, term), also over all sources."""
     counts = chunk_counts(docs)
-    terms = chunk_terms(counts)
-    cells = counts.join(terms, "chunk").groupBy(*_GROUP, "term")
-    told_apart = F.size(F.array_distinct(F.array(*[f(c) for f in (F.min, F.max) for c in ("low", "high")])))
-    cells = cells.agg(
-        F.sum(F.col("n") * F.col("times")).alias("n"),
-        F.greatest(F.max("documents"), told_apart.cast("long")).alias("least"),
+    as_it_is = F.col("chunk").rlike(PLAIN)
+    figures = ["n", "documents", "low", "high"]
+    terms = chunk_terms(counts.filter(~as_it_is))
+    plain = counts.filter(as_it_is).select(*_GROUP, F.col("chunk").alias("term"), *figures)
+    joined = counts.filter(~as_it_is).join(terms, "chunk")
+    joined = joined.select(*_GROUP, "term", (F.col("n") * F.col("times")).alias("n"), *figures[1:])
+    # rows told apart: the first and last ones, and those that fall on different bits
+    ends = F.size(F.array_distinct(F.array(*[f(c) for f in (F.min, F.max) for c in ("low", "high")])))
+    bits = [F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.xxhash64(c), F.lit(64)).cast("int"))) for c in ("low", "high")]
+    cells = plain.union(joined).groupBy(*_GROUP, "term").agg(
+        F.sum("n").alias("n"),
+        F.greatest(F.max("documents"), ends.cast("long"), F.bit_count(bits[0].bitwiseOR(bits[1])).cast("long")).alias("least"),
         F.sum("documents").alias("most"),
     )
     cells = materialize(cells, "term-cells")
@@ -157,7 +158,7 @@ def _compared(cells: pd.DataFrame, sources: pd.DataFrame) -> pd.DataFrame:
     return out[out["a"] != out["b"]]
 
 
-def pair_values(groups: DataFrame, kept: DataFrame, cells: DataFrame) -> DataFrame:
+def pair_values(groups: DataFrame, cells: DataFrame) -> DataFrame:
     """lang, a, b and value: the divergence of every source (a place in its language) from every other one.
 
     Terms are dealt out in blocks. A block is compared by the array and only its
@@ -212,7 +213,7 @@ def source_audit(docs: DataFrame, min_documents: int = MIN_DOCUMENTS, top_terms:
     none = F.when(F.col("terms") > 0, share(F.lit(0), F.col("total"), F.col("terms")))
     groups = materialize(groups.withColumn("none", none), "audit-groups")
 
-    sums = pair_values(groups, kept, cells)
+    sums = materialize(pair_values(groups, cells), "audit-pairs")
     one, other = groups.select("lang", "source", F.col("place").alias("a")), groups.select("lang", F.col("source").alias("item"), F.col("place").alias("b"))
     pairs = one.join(other, "lang").filter("a <> b").join(sums, ["lang", "a", "b"], "left")
     pairs = pairs.select(*_GROUP, F.lit("pair").alias("part"), "item", F.coalesce("value", F.lit(0)).cast("long").alias("value"))
