@@ -9,8 +9,8 @@ and not the corpus. A chunk that is one term as it stands needs neither step.
 How many documents hold a term cannot be added up from its chunks, as one
 document may hold several of them. But only a few documents are asked for. The
 sum over the chunks bounds them from above. From below a source has as many as
-its commonest chunk, or as the first and last rows of its chunks and a bit map of
-these tell apart, and documents of different sources differ. Terms that these bounds leave open are
+its commonest chunk, or as a bit map of the first and last rows of its chunks tells
+apart, and documents of different sources differ. Terms that these bounds leave open are
 counted exactly, by the documents of their chunks.
 """
 
@@ -103,12 +103,11 @@ def term_cells(docs: DataFrame, min_documents: int = MIN_DOCUMENTS) -> tuple[Dat
     plain = counts.filter(as_it_is).select(*_GROUP, F.col("chunk").alias("term"), *figures)
     joined = counts.filter(~as_it_is).join(terms, "chunk")
     joined = joined.select(*_GROUP, "term", (F.col("n") * F.col("times")).alias("n"), *figures[1:])
-    # rows told apart: the first and last ones, and those that fall on different bits
-    ends = F.size(F.array_distinct(F.array(*[f(c) for f in (F.min, F.max) for c in ("low", "high")])))
-    bits = [F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.xxhash64(c), F.lit(64)).cast("int"))) for c in ("low", "high")]
+    # rows told apart: those that fall on different bits
+    bit = lambda c: F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.xxhash64(c), F.lit(64)).cast("int"))
     cells = plain.union(joined).groupBy(*_GROUP, "term").agg(
         F.sum("n").alias("n"),
-        F.greatest(F.max("documents"), ends.cast("long"), F.bit_count(bits[0].bitwiseOR(bits[1])).cast("long")).alias("least"),
+        F.greatest(F.max("documents"), F.bit_count(F.bit_or(bit("low").bitwiseOR(bit("high")))).cast("long")).alias("least"),
         F.sum("documents").alias("most"),
     )
     cells = materialize(cells, "term-cells")
