@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -30,8 +31,12 @@ from ..operators.ordered import running_sums, value_buckets
 from ..session import materialize
 
 BINS = 32
-#: Rows that a block holds; a fold with more is grown by aggregates over its blocks.
-BLOCK_ROWS = 1 << 16
+#: Rows that a block holds, a byte a feature and some 50 beside; a fold with more is grown by aggregates over its blocks.
+BLOCK_ROWS = 1 << 20
+#: Cells of a histogram that a task of its own fit keeps at a time.
+NODE_CELLS = 1 << 18
+#: Rows that it goes through at a time.
+SLICE_ROWS = 1 << 15
 #: Trees that a forest grows in a step.
 WAVE = 16
 KINDS = ("boosted", "forest")
@@ -216,20 +221,125 @@ class Block:
         return np.where(self.y > 0, fit.weights[1], fit.weights[0])
 
 
+def _class_sums(cell: np.ndarray, size: int, times: np.ndarray | None) -> np.ndarray:
+    """[cell, class]: rows, each as often as it counts, from 2 * cell + class."""
+    return np.bincount(cell, times, 2 * size).reshape(size, 2)
+
+
+def _forest_sums(fit: Fit, bins: np.ndarray, features: np.ndarray, place: np.ndarray, row: np.ndarray, y: np.ndarray, times: np.ndarray) -> np.ndarray:
+    """:meth:`Trees.histogram` of some nodes of one tree: weight and target are those of the class, so counts by class do."""
+    nodes, columns = features.shape
+    sums = np.empty((3, nodes, columns, BINS))
+    flat, start, base = bins.reshape(-1), row * fit.features, place * (2 * BINS) + y
+    for k in range(columns):
+        cell = np.take(features[:, k], place, mode="clip")
+        cell += start
+        cell = np.add(base, np.take(flat, cell, mode="clip") << 1, out=cell)
+        counts = _class_sums(cell, nodes * BINS, times).reshape(nodes, BINS, 2)
+        sums[0, :, k] = counts.sum(axis=2)
+        sums[2, :, k] = fit.weights[1] * counts[:, :, 1]
+        sums[1, :, k] = fit.weights[0] * counts[:, :, 0] + sums[2, :, k]
+    return sums
+
+
+def _boosted_sums(fit: Fit, doubled: np.ndarray, features: np.ndarray, place: np.ndarray, y: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """:meth:`Trees.histogram` of the nodes of one tree, from twice the bins by feature; most features are chosen, so all are added up."""
+    nodes, size = len(features), len(features) * BINS
+    count, target = np.zeros((fit.features, size, 2)), np.zeros((fit.features, size, 2))
+    width = max(SLICE_ROWS, 2 * size)
+    cell = np.empty(min(width, len(place)), np.int64)
+    for first in range(0, len(place), width):  # slices stay in the cache while the features go by
+        some = slice(first, first + width)
+        base, own = place[some] * (2 * BINS) + y[some], wanted[some]
+        for j, bins in enumerate(doubled):
+            at = np.add(base, bins[some], out=cell[: len(base)])
+            count[j] += _class_sums(at, size, None)
+            target[j] += np.bincount(at, own, 2 * size).reshape(size, 2)
+    weight = count @ np.array(fit.weights)
+    sums = np.stack([count.sum(axis=2), weight, target.sum(axis=2)]).reshape(3, fit.features, nodes, BINS)
+    return sums[:, features, np.arange(nodes)[:, None]]
+
+
+def _below(trees: Trees, flat: np.ndarray, start: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The children to which rows go on from nodes that are split."""
+    take = lambda a, i: np.take(a, i, mode="clip")
+    return take(trees.left, at) + (take(flat, start + take(trees.feature, at)) > take(trees.cut, at))
+
+
+def _tree_alone(fit: Fit, block: Block, number: int, wanted: np.ndarray | None, asked: np.ndarray) -> np.ndarray:
+    """The values that a tree grown on the only block gives to the ``asked`` rows.
+
+    Rows go down level by level and leave the work in a leaf. Nodes that cannot
+    split, by their rows or for being of one class, are not looked at.
+    ``wanted`` is the weighted target of boosting.
+    """
+    trees, flat = Trees(range(number, number + 1)), block.bins.reshape(-1)
+    times = fit.drawn(block.uid, number) * ~block.held
+    row = np.flatnonzero(times)
+    at, times, y = np.zeros(len(row), np.int64), times[row], block.y[row].astype(np.int64)
+    doubled, own = (2 * block.bins[row].T.astype(np.uint8), wanted[row]) if fit.boosted else (None, None)
+    trees.value[0] = np.nan
+    for _ in range(fit.trial["max_depth"]):
+        index = np.full(len(trees.feature), -1)
+        index[trees.open] = np.arange(len(trees.open))
+        place = index[at]
+        count = np.bincount(place, times, len(trees.open))
+        able = count >= (2 * fit.least_rows if trees.path[trees.open[0]] > 1 else 1)
+        if not fit.boosted:
+            ones = np.bincount(place, times * y, len(trees.open))
+            able &= ((ones > 0) & (ones < count)) | (trees.path[trees.open] == 1)
+        if not able.all():
+            trees.open, stays = trees.open[able], able[place]
+            place = (np.cumsum(able) - 1)[place[stays]]
+            row, at, times, y = row[stays], at[stays], times[stays], y[stays]
+            if fit.boosted:
+                doubled, own = doubled[:, stays], own[stays]
+        if not len(trees.open):
+            break
+        found = []
+        step = max(1, NODE_CELLS // (fit.columns * BINS))
+        for first in range(0, len(trees.open), step):  # bounds the memory of deep levels
+            node = trees.open[first : first + step]
+            features = fit.chosen(trees.tree[node], trees.path[node])
+            some = slice(None) if len(trees.open) <= step else np.flatnonzero((place >= first) & (place < first + step))
+            if fit.boosted:
+                sums = _boosted_sums(fit, doubled[:, some], features, place[some] - first, y[some], own[some])
+            else:
+                sums = _forest_sums(fit, block.bins, features, place[some] - first, row[some], y[some], times[some])
+            found.append(best_splits(fit, trees.tree[node], trees.path[node], sums))
+        trees.grow(np.concatenate(found, axis=1))
+        if not len(trees.open):
+            break
+        goes = trees.feature[at] >= 0
+        if not goes.all():
+            row, at, times, y = row[goes], at[goes], times[goes], y[goes]
+            if fit.boosted:
+                doubled, own = doubled[:, goes], own[goes]
+        at = _below(trees, flat, row * fit.features, at)
+    # a leaf leads back to itself
+    leaf = np.flatnonzero(trees.feature < 0)
+    trees.feature[leaf], trees.cut[leaf], trees.left[leaf] = 0, BINS, leaf
+    value, levels = np.nan_to_num(trees.value), int(np.log2(trees.path.max()))
+    out = np.empty(len(asked))
+    for first in range(0, len(asked), SLICE_ROWS):
+        start = asked[first : first + SLICE_ROWS] * fit.features
+        at = np.zeros(len(start), np.int64)
+        for _ in range(levels):
+            at = _below(trees, flat, start, at)
+        out[first : first + SLICE_ROWS] = value[at]
+    return out
+
+
 def _grown_alone(fit: Fit, block: Block) -> np.ndarray:
-    """The margins of all rows of the only block, after all steps."""
+    """The margins of the rows of the only block, after all steps; of a forest those of the held ones."""
     margin, weight = np.zeros(len(block.y)), block.weight(fit)
+    asked = np.arange(len(block.y)) if fit.boosted else np.flatnonzero(block.held)
     for step in range(fit.steps):
-        numbers = fit.trees(step)
-        trees, count = Trees(numbers), block.sample(fit, numbers)
-        target = fit.target(block.y, margin, step)
-        for _ in range(fit.trial["max_depth"]):
-            if not len(trees.open):
-                break
-            at = trees.places(block.bins, len(numbers))
-            sums = trees.histogram(fit, at, block.bins, count, weight, target)
-            trees.grow(best_splits(fit, trees.tree[trees.open], trees.path[trees.open], sums))
-        margin = margin + fit.tree_weight(step) * trees.value[trees.places(block.bins, len(numbers))].sum(axis=0)
+        wanted = weight * fit.target(block.y, margin, step) if fit.boosted else None
+        added = np.zeros(len(asked))
+        for number in fit.trees(step):
+            added += _tree_alone(fit, block, number, wanted, asked)
+        margin[asked] += fit.tree_weight(step) * added
     return margin
 
 
@@ -243,17 +353,25 @@ def _held_scores(trial: int, fold: int, block: Block, margin: np.ndarray) -> pa.
 _SCORES = "trial int, fold int, churn int, score double"
 
 
-def _scores_alone(blocks: DataFrame, fits: dict[tuple[int, int], Fit], features: int) -> DataFrame:
-    trials = sorted({t for t, _ in fits})
+def _work(trial: dict) -> float:
+    """About how long a trial takes, to begin with the longest."""
+    columns = trial.get("column_share", 0.2) * trial.get("row_share", 0.6)
+    return trial["trees"] * trial["max_depth"] * columns
+
+
+def _scores_alone(blocks: list[DataFrame], fits: dict[tuple[int, int], Fit], features: int) -> DataFrame:
+    trials = sorted({t for t, _ in fits}, key=lambda t: -_work(next(f.trial for (i, _), f in fits.items() if i == t)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
                 block = Block.read(row, features)
                 yield _held_scores(row["trial"], row["fold"], block, _grown_alone(fits[row["trial"], row["fold"]], block))
 
-    each = blocks.withColumn("trial", F.explode(F.array(*map(F.lit, trials))))
-    return each.repartition(len(fits), "trial", "fold").mapInArrow(run, _SCORES)
+    # a stored table holds the block of a fold: each trial reads it by itself, none is shuffled
+    each = [block.withColumn("trial", F.lit(t)) for t in trials for block in blocks]
+    return reduce(DataFrame.union, each).mapInArrow(run, _SCORES)
 
 
 _CELLS = "fit int, node int, cell int, n double, w double, t double"
@@ -309,7 +427,7 @@ def _level(blocks: DataFrame, fits: dict[tuple[int, int], Fit], grown: dict[int,
         trees.grow(own[["mean", "feature", "cut", "left", "right"]].to_numpy().T)
 
 
-def _scores_by_levels(blocks: DataFrame, fits: dict[tuple[int, int], Fit], features: int) -> DataFrame:
+def _scores_by_levels(blocks: list[DataFrame], fits: dict[tuple[int, int], Fit], features: int) -> DataFrame:
     order = sorted({t for t, _ in fits})
 
     def begun(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -318,7 +436,7 @@ def _scores_by_levels(blocks: DataFrame, fits: dict[tuple[int, int], Fit], featu
             margins = pa.array([np.zeros((len(order), len(r["y"]))).tobytes() for r in rows], pa.binary())
             yield batch.set_column(batch.schema.get_field_index("margin"), "margin", margins)
 
-    state = materialize(blocks.mapInArrow(begun, _BLOCK), "tree-blocks")
+    state = materialize(reduce(DataFrame.union, blocks).mapInArrow(begun, _BLOCK), "tree-blocks")
     for step in range(max(f.steps for f in fits.values())):
         grown = {f.number: Trees(f.trees(step)) for f in fits.values() if len(f.trees(step))}
         depth = {f.number: f.trial["max_depth"] for f in fits.values()}
@@ -373,23 +491,23 @@ def fold_blocks(rows: DataFrame, fold: int, edges: list[np.ndarray], key: str, n
         waiting, size = [], 0
         for batch in batches:
             for at in range(0, batch.num_rows, block_rows):
-                waiting.append(batch.slice(at, block_rows))
-                size += waiting[-1].num_rows
+                waiting.append(arrays(batch.slice(at, block_rows)))
+                size += len(waiting[-1][0])
                 if size >= block_rows:
                     yield one(waiting)
                     waiting, size = [], 0
         if waiting:
             yield one(waiting)
 
-    def one(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
-        table = pa.Table.from_batches(batches).combine_chunks()
-        x = np.asarray(table.column("x").combine_chunks().flatten()).reshape(table.num_rows, -1)
+    def arrays(batch: pa.RecordBatch) -> list[np.ndarray]:
+        x = np.asarray(batch.column("x").flatten()).reshape(batch.num_rows, -1)
         bins = np.stack([np.searchsorted(e, x[:, j], "left") for j, e in enumerate(edges)], axis=1).astype(np.uint8)
-        arrays = [
-            table.column("uid").to_numpy(), table.column("churn").to_numpy().astype(np.uint8),
-            table.column("held").to_numpy().astype(bool), np.ascontiguousarray(bins),
-        ]
-        columns = [pa.array([fold], pa.int32()), *[pa.array([a.tobytes()], pa.binary()) for a in arrays], pa.array([None], pa.binary())]
+        get = lambda c: batch.column(c).to_numpy(zero_copy_only=False)
+        return [get("uid"), get("churn").astype(np.uint8), get("held").astype(bool), bins]
+
+    def one(parts: list[list[np.ndarray]]) -> pa.RecordBatch:
+        whole = [np.ascontiguousarray(np.concatenate(p)) for p in zip(*parts)]
+        columns = [pa.array([fold], pa.int32()), *[pa.array([a.tobytes()], pa.binary()) for a in whole], pa.array([None], pa.binary())]
         return pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in _BLOCK.split(", ")])
 
     plain = rows.select(
@@ -438,10 +556,7 @@ def cross_validated_auc(
         for p in parts[1:]:
             out = out.union(p)
         return out
-    blocks = stored[0]
-    for more in stored[1:]:
-        blocks = blocks.union(more)
-    blocks = materialize(blocks, "tree-blocks")
+    blocks = [materialize(b, "fold-blocks") for b in stored]
     pairs = [(t, f) for t in range(len(trials)) for f in range(len(folds))]
     alone = n <= block_rows
     # the wave does not change a tree; a single tree at a time keeps the sums of a level small

@@ -113,3 +113,32 @@ def test_draws_hang_on_nothing_but_row_trial_and_tree():
 def test_a_fold_without_a_class_has_no_area(spark, folds):
     one_class = folds[0].filter("NOT held OR churn = 0")
     assert scores(cross_validated_auc([one_class], WEIGHTS[:1], TRIALS[1:2])) == {(0, 0): None}
+
+
+def test_growing_alone_equals_growing_by_whole_histograms():
+    rnd = np.random.default_rng(5)
+    bins = rnd.integers(0, 32, (3000, 6)).astype(np.uint8)
+    y = (bins[:, 0] + bins[:, 1] + rnd.normal(0, 9, 3000) > 31).astype(float)
+    block = batch_trees.Block(np.arange(3000) * 31, y, np.arange(3000) % 4 == 0, bins, np.zeros((0, 3000)))
+    for trial in (
+        {"kind": "boosted", "trees": 1, "max_depth": 4, "row_share": 0.8, "column_share": 0.7, "min_leaf": 3},
+        {"kind": "forest", "trees": 3, "max_depth": 6, "min_leaf": 5},
+    ):
+        fit = Fit(2, trial, (0.7, 1.9), 6, 42)
+        numbers = fit.trees(0)
+        trees, count = Trees(numbers), block.sample(fit, numbers)
+        for _ in range(trial["max_depth"]):
+            at = trees.places(bins, len(numbers))
+            sums = trees.histogram(fit, at, bins, count, block.weight(fit), fit.target(y, np.zeros(3000), 0))
+            trees.grow(best_splits(fit, trees.tree[trees.open], trees.path[trees.open], sums))
+        expected = fit.tree_weight(0) * trees.value[trees.places(bins, len(numbers))].sum(axis=0)
+        assert batch_trees._grown_alone(fit, block)[block.held] == pytest.approx(expected[block.held], abs=1e-9)
+
+
+def test_a_fold_of_70000_rows_is_not_grown_level_by_level(spark, monkeypatch):
+    rows = spark.range(70_000).selectExpr("concat('c', id) AS customer_id", "CAST(id % 10 > 6 OR id % 101 = 0 AS INT) AS churn", "id % 3 = 0 AS held", "array(CAST(id % 10 AS DOUBLE), CAST(id % 7 AS DOUBLE)) AS x")
+    from pyspark.ml.functions import array_to_vector
+
+    monkeypatch.setattr(batch_trees, "_scores_by_levels", None)
+    found = scores(cross_validated_auc([rows.withColumn("features", array_to_vector("x"))], WEIGHTS[:1], TRIALS[:2]))
+    assert found[0, 0] > 0.98 and found[1, 0] > 0.9
