@@ -8,6 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.ml import Transformer
+from pyspark.ml.classification import RandomForestClassificationModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from ..functions import hash_normal, stable_order
 from ..operators.ranking import top_abs
 from .score import positive_probability
+from .tree_shapley import explain_forest_sampled, leaves_of
 
 
 def explain_linear(df: DataFrame, key: str, coefficients: dict[str, float]) -> DataFrame:
@@ -89,11 +91,29 @@ def explain_shapley(
     The changes telescope, so per row they add up exactly to its score minus
     the mean score of the background rows. ``prepared`` and ``background`` carry
     a ``features`` vector. Work is rows × orderings × (features + 1) scores, all
-    made from the row in place: only one sum per row and feature is shuffled. A
+    made from the row in place: only one sum per row and feature is shuffled. Of
+    a forest no scores are made: the same changes are read off its leaves. A
     key that comes more than once gets the mean over its rows.
     """
     d = len(names)
     plan = _orderings(background, key, d, orderings, seed)
+    if isinstance(classifier, RandomForestClassificationModel) and classifier.numClasses == 2:
+        try:
+            leaves = leaves_of(classifier, prepared.sparkSession)
+        except ValueError:  # a split by more than two categories
+            return _shapley_by_scores(prepared, plan, classifier, names, key, orderings)
+        chosen = plan.select("base", "place").collect()  # a row for each ordering
+        if chosen:
+            base, place = (np.array([r[c] for r in chosen]) for c in ("base", "place"))
+            # few rows of a file are much work: spread by the values that the leaves add to
+            spread = _spread_rows(prepared.select(key, "features"), max(1, len(leaves) // 50))
+            return explain_forest_sampled(spread, leaves, base, place, names, key)
+    return _shapley_by_scores(prepared, plan, classifier, names, key, orderings)
+
+
+def _shapley_by_scores(prepared: DataFrame, plan: DataFrame, classifier: Transformer, names: list[str], key: str, orderings: int) -> DataFrame:
+    """:func:`explain_shapley` of any classifier, by scoring every step of every ordering."""
+    d = len(names)
     moved = (
         _spread_rows(prepared.select(key, vector_to_array("features").alias("x")), orderings * (d + 1))
         .withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(orderings))))

@@ -184,3 +184,55 @@ def explain_trees(
 
     out = prepared.select(F.col(key).alias("key"), x).mapInArrow(run, f"key {key_type}, feature string, contribution double")
     return out.withColumnRenamed("key", key)
+
+
+def _sampled_contributions(leaf: Leaf, answers: np.ndarray, seen: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """[answer, feature of the leaf]: mean change when a background row becomes the row feature by feature.
+
+    ``seen`` are the answers of an ordering's background row, ``place`` [ordering,
+    feature of the leaf] when a feature changes. The leaf holds from the change of
+    the last feature that only the row fits to that of the first one that only
+    the background row fits.
+    """
+    bits = np.arange(len(leaf.features))
+    own, theirs = ((a[:, None] >> bits & 1).astype(bool) for a in (answers, seen))
+    own, theirs = own[:, None], theirs[None]
+    mine, other = own & ~theirs, ~own & theirs
+    begin = np.where(mine, place, 0).max(axis=2)
+    end = np.where(other, place, np.iinfo(place.dtype).max).min(axis=2)
+    holds = ((own | theirs).all(axis=2) & (begin < end))[:, :, None]
+    gain = (mine & (place == begin[:, :, None]) & holds).sum(axis=1)
+    loss = (other & (place == end[:, :, None]) & holds).sum(axis=1)
+    return (gain - loss) * (leaf.value / len(seen))
+
+
+def explain_forest_sampled(prepared: DataFrame, leaves: list[Leaf], base: np.ndarray, place: np.ndarray, names: list[str], key: str) -> DataFrame:
+    """Shapley values of a forest by orderings: key, feature, contribution.
+
+    ``base`` has the background row of each ordering, ``place`` when each
+    feature changes in it. No copy of a row is scored: of a row only its answers
+    to the leaves matter. A key that comes more than once gets the mean over its rows.
+    """
+    d = len(names)
+    seen = [leaf.answers(base.T) for leaf in leaves]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for values, keys in _rows(batches):
+            total = np.zeros((d, values.shape[1]))
+            for leaf, theirs in zip(leaves, seen):
+                if not leaf.features:
+                    continue
+                answers, at = _distinct(leaf.answers(values), len(leaf.features))
+                parts = _sampled_contributions(leaf, answers, theirs, place[:, leaf.features])
+                for k, j in enumerate(leaf.features):
+                    total[j] += parts[at, k]
+            lists = pa.ListArray.from_arrays(np.arange(0, total.size + 1, d, dtype=np.int32), pa.array(total.T.reshape(-1)))
+            yield pa.RecordBatch.from_arrays([keys, lists], names=["key", "c"])
+
+    x = vector_to_array("features").alias("x")
+    key_type = prepared.schema[key].dataType.simpleString()
+    rows = prepared.select(F.col(key).alias("key"), x).mapInArrow(run, f"key {key_type}, c array<double>")
+    means = rows.groupBy("key").agg(F.array(*[F.avg(F.col("c")[j]) for j in range(d)]).alias("c"))
+    return means.select(F.col("key").alias(key), F.posexplode("c").alias("j", "contribution")).select(
+        key, F.element_at(F.array(*map(F.lit, names)), F.col("j") + 1).alias("feature"), "contribution"
+    )
