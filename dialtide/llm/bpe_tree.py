@@ -94,9 +94,8 @@ class Joiner:
 
 
 def _finished(own: PartEncoder, doc_ids: list, encoded: list[np.ndarray]) -> pa.RecordBatch:
-    decoded = own.tokenizer.decode_batch([x.tolist() for x in encoded], skip_special_tokens=False)
     return pa.RecordBatch.from_arrays(
-        [pa.array(doc_ids, pa.int64()), pa.array([x.tobytes() for x in encoded], pa.binary()), pa.array(decoded, pa.string())],
+        [pa.array(doc_ids, pa.int64()), pa.array([x.tobytes() for x in encoded], pa.binary()), own.decode(encoded)],
         names=["doc_id", "ids", "decoded"],
     )
 

@@ -15,6 +15,7 @@ import re
 import struct
 import unicodedata
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +28,7 @@ from .common import document_columns
 CACHE_PARTS, CACHE_WORDS = 800_000, 300_000
 CACHED_CHARS = 64
 SLICE_ROWS = 256  #: texts turned into Python strings at a time
+DECODED_IDS = 1 << 16  #: ids turned into bytes at a time
 
 
 def default_path(name: str) -> str:
@@ -115,6 +117,38 @@ class PartEncoder(dict):
                 return "drop"
         return "whole"
 
+    @cached_property
+    def _bytes(self) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
+        """The bytes behind all ids one after another, where those of an id begin, and how many; None unless byte-level."""
+        if (json.loads(self.tokenizer.to_str()).get("decoder") or {}).get("type") != "ByteLevel":
+            return None
+        back, tokens = {c: b for b, c in self._alphabet.items()}, [b""] * self.size
+        for token, i in self.tokenizer.get_vocab(with_added_tokens=True).items():
+            if i >= self.size:  # numbers with gaps
+                return None
+            tokens[i] = bytes(map(back.__getitem__, token)) if all(c in back for c in token) else token.encode()
+        sizes = np.array([len(t) for t in tokens], np.int32)
+        return np.frombuffer(b"".join(tokens), np.uint8), np.cumsum(sizes, dtype=np.int32) - sizes, sizes
+
+    def decode(self, encoded: list[np.ndarray]) -> pa.Array:
+        """The texts of sequences of ids, as the library decodes them, special tokens included."""
+        if self._bytes is not None:
+            table, start, size = self._bytes
+            ids, parts = np.concatenate([np.zeros(0, "<u4"), *encoded]), []
+            ends = np.cumsum([0, *map(len, encoded)])
+            behind = np.concatenate([[0], np.cumsum(size[ids], dtype=np.int64)])[ends]
+            for at in range(0, len(ids), DECODED_IDS):
+                n = size[some := ids[at : at + DECODED_IDS]]
+                first = start[some] - (np.cumsum(n, dtype=np.int32) - n)
+                parts.append(table[np.repeat(first, n) + np.arange(n.sum(), dtype=np.int32)])
+            data = np.concatenate([np.zeros(0, np.uint8), *parts])
+            buffers = [None, pa.py_buffer(behind.astype(np.int64)), pa.py_buffer(data)]
+            try:
+                return pa.Array.from_buffers(pa.large_binary(), len(encoded), buffers).cast(pa.large_string()).cast(pa.string())
+            except pa.ArrowInvalid:  # no text: the library puts its mark in place of such bytes
+                pass
+        return pa.array(self.tokenizer.decode_batch([x.tolist() for x in encoded], skip_special_tokens=False), pa.string())
+
     def library_ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 

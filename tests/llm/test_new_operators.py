@@ -257,3 +257,18 @@ def test_clashing_columns_and_empty_tables(odd_documents, spark):
     for run in (source_audit.source_audit, lambda d: importance_resample(d, aim), document_fingerprints, edit_fingerprints.edit_classes):
         assert run(odd_documents).count() >= 0
         assert run(odd_documents.limit(0)).count() == 0
+
+
+def test_ids_decode_from_bytes_as_the_library_decodes_them():
+    import numpy as np
+
+    from dialtide.llm.tokens import default_path, encoder
+
+    own, rnd = encoder(default_path("byte_bpe_50k.json")), np.random.default_rng(6)
+    specials = [i for i, t in own.tokenizer.get_added_tokens_decoder().items()]
+    for _ in range(50):  # most of these bytes are no text
+        ids = [rnd.integers(0, own.size, n).astype("<u4") for n in (0, 3, 40)] + [np.array(specials, "<u4")]
+        assert own.decode(ids).to_pylist() == own.tokenizer.decode_batch([x.tolist() for x in ids], skip_special_tokens=False)
+    texts = ["", "naïve\x00 日本 🙂\n", "a" * 70_000, "<|endoftext|> x"]
+    ids = [np.array(own.library_ids(t), "<u4") for t in texts]
+    assert own.decode(ids).to_pylist() == texts
