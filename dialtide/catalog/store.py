@@ -11,7 +11,7 @@ from .. import fixtures as fx
 from ..operators import daily as ops
 from ..operators import snapshot
 from ..operators.asof import AsOfSource, feature_service_join, pit_join, select_features
-from ..plans.features import store_snapshots, stored_snapshots, training_frame, view_tables
+from ..plans.features import daily_columns, store_snapshots, stored_snapshots, training_frame, view_tables
 from ..schemas import CHURN_SERVICE, MODEL_FEATURES, VIEWS, parse_refs
 from ..session import materialize, scratch_dir
 from .base import query
@@ -57,15 +57,18 @@ def asof_sql(entities: str, refs: list[str], ttl: float | None = None) -> str:
     return f"SELECT e.*, {', '.join(columns)} FROM {entities} e {' '.join(joins)}"
 
 
-def tables(spark, sf_dir):
+def tables(spark, sf_dir, refs=None, as_of=None):
     # two views read the daily table: store it once
-    stored = materialize(daily_frame(spark, sf_dir), "daily")
+    daily = daily_frame(spark, sf_dir)
+    stored = materialize(daily if refs is None else daily.select(*daily_columns(refs)), "daily")
     return view_tables(
         stored,
         fx.charges(spark, sf_dir),
         fx.payments(spark, sf_dir),
         fx.discounts(spark, sf_dir),
         fx.customer_profile(spark, sf_dir),
+        refs,
+        as_of,
     )
 
 
@@ -206,4 +209,5 @@ TRAINING_USES = ("churn_labels", *VIEW_TABLES.values())
 
 @query("training_frame", TRAINING_SQL, TRAINING_USES, fractional(MODEL_FEATURES))
 def training(spark, sf_dir):
-    return training_frame(fx.churn_labels(spark, sf_dir), tables(spark, sf_dir), datetime(2024, 1, 31))
+    as_of = datetime(2024, 1, 31)
+    return training_frame(fx.churn_labels(spark, sf_dir), tables(spark, sf_dir, MODEL_FEATURES, as_of), as_of)

@@ -17,11 +17,13 @@ put a customer with a third of all rows into one task. Instead:
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schemas import VIEWS, parse_refs
+from .snapshot import latest_snapshot
 
 DAY = 86400
 #: Feature rows are daily or coarser, so a slice holds many of them and one is carried.
@@ -138,6 +140,24 @@ def feature_service_join(
     return joined.select(*entities.columns, *[r.partition(":")[2] for r in refs])
 
 
+def features_at(entities: DataFrame, tables: dict[str, DataFrame], refs: list[str], at: datetime, key: str = "customer_id") -> DataFrame:
+    """:func:`feature_service_join` where every entity row asks for the same instant.
+
+    Then there is no timeline: the pick of a key is its newest row that is alive,
+    an aggregate that combines rows before the shuffle.
+    """
+    found = entities
+    for view, columns in parse_refs(refs).items():
+        rows = tables[view]
+        keep = [key, "event_timestamp", *columns, *(["created_timestamp"] if "created_timestamp" in rows.columns else [])]
+        # instants as the tables have them: without a zone
+        time = F.col("event_timestamp").cast("timestamp_ntz")
+        end, start = (F.lit(t).cast("timestamp_ntz") for t in (at, at - timedelta(days=VIEWS[view].ttl_days)))
+        alive = rows.select(*keep).filter(F.col(key).isNotNull() & (time >= start) & (time <= end))
+        found = found.join(latest_snapshot(alive, key=key).select(key, *columns), key, "left")
+    return found.select(*entities.columns, *[r.partition(":")[2] for r in refs])
+
+
 def select_features(tables: dict[str, DataFrame], refs: list[str]) -> dict[str, DataFrame]:
     """The key, time and referenced columns of each view named in ``refs``."""
     return {

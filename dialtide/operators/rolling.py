@@ -7,12 +7,16 @@ many records they came from.
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import month_index
 
 MONTH_KEY = ["customer_id", "month_index"]
+BILLING_COLUMNS = ["monthly_bill_amount", "payment_delay_days", "bill_fluctuation", "total_charges_3m", "overdue_payments_3m"]
+PROMOTION_COLUMNS = ["promo_response_rate", "active_promotions_count", "days_since_last_promo", "promo_discount_amount"]
 
 
 def _by_month():
@@ -67,14 +71,23 @@ def overdue_payments_3m(delays: DataFrame) -> DataFrame:
     return delays.withColumn("overdue_payments_3m", F.when(F.col("overdue_payments").isNotNull(), total))
 
 
-def billing_features(charges: DataFrame, payments: DataFrame) -> DataFrame:
+def billing_features(charges: DataFrame, payments: DataFrame, columns: list[str] | None = None, seen_from: datetime | None = None) -> DataFrame:
     """The monthly billing view, dated when the month closes.
 
+    ``columns`` leaves out the features that are not among them; ``seen_from`` the
+    months that closed before it, and then charges and payments that no later
+    month counts are dropped where they are read.
+
     Charges and payments are combined by one aggregate instead of a full join,
     and all windows share the customer's partition: two shuffles in all. A
     month enters with its first instant after the end, so a point-in-time join
     never sees a charge or payment that had not happened yet.
     """
+    wanted = BILLING_COLUMNS if columns is None else [c for c in BILLING_COLUMNS if c in columns]
+    # the change of a bill looks back to the last bill, however old; nothing else further than two months
+    if seen_from is not None and "bill_fluctuation" not in wanted:
+        oldest = F.add_months(F.lit(seen_from.date().replace(day=1)), -3)
+        charges, payments = charges.filter(F.col("charge_time") >= oldest), payments.filter(F.col("paid_date") >= oldest)
     billed = charges.select("customer_id", month_index(F.col("charge_time")).alias("month_index"), "amount")
     paid = payments.select(
         "customer_id", month_index(F.col("paid_date")).alias("month_index"), _delay().alias("delay")
@@ -86,7 +99,10 @@ def billing_features(charges: DataFrame, payments: DataFrame) -> DataFrame:
     )
     closes = _following_month("month_index").cast("timestamp_ntz")
     rows = overdue_payments_3m(total_charges_3m(bill_fluctuation(months)))
-    return rows.drop("overdue_payments").withColumns({"event_timestamp": closes, "created_timestamp": closes})
+    rows = rows.withColumns({"event_timestamp": closes, "created_timestamp": closes})
+    if seen_from is not None:
+        rows = rows.filter(F.col("event_timestamp") >= F.lit(seen_from).cast("timestamp_ntz"))
+    return rows.select(*MONTH_KEY, *wanted, "event_timestamp", "created_timestamp")
 
 
 def _by_date():
@@ -117,33 +133,35 @@ def promo_discount_amount(discounts: DataFrame) -> DataFrame:
     )
 
 
-def promotion_features(daily: DataFrame, discounts: DataFrame) -> DataFrame:
+def promotion_features(daily: DataFrame, discounts: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """The daily promotion view, with the discount of the last closed month.
 
+    ``columns`` leaves out the features that are not among them; discounts are
+    read for theirs alone, and ``daily`` needs the columns behind the others.
+
     Each month's discount joins the customer's days as one more row, dated the
     day after the month closed, and the windows carry it over the month: daily
     rows are shuffled once, by customer.
     """
-    closed = promo_discount_amount(discounts).select(
-        "customer_id",
-        _following_month("month_index").alias("event_date"),
-        F.struct((F.col("month_index") + 1).alias("valid"), "promo_discount_amount").alias("discount"),
-    )
-    rows = daily.withColumn("is_day", F.lit(True)).unionByName(closed, allowMissingColumns=True)
+    wanted = PROMOTION_COLUMNS if columns is None else [c for c in PROMOTION_COLUMNS if c in columns]
+    rows = daily.withColumn("is_day", F.lit(True))
     upto = _by_date().rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    latest = F.last("discount", ignorenulls=True).over(upto)
-    filled = days_since_last_promo(promo_response_rate(rows)).withColumn("latest", latest).filter("is_day")
-    this_month = F.col("latest.valid") == month_index(F.col("event_date"))
-    return filled.select(
-        "customer_id",
-        "event_date",
-        "event_timestamp",
-        "promo_response_rate",
-        "active_promotions_count",
-        "days_since_last_promo",
-        F.when(this_month, F.col("latest.promo_discount_amount")).alias("promo_discount_amount"),
-        "created_timestamp",
-    )
+    if "promo_discount_amount" in wanted:
+        closed = promo_discount_amount(discounts).select(
+            "customer_id",
+            _following_month("month_index").alias("event_date"),
+            F.struct((F.col("month_index") + 1).alias("valid"), "promo_discount_amount").alias("discount"),
+        )
+        rows = rows.unionByName(closed, allowMissingColumns=True)
+        rows = rows.withColumn("latest", F.last("discount", ignorenulls=True).over(upto))
+    if "promo_response_rate" in wanted:
+        rows = promo_response_rate(rows)
+    if "days_since_last_promo" in wanted:
+        rows = days_since_last_promo(rows)
+    if "promo_discount_amount" in wanted:
+        this_month = F.col("latest.valid") == month_index(F.col("event_date"))
+        rows = rows.withColumn("promo_discount_amount", F.when(this_month, F.col("latest.promo_discount_amount")))
+    return rows.filter("is_day").select("customer_id", "event_date", "event_timestamp", *wanted, "created_timestamp")
 
 
 def tenure_days(activity: DataFrame, run_date: str, time: str = "call_time") -> DataFrame:

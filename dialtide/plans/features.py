@@ -7,11 +7,11 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.asof import feature_service_join
+from ..operators.asof import features_at
 from ..operators.daily import billing_daily, cdr_statistics, daily_features, promotion_daily
 from ..operators.rolling import billing_features, promotion_features
-from ..operators.snapshot import join_labels, latest_snapshot
-from ..schemas import MODEL_FEATURES, VIEWS
+from ..operators.snapshot import latest_snapshot
+from ..schemas import MODEL_FEATURES, VIEWS, parse_refs
 from ..session import materialize
 from ..sources.tables import merge_snapshot, read_snapshot, write_features
 
@@ -30,17 +30,40 @@ def build_daily_tables(cdr: DataFrame, base: str) -> dict[str, str]:
 
 
 def view_tables(
-    daily: DataFrame, charges: DataFrame, payments: DataFrame, discounts: DataFrame, profiles: DataFrame
+    daily: DataFrame,
+    charges: DataFrame,
+    payments: DataFrame,
+    discounts: DataFrame,
+    profiles: DataFrame,
+    refs: list[str] | None = None,
+    as_of: datetime | None = None,
 ) -> dict[str, DataFrame]:
-    """The table behind each feature view. Pass a stored ``daily``: two views read it."""
+    """The table behind each feature view. Pass a stored ``daily``: two views read it.
+
+    With ``refs`` only the features named there are computed, and with ``as_of``
+    no months that are beyond their lifetime by then.
+    """
+    wanted = None if refs is None else parse_refs(refs)
+    of = lambda view: None if wanted is None else wanted.get(view, [])
+    seen_from = None if as_of is None else as_of - timedelta(days=VIEWS["billing_features"].ttl_days)
     return {
         "cdr_statistics": daily,
-        "billing_features": billing_features(charges, payments),
-        "promotion_features": promotion_features(daily, discounts),
+        "billing_features": billing_features(charges, payments, of("billing_features"), seen_from),
+        "promotion_features": promotion_features(daily, discounts, of("promotion_features")),
         "customer_profile": profiles,
     }
 
 
+def daily_columns(refs: list[str]) -> list[str]:
+    """What :func:`view_tables` needs of the daily table for these features."""
+    wanted = parse_refs(refs)
+    own, promotion = wanted.get("cdr_statistics", []), wanted.get("promotion_features", [])
+    behind = {"promo_response_rate": ["promo_rows", "total_rows"], "days_since_last_promo": ["promo_rows"]}
+    behind["active_promotions_count"] = ["active_promotions_count"]
+    needed = [*own, *[c for f in promotion for c in behind.get(f, [])]]
+    return ["customer_id", "event_date", "event_timestamp", *dict.fromkeys(needed), "created_timestamp"]
+
+
 def materialize_snapshots(
     tables: dict[str, DataFrame], end: datetime, days: int = 90
 ) -> dict[str, DataFrame]:
@@ -77,6 +100,7 @@ def training_frame(
     labels: DataFrame, tables: dict[str, DataFrame], as_of: datetime, refs: list[str] | None = None
 ) -> DataFrame:
     """Point-in-time features of every labelled customer at ``as_of``, with the label."""
-    entities = labels.select("customer_id").withColumn("event_timestamp", F.lit(as_of).cast("timestamp_ntz"))
-    features = feature_service_join(entities, tables, refs or MODEL_FEATURES)
-    return join_labels(features, labels)
+    entities = labels.select("customer_id", "churn").filter("customer_id IS NOT NULL")
+    entities = entities.withColumn("event_timestamp", F.lit(as_of).cast("timestamp_ntz"))
+    features = features_at(entities, tables, refs or MODEL_FEATURES, as_of)
+    return features.select("customer_id", "event_timestamp", *[c for c in features.columns if c not in entities.columns], "churn")
