@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions import hash_normal, stable_order
 from ..operators.ranking import top_abs
 from .score import positive_probability
-from .tree_shapley import explain_forest_sampled, leaves_of
+from .tree_shapley import explain_forest_sampled, leaves_of, spread_answers, spread_rows
 
 
 def explain_linear(df: DataFrame, key: str, coefficients: dict[str, float]) -> DataFrame:
@@ -49,13 +49,8 @@ COPIES_PER_TASK = 20_000
 
 
 def _spread_rows(rows: DataFrame, copies: int) -> DataFrame:
-    """Cut the rows into tasks of about :data:`COPIES_PER_TASK` copies before each is multiplied.
-
-    The input's partitions are sized for reading it; scoring hundreds of copies
-    of each row needs more of them. A fixed number, so that they are not merged
-    again for being small in bytes.
-    """
-    return rows.repartition(max(1, math.ceil(rows.count() * copies / COPIES_PER_TASK)))
+    """Tasks of about :data:`COPIES_PER_TASK` copies, before each row is multiplied."""
+    return spread_rows(rows, copies, COPIES_PER_TASK)
 
 
 def _orderings(background: DataFrame, key: str, d: int, n: int, seed: int) -> DataFrame:
@@ -106,7 +101,7 @@ def explain_shapley(
         if chosen:
             base, place = (np.array([r[c] for r in chosen]) for c in ("base", "place"))
             # few rows of a file are much work: spread by the values that the leaves add to
-            spread = _spread_rows(prepared.select(key, "features"), max(1, len(leaves) // 50))
+            spread = spread_answers(prepared.select(key, "features"), leaves)
             return explain_forest_sampled(spread, leaves, base, place, names, key)
     return _shapley_by_scores(prepared, plan, classifier, names, key, orderings)
 

@@ -27,7 +27,11 @@ from pyspark.sql import functions as F
 from ..session import scratch_dir
 
 #: Rows that a task answers for at a time.
-SLICE_ROWS = 8192
+SLICE_ROWS = 1 << 14
+#: Answers of rows to leaves that a task gives, about, and the most rows that it gives them for.
+ANSWERS_PER_TASK, ROWS_PER_TASK = 250_000_000, 10_000
+#: Features on a way up to which answers are counted by an array.
+ARRAY_BITS = 16
 
 
 @dataclass(frozen=True)
@@ -92,12 +96,71 @@ def leaves_of(classifier, spark, name: str = "explained-model") -> list[Leaf]:
     return out
 
 
+class Coded:
+    """The leaves' questions by the rank of a value among the limits that any leaf has for its feature: small whole numbers."""
+
+    def __init__(self, leaves: list[Leaf]):
+        limits: dict[int, set[float]] = {}
+        for leaf in leaves:
+            for j, low, high in zip(leaf.features, leaf.low, leaf.high):
+                limits.setdefault(j, set()).update(t for t in (low, high) if math.isfinite(t))
+        self.limits = {j: np.array(sorted(found)) for j, found in limits.items()}
+        self.type = np.min_scalar_type(max(map(len, self.limits.values()), default=0))
+        #: of each leaf the feature, the least rank that fits and how many more do
+        self.asked = []
+        for leaf in leaves:
+            first = [0 if low == -math.inf else self._rank(j, low) + 1 for j, low in zip(leaf.features, leaf.low)]
+            last = [len(self.limits[j]) if high == math.inf else self._rank(j, high) for j, high in zip(leaf.features, leaf.high)]
+            self.asked.append([(j, self.type.type(a), b - a) for j, a, b in zip(leaf.features, first, last)])
+
+    def _rank(self, j: int, limit: float) -> int:
+        return int(np.searchsorted(self.limits[j], limit))
+
+    def codes(self, x: np.ndarray) -> dict[int, np.ndarray]:
+        """Of each feature how many limits are below the values of ``x``, which has a feature a row."""
+        return {j: np.searchsorted(limits, x[j]).astype(self.type) for j, limits in self.limits.items()}
+
+    def answers(self, number: int, codes: dict[int, np.ndarray]) -> np.ndarray:
+        """:meth:`Leaf.answers` of a leaf."""
+        asked = self.asked[number]
+        out = np.zeros(len(codes[asked[0][0]]), np.uint16 if len(asked) <= ARRAY_BITS else np.int64)
+        for j, first, more in reversed(asked):
+            out <<= 1
+            if more >= 0:  # no value is in an empty interval
+                out |= codes[j] - first <= more  # ranks below the first wrap around
+        return out.astype(np.int64)
+
+
+def spread_rows(rows: DataFrame, work: int, per_task: int) -> DataFrame:
+    """Cut the rows into tasks of about ``per_task`` units, where each row makes ``work`` of them.
+
+    The input's partitions are sized for reading it. A fixed number, so that
+    they are not merged again for being small in bytes.
+    """
+    return rows.repartition(max(1, math.ceil(rows.count() * work / per_task)))
+
+
+def spread_answers(rows: DataFrame, leaves: list[Leaf]) -> DataFrame:
+    """:func:`spread_rows` by the answers to the leaves."""
+    return spread_rows(rows, max(len(leaves), ANSWERS_PER_TASK // ROWS_PER_TASK), ANSWERS_PER_TASK)
+
+
 def _answered(leaves: list[Leaf]):
     """(leaf, answer, n) of the rows of a task."""
+    coded = Coded(leaves)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x, _ in _rows(batches):
-            found = [np.unique(leaf.answers(x), return_counts=True) for leaf in leaves]
+            codes, found = coded.codes(x), []
+            for number, leaf in enumerate(leaves):
+                if not leaf.features:
+                    found.append((np.zeros(1, np.int64), np.array([x.shape[1]])))
+                elif len(leaf.features) > ARRAY_BITS:
+                    found.append(np.unique(coded.answers(number, codes), return_counts=True))
+                else:
+                    n = np.bincount(coded.answers(number, codes))
+                    own = np.flatnonzero(n)
+                    found.append((own, n[own]))
             number = np.repeat(np.arange(len(leaves), dtype=np.int32), [len(a) for a, _ in found])
             columns = [number, *(np.concatenate([f[i] for f in found]) for i in (0, 1))]
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["leaf", "answer", "n"])
@@ -106,12 +169,31 @@ def _answered(leaves: list[Leaf]):
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, pa.Array | None]]:
-    """Features by rows, and the keys, of up to :data:`SLICE_ROWS` rows."""
+    """Features by rows, and the keys, of up to :data:`SLICE_ROWS` rows, which may come from several batches."""
+    waiting, size = [], 0
+
+    def one() -> tuple[np.ndarray, pa.Array | None]:
+        x = np.concatenate([np.asarray(p.column("x").flatten()).reshape(p.num_rows, -1) for p in waiting])
+        keys = pa.concat_arrays([p.column("key") for p in waiting]) if "key" in waiting[0].schema.names else None
+        return np.ascontiguousarray(x.T), keys
+
     for batch in batches:
-        for at in range(0, batch.num_rows, SLICE_ROWS):
-            part = batch.slice(at, SLICE_ROWS)
-            x = np.asarray(part.column("x").flatten()).reshape(part.num_rows, -1)
-            yield np.ascontiguousarray(x.T), part.column("key") if "key" in part.schema.names else None
+        at = 0
+        while at < batch.num_rows:
+            part = batch.slice(at, SLICE_ROWS - size)
+            waiting.append(part)
+            at, size = at + part.num_rows, size + part.num_rows
+            if size == SLICE_ROWS:
+                yield one()
+                waiting, size = [], 0
+    if waiting:
+        yield one()
+
+
+def _added(total: np.ndarray, leaf: Leaf, parts: np.ndarray, place: np.ndarray, own: np.ndarray) -> None:
+    """Adds to ``total`` [feature, row] the parts [answer, feature of the leaf] of each row's answer; ``own`` is scratch."""
+    for j, part in zip(leaf.features, np.ascontiguousarray(parts.T)):
+        total[j] += np.take(part, place, out=own, mode="clip")
 
 
 def _weights(size: int) -> np.ndarray:
@@ -123,17 +205,20 @@ def _weights(size: int) -> np.ndarray:
 def contributions_of(leaf: Leaf, answers: np.ndarray, seen: np.ndarray, share: np.ndarray, weights: np.ndarray) -> np.ndarray:
     """[answer, feature of the leaf]: contributions against background rows with the answers ``seen`` in these shares."""
     every, bits = (1 << len(leaf.features)) - 1, np.arange(len(leaf.features))
-    reach = ((answers[:, None] | seen[None, :]) == every) * (share * leaf.value)
-    # within reach the background's own features are those that the row fails
-    mine, other = np.bitwise_count(answers[:, None] & ~seen[None, :]), np.bitwise_count(every & ~answers)[:, None]
-    gain, loss = weights[mine, other] * reach, (weights[other, mine] * reach).sum(axis=1)
+    # few pairs are within reach; there the background's own features are those that the row fails
+    row, base = np.nonzero((answers[:, None] | seen[None, :]) == every)
+    mine, other = np.bitwise_count(answers[row] & ~seen[base]), np.bitwise_count(every & ~answers)[row]
+    worth = share[base] * leaf.value
+    gain = np.zeros((len(answers), len(seen)))
+    gain[row, base] = weights[mine, other] * worth
+    loss = np.bincount(row, weights[other, mine] * worth, len(answers))
     fits = (answers[:, None] >> bits & 1).astype(bool)
     return np.where(fits, gain @ (1.0 - (seen[:, None] >> bits & 1)), -loss[:, None])
 
 
 def _distinct(answers: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """The distinct answers, and the place of each row's among them."""
-    if bits > 16:
+    if bits > ARRAY_BITS:
         return np.unique(answers, return_inverse=True)
     found = np.flatnonzero(np.bincount(answers, minlength=1 << bits))
     place = np.zeros(1 << bits, np.int64)
@@ -156,7 +241,7 @@ def explain_trees(
     spark, d = prepared.sparkSession, len(names)
     leaves = leaves_of(classifier, spark)
     x = vector_to_array("features").alias("x")
-    counts = background.select(x).mapInArrow(_answered(leaves), "leaf int, answer long, n long").groupBy("leaf", "answer")
+    counts = spread_answers(background.select(x), leaves).mapInArrow(_answered(leaves), "leaf int, answer long, n long").groupBy("leaf", "answer")
     # at most 2 ** (features on a way) answers a leaf, whatever the background
     found = counts.agg(F.sum("n").alias("n")).orderBy("leaf", "answer").toArrow()
     number, answer, n = (found.column(c).to_numpy() for c in ("leaf", "answer", "n"))
@@ -167,22 +252,21 @@ def explain_trees(
     seen = [(answer[a:b], n[a:b] / rows) for a, b in zip(cuts[:-1], cuts[1:])]
     weights = _weights(max(len(leaf.features) for leaf in leaves) + 1)
     key_type = prepared.schema[key].dataType.simpleString()
+    coded = Coded(leaves)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for values, keys in _rows(batches):
-            total = np.zeros((d, values.shape[1]))
-            for leaf, (own, share) in zip(leaves, seen):
+            codes, total, scratch = coded.codes(values), np.zeros((d, values.shape[1])), np.empty(values.shape[1])
+            for number, (leaf, (own, share)) in enumerate(zip(leaves, seen)):
                 if not leaf.features:
                     continue
-                answers, place = _distinct(leaf.answers(values), len(leaf.features))
-                parts = contributions_of(leaf, answers, own, share, weights)
-                for k, j in enumerate(leaf.features):
-                    total[j] += parts[place, k]
+                answers, place = _distinct(coded.answers(number, codes), len(leaf.features))
+                _added(total, leaf, contributions_of(leaf, answers, own, share, weights), place, scratch)
             repeated = keys.take(pa.array(np.repeat(np.arange(len(keys)), d)))
-            features = pa.array(names * len(keys), pa.string())
+            features = pa.array(names, pa.string()).take(pa.array(np.tile(np.arange(d), len(keys))))
             yield pa.RecordBatch.from_arrays([repeated, features, pa.array(total.T.reshape(-1))], names=["key", "feature", "contribution"])
 
-    out = prepared.select(F.col(key).alias("key"), x).mapInArrow(run, f"key {key_type}, feature string, contribution double")
+    out = spread_answers(prepared.select(F.col(key).alias("key"), x), leaves).mapInArrow(run, f"key {key_type}, feature string, contribution double")
     return out.withColumnRenamed("key", key)
 
 
@@ -215,17 +299,16 @@ def explain_forest_sampled(prepared: DataFrame, leaves: list[Leaf], base: np.nda
     """
     d = len(names)
     seen = [leaf.answers(base.T) for leaf in leaves]
+    coded = Coded(leaves)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for values, keys in _rows(batches):
-            total = np.zeros((d, values.shape[1]))
-            for leaf, theirs in zip(leaves, seen):
+            codes, total, scratch = coded.codes(values), np.zeros((d, values.shape[1])), np.empty(values.shape[1])
+            for number, (leaf, theirs) in enumerate(zip(leaves, seen)):
                 if not leaf.features:
                     continue
-                answers, at = _distinct(leaf.answers(values), len(leaf.features))
-                parts = _sampled_contributions(leaf, answers, theirs, place[:, leaf.features])
-                for k, j in enumerate(leaf.features):
-                    total[j] += parts[at, k]
+                answers, at = _distinct(coded.answers(number, codes), len(leaf.features))
+                _added(total, leaf, _sampled_contributions(leaf, answers, theirs, place[:, leaf.features]), at, scratch)
             lists = pa.ListArray.from_arrays(np.arange(0, total.size + 1, d, dtype=np.int32), pa.array(total.T.reshape(-1)))
             yield pa.RecordBatch.from_arrays([keys, lists], names=["key", "c"])
 

@@ -117,3 +117,31 @@ def test_sampled_values_from_leaves_equal_those_from_scores(spark):
     assert by(found) == pytest.approx(by_scores, abs=1e-12) and len(by_scores) == 320
     # no step of an ordering is scored, whose 17 times 5 copies of a row made this slow
     assert "place" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_coded_answers_are_the_leaves_own():
+    rnd = np.random.default_rng(5)
+    limits = rnd.normal(size=(30, 6)).round(1)
+    leaves = [tree_shapley.Leaf(1.0, (), (), ())]
+    for size in (1, 3, 16, 20):
+        for _ in range(20):
+            features = tuple(rnd.choice(30, size, replace=False).tolist())
+            ends = np.sort([[rnd.choice([*limits[j], -math.inf]), rnd.choice([*limits[j], math.inf])] for j in features], axis=1)
+            leaves.append(tree_shapley.Leaf(1.0, features, tuple(ends[:, 0].tolist()), tuple(ends[:, 1].tolist())))
+    x = np.concatenate([rnd.normal(size=(30, 200)).round(1), limits], axis=1)  # many values are limits
+    coded = tree_shapley.Coded(leaves)
+    codes = coded.codes(x)
+    assert all(c.dtype == np.uint8 for c in codes.values())
+    for i, leaf in enumerate(leaves):
+        if leaf.features:
+            assert (coded.answers(i, codes) == leaf.answers(x)).all()
+
+
+def test_batches_are_answered_together():
+    import pyarrow as pa
+
+    def batch(n):
+        return pa.record_batch([pa.array([[1.0, 2.0]] * n, pa.list_(pa.float64())), pa.array(["k"] * n)], names=["x", "key"])
+
+    sizes = [len(keys) for _, keys in tree_shapley._rows(iter([batch(5), batch(0), batch(tree_shapley.SLICE_ROWS), batch(7)]))]
+    assert sizes == [tree_shapley.SLICE_ROWS, 12]
