@@ -67,7 +67,9 @@ def batch_score(
     ``has_features`` says so. The response has the request's columns, the score,
     its time and the version.
     """
-    found = online_lookup(requests, snapshots, refs, as_of, mark=True)
+    # a list of customers may be one small file: deal it out by the key that the lookups join on, or one task scores all
+    dealt = requests.repartition("customer_id")
+    found = online_lookup(dealt, snapshots, refs, as_of, mark=True)
     return _response(found, requests.columns, model, model_version)
 
 

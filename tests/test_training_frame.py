@@ -6,6 +6,7 @@ from helpers import plan_text, rows_of
 
 from dialtide import fixtures as fx
 from dialtide.catalog.store import tables
+from dialtide.ml.score import FixedLogistic, batch_score
 from dialtide.operators.asof import feature_service_join, features_at
 from dialtide.operators.rolling import billing_features, promotion_features
 from dialtide.plans.features import daily_columns, training_frame
@@ -58,3 +59,12 @@ def test_one_row_per_label(spark, sf_dir):
     assert frame.columns == ["customer_id", "event_timestamp", "daily_total_minutes", "churn"]
     got = sorted(tuple(r) for r in frame.fillna(-1.0).collect())
     assert got == [("a", AS_OF, 1.0, 1), ("a", AS_OF, 1.0, 1), ("b", AS_OF, -1.0, 0)]
+
+
+def test_requests_of_one_file_are_scored_by_many_tasks(spark):
+    requests = spark.range(2000).selectExpr("concat('c', id) AS customer_id", "id AS position").coalesce(1)
+    stored = requests.selectExpr("customer_id", "CAST(position AS DOUBLE) AS monthly_charges")
+    scored = batch_score(requests, {"customer_profile": stored}, ["customer_profile:monthly_charges"], FixedLogistic({"monthly_charges": 0.1}, 0.0), "v")
+    assert scored.columns[:2] == ["customer_id", "position"] and scored.filter("has_features").count() == 2000
+    plan = plan_text(scored)  # the requests' own shuffle, whichever way the lookup joins
+    assert "REPARTITION_BY_COL" in plan
