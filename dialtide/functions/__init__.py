@@ -10,7 +10,7 @@ from .calls import (
     weekend_flag,
 )
 from .churn import churn_segment, gauge_band, risk_level, segment_rank, tenure_band, threshold_prediction
-from .hashing import hash_bucket, hash_normal, hash_uniform, stable_order
+from .hashing import hash_bucket, hash_normal, hash_uniform, normals_of, stable_order
 
 __all__ = [
     "call_date_parts",
@@ -23,6 +23,7 @@ __all__ = [
     "is_international",
     "is_promo",
     "month_index",
+    "normals_of",
     "peak_flag",
     "risk_level",
     "segment_rank",

@@ -7,16 +7,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml import Transformer
 from pyspark.ml.classification import RandomForestClassificationModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import hash_normal, stable_order
+from ..functions import hash_normal, normals_of, stable_order
 from ..operators.ranking import top_abs
 from .score import positive_probability
-from .tree_shapley import explain_forest_sampled, leaves_of, spread_answers, spread_rows
+from .tree_shapley import ForestScorer, explain_forest_sampled, leaves_of, spread_answers, spread_rows
 
 
 def explain_linear(df: DataFrame, key: str, coefficients: dict[str, float]) -> DataFrame:
@@ -46,6 +47,8 @@ def explain_linear_model(prepared: DataFrame, key: str, model, names: list[str])
 
 
 COPIES_PER_TASK = 20_000
+#: Copies that a task makes and scores by itself, and the rows whose copies it holds at a time.
+SCORED_PER_TASK, ROWS_AT_A_TIME = 1_000_000, 32
 
 
 def _spread_rows(rows: DataFrame, copies: int) -> DataFrame:
@@ -153,14 +156,54 @@ def explain_local_linear(
 
     ``samples`` copies of the row are shifted by training-deviation noise and
     scored; nearer copies weigh more. The copies of a row come from it in place
-    and stay together, so nothing is shuffled; many small ridge problems are
-    solved at a time, the only step in Python. A key that comes more than once
-    gets a fit for each of its rows.
+    and stay together, so none is shuffled; many small ridge problems are
+    solved at a time. Of a forest the copies, with the same noise, are made and
+    scored in the task that solves them. A key that comes more than once gets a
+    fit for each of its rows.
     """
     d = len(names)
-    spread = training.select(vector_to_array("features").alias("x")).agg(
-        F.array(*[F.stddev_pop(F.col("x")[j]) for j in range(d)]).alias("s")
-    ).scalar()
+    width = 0.75 * math.sqrt(d)
+    key_type = prepared.schema[key].dataType.simpleString()
+    out_type = f"{key} {key_type}, feature string, contribution double"
+    training = training.select(vector_to_array("features").alias("x"))
+    spread_of = F.array(*[F.stddev_pop(F.col("x")[j]) for j in range(d)])
+
+    def solve(z: np.ndarray, p: np.ndarray) -> np.ndarray:
+        """Weights for rows × samples × features shifts and rows × samples scores."""
+        near = np.exp(-(z**2).sum(axis=2) / width**2)
+        w = near / near.sum(axis=1, keepdims=True)
+        zc = z - np.einsum("rs,rsd->rd", w, z)[:, None, :]
+        pc = p - np.einsum("rs,rs->r", w, p)[:, None]
+        weighted = (near[:, :, None] * zc).transpose(0, 2, 1)
+        left = weighted @ zc + ridge * np.eye(d)
+        right = (weighted @ pc[:, :, None])[:, :, 0]
+        return np.linalg.solve(left, right[:, :, None])[:, :, 0]
+
+    if isinstance(classifier, RandomForestClassificationModel) and classifier.numClasses == 2:
+        try:
+            scorer = ForestScorer(classifier, prepared.sparkSession)
+        except ValueError:  # a split by more than two categories
+            pass
+        else:
+            deviation = np.array(training.agg(spread_of.alias("s")).first()["s"] or [0.0] * d, float)
+
+            def scored_here(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                feature, sample = np.arange(d)[:, None, None], np.arange(samples)[None, None, :]
+                for batch in batches:
+                    for at in range(0, batch.num_rows, ROWS_AT_A_TIME):
+                        part = batch.slice(at, ROWS_AT_A_TIME)
+                        x = np.asarray(part.column("x").flatten()).reshape(part.num_rows, d).T[:, :, None]
+                        own = part.column("hash").to_numpy()[None, :, None]
+                        z = np.where(sample > 0, normals_of(own, sample, feature, np.array(seed)), 0.0)
+                        p = scorer((x + z * deviation[:, None, None]).reshape(d, -1)).reshape(-1, samples)
+                        weights = solve(np.ascontiguousarray(z.transpose(1, 2, 0)), p)
+                        keys = part.column("key").take(pa.array(np.repeat(np.arange(part.num_rows), d)))
+                        columns = [keys, pa.array(names * part.num_rows, pa.string()), pa.array(weights.reshape(-1))]
+                        yield pa.RecordBatch.from_arrays(columns, names=[key, "feature", "contribution"])
+
+            rows = prepared.select(F.col(key).alias("key"), F.xxhash64(key).alias("hash"), vector_to_array("features").alias("x"))
+            return spread_rows(rows, samples, SCORED_PER_TASK).mapInArrow(scored_here, out_type)
+
     noise = F.transform(
         F.sequence(F.lit(0), F.lit(d - 1)),
         lambda j: F.when(
@@ -169,7 +212,7 @@ def explain_local_linear(
     )
     shifted = (
         _spread_rows(prepared.select(key, vector_to_array("features").alias("x")), samples)
-        .withColumn("spread", spread)
+        .withColumn("spread", training.agg(spread_of.alias("s")).scalar())
         .withColumn("sample", F.explode(F.sequence(F.lit(0), F.lit(samples - 1))))
         .withColumn("z", noise)
         .withColumn(
@@ -178,22 +221,6 @@ def explain_local_linear(
         )
     )
     scored = classifier.transform(shifted).select(key, "z", positive_probability().alias("p"))
-    width = 0.75 * math.sqrt(d)
-    key_type = prepared.schema[key].dataType.simpleString()
-
-    def solve(keys: np.ndarray, z: np.ndarray, p: np.ndarray) -> pd.DataFrame:
-        """Weights for rows × samples × features shifts and rows × samples scores."""
-        w = np.exp(-(z**2).sum(axis=2) / width**2)
-        w /= w.sum(axis=1, keepdims=True)
-        total = np.exp(-(z**2).sum(axis=2) / width**2).sum(axis=1)
-        zc = z - np.einsum("rs,rsd->rd", w, z)[:, None, :]
-        pc = p - np.einsum("rs,rs->r", w, p)[:, None]
-        left = np.einsum("r,rs,rsd,rse->rde", total, w, zc, zc) + ridge * np.eye(d)
-        right = np.einsum("r,rs,rsd,rs->rd", total, w, zc, pc)
-        weights = np.linalg.solve(left, right[:, :, None])[:, :, 0]
-        return pd.DataFrame(
-            {key: np.repeat(keys, d), "feature": names * len(keys), "contribution": weights.reshape(-1)}
-        )
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rest = None
@@ -203,10 +230,11 @@ def explain_local_linear(
             if whole:
                 now = rows.iloc[:whole]
                 z = np.stack(now["z"].to_numpy()).reshape(-1, samples, d)
-                yield solve(now[key].to_numpy()[::samples], z, now["p"].to_numpy().reshape(-1, samples))
+                keys, weights = now[key].to_numpy()[::samples], solve(z, now["p"].to_numpy().reshape(-1, samples))
+                yield pd.DataFrame({key: np.repeat(keys, d), "feature": names * len(keys), "contribution": weights.reshape(-1)})
             rest = rows.iloc[whole:]
 
-    return scored.mapInPandas(run, f"{key} {key_type}, feature string, contribution double")
+    return scored.mapInPandas(run, out_type)
 
 
 def explain_top(contributions: DataFrame, key: str = "customer_id", n: int = 10) -> DataFrame:

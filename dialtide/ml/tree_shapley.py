@@ -66,16 +66,63 @@ def _sides(split: dict) -> tuple[tuple[float, float], tuple[float, float]]:
     return (zero, one) if 0.0 in split["leftCategoriesOrThreshold"] else (one, zero)
 
 
-def leaves_of(classifier, spark, name: str = "explained-model") -> list[Leaf]:
-    """The leaves of a fitted forest, in shares of the churn probability, or of a boosted model, in parts of its margin.
-
-    They are read from the model's stored form: a table with a row for each node.
-    """
+def _stored_nodes(classifier, spark, name: str) -> dict[int, dict[int, dict]]:
+    """The nodes of a fitted ensemble by tree and number, out of its stored form."""
     path = scratch_dir(spark, name)
     classifier.write().overwrite().save(path)
     nodes: dict[int, dict[int, dict]] = {}
     for row in spark.read.parquet(f"{path}/data").collect():  # as large as the model, which the driver holds anyway
         nodes.setdefault(row["treeID"], {})[row["nodeData"]["id"]] = row["nodeData"].asDict(recursive=True)
+    return nodes
+
+
+class ForestScorer:
+    """The churn probability of a forest for many rows at a time, a tree and a level after the other.
+
+    A flag's split asks whether the value is one of its two categories; any other value goes to the right.
+    """
+
+    def __init__(self, classifier, spark):
+        self.features, flags = classifier.numFeatures, {}
+        self.trees = []
+        for _, nodes in sorted(_stored_nodes(classifier, spark, "scored-model").items()):
+            feature, limit, left, value, order, depth = [], [], [], [], [(nodes[0], 0)], 0
+            for node, level in order:  # grows while it is gone through: children stand side by side
+                depth, stats = max(depth, level), node["impurityStats"]
+                if node["leftChild"] < 0:
+                    feature, limit, left = [*feature, 0], [*limit, math.inf], [*left, len(left)]
+                else:
+                    j, (asked, *more) = node["split"]["featureIndex"], node["split"]["leftCategoriesOrThreshold"]
+                    if node["split"]["numCategories"] >= 0:
+                        if more or node["split"]["numCategories"] != 2:
+                            raise ValueError("only numbers and 0/1 features are scored")
+                        j, asked = self.features + flags.setdefault((j, asked), len(flags)), 0.5
+                    feature, limit, left = [*feature, j], [*limit, asked], [*left, len(order)]
+                    order += [(nodes[node["leftChild"]], level + 1), (nodes[node["rightChild"]], level + 1)]
+                value.append(stats[1] / sum(stats))
+            self.trees.append((np.array(feature), np.array(limit), np.array(left), np.array(value), depth))
+        self.flags = list(flags)
+
+    def __call__(self, x: np.ndarray) -> np.ndarray:
+        """Of ``x`` with a feature a row."""
+        others = [(x[j] != category).astype(float) for j, category in self.flags]
+        flat, rows, n = np.concatenate([x, *others], axis=None), np.arange(x.shape[1]), x.shape[1]
+        total = np.zeros(n)
+        for feature, limit, left, value, depth in self.trees:
+            at, start = np.zeros(n, np.int64), feature * n
+            for _ in range(depth):
+                own = np.take(flat, np.take(start, at, mode="clip") + rows, mode="clip")
+                at = np.take(left, at, mode="clip") + (own > np.take(limit, at, mode="clip"))
+            total += np.take(value, at, mode="clip")
+        return total / len(self.trees)
+
+
+def leaves_of(classifier, spark, name: str = "explained-model") -> list[Leaf]:
+    """The leaves of a fitted forest, in shares of the churn probability, or of a boosted model, in parts of its margin.
+
+    They are read from the model's stored form: a table with a row for each node.
+    """
+    nodes = _stored_nodes(classifier, spark, name)
     weights = list(classifier.treeWeights)
     forest = hasattr(classifier, "numClasses") and type(classifier).__name__.startswith("RandomForest")
     out: list[Leaf] = []

@@ -145,3 +145,33 @@ def test_batches_are_answered_together():
 
     sizes = [len(keys) for _, keys in tree_shapley._rows(iter([batch(5), batch(0), batch(tree_shapley.SLICE_ROWS), batch(7)]))]
     assert sizes == [tree_shapley.SLICE_ROWS, 12]
+
+
+def test_local_linear_of_a_forest_is_that_of_scored_copies(spark, frame, monkeypatch):
+    from dialtide.ml import explain
+
+    forest = RandomForestClassifier(labelCol="churn", numTrees=7, maxDepth=5, seed=3).fit(frame)
+    forest._java_obj.setSummary(spark._jvm.scala.Option.empty())  # as training does
+    rows = frame.limit(40).union(spark.createDataFrame([(None, 0, frame.first()["features"])], frame.schema))
+    find = lambda: explain.explain_local_linear(rows, frame, forest, NAMES, samples=50)
+    here = find()
+    assert "Generate explode" not in here._jdf.queryExecution().executedPlan().toString()
+    here = {(r[0], r[1]): r[2] for r in here.collect()}
+
+    def refuse(*_):
+        raise ValueError
+
+    monkeypatch.setattr(explain, "ForestScorer", refuse)
+    by_spark = {(r[0], r[1]): r[2] for r in find().collect()}
+    assert len(here) == 41 * 4 and here.keys() == by_spark.keys()
+    assert max(abs(here[k] - by_spark[k]) for k in here) < 1e-9
+    assert max(map(abs, here.values())) > 0.01
+
+
+def test_normals_are_the_columns_own(spark):
+    from dialtide.functions import hash_normal, normals_of
+
+    rows = spark.createDataFrame([("a",), ("CUST000007",), (None,)], "k string")
+    ints = [F.lit(-3), F.lit(199), F.lit(42)]
+    got = rows.select(F.xxhash64("k").alias("h"), hash_normal(F.col("k"), *ints).alias("z")).toPandas()
+    assert np.allclose(normals_of(got["h"].to_numpy(), np.array(-3), np.array(199), np.array(42)), got["z"], rtol=1e-13)
