@@ -147,7 +147,9 @@ def promotion_features(daily: DataFrame, discounts: DataFrame, columns: list[str
     rows = daily.withColumn("is_day", F.lit(True))
     upto = _by_date().rangeBetween(Window.unboundedPreceding, Window.currentRow)
     if "promo_discount_amount" in wanted:
-        closed = promo_discount_amount(discounts).select(
+        # a day shows the month before its own: older discounts are dropped where they are read
+        first = F.trunc(daily.agg(F.min("event_date")).scalar(), "month")
+        closed = promo_discount_amount(discounts.filter(F.col("discount_time") >= F.add_months(first, -1))).select(
             "customer_id",
             _following_month("month_index").alias("event_date"),
             F.struct((F.col("month_index") + 1).alias("valid"), "promo_discount_amount").alias("discount"),

@@ -68,3 +68,25 @@ def test_requests_of_one_file_are_scored_by_many_tasks(spark):
     assert scored.columns[:2] == ["customer_id", "position"] and scored.filter("has_features").count() == 2000
     plan = plan_text(scored)  # the requests' own shuffle, whichever way the lookup joins
     assert "REPARTITION_BY_COL" in plan
+
+
+def test_discounts_that_no_day_shows_do_not_reach_the_join(spark, sf_dir):
+    daily, discounts = tables(spark, sf_dir)["cdr_statistics"], fx.discounts(spark, sf_dir)
+    rows = promotion_features(daily, discounts, ["promo_discount_amount"])
+    shown = rows.filter("promo_discount_amount IS NOT NULL").count()
+    assert shown > 0
+    optimized = rows._jdf.queryExecution().optimizedPlan().toString()
+    join = optimized[optimized.index("Join Inner") :]
+    assert "add_months" in join  # the filter is below the join of lines and orders
+
+
+def test_discounts_at_the_edge_are_kept(spark):
+    daily = spark.createDataFrame(
+        [("a", datetime(2024, 3, 1).date(), datetime(2024, 3, 1), datetime(2024, 3, 1))],
+        "customer_id string, event_date date, event_timestamp timestamp_ntz, created_timestamp timestamp_ntz",
+    )
+    times = [datetime(2024, 1, 31, 23), datetime(2024, 2, 1), datetime(2024, 2, 29, 23), datetime(2024, 3, 1)]
+    discounts = spark.createDataFrame([("a", t, float(10**i)) for i, t in enumerate(times)], "customer_id string, discount_time timestamp_ntz, discount double")
+    for days in (daily, daily.limit(0)):
+        got = [r["promo_discount_amount"] for r in promotion_features(days, discounts, ["promo_discount_amount"]).collect()]
+        assert got == ([110.0] if days is daily else [])
