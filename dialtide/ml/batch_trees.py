@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.ordered import running_sums, value_buckets
-from ..session import materialize
+from ..session import materialize, side_by_side
 
 BINS = 32
 #: Rows that a block holds, a byte a feature and some 50 beside; a fold with more is grown by aggregates over its blocks.
@@ -104,7 +104,7 @@ class Fit:
         if self.boosted:
             share = self.trial.get("row_share", 0.8)
             return (u < share).astype(float) if share < 1 else np.ones(len(uid))
-        return np.searchsorted(_POISSON, u, "right").astype(float)
+        return reduce(np.add, [(u >= p).view(np.uint8) for p in _POISSON]).astype(float)
 
     def target(self, y: np.ndarray, margin: np.ndarray, step: int) -> np.ndarray:
         """What the trees of a step learn: the class, or what the margin so far leaves of it (logistic loss)."""
@@ -226,14 +226,13 @@ def _class_sums(cell: np.ndarray, size: int, times: np.ndarray | None) -> np.nda
     return np.bincount(cell, times, 2 * size).reshape(size, 2)
 
 
-def _forest_sums(fit: Fit, bins: np.ndarray, features: np.ndarray, place: np.ndarray, row: np.ndarray, y: np.ndarray, times: np.ndarray) -> np.ndarray:
+def _forest_sums(fit: Fit, columns: np.ndarray, features: np.ndarray, place: np.ndarray, row: np.ndarray, y: np.ndarray, times: np.ndarray) -> np.ndarray:
     """:meth:`Trees.histogram` of some nodes of one tree: weight and target are those of the class, so counts by class do."""
-    nodes, columns = features.shape
-    sums = np.empty((3, nodes, columns, BINS))
-    flat, start, base = bins.reshape(-1), row * fit.features, place * (2 * BINS) + y
-    for k in range(columns):
-        cell = np.take(features[:, k], place, mode="clip")
-        cell += start
+    nodes, chosen = features.shape
+    sums = np.empty((3, nodes, chosen, BINS))
+    flat, first, base = columns.reshape(-1), features * columns.shape[1], place * (2 * BINS) + y
+    for k in range(chosen):
+        cell = row + (first[0, k] if nodes == 1 else np.take(first[:, k], place, mode="clip"))
         cell = np.add(base, np.take(flat, cell, mode="clip") << 1, out=cell)
         counts = _class_sums(cell, nodes * BINS, times).reshape(nodes, BINS, 2)
         sums[0, :, k] = counts.sum(axis=2)
@@ -260,24 +259,36 @@ def _boosted_sums(fit: Fit, doubled: np.ndarray, features: np.ndarray, place: np
     return sums[:, features, np.arange(nodes)[:, None]]
 
 
-def _below(trees: Trees, flat: np.ndarray, start: np.ndarray, at: np.ndarray) -> np.ndarray:
+def _below(trees: Trees, columns: np.ndarray, row: np.ndarray, at: np.ndarray) -> np.ndarray:
     """The children to which rows go on from nodes that are split."""
     take = lambda a, i: np.take(a, i, mode="clip")
-    return take(trees.left, at) + (take(flat, start + take(trees.feature, at)) > take(trees.cut, at))
+    bins = take(columns.reshape(-1), row + take(trees.feature * columns.shape[1], at))
+    return take(trees.left, at) + (bins > take(trees.cut, at))
 
 
-def _tree_alone(fit: Fit, block: Block, number: int, wanted: np.ndarray | None, asked: np.ndarray) -> np.ndarray:
+def _spread(fit: Fit, place: np.ndarray, y: np.ndarray, own: np.ndarray, nodes: int) -> tuple[np.ndarray, np.ndarray]:
+    """The mean target of nodes, and an upper bound of the gain of their splits: the variance of the target, which no split exceeds."""
+    weight = np.array(fit.weights)
+    rows = np.bincount(2 * place + y, minlength=2 * nodes).reshape(nodes, 2) @ weight
+    with np.errstate(divide="ignore", invalid="ignore"):
+        mean = np.bincount(place, own, nodes) / rows
+        square = np.bincount(place, own * own / weight[y], nodes) / rows
+    # the difference loses digits: what is lost is given back
+    return mean, square - mean**2 + 1e-9 * square
+
+
+def _tree_alone(fit: Fit, number: int, known: Known, wanted: np.ndarray | None, asked: np.ndarray) -> np.ndarray:
     """The values that a tree grown on the only block gives to the ``asked`` rows.
 
     Rows go down level by level and leave the work in a leaf. Nodes that cannot
-    split, by their rows or for being of one class, are not looked at.
-    ``wanted`` is the weighted target of boosting.
+    split are not looked at: by their rows, for being of one class or, in
+    boosting, by the spread of their target. ``wanted`` is the weighted target of boosting.
     """
-    trees, flat = Trees(range(number, number + 1)), block.bins.reshape(-1)
-    times = fit.drawn(block.uid, number) * ~block.held
-    row = np.flatnonzero(times)
-    at, times, y = np.zeros(len(row), np.int64), times[row], block.y[row].astype(np.int64)
-    doubled, own = (2 * block.bins[row].T.astype(np.uint8), wanted[row]) if fit.boosted else (None, None)
+    trees = Trees(range(number, number + 1))
+    times = fit.drawn(known.uid, number)
+    drawn = np.flatnonzero(times)
+    row, at, times, y = known.row[drawn], np.zeros(len(drawn), np.int64), times[drawn], known.y[drawn]
+    doubled, own = None, wanted[row] if fit.boosted else None
     trees.value[0] = np.nan
     for _ in range(fit.trial["max_depth"]):
         index = np.full(len(trees.feature), -1)
@@ -288,14 +299,21 @@ def _tree_alone(fit: Fit, block: Block, number: int, wanted: np.ndarray | None,
         if not fit.boosted:
             ones = np.bincount(place, times * y, len(trees.open))
             able &= ((ones > 0) & (ones < count)) | (trees.path[trees.open] == 1)
+        else:
+            mean, spread = _spread(fit, place, y, own, len(trees.open))
+            able &= ~(spread < fit.trial.get("min_gain", 0.0))
+            if trees.path[trees.open[0]] == 1:
+                trees.value[0] = mean[0]
         if not able.all():
             trees.open, stays = trees.open[able], able[place]
             place = (np.cumsum(able) - 1)[place[stays]]
             row, at, times, y = row[stays], at[stays], times[stays], y[stays]
             if fit.boosted:
-                doubled, own = doubled[:, stays], own[stays]
+                doubled, own = doubled if doubled is None else doubled[:, stays], own[stays]
         if not len(trees.open):
             break
+        if fit.boosted and doubled is None:  # the root splits
+            doubled = known.doubled[:, drawn]
         found = []
         step = max(1, NODE_CELLS // (fit.columns * BINS))
         for first in range(0, len(trees.open), step):  # bounds the memory of deep levels
@@ -305,7 +323,7 @@ def _tree_alone(fit: Fit, block: Block, number: int, wanted: np.ndarray | None,
             if fit.boosted:
                 sums = _boosted_sums(fit, doubled[:, some], features, place[some] - first, y[some], own[some])
             else:
-                sums = _forest_sums(fit, block.bins, features, place[some] - first, row[some], y[some], times[some])
+                sums = _forest_sums(fit, known.columns, features, place[some] - first, row[some], y[some], times[some])
             found.append(best_splits(fit, trees.tree[node], trees.path[node], sums))
         trees.grow(np.concatenate(found, axis=1))
         if not len(trees.open):
@@ -315,30 +333,47 @@ def _tree_alone(fit: Fit, block: Block, number: int, wanted: np.ndarray | None,
             row, at, times, y = row[goes], at[goes], times[goes], y[goes]
             if fit.boosted:
                 doubled, own = doubled[:, goes], own[goes]
-        at = _below(trees, flat, row * fit.features, at)
+        at = _below(trees, known.columns, row, at)
     # a leaf leads back to itself
     leaf = np.flatnonzero(trees.feature < 0)
     trees.feature[leaf], trees.cut[leaf], trees.left[leaf] = 0, BINS, leaf
     value, levels = np.nan_to_num(trees.value), int(np.log2(trees.path.max()))
     out = np.empty(len(asked))
     for first in range(0, len(asked), SLICE_ROWS):
-        start = asked[first : first + SLICE_ROWS] * fit.features
-        at = np.zeros(len(start), np.int64)
+        some = asked[first : first + SLICE_ROWS]
+        at = np.zeros(len(some), np.int64)
         for _ in range(levels):
-            at = _below(trees, flat, start, at)
+            at = _below(trees, known.columns, some, at)
         out[first : first + SLICE_ROWS] = value[at]
     return out
 
 
+@dataclass
+class Known:
+    """The block as all trees of a fit use it: the bins of all rows, and the rows that are not held."""
+
+    columns: np.ndarray  #: [feature, row]: bins
+    row: np.ndarray
+    uid: np.ndarray
+    y: np.ndarray
+    doubled: np.ndarray | None  #: [feature, row that is not held]: twice the bins, for boosting
+
+    @classmethod
+    def of(cls, fit: Fit, block: Block) -> Known:
+        columns, row = np.ascontiguousarray(block.bins.T), np.flatnonzero(~block.held)
+        doubled = columns[:, row] << 1 if fit.boosted else None
+        return cls(columns, row, block.uid[row], block.y[row].astype(np.int64), doubled)
+
+
 def _grown_alone(fit: Fit, block: Block) -> np.ndarray:
     """The margins of the rows of the only block, after all steps; of a forest those of the held ones."""
-    margin, weight = np.zeros(len(block.y)), block.weight(fit)
+    margin, weight, known = np.zeros(len(block.y)), block.weight(fit), Known.of(fit, block)
     asked = np.arange(len(block.y)) if fit.boosted else np.flatnonzero(block.held)
     for step in range(fit.steps):
         wanted = weight * fit.target(block.y, margin, step) if fit.boosted else None
         added = np.zeros(len(asked))
         for number in fit.trees(step):
-            added += _tree_alone(fit, block, number, wanted, asked)
+            added += _tree_alone(fit, number, known, wanted, asked)
         margin[asked] += fit.tree_weight(step) * added
     return margin
 
@@ -544,19 +579,17 @@ def cross_validated_auc(
     trial's probability. Forests draw rows with replacement and choose a split
     from the square root of the features. Both choose features node by node.
     """
-    stored, n, d = [], 0, []
-    for f, rows in enumerate(folds):
-        count = rows.count()
-        edges = bin_edges(rows.filter("NOT held"))
-        n, d = max(n, count), [*d, len(edges)]
-        stored.append(fold_blocks(rows, f, edges, key, count, block_rows))
+    spark = folds[0].sparkSession
+    counts, edges = zip(*side_by_side(spark, lambda rows: (rows.count(), bin_edges(rows.filter("NOT held"))), folds))
+    n, d = max(counts), [len(e) for e in edges]
     if len(set(d)) > 1:  # a level that some folds never see
         parts = [cross_validated_auc([r], [w], trials, key, seed, block_rows).withColumn("fold", F.lit(f)) for f, (r, w) in enumerate(zip(folds, weights))]
         out = parts[0]
         for p in parts[1:]:
             out = out.union(p)
         return out
-    blocks = [materialize(b, "fold-blocks") for b in stored]
+    stored = [fold_blocks(rows, f, edges[f], key, counts[f], block_rows) for f, rows in enumerate(folds)]
+    blocks = side_by_side(spark, lambda b: materialize(b, "fold-blocks"), stored)
     pairs = [(t, f) for t in range(len(trials)) for f in range(len(folds))]
     alone = n <= block_rows
     # the wave does not change a tree; a single tree at a time keeps the sums of a level small

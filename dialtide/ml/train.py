@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import random
+from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import partial
 
 from pyspark import SparkContext
 from pyspark.ml import Pipeline, PipelineModel
@@ -11,7 +13,7 @@ from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomF
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import materialize, side_by_side
 from .batch_trees import BLOCK_ROWS, KINDS, cross_validated_auc
 from .metrics import evaluate
 from .prep import feature_names, numeric_and_categorical, preparation_stages, with_class_weight
@@ -139,13 +141,18 @@ class Prepared:
     vectors: DataFrame
 
 
-def prepare(train: DataFrame) -> Prepared:
-    """Fit the preparation on ``train`` once and store its vectors, for any number of classifiers.
+def fit_preparation(train: DataFrame) -> tuple[Profile, PipelineModel]:
+    """The preparation fitted on ``train``, and what it had to know of the rows.
 
     ``train`` is scanned once per stage: pass a stored table, not a long plan.
     """
     known = profile(train)
-    fitted = Pipeline(stages=preparation_stages(known.numeric, known.categorical, known.rows)).fit(train)
+    return known, Pipeline(stages=preparation_stages(known.numeric, known.categorical, known.rows)).fit(train)
+
+
+def prepare(train: DataFrame) -> Prepared:
+    """Fit the preparation on ``train`` once and store its vectors, for any number of classifiers."""
+    known, fitted = fit_preparation(train)
     vectors = fitted.transform(train).select("churn", "features")
     return Prepared(known, fitted, materialize(vectors, "vectors"))
 
@@ -218,22 +225,25 @@ def cross_validate(train: DataFrame, trials: list[dict], folds: int = 5, seed: i
     whose held-out rows lack a class does not count.
     """
     split = materialize(stratified_folds(train, folds, seed=seed), "folds")
-    rows, weights = [], []
-    for f in range(folds):
-        known = prepare(split.filter(F.col("fold") != f).drop("fold"))
-        ready = known.preparation.transform(split).select("customer_id", "churn", (F.col("fold") == f).alias("held"), "features")
-        rows.append(materialize(ready, "fold-vectors"))
-        weights.append({kind: known.profile.weights(kind) for kind in KINDS})
-    found = cross_validated_auc(rows, weights, trials, "customer_id", seed, block_rows)
+
+    def prepared(f: int) -> tuple[DataFrame, dict[str, tuple[float, float]]]:
+        known, preparation = fit_preparation(split.filter(F.col("fold") != f).drop("fold"))
+        ready = preparation.transform(split).select("customer_id", "churn", (F.col("fold") == f).alias("held"), "features")
+        return materialize(ready, "fold-vectors"), {kind: known.weights(kind) for kind in KINDS}
+
+    rows, weights = zip(*side_by_side(train.sparkSession, prepared, range(folds)))
+    found = cross_validated_auc(list(rows), list(weights), trials, "customer_id", seed, block_rows)
     means = {r["trial"]: r["auc"] for r in found.groupBy("trial").agg(F.avg("roc_auc").alias("auc")).collect()}
     return [means.get(i) or 0.0 for i in range(len(trials))]
 
 
-def tune(train: DataFrame, trials: list[dict], folds: int = 5, seed: int = SEED) -> TrainedModel:
-    """Refit the trial with the best cross-validated ROC-AUC on all of ``train``."""
+def tune(
+    train: DataFrame, trials: list[dict], folds: int = 5, seed: int = SEED, prepared: Prepared | None = None
+) -> TrainedModel:
+    """Refit the trial with the best cross-validated ROC-AUC on all of ``train``, or on the rows ``prepared`` from it."""
     scores = cross_validate(train, trials, folds, seed)
     best = trials[max(range(len(trials)), key=lambda i: scores[i])]
-    return fit(train, best["kind"], seed, **{k: v for k, v in best.items() if k != "kind"})
+    return fit_prepared(prepared or prepare(train), best["kind"], seed, **{k: v for k, v in best.items() if k != "kind"})
 
 
 def model_candidates(models: list[TrainedModel], spark) -> DataFrame:
@@ -269,11 +279,16 @@ def train_candidates(
     train, valid = rest.filter("NOT is_test").drop("is_test"), rest.filter("is_test").drop("is_test")
 
     rows = prepare(train)
-    models = [fit_prepared(rows, kind, seed, **params) for kind, params in settings.items()]
+    fits = [partial(fit_prepared, rows, kind, seed, **params) for kind, params in settings.items()]
     if trials:
-        models.append(tune(train, trials, folds, seed))
-    for model in models:
+        fits.append(partial(tune, train, trials, folds, seed, rows))
+
+    def candidate(fitted: Callable[[], TrainedModel]) -> TrainedModel:
+        model = fitted()
         model.metrics = evaluate(score(valid, model.pipeline))
+        return model
+
+    models = side_by_side(training.sparkSession, candidate, fits)
     best = select_best(models)
     chosen = TrainedModel(best.kind, best.pipeline, best.numeric, best.categorical, best.params)
     chosen.metrics = evaluate(score(test, best.pipeline))

@@ -142,3 +142,42 @@ def test_a_fold_of_70000_rows_is_not_grown_level_by_level(spark, monkeypatch):
     monkeypatch.setattr(batch_trees, "_scores_by_levels", None)
     found = scores(cross_validated_auc([rows.withColumn("features", array_to_vector("x"))], WEIGHTS[:1], TRIALS[:2]))
     assert found[0, 0] > 0.98 and found[1, 0] > 0.9
+
+
+def test_nodes_without_spread_are_not_added_up(monkeypatch):
+    from dialtide.ml import batch_trees
+
+    rng = np.random.default_rng(5)
+    bins = rng.integers(0, 32, (400, 3)).astype(np.uint8)
+    sign = np.where(bins[:, 0] > 15, 1.0, -1.0)
+    held = np.arange(400) % 5 == 0
+    block = batch_trees.Block(np.arange(400), (sign + 1) / 2, held, bins, np.zeros((0, 400)))
+    calls, plain = [], batch_trees._boosted_sums
+    monkeypatch.setattr(batch_trees, "_boosted_sums", lambda *a: calls.append(1) or plain(*a))
+    trial = {"kind": "boosted", "trees": 8, "max_depth": 3, "min_gain": 0.3, "row_share": 1.0, "column_share": 1.0}
+    margin = batch_trees._grown_alone(Fit(0, trial, (1.0, 1.0), 3, 42), block)
+    # the first tree parts the classes; after it the target spreads less than a split has to gain
+    assert len(calls) == 1
+    plainly = sign.copy()
+    for _ in range(7):
+        plainly += 0.1 * (4 * sign / (1 + np.exp(2 * sign * plainly)))[~held].mean()
+    assert np.allclose(margin, plainly, rtol=1e-9)
+
+
+def test_no_spread_does_not_exceed_its_bound():
+    from dialtide.ml.batch_trees import _boosted_sums, _spread
+
+    rng = np.random.default_rng(6)
+    bins, y = rng.integers(0, 32, (3, 500)).astype(np.uint8), rng.integers(0, 2, 500)
+    fit = Fit(0, {"kind": "boosted", "trees": 1, "max_depth": 3, "column_share": 1.0}, (1.0, 3.0), 3, 42)
+    own = np.where(y > 0, 3.0, 1.0) * rng.normal(size=500)
+    place, node = rng.integers(0, 4, 500), np.arange(4)
+    mean, bound = _spread(fit, place, y, own, 4)
+    sums = _boosted_sums(fit, 2 * bins, fit.chosen(node * 0, node), place, y, own)
+    left, total = np.cumsum(sums, axis=3)[..., :-1], sums[:, :, 0].sum(axis=2)
+    right = total[:, :, None, None] - left
+    with np.errstate(divide="ignore", invalid="ignore"):
+        gain = left[2] ** 2 / left[1] + right[2] ** 2 / right[1] - (total[2] ** 2 / total[1])[:, None, None]
+    assert np.allclose(mean, total[2] / total[1])
+    gain = np.where((left[0] >= 1) & (right[0] >= 1), gain, 0.0)
+    assert (gain.max(axis=(1, 2)) / total[1] <= bound).all()

@@ -236,3 +236,19 @@ def test_train_and_store(spark, data, tmp_path):
     assert best.kind == "forest" and 0 <= best.metrics["f1"] <= 1
     assert read_importance(spark, f"{path}/feature_importance").count() == len(best.names)
     assert models.read_metrics_history(spark, str(tmp_path)).first()["f1"] == pytest.approx(best.metrics["f1"])
+
+
+def test_folds_store_no_vectors_that_nobody_reads(data, monkeypatch):
+    names, plain = [], train.materialize
+    monkeypatch.setattr(train, "materialize", lambda df, name: names.append(name) or plain(df, name))
+    train.cross_validate(data, [{"kind": "forest", "trees": 1, "max_depth": 2}], folds=2)
+    assert sorted(names) == ["fold-vectors", "fold-vectors", "folds"]
+
+
+def test_side_by_side_keeps_the_order_and_tells_of_failures(spark):
+    from dialtide.session import side_by_side
+
+    assert side_by_side(spark, lambda n: spark.range(n).count(), [30, 1, 7]) == [30, 1, 7]
+    assert side_by_side(spark, lambda n: n, []) == []
+    with pytest.raises(ZeroDivisionError):
+        side_by_side(spark, lambda n: 1 // n, [1, 0])
