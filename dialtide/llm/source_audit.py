@@ -1,10 +1,11 @@
 """How the sources of a language differ in their words: chunk factorization.
 
-Documents are cut at white space into chunks, and chunks are counted as they
-are: once a document for the number of documents, and each time for the number
-of occurrences. Only the globally distinct chunks are tokenized, each once; their
-terms are joined back to the counts. So the work on terms follows the vocabulary
-and not the corpus. A chunk that is one term as it stands needs neither step.
+Documents are dealt out by language and source and cut at white space into
+chunks, and chunks are counted as they are: once a document for the number of
+documents, and each time for the number of occurrences. Only the globally
+distinct chunks are tokenized, each once; their terms are joined back to the
+counts. So the work on terms follows the vocabulary and not the corpus. A chunk
+that is one term as it stands needs neither step.
 
 How many documents hold a term cannot be added up from its chunks, as one
 document may hold several of them. But only a few documents are asked for. The
@@ -21,6 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -46,33 +48,43 @@ _COUNTS = "lang string, source string, chunk string, n long, documents long, low
 def _chunk_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The chunks of a batch of documents by language and source, with the first and the last row that hold them."""
     for batch in batches:
-        found: dict[tuple[str, str], dict[bytes, list[int]]] = {}
-        columns = [batch.column(c).to_pylist() for c in ("lang", "source", "row", "text")]
-        for lang, source, row, text in zip(*columns):
-            own = found.setdefault((lang, source), {})
-            for chunk in text.encode().split():  # at white space of ASCII alone
-                seen = own.get(chunk)
-                if seen is None:
-                    own[chunk] = [1, 1, row, row]
-                else:
-                    seen[0] += 1
-                    if seen[3] != row:
-                        seen[1] += 1
-                        seen[3] = row
-        for (lang, source), own in found.items():
-            if not own:
-                continue
-            names = [pa.array([x], pa.string()).take(pa.array(np.zeros(len(own), np.int8))) for x in (lang, source)]
-            numbers = np.array(list(own.values()), np.int64)
-            columns = [*names, pa.array(list(own), pa.binary()).cast(pa.string()), *[pa.array(numbers[:, i]) for i in range(4)]]
-            yield pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in _COUNTS.split(", ")])
+        split = pc.ascii_split_whitespace(batch.column("text"))  # empty chunks at the ends are left out below
+        chunks = split.flatten().dictionary_encode()
+        names = [batch.column(c).dictionary_encode() for c in _GROUP]
+        lang, source = [x.indices.to_numpy().astype(np.int64) for x in names]
+        groups, group = np.unique(lang * len(names[1].dictionary) + source, return_inverse=True)
+        rows, at = np.unique(batch.column("row").to_numpy(), return_inverse=True)
+        # one whole number for each (language, source, chunk, document), sorted
+        codes = chunks.indices.to_numpy().astype(np.int64)
+        base = group * len(chunks.dictionary) * len(rows) + at
+        keys = np.repeat(base, pc.list_value_length(split).to_numpy()) + codes * len(rows)
+        keys = np.sort(keys[codes != chunks.dictionary.index("").as_py()])
+        if not len(keys):
+            continue
+        first = np.flatnonzero(np.diff(keys, prepend=-1))  # of each chunk in each document
+        cell, row = np.divmod(keys[first], len(rows))
+        start = np.flatnonzero(np.diff(cell, prepend=-1))  # of each chunk in each group
+        end = np.append(start[1:], len(cell))
+        group, chunk = np.divmod(cell[start], len(chunks.dictionary))
+        texts = [x.dictionary.take(pa.array(i)) for x, i in zip([*names, chunks], [*np.divmod(groups[group], len(names[1].dictionary)), chunk])]
+        figures = [np.diff(first[start], append=len(keys)), end - start, rows[row[start]], rows[row[end - 1]]]
+        columns = [*texts, *map(pa.array, figures)]
+        yield pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in _COUNTS.split(", ")])
+
+
+def by_group(docs: DataFrame) -> DataFrame:
+    """``docs`` with the documents of a language and source together, by ranges of the row, so that a large group fills several tasks.
+
+    A task then counts the chunks of few groups, and shuffles each of them about once.
+    """
+    return docs.repartitionByRange(*_GROUP, "row")
 
 
 def chunk_counts(docs: DataFrame) -> DataFrame:
-    """lang, source, chunk, its occurrences n, its documents, and the first and last row that hold it."""
-    counts = small_batches(docs).mapInArrow(_chunk_counts, _COUNTS).groupBy(*_GROUP, "chunk")
+    """lang, source, chunk, its occurrences n, its documents, the first and last row that hold it, and whether it is a term as it stands."""
+    counts = small_batches(by_group(docs)).mapInArrow(_chunk_counts, _COUNTS).groupBy(*_GROUP, "chunk")
     counts = counts.agg(F.sum("n").alias("n"), F.sum("documents").alias("documents"), F.min("low").alias("low"), F.max("high").alias("high"))
-    return materialize(counts, "chunk-counts")
+    return materialize(counts.withColumn("plain", F.col("chunk").rlike(PLAIN)), "chunk-counts")
 
 
 def chunk_terms(counts: DataFrame) -> DataFrame:
@@ -97,7 +109,7 @@ def _open_documents(docs: DataFrame, counts: DataFrame, terms: DataFrame, unsett
 def term_cells(docs: DataFrame, min_documents: int = MIN_DOCUMENTS) -> tuple[DataFrame, DataFrame]:
     """Of (row, lang, source, text): the kept terms of each language, and their counts by (lang, source, term), also over all sources."""
     counts = chunk_counts(docs)
-    as_it_is = F.col("chunk").rlike(PLAIN)
+    as_it_is = F.col("plain")
     figures = ["n", "documents", "low", "high"]
     terms = chunk_terms(counts.filter(~as_it_is))
     plain = counts.filter(as_it_is).select(*_GROUP, F.col("chunk").alias("term"), *figures)

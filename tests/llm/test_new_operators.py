@@ -80,6 +80,31 @@ def test_source_audit_with_many_sources(spark, monkeypatch):
     assert sorted(map(tuple, found)) == plain_audit(given, 3, 200)
 
 
+def test_source_audit_counts_chunks_of_few_groups_in_a_task(spark):
+    from pyspark.sql import functions as F
+
+    given = [(i, f"a b{i % 5}", ("de", "en")[i % 2], f"s{i % 8}") for i in range(800)] + [(800 + i, "x", "en", "large") for i in range(800)]
+    docs = as_docs(spark, given).withColumn("row", F.monotonically_increasing_id())
+    found = source_audit.by_group(docs.repartition(8, "row")).groupBy(F.spark_partition_id().alias("task"))
+    tasks = found.agg(F.count_distinct("lang", "source").alias("groups"), F.count_if(F.col("source") == "large").alias("large")).collect()
+    assert sum(t["groups"] for t in tasks) < 9 + len(tasks)  # 9 each where they lie
+    assert len(tasks) == 1 or max(t["large"] for t in tasks) < 800
+
+
+def test_source_audit_cuts_chunks_at_white_space_of_ascii(spark):
+    import pyarrow as pa
+
+    texts = ["", " \t", "a\x0bb\x0cc\rd\ne f", "a\x1cb\x1fc d\x85e f\u00a0g\u2003h \x00 \x00", " a a  ünï ", "a", "ünï a"]
+    langs, sources, ids = ["l", "l", "m", "l", "l", "m", "l"], ["s", "t", "s", "t", "s", "s", "s"], [9, 8, 3, 7, 6, 1, 2]
+    batch = pa.RecordBatch.from_pydict({"text": texts, "lang": langs, "source": sources, "row": ids})
+    found = [tuple(r.values()) for b in source_audit._chunk_counts(iter([batch])) for r in b.to_pylist()]
+    wanted = defaultdict(list)
+    for text, lang, source, row in zip(texts, langs, sources, ids):
+        for chunk in text.encode().split():
+            wanted[lang, source, chunk.decode()].append(row)
+    assert sorted(found) == sorted((*k, len(v), len(set(v)), min(v), max(v)) for k, v in wanted.items())
+
+
 def test_share_is_exact_beyond_64_bits(spark):
     from pyspark.sql import functions as F
 
