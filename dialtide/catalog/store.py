@@ -11,7 +11,7 @@ from .. import fixtures as fx
 from ..operators import daily as ops
 from ..operators import snapshot
 from ..operators.asof import AsOfSource, feature_service_join, pit_join, select_features
-from ..plans.features import daily_columns, store_snapshots, stored_snapshots, training_frame, view_tables
+from ..plans.features import daily_columns, payments_from, store_snapshots, stored_snapshots, training_frame, view_tables
 from ..schemas import CHURN_SERVICE, MODEL_FEATURES, VIEWS, parse_refs
 from ..session import materialize, scratch_dir
 from .base import query
@@ -64,7 +64,7 @@ def tables(spark, sf_dir, refs=None, as_of=None):
     return view_tables(
         stored,
         fx.charges(spark, sf_dir),
-        fx.payments(spark, sf_dir),
+        fx.payments(spark, sf_dir, None if refs is None or as_of is None else payments_from(refs, as_of)),
         fx.discounts(spark, sf_dir),
         fx.customer_profile(spark, sf_dir),
         refs,

@@ -7,6 +7,8 @@ matter in joins across them.
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -143,12 +145,19 @@ def charges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history(spark, sf_dir).select("customer_id", F.col("order_time").alias("charge_time"), "amount")
 
 
-def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One payment per order: due 60 days after it, paid on its last ship date."""
+def payments(spark: SparkSession, sf_dir: str, paid_from: date | None = None) -> DataFrame:
+    """One payment per order: due 60 days after it, paid on its last ship date.
+
+    With ``paid_from`` only those paid since. An order has a line shipped since
+    just when its last one was: older lines are dropped before lines are counted together.
+    """
     orders = history(spark, sf_dir)
     raw = table(spark, sf_dir, "orders").agg(F.max("o_orderdate").alias("last")).scalar()
     shift = F.datediff(F.lit(AXIS_END).cast("date"), raw)
-    shipped = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.max("l_shipdate").alias("ship"))
+    lines = table(spark, sf_dir, "lineitem")
+    if paid_from is not None:
+        lines = lines.filter(F.date_add(F.col("l_shipdate").cast("date"), shift) >= F.lit(paid_from))
+    shipped = lines.groupBy("l_orderkey").agg(F.max("l_shipdate").alias("ship"))
     return orders.join(shipped, orders.o_orderkey == shipped.l_orderkey).select(
         "customer_id",
         F.col("o_orderkey").alias("order_id"),

@@ -7,7 +7,7 @@ many records they came from.
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -71,6 +71,14 @@ def overdue_payments_3m(delays: DataFrame) -> DataFrame:
     return delays.withColumn("overdue_payments_3m", F.when(F.col("overdue_payments").isNotNull(), total))
 
 
+def billing_reads_from(columns: list[str], seen_from: datetime) -> date | None:
+    """The first day whose charges and payments :func:`billing_features` counts for these columns; None if all are."""
+    if "bill_fluctuation" in columns:  # it looks back to the last bill, however old; nothing else further than two months
+        return None
+    month = seen_from.year * 12 + seen_from.month - 1 - 3
+    return date(month // 12, month % 12 + 1, 1)
+
+
 def billing_features(charges: DataFrame, payments: DataFrame, columns: list[str] | None = None, seen_from: datetime | None = None) -> DataFrame:
     """The monthly billing view, dated when the month closes.
 
@@ -84,10 +92,9 @@ def billing_features(charges: DataFrame, payments: DataFrame, columns: list[str]
     never sees a charge or payment that had not happened yet.
     """
     wanted = BILLING_COLUMNS if columns is None else [c for c in BILLING_COLUMNS if c in columns]
-    # the change of a bill looks back to the last bill, however old; nothing else further than two months
-    if seen_from is not None and "bill_fluctuation" not in wanted:
-        oldest = F.add_months(F.lit(seen_from.date().replace(day=1)), -3)
-        charges, payments = charges.filter(F.col("charge_time") >= oldest), payments.filter(F.col("paid_date") >= oldest)
+    oldest = None if seen_from is None else billing_reads_from(wanted, seen_from)
+    if oldest is not None:
+        charges, payments = charges.filter(F.col("charge_time") >= F.lit(oldest)), payments.filter(F.col("paid_date") >= F.lit(oldest))
     billed = charges.select("customer_id", month_index(F.col("charge_time")).alias("month_index"), "amount")
     paid = payments.select(
         "customer_id", month_index(F.col("paid_date")).alias("month_index"), _delay().alias("delay")

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.asof import features_at
 from ..operators.daily import billing_daily, cdr_statistics, daily_features, promotion_daily
-from ..operators.rolling import billing_features, promotion_features
+from ..operators.rolling import billing_features, billing_reads_from, promotion_features
 from ..operators.snapshot import latest_snapshot
 from ..schemas import MODEL_FEATURES, VIEWS, parse_refs
 from ..session import materialize
@@ -45,7 +45,7 @@ def view_tables(
     """
     wanted = None if refs is None else parse_refs(refs)
     of = lambda view: None if wanted is None else wanted.get(view, [])
-    seen_from = None if as_of is None else as_of - timedelta(days=VIEWS["billing_features"].ttl_days)
+    seen_from = None if as_of is None else billing_seen_from(as_of)
     return {
         "cdr_statistics": daily,
         "billing_features": billing_features(charges, payments, of("billing_features"), seen_from),
@@ -54,6 +54,16 @@ def view_tables(
     }
 
 
+def billing_seen_from(as_of: datetime) -> datetime:
+    """The close of the oldest month of the billing view that is alive at ``as_of``."""
+    return as_of - timedelta(days=VIEWS["billing_features"].ttl_days)
+
+
+def payments_from(refs: list[str], as_of: datetime) -> date | None:
+    """The first day whose payments :func:`view_tables` needs for these features; None if it needs all."""
+    return billing_reads_from(parse_refs(refs).get("billing_features", []), billing_seen_from(as_of))
+
+
 def daily_columns(refs: list[str]) -> list[str]:
     """What :func:`view_tables` needs of the daily table for these features."""
     wanted = parse_refs(refs)

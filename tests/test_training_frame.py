@@ -8,8 +8,8 @@ from dialtide import fixtures as fx
 from dialtide.catalog.store import tables
 from dialtide.ml.score import FixedLogistic, batch_score
 from dialtide.operators.asof import feature_service_join, features_at
-from dialtide.operators.rolling import billing_features, promotion_features
-from dialtide.plans.features import daily_columns, training_frame
+from dialtide.operators.rolling import billing_features, billing_reads_from, promotion_features
+from dialtide.plans.features import daily_columns, payments_from, training_frame
 from dialtide.schemas import CHURN_SERVICE, MODEL_FEATURES
 from pyspark.sql import functions as F
 
@@ -49,6 +49,24 @@ def test_left_out_columns_change_no_others(spark, sf_dir):
     assert part.exceptAll(whole).isEmpty() and whole.exceptAll(part).isEmpty()
 
 
+def test_lines_shipped_too_early_are_dropped_before_they_are_counted_together(spark, sf_dir):
+    frame = training_frame(fx.churn_labels(spark, sf_dir), tables(spark, sf_dir, MODEL_FEATURES, AS_OF), AS_OF)
+    optimized = frame._jdf.queryExecution().optimizedPlan().toString()
+    below = optimized[optimized.index("Aggregate [l_orderkey") :].splitlines()[1:4]
+    assert any("Filter" in line and "date_add" in line and "l_shipdate" in line for line in below)
+    for since in (AS_OF.date(), datetime(2023, 8, 1).date(), datetime(1990, 1, 1).date(), datetime(2030, 1, 1).date()):
+        part, whole = fx.payments(spark, sf_dir, since), fx.payments(spark, sf_dir).filter(F.col("paid_date") >= F.lit(since))
+        assert part.exceptAll(whole).isEmpty() and whole.exceptAll(part).isEmpty()
+
+
+def test_the_first_day_that_counts_is_two_months_before_the_oldest_month(spark):
+    assert billing_reads_from(["total_charges_3m"], datetime(2023, 11, 2)) == datetime(2023, 8, 1).date()
+    assert billing_reads_from(["total_charges_3m"], datetime(2024, 3, 31, 5)) == datetime(2023, 12, 1).date()
+    assert billing_reads_from(["total_charges_3m"], datetime(2024, 4, 1)) == datetime(2024, 1, 1).date()
+    assert billing_reads_from(["monthly_bill_amount", "bill_fluctuation"], datetime(2024, 4, 1)) is None
+    assert payments_from(MODEL_FEATURES, AS_OF) is not None and payments_from(CHURN_SERVICE, AS_OF) is None
+
+
 def test_one_row_per_label(spark, sf_dir):
     labels = spark.createDataFrame([("a", 1), ("a", 1), (None, 0), ("b", 0)], "customer_id string, churn int")
     stats = spark.createDataFrame(
