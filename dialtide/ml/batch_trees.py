@@ -8,9 +8,10 @@ and a level of all trees of all fits is one aggregate: a block adds up weight,
 target and rows by (fit, node, feature, bin), the sums of all blocks give each
 node its best split, and only the splits go back to the driver.
 
-Where the rows of a fold fit into one block there is nothing to add up across
-blocks. Then a task takes one (trial, fold) and goes through the same steps on
-its block, so that fits and not levels are dealt out.
+Where a task can hold the rows of a fold there is nothing to add up across
+tasks. Then a task takes one (trial, fold), reads the blocks of the fold and goes
+through the same steps, so that fits and not levels are dealt out. It holds some
+65 bytes a row at 25 features and makes everything else slice by slice.
 
 Random draws are hashes of row, trial and tree, the same on both ways.
 """
@@ -31,8 +32,10 @@ from ..operators.ordered import running_sums, value_buckets
 from ..session import materialize, side_by_side
 
 BINS = 32
-#: Rows that a block holds, a byte a feature and some 50 beside; a fold with more is grown by aggregates over its blocks.
-BLOCK_ROWS = 1 << 20
+#: Rows of a fold that a task holds, a byte a feature and some 40 beside; a fold with more is grown by aggregates over its blocks.
+BLOCK_ROWS = 1 << 23
+#: Rows that are stored as one block, at most.
+PIECE_ROWS = 1 << 16
 #: Cells of a histogram that a task of its own fit keeps at a time.
 NODE_CELLS = 1 << 18
 #: Rows that it goes through at a time.
@@ -46,9 +49,12 @@ _BLOCK = "fold int, uid binary, y binary, held binary, bins binary, margin binar
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> _U(27))) * _U(0x94D049BB133111EB)
-    return x ^ (x >> _U(31))
+    """Mixes the bits of ``x``, which it overwrites."""
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x ^= x >> _U(shift)
+        x *= _U(factor)
+    x ^= x >> _U(31)
+    return x
 
 
 def _uniform(seed: int, *parts: np.ndarray) -> np.ndarray:
@@ -104,7 +110,10 @@ class Fit:
         if self.boosted:
             share = self.trial.get("row_share", 0.8)
             return (u < share).astype(float) if share < 1 else np.ones(len(uid))
-        return reduce(np.add, [(u >= p).view(np.uint8) for p in _POISSON]).astype(float)
+        count = reduce(np.add, [(u >= p).view(np.uint8) for p in _POISSON[:3]])
+        many = np.flatnonzero(count == 3)
+        count[many] = np.searchsorted(_POISSON, u[many], "right")
+        return count.astype(float)
 
     def target(self, y: np.ndarray, margin: np.ndarray, step: int) -> np.ndarray:
         """What the trees of a step learn: the class, or what the margin so far leaves of it (logistic loss)."""
@@ -135,6 +144,12 @@ class Trees:
         self.feature, self.cut, self.left = np.full(n, -1), np.zeros(n, int), np.zeros(n, int)
         self.value, self.open = np.zeros(n), np.arange(n)
 
+    def index(self) -> np.ndarray:
+        """For each node its place among the open ones; -1: none."""
+        index = np.full(len(self.feature), -1)
+        index[self.open] = np.arange(len(self.open))
+        return index
+
     def places(self, bins: np.ndarray, roots: int) -> np.ndarray:
         """[tree, row]: the node in which a row is."""
         at = np.tile(np.arange(roots)[:, None], (1, len(bins)))
@@ -148,9 +163,7 @@ class Trees:
 
     def histogram(self, fit: Fit, at: np.ndarray, bins: np.ndarray, count: np.ndarray, weight: np.ndarray, target: np.ndarray) -> np.ndarray:
         """[sum, open node, feature, bin]: rows, weight and weighted target."""
-        index = np.full(len(self.feature), -1)
-        index[self.open] = np.arange(len(self.open))
-        place = np.where(count > 0, index[at], -1)
+        place = np.where(count > 0, self.index()[at], -1)
         tree, row = np.nonzero(place >= 0)
         place, count = place[tree, row], count[tree, row]
         features = fit.chosen(self.tree[self.open], self.path[self.open])
@@ -226,25 +239,28 @@ def _class_sums(cell: np.ndarray, size: int, times: np.ndarray | None) -> np.nda
     return np.bincount(cell, times, 2 * size).reshape(size, 2)
 
 
-def _forest_sums(fit: Fit, columns: np.ndarray, features: np.ndarray, place: np.ndarray, row: np.ndarray, y: np.ndarray, times: np.ndarray) -> np.ndarray:
-    """:meth:`Trees.histogram` of some nodes of one tree: weight and target are those of the class, so counts by class do."""
+def _forest_sums(fit: Fit, doubled: np.ndarray, features: np.ndarray, place: np.ndarray, row: np.ndarray, y: np.ndarray, times: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """:meth:`Trees.histogram` of some nodes of one tree: weight and target are those of the class, so counts by class do.
+
+    ``counts`` ([feature, node, bin, class]) holds those of earlier slices of the rows, and takes up those of these.
+    """
     nodes, chosen = features.shape
-    sums = np.empty((3, nodes, chosen, BINS))
-    flat, first, base = columns.reshape(-1), features * columns.shape[1], place * (2 * BINS) + y
+    flat, first, base = doubled.reshape(-1), features * doubled.shape[1], place * (2 * BINS) + y
     for k in range(chosen):
         cell = row + (first[0, k] if nodes == 1 else np.take(first[:, k], place, mode="clip"))
-        cell = np.add(base, np.take(flat, cell, mode="clip") << 1, out=cell)
-        counts = _class_sums(cell, nodes * BINS, times).reshape(nodes, BINS, 2)
-        sums[0, :, k] = counts.sum(axis=2)
-        sums[2, :, k] = fit.weights[1] * counts[:, :, 1]
-        sums[1, :, k] = fit.weights[0] * counts[:, :, 0] + sums[2, :, k]
-    return sums
+        cell = np.add(base, np.take(flat, cell, mode="clip"), out=cell)
+        counts[k] += _class_sums(cell, nodes * BINS, times).reshape(nodes, BINS, 2)
+    target = fit.weights[1] * counts[..., 1]
+    return np.stack([counts.sum(axis=3), fit.weights[0] * counts[..., 0] + target, target]).transpose(0, 2, 1, 3)
 
 
-def _boosted_sums(fit: Fit, doubled: np.ndarray, features: np.ndarray, place: np.ndarray, y: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    """:meth:`Trees.histogram` of the nodes of one tree, from twice the bins by feature; most features are chosen, so all are added up."""
+def _boosted_sums(fit: Fit, doubled: np.ndarray, features: np.ndarray, place: np.ndarray, y: np.ndarray, wanted: np.ndarray, sums: np.ndarray | None = None) -> np.ndarray:
+    """:meth:`Trees.histogram` of the nodes of one tree, from twice the bins by feature; most features are chosen, so all are added up.
+
+    ``sums`` ([count or target, feature, cell, class]) holds those of earlier slices of the rows, and takes up those of these.
+    """
     nodes, size = len(features), len(features) * BINS
-    count, target = np.zeros((fit.features, size, 2)), np.zeros((fit.features, size, 2))
+    count, target = np.zeros((2, fit.features, size, 2)) if sums is None else sums
     width = max(SLICE_ROWS, 2 * size)
     cell = np.empty(min(width, len(place)), np.int64)
     for first in range(0, len(place), width):  # slices stay in the cache while the features go by
@@ -255,137 +271,208 @@ def _boosted_sums(fit: Fit, doubled: np.ndarray, features: np.ndarray, place: np
             count[j] += _class_sums(at, size, None)
             target[j] += np.bincount(at, own, 2 * size).reshape(size, 2)
     weight = count @ np.array(fit.weights)
-    sums = np.stack([count.sum(axis=2), weight, target.sum(axis=2)]).reshape(3, fit.features, nodes, BINS)
-    return sums[:, features, np.arange(nodes)[:, None]]
+    found = np.stack([count.sum(axis=2), weight, target.sum(axis=2)]).reshape(3, fit.features, nodes, BINS)
+    return found[:, features, np.arange(nodes)[:, None]]
 
 
-def _below(trees: Trees, columns: np.ndarray, row: np.ndarray, at: np.ndarray) -> np.ndarray:
+def _ways(trees: Trees, doubled: np.ndarray) -> tuple[np.ndarray, ...]:
+    """What :func:`_below` reads: all bins, and of each node where those of its feature begin, its cut and its left child."""
+    return doubled.reshape(-1), trees.feature * doubled.shape[1], 2 * trees.cut, trees.left
+
+
+def _below(ways: tuple[np.ndarray, ...], row: np.ndarray, at: np.ndarray) -> np.ndarray:
     """The children to which rows go on from nodes that are split."""
     take = lambda a, i: np.take(a, i, mode="clip")
-    bins = take(columns.reshape(-1), row + take(trees.feature * columns.shape[1], at))
-    return take(trees.left, at) + (bins > take(trees.cut, at))
+    flat, first, cut, left = ways
+    return take(left, at) + (take(flat, row + take(first, at)) > take(cut, at))
+
 
+def _spread(fit: Fit, place: np.ndarray, y: np.ndarray, own: np.ndarray, nodes: int, sums: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The mean target of nodes, and an upper bound of the gain of their splits: the variance of the target, which no split exceeds.
 
-def _spread(fit: Fit, place: np.ndarray, y: np.ndarray, own: np.ndarray, nodes: int) -> tuple[np.ndarray, np.ndarray]:
-    """The mean target of nodes, and an upper bound of the gain of their splits: the variance of the target, which no split exceeds."""
-    weight = np.array(fit.weights)
-    rows = np.bincount(2 * place + y, minlength=2 * nodes).reshape(nodes, 2) @ weight
+    ``sums`` holds what earlier slices of the rows add, and takes up what these do.
+    """
+    weight, sums = np.array(fit.weights), np.zeros((4, nodes)) if sums is None else sums
+    sums[:2] += np.bincount(2 * place + y, minlength=2 * nodes).reshape(nodes, 2).T
+    sums[2] += np.bincount(place, own, nodes)
+    sums[3] += np.bincount(place, own * own * np.take(1 / weight, y), nodes)
+    rows = sums[:2].T @ weight
     with np.errstate(divide="ignore", invalid="ignore"):
-        mean = np.bincount(place, own, nodes) / rows
-        square = np.bincount(place, own * own / weight[y], nodes) / rows
+        mean, square = sums[2] / rows, sums[3] / rows
     # the difference loses digits: what is lost is given back
     return mean, square - mean**2 + 1e-9 * square
 
 
-def _tree_alone(fit: Fit, number: int, known: Known, wanted: np.ndarray | None, asked: np.ndarray) -> np.ndarray:
-    """The values that a tree grown on the only block gives to the ``asked`` rows.
+def _slices(n: int, cells: int = 0, times: int = 1) -> Iterator[slice]:
+    """Slices of ``n`` rows, wide enough to be worth sums of that many cells, or some times as wide."""
+    width = times * max(SLICE_ROWS, cells)
+    return (slice(first, min(first + width, n)) for first in range(0, n, width))
+
+
+@dataclass
+class Sample:
+    """The rows drawn for a tree that still go down in it."""
+
+    row: np.ndarray
+    at: np.ndarray  #: the node in which they are
+    times: np.ndarray  #: how often they were drawn
+
+    @classmethod
+    def drawn(cls, fit: Fit, number: int, known: Known) -> Sample:
+        rows, times = [known.row[:0]], [np.empty(0, np.uint8)]
+        for some in _slices(len(known.row)):
+            count = fit.drawn(known.uid[some], number).astype(np.uint8)
+            in_sample = np.flatnonzero(count)
+            rows.append(known.row[some][in_sample])
+            times.append(count[in_sample])
+        row = np.concatenate(rows)
+        return cls(row, np.zeros(len(row), np.int32), np.concatenate(times))
+
+    def keep(self, which: np.ndarray) -> None:
+        """Drops rows, or brings them into another order."""
+        self.row, self.at, self.times = self.row[which], self.at[which], self.times[which]
+
+
+def _able(fit: Fit, trees: Trees, known: Known, sample: Sample, wanted: np.ndarray | None) -> np.ndarray:
+    """Which open nodes may split: by their rows, for being of two classes or, in boosting, by the spread of their target."""
+    nodes, root, index = len(trees.open), trees.path[trees.open[0]] == 1, trees.index()
+    if root and not fit.boosted:
+        return np.array([len(sample.row) > 0])
+    count, sums, spread = np.zeros((nodes, 2)), np.zeros((4, nodes)), np.zeros(nodes)
+    for some in _slices(len(sample.row), 2 * nodes):
+        place, y = np.take(index, sample.at[some]), np.take(known.y, sample.row[some])
+        if fit.boosted:
+            mean, spread = _spread(fit, place, y, np.take(wanted, sample.row[some]), nodes, sums)
+            if root:
+                trees.value[0] = mean[0]
+        else:
+            count += _class_sums(2 * place + y, nodes, sample.times[some])
+    if fit.boosted:
+        return (sums[:2].sum(axis=0) >= (1 if root else 2 * fit.least_rows)) & ~(spread < fit.trial.get("min_gain", 0.0))
+    return (count.sum(axis=1) >= 2 * fit.least_rows) & (count > 0).all(axis=1)
+
+
+def _level_sums(fit: Fit, trees: Trees, node: np.ndarray, index: np.ndarray, known: Known, sample: Sample, rows: slice, wanted: np.ndarray | None) -> np.ndarray:
+    """:meth:`Trees.histogram` of some open nodes, whose rows are the given ones of the sample; ``index`` is that of the trees."""
+    features, size = fit.chosen(trees.tree[node], trees.path[node]), len(node) * BINS
+    sums = np.zeros((2, fit.features, size, 2) if fit.boosted else (fit.columns, len(node), BINS, 2))
+    for some in _slices(rows.stop - rows.start, 2 * size, 4):
+        some = slice(rows.start + some.start, rows.start + some.stop)
+        row = sample.row[some].astype(np.int64)
+        place, y = np.take(index, sample.at[some]) - index[node[0]], np.take(known.y, row)
+        if fit.boosted:
+            found = _boosted_sums(fit, np.take(known.doubled, row, axis=1), features, place, y, np.take(wanted, row), sums)
+        else:
+            found = _forest_sums(fit, known.doubled, features, place, row, y, sample.times[some].astype(float), sums)
+    return found
+
+
+def _tree_alone(fit: Fit, number: int, known: Known, wanted: np.ndarray | None, asked: np.ndarray, factor: float, out: np.ndarray) -> None:
+    """Adds to ``out`` the values, times a factor, that a tree grown on all blocks of a fold gives to the ``asked`` rows.
 
     Rows go down level by level and leave the work in a leaf. Nodes that cannot
-    split are not looked at: by their rows, for being of one class or, in
-    boosting, by the spread of their target. ``wanted`` is the weighted target of boosting.
+    split are not looked at. ``wanted`` is the weighted target of boosting.
     """
-    trees = Trees(range(number, number + 1))
-    times = fit.drawn(known.uid, number)
-    drawn = np.flatnonzero(times)
-    row, at, times, y = known.row[drawn], np.zeros(len(drawn), np.int64), times[drawn], known.y[drawn]
-    doubled, own = None, wanted[row] if fit.boosted else None
+    trees, sample = Trees(range(number, number + 1)), Sample.drawn(fit, number, known)
     trees.value[0] = np.nan
     for _ in range(fit.trial["max_depth"]):
-        index = np.full(len(trees.feature), -1)
-        index[trees.open] = np.arange(len(trees.open))
-        place = index[at]
-        count = np.bincount(place, times, len(trees.open))
-        able = count >= (2 * fit.least_rows if trees.path[trees.open[0]] > 1 else 1)
-        if not fit.boosted:
-            ones = np.bincount(place, times * y, len(trees.open))
-            able &= ((ones > 0) & (ones < count)) | (trees.path[trees.open] == 1)
-        else:
-            mean, spread = _spread(fit, place, y, own, len(trees.open))
-            able &= ~(spread < fit.trial.get("min_gain", 0.0))
-            if trees.path[trees.open[0]] == 1:
-                trees.value[0] = mean[0]
+        able = _able(fit, trees, known, sample, wanted)
         if not able.all():
-            trees.open, stays = trees.open[able], able[place]
-            place = (np.cumsum(able) - 1)[place[stays]]
-            row, at, times, y = row[stays], at[stays], times[stays], y[stays]
-            if fit.boosted:
-                doubled, own = doubled if doubled is None else doubled[:, stays], own[stays]
+            trees.open = trees.open[able]
+            stays = np.zeros(len(trees.feature), bool)
+            stays[trees.open] = True
+            sample.keep(stays[sample.at])
         if not len(trees.open):
             break
-        if fit.boosted and doubled is None:  # the root splits
-            doubled = known.doubled[:, drawn]
+        step = max(1, NODE_CELLS // (fit.columns * BINS))  # bounds the memory of deep levels
+        index, ends = trees.index(), np.array([0, len(sample.row)])
+        if len(trees.open) > step:  # the rows of such nodes come together, in the order they have
+            part = index[sample.at] // step
+            ends = np.append(0, np.cumsum(np.bincount(part, minlength=-(-len(trees.open) // step))))
+            sample.keep(np.argsort(part.astype(np.uint16) if len(ends) < 1 << 16 else part, kind="stable"))
         found = []
-        step = max(1, NODE_CELLS // (fit.columns * BINS))
-        for first in range(0, len(trees.open), step):  # bounds the memory of deep levels
+        for k, first in enumerate(range(0, len(trees.open), step)):
             node = trees.open[first : first + step]
-            features = fit.chosen(trees.tree[node], trees.path[node])
-            some = slice(None) if len(trees.open) <= step else np.flatnonzero((place >= first) & (place < first + step))
-            if fit.boosted:
-                sums = _boosted_sums(fit, doubled[:, some], features, place[some] - first, y[some], own[some])
-            else:
-                sums = _forest_sums(fit, known.columns, features, place[some] - first, row[some], y[some], times[some])
+            sums = _level_sums(fit, trees, node, index, known, sample, slice(ends[k], ends[k + 1]), wanted)
             found.append(best_splits(fit, trees.tree[node], trees.path[node], sums))
         trees.grow(np.concatenate(found, axis=1))
         if not len(trees.open):
             break
-        goes = trees.feature[at] >= 0
-        if not goes.all():
-            row, at, times, y = row[goes], at[goes], times[goes], y[goes]
-            if fit.boosted:
-                doubled, own = doubled[:, goes], own[goes]
-        at = _below(trees, known.columns, row, at)
+        goes = trees.feature >= 0
+        if not goes[sample.at].all():
+            sample.keep(goes[sample.at])
+        ways = _ways(trees, known.doubled)
+        for some in _slices(len(sample.row)):
+            sample.at[some] = _below(ways, sample.row[some].astype(np.int64), sample.at[some])
     # a leaf leads back to itself
     leaf = np.flatnonzero(trees.feature < 0)
     trees.feature[leaf], trees.cut[leaf], trees.left[leaf] = 0, BINS, leaf
-    value, levels = np.nan_to_num(trees.value), int(np.log2(trees.path.max()))
-    out = np.empty(len(asked))
-    for first in range(0, len(asked), SLICE_ROWS):
-        some = asked[first : first + SLICE_ROWS]
-        at = np.zeros(len(some), np.int64)
+    value, levels, ways = factor * np.nan_to_num(trees.value), int(np.log2(trees.path.max())), _ways(trees, known.doubled)
+    for some in _slices(len(asked)):
+        row, at = asked[some].astype(np.int64), np.zeros(some.stop - some.start, np.int64)
         for _ in range(levels):
-            at = _below(trees, known.columns, some, at)
-        out[first : first + SLICE_ROWS] = value[at]
-    return out
+            at = _below(ways, row, at)
+        out[some] += value[at]
 
 
 @dataclass
 class Known:
-    """The block as all trees of a fit use it: the bins of all rows, and the rows that are not held."""
+    """A fold as all trees of a fit use it."""
 
-    columns: np.ndarray  #: [feature, row]: bins
-    row: np.ndarray
-    uid: np.ndarray
+    doubled: np.ndarray  #: [feature, row]: twice the bins
     y: np.ndarray
-    doubled: np.ndarray | None  #: [feature, row that is not held]: twice the bins, for boosting
+    held: np.ndarray
+    row: np.ndarray  #: the rows that are not held
+    uid: np.ndarray  #: of those
 
     @classmethod
-    def of(cls, fit: Fit, block: Block) -> Known:
-        columns, row = np.ascontiguousarray(block.bins.T), np.flatnonzero(~block.held)
-        doubled = columns[:, row] << 1 if fit.boosted else None
-        return cls(columns, row, block.uid[row], block.y[row].astype(np.int64), doubled)
-
-
-def _grown_alone(fit: Fit, block: Block) -> np.ndarray:
-    """The margins of the rows of the only block, after all steps; of a forest those of the held ones."""
-    margin, weight, known = np.zeros(len(block.y)), block.weight(fit), Known.of(fit, block)
-    asked = np.arange(len(block.y)) if fit.boosted else np.flatnonzero(block.held)
+    def of(cls, blocks: Iterator[Block], n: int, features: int) -> Known:
+        """From blocks with ``n`` rows together, none of which is kept."""
+        doubled, y, held, uid, at = np.empty((features, n), np.uint8), np.empty(n, np.uint8), np.empty(n, bool), [], 0
+        for block in blocks:
+            some = slice(at, at := at + len(block.y))
+            doubled[:, some] = block.bins.T << 1
+            y[some], held[some] = block.y, block.held
+            uid.append(block.uid[~block.held])
+        row = np.flatnonzero(~held)
+        return cls(doubled, y, held, row.astype(np.int32 if n < 1 << 31 else np.int64), np.concatenate(uid))
+
+
+def _grown_alone(fit: Fit, *blocks: Block) -> np.ndarray:
+    """The margins of the rows of all blocks of a fold, after all steps; of a forest those of the held ones."""
+    return _margins(fit, Known.of(iter(blocks), sum(len(b.y) for b in blocks), fit.features))
+
+
+def _margins(fit: Fit, known: Known) -> np.ndarray:
+    margin = np.zeros(len(known.y))
+    asked = np.arange(len(known.y), dtype=known.row.dtype) if fit.boosted else np.flatnonzero(known.held)
+    wanted = np.empty(len(known.y)) if fit.boosted else None
+    added = None if fit.boosted else np.empty(len(asked))
     for step in range(fit.steps):
-        wanted = weight * fit.target(block.y, margin, step) if fit.boosted else None
-        added = np.zeros(len(asked))
-        for number in fit.trees(step):
-            added += _tree_alone(fit, number, known, wanted, asked)
-        margin[asked] += fit.tree_weight(step) * added
+        if fit.boosted:
+            for some in _slices(len(known.y)):
+                y = known.y[some].astype(float)
+                wanted[some] = np.where(y > 0, fit.weights[1], fit.weights[0]) * fit.target(y, margin[some], step)
+            _tree_alone(fit, step, known, wanted, asked, fit.tree_weight(step), margin)
+        else:
+            added[:] = 0
+            for number in fit.trees(step):
+                _tree_alone(fit, number, known, None, asked, 1.0, added)
+            margin[asked] += fit.tree_weight(step) * added
     return margin
 
 
-def _held_scores(trial: int, fold: int, block: Block, margin: np.ndarray) -> pa.RecordBatch:
-    held = np.flatnonzero(block.held)
-    n = len(held)
-    columns = [np.full(n, trial, np.int32), np.full(n, fold, np.int32), block.y[held].astype(np.int32), margin[held]]
-    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["trial", "fold", "churn", "score"])
+def _held_scores(trial: int, fold: int, y: np.ndarray, held: np.ndarray, margin: np.ndarray) -> pa.RecordBatch:
+    """The held-out rows counted by class and score, as far as they are here."""
+    parts = []
+    for churn in (0, 1):
+        score, rows = np.unique(margin[held & (y == churn)], return_counts=True)
+        parts.append([np.full(len(score), x, np.int32) for x in (trial, fold, churn)] + [score, rows.astype(np.int64)])
+    columns = [np.concatenate(c) for c in zip(*parts)]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["trial", "fold", "churn", "score", "rows"])
 
 
-_SCORES = "trial int, fold int, churn int, score double"
+_SCORES = "trial int, fold int, churn int, score double, rows bigint"
 
 
 def _work(trial: dict) -> float:
@@ -397,16 +484,30 @@ def _work(trial: dict) -> float:
 def _scores_alone(blocks: list[DataFrame], fits: dict[tuple[int, int], Fit], features: int) -> DataFrame:
     trials = sorted({t for t, _ in fits}, key=lambda t: -_work(next(f.trial for (i, _), f in fits.items() if i == t)))
 
+    def grown(key: tuple[int, int], rows: list[dict]) -> pa.RecordBatch:
+        rows.sort(key=lambda r: np.frombuffer(r["uid"], np.int64, 1)[0], reverse=True)  # the same order in whatever order they were read
+        n = sum(r["y"].size for r in rows)
+        known = Known.of((Block.read(rows.pop(), features) for _ in range(len(rows))), n, features)
+        return _held_scores(*key, known.y, known.held, _margins(fits[key], known))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, last = [], None
         for batch in batches:
             for i in range(batch.num_rows):
-                row = batch.slice(i, 1).to_pylist()[0]
-                block = Block.read(row, features)
-                yield _held_scores(row["trial"], row["fold"], block, _grown_alone(fits[row["trial"], row["fold"]], block))
-
-    # a stored table holds the block of a fold: each trial reads it by itself, none is shuffled
-    each = [block.withColumn("trial", F.lit(t)) for t in trials for block in blocks]
-    return reduce(DataFrame.union, each).mapInArrow(run, _SCORES)
+                key = batch.column("trial")[i].as_py(), batch.column("fold")[i].as_py()
+                if rows and key != last:
+                    yield grown(last, rows)
+                last = key
+                # views into the batch, no copies
+                rows.append({c: batch.column(c)[i].as_buffer() for c in ("uid", "y", "held", "bins")} | {"margin": None})
+        if rows:
+            yield grown(last, rows)
+
+    # each trial reads the stored blocks of a fold by itself, in one task; none is shuffled
+    each = [block.coalesce(1).withColumn("trial", F.lit(t)) for t in trials for block in blocks]
+    # frames of one partition each would be united into one partition; with one that is not, they stay apart
+    apart = blocks[0].filter("fold < 0").withColumn("trial", F.lit(-1))
+    return reduce(DataFrame.union, [*each, apart]).mapInArrow(run, _SCORES)
 
 
 _CELLS = "fit int, node int, cell int, n double, w double, t double"
@@ -505,7 +606,7 @@ def _scores_by_levels(blocks: list[DataFrame], fits: dict[tuple[int, int], Fit],
             for row in batch.to_pylist():
                 block = Block.read(row, features)
                 for i, trial in enumerate(order):
-                    yield _held_scores(trial, row["fold"], block, block.margin[i])
+                    yield _held_scores(trial, row["fold"], block.y, block.held, block.margin[i])
 
     return state.mapInArrow(last, _SCORES)
 
@@ -552,9 +653,10 @@ def fold_blocks(rows: DataFrame, fold: int, edges: list[np.ndarray], key: str, n
 
 
 def grouped_auc(scores: DataFrame) -> DataFrame:
-    """trial, fold and the exact area under the ROC curve of their scores; null when a class is missing."""
+    """trial, fold and the exact area under the ROC curve of their counted scores; null when a class is missing."""
     group = ["trial", "fold"]
-    freq = scores.groupBy(*group, "score").agg(F.count_if(F.col("churn") == 1).alias("pos"), F.count_if(F.col("churn") == 0).alias("neg"))
+    of = lambda churn: F.sum(F.when(F.col("churn") == churn, F.col("rows")).otherwise(0))
+    freq = scores.groupBy(*group, "score").agg(of(1).alias("pos"), of(0).alias("neg"))
     ranked = running_sums(value_buckets(freq, group, "score", 8), group, "_bucket", ["score"], ["pos", "neg"])
     outranked = F.sum(F.col("pos") * (F.col("neg_before") + F.col("neg") / 2))
     pairs = F.max("pos_total").cast("double") * F.max("neg_total")
@@ -588,7 +690,7 @@ def cross_validated_auc(
         for p in parts[1:]:
             out = out.union(p)
         return out
-    stored = [fold_blocks(rows, f, edges[f], key, counts[f], block_rows) for f, rows in enumerate(folds)]
+    stored = [fold_blocks(rows, f, edges[f], key, counts[f], min(block_rows, PIECE_ROWS)) for f, rows in enumerate(folds)]
     blocks = side_by_side(spark, lambda b: materialize(b, "fold-blocks"), stored)
     pairs = [(t, f) for t in range(len(trials)) for f in range(len(folds))]
     alone = n <= block_rows

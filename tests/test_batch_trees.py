@@ -181,3 +181,49 @@ def test_no_spread_does_not_exceed_its_bound():
     assert np.allclose(mean, total[2] / total[1])
     gain = np.where((left[0] >= 1) & (right[0] >= 1), gain, 0.0)
     assert (gain.max(axis=(1, 2)) / total[1] <= bound).all()
+
+
+@pytest.mark.parametrize("kind", ["boosted", "forest"])
+def test_a_fit_holds_less_than_90_bytes_a_row(kind):
+    import tracemalloc
+
+    rng, n = np.random.default_rng(7), 400_000
+    bins = rng.integers(0, 32, (n, 25)).astype(np.uint8)
+    y = (bins[:, 0] + bins[:, 1] + rng.normal(0, 9, n) > 31).astype(float)
+    block = batch_trees.Block(np.arange(n) * 31, y, np.arange(n) % 5 == 0, bins, np.zeros((0, n)))
+    trial = {"kind": kind, "trees": 2, "max_depth": 6, "row_share": 0.9, "min_leaf": 2}
+    tracemalloc.start()
+    batch_trees._grown_alone(Fit(0, trial, (0.7, 1.9), 25, 42), block)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak / n < 90
+
+
+def test_a_task_reads_the_blocks_of_its_fold(folds, monkeypatch):
+    together = scores(cross_validated_auc(folds, WEIGHTS, TRIALS))
+    made, tasks = [], []
+    store, alone = batch_trees.materialize, batch_trees._scores_alone
+    monkeypatch.setattr(batch_trees, "PIECE_ROWS", 50)
+    monkeypatch.setattr(batch_trees, "_scores_by_levels", None)
+    monkeypatch.setattr(batch_trees, "materialize", lambda df, name: made.append((name, store(df, name))) or made[-1][1])
+    monkeypatch.setattr(batch_trees, "_scores_alone", lambda *a: tasks.append(alone(*a)) or tasks[-1])
+    assert scores(cross_validated_auc(folds, WEIGHTS, TRIALS)) == pytest.approx(together, abs=1e-12)
+    sizes = [[len(r["y"]) for r in df.collect()] for name, df in made if name == "fold-blocks"]
+    assert len(sizes) == 2 and all(sum(s) == ROWS and max(s) <= 50 for s in sizes)
+    assert tasks[0].rdd.getNumPartitions() >= len(folds) * len(TRIALS)
+
+
+def test_deep_levels_are_added_up_in_parts(monkeypatch):
+    rng = np.random.default_rng(8)
+    bins = rng.integers(0, 32, (3000, 6)).astype(np.uint8)
+    y = (bins[:, 0] + bins[:, 1] + rng.normal(0, 9, 3000) > 31).astype(float)
+    block = batch_trees.Block(np.arange(3000) * 31, y, np.arange(3000) % 4 == 0, bins, np.zeros((0, 3000)))
+    # small nodes of boosting have splits of equal gain, which the order of its sums would part
+    for trial in ({"kind": "boosted", "trees": 3, "max_depth": 6, "min_leaf": 30}, {"kind": "forest", "trees": 3, "max_depth": 12}):
+        fit = Fit(2, trial, (0.7, 1.9), 6, 42)
+        monkeypatch.undo()
+        whole = batch_trees._grown_alone(fit, block)
+        monkeypatch.setattr(batch_trees, "NODE_CELLS", 400)
+        monkeypatch.setattr(batch_trees, "SLICE_ROWS", 100)
+        parts = [batch_trees.Block(*[x[i : i + 700] for x in (block.uid, block.y, block.held, block.bins)], np.zeros((0, 700))) for i in range(0, 3000, 700)]
+        assert np.allclose(batch_trees._grown_alone(fit, *parts), whole, rtol=1e-12, atol=1e-12)
