@@ -19,6 +19,7 @@ Random draws are hashes of row, trial and tree, the same on both ways.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from copy import copy
 from dataclasses import dataclass
 from functools import reduce
 
@@ -293,9 +294,14 @@ def _spread(fit: Fit, place: np.ndarray, y: np.ndarray, own: np.ndarray, nodes:
     ``sums`` holds what earlier slices of the rows add, and takes up what these do.
     """
     weight, sums = np.array(fit.weights), np.zeros((4, nodes)) if sums is None else sums
-    sums[:2] += np.bincount(2 * place + y, minlength=2 * nodes).reshape(nodes, 2).T
-    sums[2] += np.bincount(place, own, nodes)
-    sums[3] += np.bincount(place, own * own * np.take(1 / weight, y), nodes)
+    square = own * own * np.take(1 / weight, y)
+    if nodes == 1:
+        ones = np.count_nonzero(y)
+        sums += np.array([[len(y) - ones], [ones], [own.sum()], [square.sum()]])
+    else:
+        sums[:2] += np.bincount(2 * place + y, minlength=2 * nodes).reshape(nodes, 2).T
+        sums[2] += np.bincount(place, own, nodes)
+        sums[3] += np.bincount(place, square, nodes)
     rows = sums[:2].T @ weight
     with np.errstate(divide="ignore", invalid="ignore"):
         mean, square = sums[2] / rows, sums[3] / rows
@@ -340,9 +346,10 @@ def _able(fit: Fit, trees: Trees, known: Known, sample: Sample, wanted: np.ndarr
         return np.array([len(sample.row) > 0])
     count, sums, spread = np.zeros((nodes, 2)), np.zeros((4, nodes)), np.zeros(nodes)
     for some in _slices(len(sample.row), 2 * nodes):
-        place, y = np.take(index, sample.at[some]), np.take(known.y, sample.row[some])
+        row = sample.row[some].astype(np.int64)
+        place, y = index[:1] if root else np.take(index, sample.at[some]), np.take(known.y, row)
         if fit.boosted:
-            mean, spread = _spread(fit, place, y, np.take(wanted, sample.row[some]), nodes, sums)
+            mean, spread = _spread(fit, place, y, np.take(wanted, row), nodes, sums)
             if root:
                 trees.value[0] = mean[0]
         else:
@@ -408,11 +415,14 @@ def _tree_alone(fit: Fit, number: int, known: Known, wanted: np.ndarray | None,
     leaf = np.flatnonzero(trees.feature < 0)
     trees.feature[leaf], trees.cut[leaf], trees.left[leaf] = 0, BINS, leaf
     value, levels, ways = factor * np.nan_to_num(trees.value), int(np.log2(trees.path.max())), _ways(trees, known.doubled)
+    if not levels:
+        out += value[0]
+        return
     for some in _slices(len(asked)):
         row, at = asked[some].astype(np.int64), np.zeros(some.stop - some.start, np.int64)
         for _ in range(levels):
             at = _below(ways, row, at)
-        out[some] += value[at]
+        out[some] += np.take(value, at)
 
 
 @dataclass
@@ -529,19 +539,32 @@ def _level(blocks: DataFrame, fits: dict[tuple[int, int], Fit], grown: dict[int,
                     if trees is None or not len(trees.open):
                         continue
                     numbers = fit.trees(step)
-                    at = trees.places(block.bins, len(numbers))
-                    target = fit.target(block.y, block.margin[i], step)
-                    sums = trees.histogram(fit, at, block.bins, block.sample(fit, numbers), block.weight(fit), target)
-                    sums = sums.reshape(3, len(trees.open), -1)
-                    node, cell = np.nonzero(sums[0])
-                    fit_number = np.full(len(node), fit.number, np.int32)
-                    columns = [fit_number, trees.open[node].astype(np.int32), cell.astype(np.int32), *sums[:, node, cell]]
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["fit", "node", "cell", "n", "w", "t"])
+                    at, count = trees.places(block.bins, len(numbers)), block.sample(fit, numbers)
+                    target, weight = fit.target(block.y, block.margin[i], step), block.weight(fit)
+                    here, some = np.intersect1d(at[count > 0], trees.open), copy(trees)
+                    size = max(1, NODE_CELLS // (fit.columns * BINS))
+                    for first in range(0, len(here), size):
+                        some.open = here[first : first + size]
+                        sums = some.histogram(fit, at, block.bins, count, weight, target).reshape(3, len(some.open), -1)
+                        node, cell = np.nonzero(sums[0])
+                        fit_number = np.full(len(node), fit.number, np.int32)
+                        columns = [fit_number, some.open[node].astype(np.int32), cell.astype(np.int32), *sums[:, node, cell]]
+                        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["fit", "node", "cell", "n", "w", "t"])
 
     by_number = {f.number: f for f in fits.values()}
 
     def splits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(batches, _CELL_SCHEMA)
+        rest = pa.Table.from_batches([], _CELL_SCHEMA)
+        for batch in batches:  # in order of nodes: the last one may go on in the next batch
+            table = pa.concat_tables([rest, pa.Table.from_batches([batch], _CELL_SCHEMA)])
+            fit_numbers, nodes = table.column("fit").to_numpy(), table.column("node").to_numpy()
+            last = np.flatnonzero((fit_numbers != fit_numbers[-1:]) | (nodes != nodes[-1:]))
+            whole = last[-1] + 1 if len(last) else 0
+            yield from split(table.slice(0, whole))
+            rest = table.slice(whole)
+        yield from split(rest)
+
+    def split(table: pa.Table) -> Iterator[pa.RecordBatch]:
         fit_numbers = table.column("fit").to_numpy()
         for number in np.unique(fit_numbers).tolist():
             fit, own = by_number[number], np.flatnonzero(fit_numbers == number)
@@ -555,8 +578,10 @@ def _level(blocks: DataFrame, fits: dict[tuple[int, int], Fit], grown: dict[int,
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=[c.split()[0] for c in _SPLITS.split(", ")])
 
     added = blocks.mapInArrow(cells, _CELLS).groupBy("fit", "node", "cell").agg(*[F.sum(c).alias(c) for c in ("n", "w", "t")])
+    # batches of whole nodes: a task holds the sums of a batch, not of all nodes that it gets
+    added = added.repartition("fit", "node").sortWithinPartitions("fit", "node")
     # one row for each open node: bounded by the trees that grow, not by rows
-    found = added.repartition("fit", "node").mapInArrow(splits, _SPLITS).toArrow().to_pandas()
+    found = added.mapInArrow(splits, _SPLITS).toArrow().to_pandas()
     for number, trees in grown.items():
         own = found[found["fit"] == number].set_index("node").reindex(trees.open)
         own = own.fillna({"feature": -1, "cut": 0})

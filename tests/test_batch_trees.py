@@ -227,3 +227,32 @@ def test_deep_levels_are_added_up_in_parts(monkeypatch):
         monkeypatch.setattr(batch_trees, "SLICE_ROWS", 100)
         parts = [batch_trees.Block(*[x[i : i + 700] for x in (block.uid, block.y, block.held, block.bins)], np.zeros((0, 700))) for i in range(0, 3000, 700)]
         assert np.allclose(batch_trees._grown_alone(fit, *parts), whole, rtol=1e-12, atol=1e-12)
+
+
+def test_levels_are_added_up_by_parts_of_their_nodes(folds, monkeypatch):
+    trials = TRIALS[:2]
+    together = scores(cross_validated_auc(folds, WEIGHTS, trials))
+    monkeypatch.setattr(batch_trees, "NODE_CELLS", 100)
+    sizes, plain = [], Trees.histogram
+    monkeypatch.setattr(batch_trees, "_scores_alone", None)
+    assert scores(cross_validated_auc(folds, WEIGHTS, trials, block_rows=64)) == pytest.approx(together, abs=1e-12)
+    # the same for one block at a time, where the parts can be seen
+    grown = Trees(range(1))
+    monkeypatch.setattr(Trees, "histogram", lambda self, *a: sizes.append(len(self.open)) or plain(self, *a))
+    grown.grow(np.array([[0.0], [0], [2], [0.1], [0.2]]))
+    taken = {}
+
+    class Blocks:
+        def mapInArrow(self, cells, schema):  # noqa: N802
+            taken["cells"] = cells
+            raise StopIteration
+
+    fit = Fit(0, trials[1], (0.8, 1.4), 5, 42, 1)
+    with pytest.raises(StopIteration):
+        batch_trees._level(Blocks(), {(0, 0): fit}, {0: grown}, 0, 5)
+    stored = batch_trees.fold_blocks(folds[0], 0, batch_trees.bin_edges(folds[0]), "customer_id", ROWS, ROWS).collect()[0].asDict()
+    stored["margin"] = np.zeros((1, ROWS)).tobytes()
+    import pyarrow as pa
+
+    list(taken["cells"]([pa.RecordBatch.from_pylist([stored])]))
+    assert sizes and max(sizes) == 1
